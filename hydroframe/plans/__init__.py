@@ -1,3 +1,3 @@
 """Registered queries; importing this package registers all of them."""
 
-from . import filters, joins, stats, windows  # noqa: F401
+from . import filters, grouped, joins, scalars, stats, streams, windows  # noqa: F401
