@@ -7,11 +7,13 @@ have full sketches too.  Four registers make a band; documents that share one of
 similarity 0.8 is missed with a probability of about 5e-8).
 
 Documents of equal sets are one class, whose smallest id stands for it; only class representatives are compared.  A band
-bucket of up to `small` members gives all its pairs.  A larger one links its members to one pivot, the member with the
+bucket of up to `small` members gives all its pairs.  A larger one compares its members to one pivot, the member with the
 smallest share of shingles that no other document of large buckets has, which in a group of copies is the original or
-nearest to it.  Then those pairs are left that are not in one component yet; for each, u unique shingles of n bound the
-intersection by min(n1 - u1, n2 - u2), and all that may still reach the threshold are compared too.  So no link between
-components is lost, and no bucket gives all its pairs unless they cannot be told apart by these bounds.
+nearest to it.  A pair then matters only if one of its members, x, is not linked to the pivot.  Let o be the shingles
+that x shares with the pivot, and c the intersection that the pair needs by its sizes.  If o < c, the two must share at
+least c - o shingles that the pivot lacks: they meet at one of the rarest of these (a prefix filter).  Other pairs can
+only be those with a document so small that o >= c; they meet by size.  So no link between components is lost, and what a
+bucket gives is bounded by what its members share beyond the pivot, not by the square of its size.
 
 Candidate pairs are screened by the collision-corrected Jaccard estimate, far below the threshold (`slack`, over five
 standard deviations), and confirmed on full sets.  Components come from the confirmed links by label propagation with
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shared, words
@@ -151,8 +153,8 @@ def screened(pairs: DataFrame, reps: DataFrame, threshold: float, slack: float =
     return both.select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union on full sets.
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, n_a, n_b, common and rest (shingles of b that a lacks) of pairs (a, b), on full sets.
 
     The set of a comes first in its sorted partition and the sets it is compared to follow, one at a time in memory.
     """
@@ -166,16 +168,49 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 if b is None:
                     now, held = a, own
                 elif a == now:
-                    both = len(np.intersect1d(held, own, assume_unique=True))
-                    if 100 * both >= percent * (len(held) + len(own) - both):
-                        found.append((a, b))
-            yield pa.record_batch([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+                    rest = np.setdiff1d(own, held, assume_unique=True)
+                    found.append((a, b, len(held), len(own), len(own) - len(rest), rest.tobytes()))
+            kinds = [*[pa.int64()] * 5, pa.binary()]
+            yield pa.record_batch([pa.array([x[k] for x in found], kind) for k, kind in enumerate(kinds)], ["a", "b", "n_a", "n_b", "common", "rest"])
 
     n = shared.partitions(pairs.sparkSession)
     follow = pairs.join(sets.withColumnRenamed("id", "b"), "b").select("a", "b", "shingles")
     lead = sets.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("a"), F.lit(None).cast("long").alias("b"), "shingles")
     ordered = lead.unionByName(follow).repartition(n, "a").sortWithinPartitions("a", F.asc_nulls_first("b"))
-    return ordered.mapInArrow(run, "a bigint, b bigint")
+    return ordered.mapInArrow(run, "a bigint, b bigint, n_a bigint, n_b bigint, common bigint, rest binary")
+
+
+def linked(percent: int):
+    return 100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))
+
+
+def hidden_pairs(star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one pivot, in different components, that may still be linked; star: what compared gives
+    for (pivot, member)."""
+    pivots = star.groupBy("a").agg(F.first("n_a").alias("n")).select("a", F.col("a").alias("id"), "n", F.col("n").alias("o"), F.lit(True).alias("on_pivot"), F.lit(b"").alias("rest"))
+    members = star.select("a", F.col("b").alias("id"), F.col("n_b").alias("n"), F.col("common").alias("o"), linked(percent).alias("on_pivot"), "rest").unionByName(pivots)
+    members = shared.written(members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "members")
+    lone = members.where(~F.col("on_pivot")).select("a", "id", "n", "o", "label")
+    sizes = members.groupBy("a", F.col("n").alias("n_y")).agg(F.count("*").alias("m"))
+    needed = F.ceil(F.lit(percent) * (F.col("n") + F.col("n_y")) / (100 + percent))
+    near = F.least("n", "n_y") * 100 >= percent * F.greatest("n", "n_y")
+    classes = lone.select("a", "n", "o").distinct().join(sizes, "a").where(near).withColumn("c", needed).select("a", "n", "o", "n_y", "c")
+    classes = shared.written(classes, "needs")
+
+    y = members.select("a", F.col("n").alias("n_y"), F.col("id").alias("y"), F.col("label").alias("label_y"))
+    small = lone.join(classes.where("o >= c"), ["a", "n", "o"]).select("a", "id", "label", "n_y").join(y, ["a", "n_y"]).where("label <> label_y").select("id", "y")
+
+    tokens = shingles_of(members.select("a", "id", "label", "rest"))
+    often = tokens.groupBy("a", "h").agg(F.count("*").alias("df")).where("df > 1")
+    tokens = shared.written(tokens.join(often, ["a", "h"]), "shared-shingles")
+    need = classes.where("o < c").groupBy("a", "n", "o").agg(F.min(F.col("c") - F.col("o")).alias("need"))
+    need = lone.join(need, ["a", "n", "o"]).select("a", "id", "need")
+    by = Window.partitionBy("a", "id")
+    ranked = tokens.join(need, ["a", "id"]).withColumns({"s": F.count("*").over(by), "rank": F.row_number().over(by.orderBy("df", "h"))})
+    prefix = ranked.where(F.col("rank") <= F.col("s") - F.col("need") + 1).select("a", "h", "id", "label")
+    other = tokens.select("a", "h", F.col("id").alias("y"), F.col("label").alias("label_y"))
+    meet = prefix.join(other, ["a", "h"]).where("label <> label_y").select("id", "y")
+    return small.unionByName(meet).select(F.least("id", "y").alias("a"), F.greatest("id", "y").alias("b")).distinct()
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -206,32 +241,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     few = bucket.where(F.col("m") <= small).select("band", F.col("id").alias("a"), "n_shingles")
     other = few.select("band", F.col("a").alias("b"), F.col("n_shingles").alias("n_b"))
     near = F.least("n_shingles", "n_b") >= threshold * F.greatest("n_shingles", "n_b") - 1e-9
-    pairs = few.join(other, "band").where((F.col("a") < F.col("b")) & near).select("a", "b")
+    pairs = few.join(other, "band").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
-    members = bucket.select("id").distinct()
-    sets = shared.written(full_sets(_only(docs, members, id_col), k, id_col, text_col).dropDuplicates(["id"]), "sets")
+    sets = full_sets(_only(docs, bucket.select("id").distinct(), id_col), k, id_col, text_col)
+    sets = shared.written(sets.groupBy("id").agg(F.max("shingles").alias("shingles")), "sets")
 
     many = bucket.where(F.col("m") > small)
-    hot = sets.join(many.select("id").distinct(), "id", "left_semi")
-    unique = shared.written(_unique(hot), "unique")
-    many = shared.written(many.join(unique, "id", "left").select("band", "id", "n_shingles", F.coalesce("u", F.lit(0)).alias("u")), "many")
-    pivots = many.groupBy("band").agg(F.min(F.struct((F.col("u") / F.col("n_shingles")).alias("share"), "id", "n_shingles")).alias("p"))
-    star = many.join(pivots, "band").where("id <> p.id").select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b"))
-    pairs = shared.written(pairs.unionByName(star).distinct(), "pairs")
-    links = shared.written(confirmed(screened(pairs, reps, threshold, slack), sets, percent), "links")
+    unique = shared.written(_unique(sets.join(many.select("id").distinct(), "id", "left_semi")), "unique")
+    share = F.coalesce("u", F.lit(0)) / F.col("n_shingles")
+    pivots = many.join(unique, "id", "left").groupBy("band").agg(F.min(F.struct(share.alias("share"), "id")).alias("p"))
+    star = many.join(pivots, "band").where("id <> p.id").select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
+    star = shared.written(compared(star, sets), "star")
+    links = shared.written(compared(screened(pairs, reps, threshold, slack), sets).where(linked(percent)).select("a", "b").unionByName(star.where(linked(percent)).select("a", "b")), "links")
     labels = components(links)
-
-    # What large buckets may still hide: pairs in different components that the bounds allow.
-    left = many.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    kinds = left.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
-    left = left.join(kinds, "band", "left_semi")
-    shared_most = F.least(F.col("x.n_shingles") - F.col("x.u"), F.col("y.n_shingles") - F.col("y.u"))
-    may = (100 + percent) * shared_most >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles"))
-    rest = left.alias("x").join(left.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & may)
-    rest = rest.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    rest = shared.written(rest, "rest")
-    if rest.limit(1).count():
-        more = shared.written(confirmed(screened(rest, reps, threshold, slack), sets, percent), "links")
+    hidden = shared.written(hidden_pairs(star, labels, percent), "hidden-pairs")
+    if hidden.limit(1).count():
+        more = shared.written(compared(screened(hidden, reps, threshold, slack), sets).where(linked(percent)).select("a", "b"), "links")
         if more.limit(1).count():
             labels = components(links.unionByName(more))
 
@@ -241,23 +266,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (component == F.col("id")).alias("kept"))
 
 
-def _only(docs: DataFrame, ids: DataFrame, id_col: str, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Rows of docs with one of the ids; ids are broadcast if they are at most 8 MB, else joined by a shuffle."""
-    ids = ids.select(F.col("id").alias("_id"))
-    ids = F.broadcast(ids) if ids.count() <= broadcast_rows else ids
+def _only(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows of docs with one of the ids."""
+    ids = shared.sized(ids.select(F.col("id").alias("_id")))
     return docs.join(ids, F.col(id_col) == F.col("_id"), "left_semi")
 
 
-def _unique(sets: DataFrame) -> DataFrame:
-    """id and u: how many of its shingles no other row of sets has (none: no row)."""
+def shingles_of(rows: DataFrame) -> DataFrame:
+    """a, id, label, h: one row for each hash in `rest`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in shared.parts(batch, 1):
-                raw, ends = shared.text_bytes(part.column(1))
+            for part in shared.parts(batch, 3):
+                raw, ends = shared.text_bytes(part.column(3))
                 count = (ends[1:] - ends[:-1]) // 8
-                yield pa.record_batch([pa.array(np.repeat(part.column(0).to_numpy(), count)), pa.array(raw.view(np.int64))], ["id", "h"])
+                yield pa.record_batch([*(pa.array(np.repeat(part.column(k).to_numpy(), count)) for k in range(3)), pa.array(raw.view(np.int64))], ["a", "id", "label", "h"])
 
-    each = sets.mapInArrow(run, "id bigint, h bigint")
+    return rows.mapInArrow(run, "a bigint, id bigint, label bigint, h bigint")
+
+
+def _unique(sets: DataFrame) -> DataFrame:
+    """id and u: how many of its shingles no other row of sets has (none: no row)."""
+    none = F.lit(0).cast("long")
+    each = shingles_of(sets.select(none.alias("a"), "id", none.alias("label"), F.col("shingles").alias("rest")))
     alone = each.groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
     return alone.groupBy("id").agg(F.count("*").alias("u"))

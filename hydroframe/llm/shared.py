@@ -62,3 +62,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = column.buffers()[2]
     data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None and len(ends) else np.zeros(0, np.uint8)
     return data, ends - ends[0]
+
+
+def sized(ids: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """A frame of a few plain columns, to be broadcast if its rows are at most so many, else to be merged by a shuffle."""
+    return F.broadcast(ids) if ids.count() <= broadcast_rows else ids.hint("merge")
