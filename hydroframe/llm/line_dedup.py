@@ -228,7 +228,8 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id
     shards = max(1, -(-counts.count() // shard_keys))
     arrays = shared.written(index(counts, shards), "line-index")
     gone = shared.written(dropped(rows.select("key", "text"), arrays, shards, min_docs), "dropped-lines")
-    out = rows.join(gone, "key", "left").select("id", "text", F.coalesce("line_numbers", F.array().cast("array<int>")).alias("line_numbers"))
+    # The same plan at every size: texts meet the few numbers by a merge join.
+    out = rows.join(gone.hint("merge"), "key", "left").select("id", "text", F.coalesce("line_numbers", F.array().cast("array<int>")).alias("line_numbers"))
     kind = rows.schema["id"].dataType.simpleString()
     out = out.mapInArrow(run, f"id {kind}, n_lines bigint, n_dropped bigint, kept_sha256 string, kept_text string").withColumnRenamed("id", id_col)
     return out if texts else out.drop("kept_text")
