@@ -1,3 +1,3 @@
 """Registered queries; importing this package registers all of them."""
 
-from . import filters, grouped, joins, scalars, stats, streams, windows  # noqa: F401
+from . import derived, filters, grouped, joins, scalars, sections, stats, streams, tables, windows  # noqa: F401

@@ -15,7 +15,7 @@ from .stats import _G, HOUR, rounded, vectors3, velocities
 
 
 
-@register("m01_polar_cartesian", f"select event_id, round(value, 6) as speed, round(case when (event_id * 37) % 360 > 180 then (event_id * 37) % 360 - 360 else (event_id * 37) % 360 end, 4) as half, round((event_id * 37) % 360::double, 4) as whole from {E} where value > 0 and (event_id * 37) % 180 <> 0")
+@register("m01_polar_cartesian", f"select event_id, round(value, 6) as speed, round(case when (event_id * 37) % 360 > 180 then (event_id * 37) % 360 - 360 else (event_id * 37) % 360 end::double, 4) as half, round((event_id * 37) % 360::double, 4) as whole from {E} where value > 0 and (event_id * 37) % 180 <> 0")
 def m01(spark, d):
     v = velocities(spark, d).where("value > 0 and dir % 180 <> 0")
     (speed, half), (_, whole) = vectors.to_polar(F.col("u"), F.col("v")), vectors.to_polar(F.col("u"), F.col("v"), wrap=True)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 
 def stream_ingest(spark: SparkSession, folder: str, schema: StructType, target: str, log: str, checkpoint: str, files_per_batch: int = 16) -> None:
@@ -65,7 +65,7 @@ def replaced(spark: SparkSession, target: str, schema: StructType, us: str) -> D
     cuts = spark.read.schema("cut bigint, batch bigint").parquet(f"{target}/cuts")
     later = Window.orderBy("batch").rowsBetween(1, Window.unboundedFollowing)
     limits = cuts.select("batch", F.min("cut").over(later).alias("_limit"))
-    rows = spark.read.schema(StructType(schema.fields).add("batch", "bigint")).parquet(f"{target}/rows")
+    rows = spark.read.schema(StructType(schema.fields).add("batch", LongType())).parquet(f"{target}/rows")
     return rows.join(F.broadcast(limits), "batch").where(F.col("_limit").isNull() | (F.col(us) < F.col("_limit"))).select(*schema.names)
 
 
