@@ -1,0 +1,37 @@
+"""The registered queries against their SQL, and the pipeline stage by stage."""
+
+import pandas as pd
+import pytest
+from compare import check
+from conftest import DATA
+
+import corpus_pipeline
+from hydroframe.llm import oracles, queries
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_query(spark, name):
+    found = queries.queries()[name](spark, DATA).toPandas()
+    assert len(found) > 0
+    if name in oracles.oracle_sql():
+        check(found, oracles.oracle_sql()[name], DATA)
+
+
+def test_held_out_quality(spark):
+    scores = queries.op3_quality(spark, DATA).toPandas().set_index("doc_id")
+    labels = pd.read_parquet(f"{DATA}/labels.parquet").set_index("doc_id").quality
+    both = scores.join(labels, how="inner")
+    both = both[both.held_out]
+    assert len(both) > 10 and (both.predicted == both.quality).mean() > 0.9
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    counts = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = corpus_pipeline.shared.written(stage(spark, docs, DATA), f"test-{name}")
+        counts.append(docs.count())
+        assert docs.columns == columns or name == "encode"
+    assert counts == sorted(counts, reverse=True) and counts[-1] > 50
+    assert {"n_tokens", "ids_sha256", "decoded_sha256"} < set(docs.columns)
