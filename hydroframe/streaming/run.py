@@ -18,9 +18,12 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Rows that the stream puts out for the files there are now; complete mode gives those of the last batch."""
-    root = folder(stream.sparkSession, "stream")
+def drain(stream: DataFrame, mode: str = "append", root: str | None = None) -> DataFrame:
+    """Rows that the stream puts out for the files there are now; complete mode gives those of the last batch.
+
+    With the same root a later run goes on where the one before ended, and the rows of all runs are given.
+    """
+    root = root or folder(stream.sparkSession, "stream")
     schema = stream.schema
 
     def save(batch: DataFrame, number: int) -> None:

@@ -91,7 +91,8 @@ def stream_holes(stream: DataFrame, key: str, us: str, longest_us: int) -> DataF
             last = t if last is None else max(last, t)
         if last is not None:
             state.update((last,))
-        yield pd.DataFrame(found, columns=[key, "start", "size"])
+        if found:
+            yield pd.DataFrame(found, columns=[key, "start", "size"])
 
     kind = stream.schema[key].dataType.simpleString()
     return stream.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, start bigint, size bigint", "last bigint", "append", "NoTimeout")
@@ -114,7 +115,8 @@ def stream_despike(stream: DataFrame, key: str, us: str, column: str, max_spike:
             found.append((name[0], rows[i][0], v, bool(up or down)))
         last = rows[-2:]
         state.update(tuple(x for r in [(None, None)] * (2 - len(last)) + last for x in r))
-        yield pd.DataFrame(found, columns=[key, us, column, "spike"])
+        if found:
+            yield pd.DataFrame(found, columns=[key, us, column, "spike"])
 
     kind = stream.schema[key].dataType.simpleString()
     return stream.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, {us} bigint, {column} double, spike boolean", "t0 bigint, v0 double, t1 bigint, v1 double", "append", "NoTimeout")
