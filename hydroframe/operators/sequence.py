@@ -1,12 +1,14 @@
 """Helpers for ordered series that keep one long series from landing in one task.
 
 `carry` fills forward or backward over any distance: within time buckets by a window, between buckets by the one
-value that each bucket passes on.  `bordered` gives bounded operators their neighbours: rows near the edge of a bucket
-are copied into the next bucket.
+value that each bucket passes on.  `in_row_blocks` runs operators that look a bounded number of rows around on blocks of
+rows, the rows at a block's edges copied.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,15 +39,26 @@ def carry(df: DataFrame, keys: list[str], us: str, order: list[str], values: dic
     return out.drop("_bucket", *[f"{p}{n}" for n in values for p in ("_v_", "_in_", "_c_")])
 
 
-def bordered(df: DataFrame, us: str, bucket_us: int, before_us: int, after_us: int) -> DataFrame:
-    """Rows with `_bucket` and `_own`: besides its own bucket, a row goes to those it lies near the edge of.
+def numbered(df: DataFrame, keys: list[str], us: str, order: list[str], bucket_us: int = BUCKET_US) -> DataFrame:
+    """Add `_i`, the number of each row in its key's order (us, then `order`), from 0: counted per bucket, then summed up."""
+    df = df.withColumn("_bucket", F.floor(F.col(us) / bucket_us))
+    own = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(us, *order)) - 1
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    counts = df.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n")).select(*keys, "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
+    return df.join(counts, [*keys, "_bucket"]).withColumn("_i", own + F.col("_before")).drop("_bucket", "_before")
+
+
+def in_row_blocks(df: DataFrame, keys: list[str], us: str, order: list[str], before: int, after: int, fn: Callable[[DataFrame, list[str], list[str]], DataFrame], block_rows: int = 1 << 17) -> DataFrame:
+    """Run an operator that looks at most `before` rows back and `after` rows ahead on blocks of one long series.
 
-    A window by (keys, _bucket) then sees before_us before and after_us after each own row; keep `_own` rows afterwards.
+    Rows near the edge of a block are copied into the next one, the operator fn(frame, keys, order) works per block, and
+    only a block's own rows are kept.  So one logger's series is spread over tasks, with the results of the whole.
     """
-    first = F.floor((F.col(us) - after_us) / bucket_us)
-    last = F.floor((F.col(us) + before_us) / bucket_us)
-    own = F.floor(F.col(us) / bucket_us)
-    return df.withColumn("_bucket", F.explode(F.sequence(first, last))).withColumn("_own", F.col("_bucket") == own)
+    rows = numbered(df, keys, us, order)
+    first, last = F.floor((F.col("_i") - after) / block_rows), F.floor((F.col("_i") + before) / block_rows)
+    copies = rows.withColumn("_block", F.explode(F.sequence(F.greatest(first, F.lit(0)), last)))
+    done = fn(copies, [*keys, "_block"], ["_i"])
+    return done.where(F.col("_block") == F.floor(F.col("_i") / block_rows)).drop("_block", "_i")
 
 
 def islands(df: DataFrame, keys: list[str], order: list[str], flag: Column) -> DataFrame:

@@ -217,3 +217,13 @@ def m23(spark, d):
     return times.hour_rollover_days(df, ["kind"], ["us"], "hour").select("event_id", "days")
 
 
+
+
+@register(
+    "m22_buoyancy_frequency",
+    f"with q as (select device, event_id, event_id % 200 + event_id / 100000.0 as z, 5 + value / 10 as s from {E}) select event_id, round(9.81 / (1000 + s) * (lead(s) over w - s) / (lead(z) over w - z), 6) as n2 from q window w as (partition by device order by z)",
+)
+def m22(spark, d):
+    w = Window.partitionBy("device").orderBy("z")
+    q = events(spark, d).select("device", "event_id", (F.col("event_id") % 200 + F.col("event_id") / 100000).alias("z"), (5 + F.col("value") / 10).alias("s"))
+    return q.select("event_id", F.round(seawater.buoyancy_frequency(F.col("s"), F.lead("s").over(w), F.col("z"), F.lead("z").over(w)), 6).alias("n2"))

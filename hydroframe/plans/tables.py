@@ -215,3 +215,25 @@ def s31(spark, d):
     return files.list_source_files(spark, d, "*.parquet", bad="^(nation|region)").select("name", "length")
 
 
+
+
+@register(
+    "s08_read_nmea",
+    f"""with p as (select event_id, us // 1000000 as t, floor(lat) + round((lat - floor(lat)) * 60, 4) / 60 as lat, round(value, 1) as speed from {P}),
+    r as (select *, row_number() over (partition by t order by event_id desc) as k, max(case when event_id % 3 = 0 then round(event_id / 10.0, 1) end) over (partition by t) as dep from p)
+    select t as time_s, round(lat, 6) as "Lat", speed as "Speed", dep as "DepEcho" from r where k = 1""",
+)
+def s08(spark, d):
+    path = folder(spark, "nmea")
+    p = positions(events(spark, d))
+    def ddmm(c, width):
+        return F.concat(F.lpad(F.floor(c).cast("string"), width, "0"), F.format_string("%07.4f", (F.col(c) - F.floor(c)) * 60))
+
+    rmc = F.concat(F.lit("$GPRMC,"), F.date_format("ts", "HHmmss"), F.lit(",A,"), ddmm("lat", 2), F.lit(",N,"), ddmm("lon", 3), F.lit(",E,"), F.round("value", 1).cast("string"), F.lit(",0.0,"), F.date_format("ts", "ddMMyy"), F.lit(",,*00"))
+    deep = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("$SDDBT,0,f,"), F.round(F.col("event_id") / 10, 1).cast("string"), F.lit(",M,0,F*00")))
+    text = F.concat_ws("\n", rmc, deep)
+    # A file per day of events, its lines in order of time.
+    days = p.groupBy(F.expr(f"us div {DAY}").alias("day")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("us", text.alias("line")))), lambda x: x["line"]), "\n").alias("value"))
+    days.repartition("day").write.partitionBy("day").option("lineSep", "\n").text(path)
+    out = files.read_nmea(spark, path)
+    return out.select(F.unix_seconds("Time").alias("time_s"), F.round("Lat", 6).alias("Lat"), "Speed", "DepEcho")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import windows
+from ..operators import sequence, windows
 from ..sources.series import events
 from .filters import E
 from .registry import register
@@ -182,3 +182,23 @@ def s26(spark, d):
     return windows.separator_rows(events(spark, d).select("device", "us", "value"), ["device"], "us")
 
 
+
+
+@register(
+    "w01b_single_spikes_long_series",
+    f"""with a as (select event_id, value - lag(value) over w as b, value - lead(value) over w as a from {E} window w as (order by us))
+    select event_id, (b is not null or a is not null) and (coalesce(b > 20, true) and coalesce(a > 20, true) or coalesce(b < -20, true) and coalesce(a < -20, true)) as spike from a""",
+)
+def w01b(spark, d):
+    df = events(spark, d).withColumn("series", F.lit("all"))
+    return sequence.in_row_blocks(df, ["series"], "us", ["event_id"], 1, 1, lambda x, keys, order: windows.single_spikes(x, keys, order, "value", 20.0), 256).select("event_id", "spike")
+
+
+@register(
+    "w16b_gaussian_mean_long_series",
+    f"""with n as (select event_id, value, row_number() over (order by us) as i from {E})
+    select a.event_id, round(sum(b.value * exp(-0.5 * pow((b.i - a.i) / 3.0, 2))) / sum(exp(-0.5 * pow((b.i - a.i) / 3.0, 2))), 6) as value from n a join n b on b.i between a.i - 4 and a.i + 4 group by 1""",
+)
+def w16b(spark, d):
+    df = events(spark, d).withColumn("series", F.lit("all"))
+    return rounded(sequence.in_row_blocks(df, ["series"], "us", ["event_id"], 4, 4, lambda x, keys, order: windows.gaussian_moving_mean(x, keys, order, "value", 9), 256).select("event_id", "value"))
