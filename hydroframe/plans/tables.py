@@ -237,3 +237,52 @@ def s08(spark, d):
     days.repartition("day").write.partitionBy("day").option("lineSep", "\n").text(path)
     out = files.read_nmea(spark, path)
     return out.select(F.unix_seconds("Time").alias("time_s"), F.round("Lat", 6).alias("Lat"), "Speed", "DepEcho")
+
+
+@register("s01_header_schema", f"select device::smallint as device, us // 1000000 as t, value::float as value from {E}")
+def s01(spark, d):
+    path = folder(spark, "typed")
+    events(spark, d).select(F.concat_ws(",", "device", F.expr("us div 1000000"), F.lit("skipped"), F.col("value").cast("string"))).write.text(path)
+    schema, used, _ = files.header_schema("device,t,,value", {"device": "i2", "t": "i8", "value": "f4"})
+    return spark.read.schema(schema).csv(path).select(*used)
+
+
+@register("s06_read_zip_members", f"select 'day' || (us // {DAY}) || '.zip' as archive, 'a.csv' as member, row_number() over (partition by us // {DAY} order by us) as line_no, event_id || ',' || kind as line from {E}")
+def s06(spark, d):
+    def packed(batches):
+        import io
+        import zipfile
+
+        for batch in batches:
+            contents = []
+            for text in batch["text"]:
+                with zipfile.ZipFile(out := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr("a.csv", text)
+                    archive.writestr("a.log", "left out")
+                contents.append(out.getvalue())
+            yield batch[["path"]].assign(content=contents)
+
+    lines = events(spark, d).groupBy(F.expr(f"concat('day', us div {DAY}, '.zip')").alias("path")).agg(F.array_sort(F.collect_list(F.struct("us", F.concat_ws(",", "event_id", "kind").alias("line")))).alias("l"))
+    text = lines.select("path", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text"))
+    return files.zip_members(text.mapInPandas(packed, "path string, content binary"))
+
+
+@register("s07_read_gpx", f"select event_id::varchar as name, us // 1000000 as time_s, round(lat, 6) as lat, round(lon, 6) as lon from {P} where kind = 'purchase'")
+def s07(spark, d):
+    path = folder(spark, "waypoints")
+    p = positions(events(spark, d)).where("kind = 'purchase'")
+    points = p.select(F.col("event_id").cast("string").alias("name"), F.col("ts").alias("Time"), F.col("lat").alias("Lat"), F.col("lon").alias("Lon"))
+    sinks.write_gpx(points, points.select(F.col("name").alias("track"), F.lit(0).alias("segment"), "Time", "Lat", "Lon").limit(0), path)
+    out = files.read_gpx(spark, f"{path}/waypoints")["waypoints"]
+    return out.select("name", F.unix_seconds("Time").alias("time_s"), F.round("Lat", 6).alias("lat"), F.round("Lon", 6).alias("lon"))
+
+
+@register("s09_read_framed_binary", f"select 'kind ' || kind as file, row_number() over (partition by kind order by us) - 1 as frame, event_id % 20000 as a, device::bigint as b, floor(value)::bigint as c from {E}")
+def s09(spark, d):
+    def little(c):
+        return F.concat(F.substring(F.lpad(F.hex(c), 4, "0"), 3, 2), F.substring(F.lpad(F.hex(c), 4, "0"), 1, 2))
+
+    frame = F.concat(F.lit("FF7FFF7F"), *[little(c.cast("bigint")) for c in (F.col("event_id") % 20000, F.col("device"), F.floor("value"))])
+    frames = events(spark, d).groupBy(F.concat(F.lit("kind "), "kind").alias("path")).agg(F.array_sort(F.collect_list(F.struct("us", frame.alias("f")))).alias("l"))
+    contents = frames.select("path", F.unhex(F.array_join(F.transform("l", lambda x: x["f"]), "")).alias("content"))
+    return files.framed_binary(contents, b"\xff\x7f\xff\x7f", ["a", "b", "c"])

@@ -84,7 +84,12 @@ def device_line_rules(lines: DataFrame, line: str, device: str) -> tuple[DataFra
 
 
 def read_zip_members(spark: SparkSession, paths: str, pattern: str = r"\.csv$") -> DataFrame:
-    """Archive, member and line (with its number) of the text members of zip archives, one task per archive."""
+    """Archive, member and line (with its number) of the text members of zip archives, one archive at a time in a task."""
+    return zip_members(spark.read.format("binaryFile").load(paths).select("path", "content"), pattern)
+
+
+def zip_members(archives: DataFrame, pattern: str = r"\.csv$") -> DataFrame:
+    """As read_zip_members, of rows of path and content."""
     import re
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -96,8 +101,7 @@ def read_zip_members(spark: SparkSession, paths: str, pattern: str = r"\.csv$")
                             text = archive.read(name).decode("utf-8", "replace").splitlines()
                             yield pd.DataFrame({"archive": path, "member": name, "line_no": np.arange(1, len(text) + 1), "line": text})
 
-    raw = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return raw.mapInPandas(run, "archive string, member string, line_no bigint, line string")
+    return archives.select("path", "content").mapInPandas(run, "archive string, member string, line_no bigint, line string")
 
 
 _POINT = "_lat double, _lon double, ele double, time string, name string, sym string, cmt string"
@@ -166,7 +170,12 @@ def decode_frames(content: bytes, sync: bytes, words: int, dtype: str = "<i2", s
 
 
 def read_framed_binary(spark: SparkSession, paths: str, sync: bytes, columns: list[str], dtype: str = "<i2", seven_bit: bool = False) -> DataFrame:
-    """File, frame number and numbers of framed binary files, one task per file."""
+    """File, frame number and numbers of framed binary files, one file at a time in a task."""
+    return framed_binary(spark.read.format("binaryFile").load(paths), sync, columns, dtype, seven_bit)
+
+
+def framed_binary(contents: DataFrame, sync: bytes, columns: list[str], dtype: str = "<i2", seven_bit: bool = False) -> DataFrame:
+    """As read_framed_binary, of rows of path and content."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -174,8 +183,7 @@ def read_framed_binary(spark: SparkSession, paths: str, sync: bytes, columns: li
                 rows = decode_frames(content, sync, len(columns), dtype, seven_bit)
                 yield pd.DataFrame(rows.astype(np.int64), columns=columns).assign(file=path, frame=np.arange(len(rows)))[["file", "frame", *columns]]
 
-    raw = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return raw.mapInPandas(run, "file string, frame bigint, " + ", ".join(f"`{c}` bigint" for c in columns))
+    return contents.select("path", "content").mapInPandas(run, "file string, frame bigint, " + ", ".join(f"`{c}` bigint" for c in columns))
 
 
 def read_tracker_messages(messages: DataFrame, column: str, groups: dict[int, dict[str, str]]) -> DataFrame:
