@@ -14,7 +14,6 @@ gets all others if they are fewer than k; equal scores rank by the smaller id.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
