@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators import joins, stats
 from ..sources.series import events, table
 from .filters import E, P, positions
-from .joins import hour_bins
 from .registry import register
 
 HOUR, DAY = 3_600_000_000, 86_400_000_000
@@ -241,5 +240,3 @@ def a25(spark, d):
 def a26(spark, d):
     return stats.last_row_per_interval(day_runs(spark, d), ["device", "run"], "us", ["value"])
 
-
-__all__ = ["hour_bins", "velocities"]
