@@ -31,21 +31,27 @@ def _same(df: DataFrame, **extra: str) -> str:
 
 
 def sampling_frequency(df: DataFrame, keys: list[str], us: str, step_us: int = 1_000_000) -> DataFrame:
-    """Samples a second inside packets of equal (rounded) times, and the numbers of equal and of decreasing steps.
+    """Samples a second inside packets, and how many rows are followed by no greater time or by a smaller one.
 
-    The first and the last packet may be cut and are left out; counts off the median by more than three deviations too.
+    Times are rounded down to step_us.  The rows of one time, divided by the step that led to it, give a frequency.  Steps
+    of more than the mean and one step_us are breaks between packets: these, what is beside them, and the first and last
+    rows of a series are left out, then frequencies off the median by three deviations and more.
     """
     w = Window.partitionBy(*keys).orderBy("_i")
-    t = df.withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy(us))) if "_i" not in df.columns else df
+    t = df if "_i" in df.columns else df.withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy(us)))
     step = t.withColumn("_d", F.floor(F.col(us) / step_us) - F.lag(F.floor(F.col(us) / step_us)).over(w))
-    marks = step.withColumn("_packet", F.sum(F.when(F.col("_d").isNull() | (F.col("_d") != 0), 1).otherwise(0)).over(w))
-    counts = marks.groupBy(*keys, "_packet").agg(F.count("*").alias("n"), F.max(F.when(F.col("_d") > 0, F.col("_d"))).alias("gap"))
+    marks = step.withColumn("_run", F.sum(F.when(F.col("_d") > 0, 1).otherwise(0)).over(w))
+    runs = marks.groupBy(*keys, "_run").agg(F.count("*").alias("n"), F.max(F.when(F.col("_d") > 0, F.col("_d"))).alias("gap"))
     by = Window.partitionBy(*keys)
-    inner = counts.withColumns({"_first": F.min("_packet").over(by), "_last": F.max("_packet").over(by)}).where((F.col("_packet") > F.col("_first")) & (F.col("_packet") < F.col("_last")))
-    usual = inner.groupBy(*keys).agg(F.percentile("n", 0.5).alias("_m"), F.stddev_pop("n").alias("_s"))
-    kept = inner.join(usual, keys).where(F.abs(F.col("n") - F.col("_m")) <= 3 * F.col("_s"))
-    frequency = kept.groupBy(*keys).agg((F.avg("n") * 1e6 / step_us).alias("frequency"))
-    steps = step.groupBy(*keys).agg(F.count_if(F.col("_d") == 0).alias("n_same"), F.count_if(F.col("_d") < 0).alias("n_decreasing"))
+    near = by.orderBy("_run")
+    inside = F.col("gap") < F.avg("gap").over(by) + 1
+    runs = runs.where("gap is not null").withColumn("_in", inside).withColumn("_last", F.lead("_run").over(near).isNull())
+    runs = runs.withColumn("_use", F.col("_in") & F.coalesce(F.lag("_in").over(near), F.lit(True)) & F.coalesce(F.lead("_in").over(near), F.lit(True)) & ~F.col("_last"))
+    rates = runs.where("_use").withColumn("f", F.col("n") / F.col("gap"))
+    usual = rates.groupBy(*keys).agg(F.percentile("f", 0.5).alias("_m"), F.stddev_pop("f").alias("_s"), F.avg("f").alias("_mean"))
+    good = rates.join(usual, keys).where(F.abs(F.col("f") - F.col("_m")) < 3 * F.col("_s")).groupBy(*keys).agg(F.count("*").alias("_n"), F.avg("f").alias("_good"))
+    frequency = usual.join(good, keys, "left").select(*keys, (F.when(F.col("_n") > 1, F.col("_good")).otherwise(F.col("_mean")) * 1e6 / step_us).alias("frequency"))
+    steps = step.groupBy(*keys).agg((F.count_if(F.col("_d") == 0) + 1).alias("n_same"), F.count_if(F.col("_d") < 0).alias("n_decreasing"))
     return steps.join(frequency, keys, "left")
 
 
@@ -83,27 +89,35 @@ def mark_longest_increasing(df: DataFrame, keys: list[str], order: list[str], co
     return apply_per_block(df, keys, order, run, _same(df, increasing="boolean"))
 
 
-def _line(t: np.ndarray, step: float, accuracy: float) -> np.ndarray:
-    """Times of one constant step through a stretch without holes: the mean step, or the given one where the ends agree."""
+def _line(t: np.ndarray, step: float, hole: float) -> np.ndarray:
+    """Even times for a stretch without holes, by how far its last time is from where the given step leads.
+
+    Nearer than two holes: the given step from the first time.  Later (samples were lost): every time that rises stays, and
+    what repeats it follows by the step.  Earlier: a shorter step, by the first and last times that change.
+    """
     n = np.arange(len(t))
-    mean = (t[-1] - t[0]) / max(1, len(t) - 1)
-    error = t[0] + step * n[-1] - t[-1] if len(t) > 1 else 0.0
-    if abs(error) <= accuracy:
+    error = t[-1] - (t[0] + step * n[-1])
+    if abs(error) < 2 * hole:
         return t[0] + step * n
-    if error < 0:  # samples were lost: the given step, from the middle of the difference
-        return t[0] + mean * n
-    return t[-1] - step * (n[-1] - n) if error < step * len(t) * 0.01 else t[0] + mean * n
+    rises = np.append(True, np.diff(t) > 0)
+    if error > 0:
+        return t + (n - np.maximum.accumulate(np.where(rises, n, 0))) * step
+    changed = np.flatnonzero(np.diff(t) > 0)
+    first, last = (changed[0], changed[-1] + 1) if len(changed) else (0, n[-1])
+    return t[0] + n * (t[last] - t[first]) / max(1, last - first)
 
 
-def linearize_time(df: DataFrame, keys: list[str], us: str, order: str, frequency: float, hole_us: int) -> DataFrame:
-    """In each stretch without a hole, times of constant step; keys and hole_us bound a stretch."""
+def linearize_time(df: DataFrame, keys: list[str], us: str, order: str, frequency: float, hole_us: int | None = None) -> DataFrame:
+    """In each stretch between holes, times of constant step; by default a hole is over 2 s or two steps of a slow series."""
     from .windows import bursts
 
+    hole = round(2e6 / min(1.0, frequency)) if hole_us is None else hole_us
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         t = rows[us].to_numpy(np.float64)
-        return rows.assign(**{us: np.round(_line(t, 1e6 / frequency, 0.5e6)).astype(np.int64)})
+        return rows.assign(**{us: np.round(_line(t, 1e6 / frequency, hole)).astype(np.int64)})
 
-    parts = bursts(df, keys, us, hole_us)
+    parts = bursts(df, keys, us, hole)
     return apply_per_block(parts, [*keys, "burst"], [us, order], run, _same(parts)).drop("burst")
 
 

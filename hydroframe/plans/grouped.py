@@ -17,7 +17,13 @@ def pressure(spark, d):
     return events(spark, d).select(F.lit("probe").alias("device"), "event_id", "us", "value", (80 - 0.8 * phase + F.col("value") % 1).alias("p"), F.expr("event_id div 1000").alias("block"))
 
 
-@register("w07_sampling_frequency", f"with c as (select kind, us // {HOUR} as h, count(*) as n from {E} group by 1, 2), r as (select *, row_number() over (partition by kind order by h) as a, row_number() over (partition by kind order by h desc) as z from c), u as (select kind, median(n) as m, stddev_pop(n) as s from r where a > 1 and z > 1 group by 1), k as (select kind, avg(n) as f from r join u using (kind) where a > 1 and z > 1 and abs(n - m) <= 3 * s group by 1), x as (select kind, sum(n)::bigint - count(*) as n_same, 0::bigint as n_decreasing from c group by 1) select kind, n_same, n_decreasing, round(f / 3600, 8) as frequency from x join k using (kind)")
+@register(
+    "w07_sampling_frequency",
+    f"""with c as (select kind, us // {HOUR} as h, count(*) as n from {E} group by 1, 2), g as (select *, h - lag(h) over (partition by kind order by h) as gap, lead(h) over (partition by kind order by h) is null as last from c),
+    i as (select *, gap < avg(gap) over (partition by kind) + 1 as ok from g where gap is not null), u as (select *, ok and coalesce(lag(ok) over (partition by kind order by h), true) and coalesce(lead(ok) over (partition by kind order by h), true) and not last as use from i),
+    f as (select kind, n / gap as f from u where use), m as (select kind, median(f) as m, stddev_pop(f) as s from f group by 1), k as (select kind, avg(f) as f from f join m using (kind) where abs(f - m) < 3 * s group by 1), x as (select kind, (sum(n) - count(*) + 1)::bigint as n_same, 0::bigint as n_decreasing from c group by 1)
+    select kind, n_same, n_decreasing, round(f / 3600, 8) as frequency from x join k using (kind)""",
+)
 def w07(spark, d):
     return grouped.sampling_frequency(events(spark, d), ["kind"], "us", HOUR).withColumn("frequency", F.round("frequency", 8))
 
@@ -29,7 +35,7 @@ def w08(spark, d):
 
 @register("w10_linearize_time")
 def w10(spark, d):
-    return grouped.linearize_time(events(spark, d).select("event_id", "device", "us"), ["device"], "us", "event_id", 1 / 7200, DAY // 2)
+    return grouped.linearize_time(events(spark, d).select("event_id", "device", "us"), ["device"], "us", "event_id", 1 / 3600)
 
 
 @register("w11_linearize_with_shifts")

@@ -42,9 +42,16 @@ def test_date_window_is_counted(spark):
     [(range(10, 0, -1), [9]), (range(10), list(range(10))), ([3, 1, 4, 1, 5, 9, 2, 6, 5, 3, 5, 8, 9, 7, 9], [3, 6, 9, 10, 13, 14])],
 )
 def test_longest_increasing(values, expected):
-    found = grouped.longest_increasing(np.array(list(values)))
-    # Several subsequences may be longest: length and order are what counts.
-    assert len(found) == len(expected) and all(np.diff(np.array(list(values))[found]) > 0)
+    assert grouped.longest_increasing(np.array(list(values))).tolist() == expected
+
+
+def test_even_times_of_a_stretch():
+    t = np.array([0, 1, 1, 3, 4], float)
+    assert grouped._line(t, 1, 1).tolist() == [0, 1, 2, 3, 4]
+    lost = np.array([0, 10, 10, 20, 30], float)
+    assert grouped._line(lost, 1, 1).tolist() == [0, 10, 11, 20, 30]
+    fast = np.array([0, 1, 2, 3, 4], float)
+    assert grouped._line(fast, 5, 1).tolist() == [0, 1, 2, 3, 4]
 
 
 def test_repeated_times(spark):
@@ -58,7 +65,7 @@ def test_repeated_times(spark):
 def test_sampling_frequency(spark):
     df = series(spark, _i=range(32), us=[31 * S, *[32 * S] * 30, 33 * S])
     row = grouped.sampling_frequency(df, ["k"], "us").first()
-    assert (row["frequency"], row["n_same"], row["n_decreasing"]) == (30, 29, 0)
+    assert (row["frequency"], row["n_same"], row["n_decreasing"]) == (30, 30, 0)
 
 
 def test_bursts_of_hundred_rows(spark):
