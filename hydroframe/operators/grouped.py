@@ -171,22 +171,26 @@ def correct_time(df: DataFrame, keys: list[str], us: str, order: str, frequency:
 
 
 def extract_casts(p: np.ndarray, min_dp: float, min_samples: int) -> list[tuple[int, int]]:
-    """Begin and end (included) of downward casts: pressure rises from a minimum to a maximum by min_dp in min_samples."""
+    """Begin and end (included) of downward casts: swings of pressure between turning points that are high or long enough.
+
+    A swing is weak if it is lower than min_dp and has at most min_samples steps.  The lowest weak swing is taken out, with
+    both its turns (at an end of the series with the outer one), until no swing is weak; so minima and maxima alternate.
+    """
+    if len(p) < 2:
+        return []
     sign = np.sign(np.diff(p))
     for i in range(1, len(sign)):
         if sign[i] == 0:
             sign[i] = sign[i - 1]
-    turns = [0, *(np.flatnonzero(np.diff(sign) != 0) + 1), len(p) - 1] if len(p) > 1 else []
-    while len(turns) > 2:  # the weakest turn is taken out with its neighbour until all are strong
-        rise = np.abs(np.diff(p[turns]))
-        k = int(np.argmin(rise))
-        if rise[k] >= min_dp:
+    turns = np.array([0, *(np.flatnonzero(np.diff(sign) != 0) + 1), len(p) - 1])
+    while len(turns) > 2:
+        rise, steps = np.abs(np.diff(p[turns])), np.diff(turns)
+        weak = np.flatnonzero((rise < min_dp) & (steps <= min_samples))
+        if not len(weak):
             break
-        del turns[k if k == 0 else k + 1 if k == len(rise) - 1 else k : k + 1 if k == 0 else k + 2 if k < len(rise) - 1 else k + 2]
-        if len(turns) > 2:  # neighbours that now go the same way join
-            inner = np.sign(np.diff(p[turns]))
-            turns = [turns[0], *[t for t, a, b in zip(turns[1:-1], inner[:-1], inner[1:], strict=True) if a != b], turns[-1]]
-    return [(a, b) for a, b in zip(turns[:-1], turns[1:], strict=True) if p[b] - p[a] >= min_dp and b - a >= min_samples]
+        k = weak[np.argmin(rise[weak])]
+        turns = np.delete(turns, 0 if k == 0 else len(turns) - 1 if k == len(rise) - 1 else [k, k + 1])
+    return [(int(a), int(b)) for a, b in zip(turns[:-1], turns[1:], strict=True) if p[b] > p[a] and (p[b] - p[a] >= min_dp or b - a > min_samples)]
 
 
 def extract_runs(df: DataFrame, keys: list[str], us: str, pressure: str, min_dp: float, min_samples: int, hole_us: int) -> DataFrame:
