@@ -7,7 +7,7 @@ pandas meets Spark.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,12 +17,45 @@ from pyspark.sql.types import StructType
 
 
 def apply_per_block(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType | str) -> DataFrame:
-    """Run a function on each group of rows, sorted by `order`; keys name bursts, casts or files of bounded size."""
+    """Run a function on each group of rows, sorted by `order`; keys name bursts, casts or files of bounded size.
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return fn(rows.sort_values(order, kind="stable", ignore_index=True))
+    Groups are read one after another from partitions sorted by Spark, many to an Arrow batch, so small groups cost little;
+    a task holds one batch and one group.
+    """
 
-    return df.groupBy(*keys).applyInPandas(run, schema)
+    def segments(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+        for batch in batches:
+            if len(batch):
+                key = batch[keys]
+                before = key.shift()
+                new = ((key != before) & ~(key.isna() & before.isna())).any(axis=1).to_numpy()
+                new[0] = True
+                starts = np.flatnonzero(new)
+                for a, b in zip(starts, np.append(starts[1:], len(batch)), strict=True):
+                    yield tuple(None if pd.isna(v) else v for v in key.iloc[a]), batch.iloc[a:b]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, parts, done, rows = None, [], [], 0
+
+        def flush() -> None:
+            done.append(fn(pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0].reset_index(drop=True)))
+
+        for key, part in segments(batches):
+            if parts and key != now:
+                flush()
+                parts = []
+                rows += len(done[-1])
+                if rows >= 10_000:
+                    yield pd.concat(done, ignore_index=True)
+                    done, rows = [], 0
+            now = key
+            parts.append(part)
+        if parts:
+            flush()
+        if done:
+            yield pd.concat(done, ignore_index=True)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
 
 
 def _same(df: DataFrame, **extra: str) -> str:
