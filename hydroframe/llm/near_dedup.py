@@ -11,8 +11,8 @@ bucket of up to `small` members gives all its pairs.  A larger one compares its
 smallest share of shingles that no other document of large buckets has, which in a group of copies is the original or
 nearest to it.  A pair then matters only if one of its members, x, is not linked to the pivot.  Let o be the shingles
 that x shares with the pivot, and c the intersection that the pair needs by its sizes.  If o < c, the two must share at
-least c - o shingles that the pivot lacks: they meet at one of the rarest of these (a prefix filter).  Other pairs can
-only be those with a document so small that o >= c; they meet by size.  So no link between components is lost, and what a
+least c - o shingles that the pivot lacks: they meet at one of the rarest of these, if enough of them follow it in both
+(prefix and positional filter).  Other pairs can only be those with a document so small that o >= c; they meet by size.  So no link between components is lost, and what a
 bucket gives is bounded by what its members share beyond the pivot, not by the square of its size.
 
 Candidate pairs are screened by the collision-corrected Jaccard estimate, far below the threshold (`slack`, over five
@@ -197,19 +197,24 @@ def hidden_pairs(star: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     classes = lone.select("a", "n", "o").distinct().join(sizes, "a").where(near).withColumn("c", needed).select("a", "n", "o", "n_y", "c")
     classes = shared.written(classes, "needs")
 
-    y = members.select("a", F.col("n").alias("n_y"), F.col("id").alias("y"), F.col("label").alias("label_y"))
-    small = lone.join(classes.where("o >= c"), ["a", "n", "o"]).select("a", "id", "label", "n_y").join(y, ["a", "n_y"]).where("label <> label_y").select("id", "y")
+    other = members.select("a", F.col("n").alias("n_y"), F.col("id").alias("y"), F.col("label").alias("label_y"))
+    small = lone.join(classes.where("o >= c"), ["a", "n", "o"]).select("a", "id", "label", "n_y").join(other, ["a", "n_y"]).where("label <> label_y").select("id", "y")
 
-    tokens = shingles_of(members.select("a", "id", "label", "rest"))
+    tokens = shingles_of(members.select("a", "id", "label", "n", "o", "rest"))
     often = tokens.groupBy("a", "h").agg(F.count("*").alias("df")).where("df > 1")
-    tokens = shared.written(tokens.join(often, ["a", "h"]), "shared-shingles")
+    by = Window.partitionBy("a", "id")
+    # Of the s shared shingles of a member, `after` come after this one, the rarest first.
+    tokens = tokens.join(often, ["a", "h"]).withColumn("after", F.count("*").over(by) - F.row_number().over(by.orderBy("df", "h")))
+    tokens = shared.written(tokens, "shared-shingles")
     need = classes.where("o < c").groupBy("a", "n", "o").agg(F.min(F.col("c") - F.col("o")).alias("need"))
     need = lone.join(need, ["a", "n", "o"]).select("a", "id", "need")
-    by = Window.partitionBy("a", "id")
-    ranked = tokens.join(need, ["a", "id"]).withColumns({"s": F.count("*").over(by), "rank": F.row_number().over(by.orderBy("df", "h"))})
-    prefix = ranked.where(F.col("rank") <= F.col("s") - F.col("need") + 1).select("a", "h", "id", "label")
-    other = tokens.select("a", "h", F.col("id").alias("y"), F.col("label").alias("label_y"))
-    meet = prefix.join(other, ["a", "h"]).where("label <> label_y").select("id", "y")
+    prefix = tokens.join(need, ["a", "id"]).where(F.col("after") + 1 >= F.col("need"))
+    x = prefix.select("a", "h", "id", "label", "n", "o", "after")
+    y = tokens.select("a", "h", F.col("id").alias("y"), *[F.col(c).alias(f"{c}_y") for c in ("label", "n", "o", "after")])
+    # The first shingle that a pair shares leaves room for all it needs; at later ones it may be passed over.
+    room = (F.least("o", "o_y") + 1 + F.least("after", "after_y")) * (100 + percent) >= F.lit(percent) * (F.col("n") + F.col("n_y"))
+    near = F.least("n", "n_y") * 100 >= percent * F.greatest("n", "n_y")
+    meet = x.join(y, ["a", "h"]).where((F.col("label") != F.col("label_y")) & near & room).select("id", "y")
     return small.unionByName(meet).select(F.least("id", "y").alias("a"), F.greatest("id", "y").alias("b")).distinct()
 
 
@@ -273,21 +278,21 @@ def _only(docs: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
 
 
 def shingles_of(rows: DataFrame) -> DataFrame:
-    """a, id, label, h: one row for each hash in `rest`."""
+    """The columns of rows but for the last, `rest`, and h: one row for each hash in it; the columns are bigint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in shared.parts(batch, 3):
-                raw, ends = shared.text_bytes(part.column(3))
+            for part in shared.parts(batch, len(names)):
+                raw, ends = shared.text_bytes(part.column(len(names)))
                 count = (ends[1:] - ends[:-1]) // 8
-                yield pa.record_batch([*(pa.array(np.repeat(part.column(k).to_numpy(), count)) for k in range(3)), pa.array(raw.view(np.int64))], ["a", "id", "label", "h"])
+                yield pa.record_batch([*(pa.array(np.repeat(part.column(k).to_numpy(), count)) for k in range(len(names))), pa.array(raw.view(np.int64))], [*names, "h"])
 
-    return rows.mapInArrow(run, "a bigint, id bigint, label bigint, h bigint")
+    names = rows.columns[:-1]
+    return rows.mapInArrow(run, ", ".join(f"{n} bigint" for n in [*names, "h"]))
 
 
 def _unique(sets: DataFrame) -> DataFrame:
     """id and u: how many of its shingles no other row of sets has (none: no row)."""
-    none = F.lit(0).cast("long")
-    each = shingles_of(sets.select(none.alias("a"), "id", none.alias("label"), F.col("shingles").alias("rest")))
+    each = shingles_of(sets.select("id", F.col("shingles").alias("rest")))
     alone = each.groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
     return alone.groupBy("id").agg(F.count("*").alias("u"))
