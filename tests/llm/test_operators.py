@@ -8,6 +8,7 @@ import pytest
 from fixtures import awkward, documents, exact_groups, frame, lines_dropped, near_classes, repeats_removed, same, sha
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from hydroframe.llm import byte_bpe, chat_format, exact_dedup, line_dedup, mixing, near_dedup, quality, shared, substring_dedup, token_counts, top_k, words
 
 RANKS, WORDS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
@@ -229,6 +230,13 @@ def test_mixing(docs, rows, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_the_mixing_stage_keeps_every_row(spark):
+    rows = [(i, "x" * 40_000, "hot" if i < 60 else "" if i == 60 else f"s{i % 7}") for i in range(100)] + [(None, "y", None), (3, "z", "s1"), (101, None, "s2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = [tuple(r) for r in corpus_pipeline.mixing_stage(spark, docs, "").collect()]
+    assert sorted(found, key=repr) == sorted(rows, key=repr)
+
+
 def test_quality_marginals_are_those_of_all_labellings():
     rng = np.random.default_rng(0)
     row = np.repeat([0, 1, 2], [4, 1, 3])
