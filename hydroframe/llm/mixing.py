@@ -1,17 +1,20 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame and SQL functions only.
 
 Documents of a source are laid out in the order of md5(id) and cut into blocks of `block_chars` characters; a document
-belongs to the block in which it begins.  Weights become whole units of a period of `period` slots (largest remainder, at
-least one unit each).  Block j of a source with u units, counted from 0, is released at floor(j * period / u) and has its
-deadline at ceil((j + 1) * period / u); in each slot the released block with the earliest deadline runs.  This never
-misses a deadline, so after any number of slots each source is less than one block away from its share.  All windows end
-with the period, so the schedule of one period, made by one SQL fold, serves for all: its size is bounded by a parameter,
-and blocks only look up their slot.
+belongs to the block in which it begins.  With a share w of all weights, block j of a source, counted from 0, is released
+at floor(j / w) and has its deadline at ceil((j + 1) / w); in each slot the released block with the earliest deadline runs.
+This never misses a deadline, so after any number of slots before the first source runs dry each source is less than one
+block away from its target.  A source that runs dry leaves, and the others go on by their weights: every block gets a slot.
+
+The schedule is one SQL fold over all blocks, which is sequential by definition: one task, time in proportion to blocks
+times sources, and a few bytes a block.  It bounds neither blocks nor sources.  With a `period` weights become whole units
+of so many slots (at least one unit each, the rest by largest remainder) and the schedule of one period serves for all;
+then shares are those of the units, not of the weights, and sources must not be more than the period.
 
 Prefix sums run per (source, hash bucket) with the sums of buckets added, so a hot source is spread over all tasks.
 
-The mix ends where the first source runs out of blocks (`in_mix`); rows beyond it are returned too, with the slot they
-would have.  Without given weights, a source weighs its characters to the power `exponent`.
+`in_mix` ends where the first source runs out of blocks; rows beyond it are returned too, with their slot.  Without given
+weights, a source weighs its characters to the power `exponent`.
 
 Edge cases: a null source is the source ''; null and empty texts have 0 characters; a null id sorts first; rows that repeat
 an id are laid out one after another; with given weights, other sources have no slot and in_mix false.
@@ -25,13 +28,16 @@ from pyspark.sql import functions as F
 PERIOD, BLOCK_CHARS, EXPONENT = 1000, 1 << 16, 0.7
 
 
-def units(sizes: DataFrame, weights: dict[str, float] | None, period: int, exponent: float) -> DataFrame:
-    """source and units (whole, at least 1, `period` in all) of each source with a weight; sizes: source, chars."""
+def weigh(sizes: DataFrame, weights: dict[str, float] | None, exponent: float) -> DataFrame:
+    """source, chars and w of each source with a weight; sizes: source, chars."""
     if weights is None:
-        weighed = sizes.select("source", F.pow(F.greatest(F.col("chars"), F.lit(1)).cast("double"), F.lit(exponent)).alias("w"))
-    else:
-        given = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.create_map().cast("map<string,double>")
-        weighed = sizes.select("source", given[F.col("source")].cast("double").alias("w")).where("w > 0")
+        return sizes.select("source", "chars", F.pow(F.greatest(F.col("chars"), F.lit(1)).cast("double"), F.lit(exponent)).alias("w"))
+    given = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]) if weights else F.create_map().cast("map<string,double>")
+    return sizes.select("source", "chars", given[F.col("source")].cast("double").alias("w")).where("w > 0")
+
+
+def units(weighed: DataFrame, period: int) -> DataFrame:
+    """source and units (whole, at least 1, `period` in all) of each source; weighed: source, w."""
     every, ranked = Window.partitionBy(), Window.partitionBy().orderBy(F.desc("part"), "source")
     spare = F.lit(period) - F.count("*").over(every)
     share = weighed.withColumn("share", F.col("w") / F.sum("w").over(every) * spare)
@@ -57,8 +63,37 @@ def template(source_units: DataFrame, period: int) -> DataFrame:
     return slots.select(F.expr("s[i].source").alias("source"), F.expr("s[i].units").alias("units"), k.alias("k"), "slot")
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, period: int = PERIOD, block_chars: int = BLOCK_CHARS, exponent: float = EXPONENT, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """id, source, block, release, deadline, slot and in_mix of every document; sources must be fewer than `period`."""
+def schedule(weighed: DataFrame, block_chars: int, more_than: int = 0) -> DataFrame:
+    """source, pace (slots from one block to the next), slots (of all its blocks), if sources are more than `more_than`.
+
+    The fold keeps the next block of each source that has one, the blocks run and the weight of these sources, and where
+    each slot went: a list of lists, as appending copies the list.
+    """
+    n = F.greatest(F.expr(f"(chars + {block_chars - 1}) div {block_chars}"), F.lit(1)).cast("int").alias("n")
+    ordered = weighed.select("source", F.col("w").cast("double").alias("w"), n).agg(F.array_sort(F.collect_list(F.struct("source", "w", "n"))).alias("s"))
+    ordered = ordered.where(f"size(s) > {more_than}").select("s", F.expr("aggregate(s, 0D, (a, x) -> a + x.w)").alias("w"), F.expr("aggregate(s, 0L, (a, x) -> a + x.n)").alias("blocks"))
+    step, state = 1000, "array<struct<deadline:double,release:double,i:int,k:int>>"
+    # A block is released in slot t if its release is below t + 1; without ones run dry, t is the sum of blocks run.
+    one = f"""
+        transform(array(transform(array(coalesce(array_min(filter(a.next, x -> x.release < (a.ran + 1) / a.w)), array_min(a.next))),
+          p -> named_struct('p', p, 'last', p.k + 1 >= s[p.i].n, 'rest', array_remove(a.next, p)))[0]),
+          q -> named_struct(
+            'next', if(q.last, q.rest, array_append(q.rest, named_struct('deadline', (q.p.k + 2) / s[q.p.i].w, 'release', (q.p.k + 1) / s[q.p.i].w, 'i', q.p.i, 'k', q.p.k + 1))),
+            'ran', if(q.last, a.ran - q.p.k, a.ran + 1), 'w', if(q.last, a.w - s[q.p.i].w, a.w), 'out', array_append(a.out, q.p.i)))[0]"""
+    fold = f"""
+        aggregate(sequence(0L, (blocks - 1) div {step}),
+          named_struct('next', cast(transform(s, (x, i) -> named_struct('deadline', 1 / x.w, 'release', 0D, 'i', i, 'k', 0)) as {state}), 'ran', 0L, 'w', w, 'lists', cast(array() as array<array<int>>)),
+          (o, c) -> transform(array(aggregate(sequence(1, cast(least({step}, blocks - c * {step}) as int)),
+              named_struct('next', o.next, 'ran', o.ran, 'w', o.w, 'out', cast(array() as array<int>)), (a, t) -> {one})),
+            a -> named_struct('next', a.next, 'ran', a.ran, 'w', a.w, 'lists', array_append(o.lists, a.out)))[0],
+          o -> flatten(o.lists))"""
+    slots = ordered.select("s", "w", F.posexplode(F.expr(fold)).alias("slot", "i"))
+    slots = slots.select(F.expr("s[i].source").alias("source"), F.expr("w / s[i].w").alias("pace"), F.col("slot").cast("long").alias("slot"))
+    return slots.groupBy("source").agg(F.first("pace").alias("pace"), F.sort_array(F.collect_list("slot")).alias("slots"))
+
+
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, period: int | None = None, block_chars: int = BLOCK_CHARS, exponent: float = EXPONENT, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """id, source, block, release, deadline, slot and in_mix of every document."""
     source = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), source.alias("source"), F.coalesce(F.length(text_col), F.lit(0)).cast("long").alias("chars"))
     rows = rows.withColumn("place", F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))).withColumn("bucket", F.substring("place", 1, 3))
@@ -71,16 +106,24 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, period: int =
     offsets = sums.select("source", "bucket", F.coalesce(before, F.lit(0)).alias("before"))
     placed = rows.join(offsets, ["source", "bucket"]).withColumn("block", F.expr(f"(before + within) div {block_chars}"))
 
-    plan = template(units(sums.groupBy("source").agg(F.sum("chars").alias("chars")), weights, period, exponent), period)
-    held = plan.groupBy("source").agg(F.first("units").alias("units"), F.sort_array(F.collect_list("slot")).alias("slots"))
-    total = sums.groupBy("source").agg(F.sum("chars").alias("chars"))
-    ends = held.join(total, "source").select(F.expr(f"(chars + {block_chars - 1}) div {block_chars}").alias("n"), "units", "slots")
-    horizon = ends.agg(F.min(F.expr(f"n div units * {period} + slots[cast(n % units as int)]")).alias("horizon"))
-    # Both are bounded: `period` slots in all, and one row.
-    found = placed.join(F.broadcast(held), "source", "left").crossJoin(F.broadcast(horizon))
-    slot = F.expr(f"block div units * {period} + slots[cast(block % units as int)]")
-    return found.select(
+    weighed = weigh(sums.groupBy("source").agg(F.sum("chars").alias("chars")), weights, exponent)
+    held = schedule(weighed, block_chars, 0 if period is None else (1 << 31) - 1)
+    held = held.select("source", F.size("slots").cast("long").alias("units"), F.lit(None).cast("long").alias("period"), "pace", "slots", (F.array_max("slots") + 1).alias("end"))
+    if period is not None:
+        plan = template(units(weighed, period), period).groupBy("source").agg(F.first("units").cast("long").alias("units"), F.sort_array(F.collect_list(F.col("slot").cast("long"))).alias("slots"))
+        n = F.expr(f"(chars + {block_chars - 1}) div {block_chars}")
+        end = F.expr(f"n div units * {period} + slots[cast(n % units as int)]")
+        plan = plan.join(weighed.select("source", n.alias("n")), "source").select("source", "units", F.lit(period).cast("long").alias("period"), F.lit(None).cast("double").alias("pace"), "slots", end.alias("end"))
+        held = plan.unionByName(held)
+    held = held.withColumn("horizon", F.min("end").over(Window.partitionBy()))
+    # Bounded by the period, or a few bytes a block of text.
+    found = placed.join(F.broadcast(held), "source", "left")
+    # Empty texts behind the last character lie in the last block.
+    block = F.when(F.col("pace").isNotNull(), F.least("block", F.col("units") - 1)).otherwise(F.col("block"))
+    slot = F.expr("block div units * coalesce(period, 0) + slots[cast(block % units as int)]")
+    return found.withColumn("block", block).select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "block",
-        F.expr(f"block * {period} div units").alias("release"), F.expr(f"((block + 1) * {period} + units - 1) div units").alias("deadline"),
+        F.expr("coalesce(block * period div units, cast(floor(block * pace) as bigint))").alias("release"),
+        F.expr("coalesce(((block + 1) * period + units - 1) div units, cast(ceil((block + 1) * pace) as bigint))").alias("deadline"),
         slot.alias("slot"), F.coalesce(slot < F.col("horizon"), F.lit(False)).alias("in_mix"),
     )

@@ -35,7 +35,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents"), period=mixing.PERIOD)
 
 
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -230,6 +230,40 @@ def test_mixing(docs, rows, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def sized_sources(spark, sizes, weights):
+    rows = [(f"s{i:04}", 10 * n, float(w)) for i, (n, w) in enumerate(zip(sizes, weights, strict=True))]
+    return spark.createDataFrame(rows, "source string, chars long, w double")
+
+
+@pytest.mark.parametrize("weights", [[0.9, 0.1], [0.2, *[0.04] * 20], [0.33, *[0.67 / 499] * 499], [3**0.5, 2**0.5, 1, 0.001]])
+def test_targets_are_those_of_the_weights(spark, weights):
+    found = mixing.schedule(sized_sources(spark, [3000 // len(weights) + 2] * len(weights), weights), 10).toPandas().set_index("source").sort_index()
+    assert len(found) == len(weights)
+    order = np.full(sum(map(len, found.slots)), -1)
+    for i, slots in enumerate(found.slots):
+        order[list(slots)] = i
+    assert (order >= 0).all()
+    whole = min(max(slots) for slots in found.slots) + 1
+    for i, w in enumerate(weights):
+        given = np.cumsum(order[:whole] == i)
+        assert np.abs(given - np.arange(1, whole + 1) * w / sum(weights)).max() < 1 + 1e-9
+
+
+def test_sources_that_run_dry_leave(spark):
+    found = mixing.schedule(sized_sources(spark, [400, 200, 1], [1, 1, 2]), 10).toPandas().set_index("source").slots
+    order = np.concatenate([np.full(len(s), i) for i, s in enumerate(found.sort_index())])[np.argsort(np.concatenate(list(found.sort_index())))]
+    assert list(np.bincount(order)) == [400, 200, 1] and order[0] == 2
+    half = np.cumsum(order[1:401] == 0)
+    assert np.abs(half - np.arange(1, 401) / 2).max() < 2 and (order[403:] == 0).all()
+
+
+def test_given_weights_are_followed(spark):
+    docs = spark.createDataFrame([(i, "x" * 10, "a" if i % 2 else "b") for i in range(4000)], "doc_id long, text string, source string")
+    found = mixing.mix(docs, {"a": 0.9, "b": 0.1}, block_chars=10).where("in_mix").toPandas().sort_values("slot")
+    assert ((found.release <= found.slot) & (found.slot < found.deadline)).all() and len(found) > 2000
+    assert np.abs(np.cumsum(found.source == "a") - np.arange(1, len(found) + 1) * 0.9).max() < 1 + 1e-9
+
+
 def test_the_mixing_stage_keeps_every_row(spark):
     rows = [(i, "x" * 40_000, "hot" if i < 60 else "" if i == 60 else f"s{i % 7}") for i in range(100)] + [(None, "y", None), (3, "z", "s1"), (101, None, "s2")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
