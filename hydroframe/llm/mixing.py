@@ -9,7 +9,7 @@ block away from its target.  A source that runs dry leaves, and the others go on
 The schedule is one SQL fold over all blocks, which is sequential by definition: one task, time in proportion to blocks
 times sources, and a few bytes a block.  It bounds neither blocks nor sources.  With a `period` weights become whole units
 of so many slots (at least one unit each, the rest by largest remainder) and the schedule of one period serves for all;
-then shares are those of the units, not of the weights, and sources must not be more than the period.
+then shares are those of the units, not of the weights, and sources more than the period get the schedule without one.
 
 Prefix sums run per (source, hash bucket) with the sums of buckets added, so a hot source is spread over all tasks.
 
@@ -107,7 +107,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, period: int |
     placed = rows.join(offsets, ["source", "bucket"]).withColumn("block", F.expr(f"(before + within) div {block_chars}"))
 
     weighed = weigh(sums.groupBy("source").agg(F.sum("chars").alias("chars")), weights, exponent)
-    held = schedule(weighed, block_chars, 0 if period is None else (1 << 31) - 1)
+    held = schedule(weighed, block_chars, period or 0)
     held = held.select("source", F.size("slots").cast("long").alias("units"), F.lit(None).cast("long").alias("period"), "pace", "slots", (F.array_max("slots") + 1).alias("end"))
     if period is not None:
         plan = template(units(weighed, period), period).groupBy("source").agg(F.first("units").cast("long").alias("units"), F.sort_array(F.collect_list(F.col("slot").cast("long"))).alias("slots"))

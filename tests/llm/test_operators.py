@@ -264,6 +264,13 @@ def test_given_weights_are_followed(spark):
     assert np.abs(np.cumsum(found.source == "a") - np.arange(1, len(found) + 1) * 0.9).max() < 1 + 1e-9
 
 
+@pytest.mark.parametrize("period", [None, mixing.PERIOD])
+def test_more_sources_than_a_period(spark, period):
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat('x', 50) as text", "concat('s', id % 1200) as source")
+    found = mixing.mix(docs, period=period, block_chars=50).toPandas()
+    assert len(found) == 3000 and sorted(found.slot) == list(range(3000)) and found.in_mix.any()
+
+
 def test_the_mixing_stage_keeps_every_row(spark):
     rows = [(i, "x" * 40_000, "hot" if i < 60 else "" if i == 60 else f"s{i % 7}") for i in range(100)] + [(None, "y", None), (3, "z", "s1"), (101, None, "s2")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
