@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sequence import BUCKET_US, carry
@@ -140,20 +140,41 @@ def nearest_grid_cells(points: DataFrame, grid: DataFrame, lat: str, lon: str, o
 
 
 def nearest_point(points: DataFrame, nodes: DataFrame, x: str, y: str, cell: float, point_id: str, node_id: str) -> DataFrame:
-    """The node nearest to each point among the 3 x 3 cells around it, once more in cells eight times as wide.
+    """The node nearest to each point, the smaller id if two are equally near, however far it lies.
 
-    Points without a node within eight cells get none.
+    Most points find it among the 3 x 3 cells around them.  For the others, boxes around the nodes of ever smaller cells
+    (a quarter as wide each time) are dropped if they begin behind the end of another box of the same point.
     """
+    known = F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    p = points.where(known).select(point_id, F.col(x).alias("_x"), F.col(y).alias("_y"))
+    n = nodes.where(known).withColumns({"_i": F.floor(F.col(x) / cell), "_j": F.floor(F.col(y) / cell)})
 
-    def ring(size: float) -> DataFrame:
-        shift = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-        p = points.select(point_id, F.col(x).alias("_x"), F.col(y).alias("_y"), F.explode(shift).alias("_s"))
-        p = p.withColumns({"_i": F.floor(F.col("_x") / size) + F.col("_s.a"), "_j": F.floor(F.col("_y") / size) + F.col("_s.b")})
-        n = nodes.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns({"_i": F.floor(F.col(x) / size), "_j": F.floor(F.col(y) / size)})
+    def best(pairs: DataFrame) -> DataFrame:
         d = F.hypot(F.col(x) - F.col("_x"), F.col(y) - F.col("_y"))
-        best = p.join(n, ["_i", "_j"]).groupBy(point_id).agg(F.min(F.struct(d.alias("d"), F.col(node_id).alias("node"))).alias("b"))
-        return best.select(point_id, F.col("b.node").alias(node_id), F.col("b.d").alias("distance"))
-
-    # A hit is proven only within one cell of its ring.
-    sure, far = (ring(size).where(F.col("distance") <= size) for size in (cell, cell * 8))
-    return sure.unionByName(far.join(sure, point_id, "left_anti"))
+        found = pairs.groupBy(point_id).agg(F.min(F.struct(d.alias("d"), F.col(node_id).alias("node"))).alias("b"))
+        return found.select(point_id, F.col("b.node").alias(node_id), F.col("b.d").alias("distance"))
+
+    shift = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    around = p.select("*", F.explode(shift).alias("_s")).withColumns({"_i": F.floor(F.col("_x") / cell) + F.col("_s.a"), "_j": F.floor(F.col("_y") / cell) + F.col("_s.b")})
+    # A hit is proven only within one cell.
+    sure = best(around.join(n, ["_i", "_j"])).where(F.col("distance") <= cell)
+
+    def boxes(level: int) -> DataFrame:
+        i, j = (F.shiftright(c, 2 * level) for c in ("_i", "_j"))
+        return n.groupBy(i.alias("_bi"), j.alias("_bj")).agg(F.min(x).alias("_x0"), F.max(x).alias("_x1"), F.min(y).alias("_y0"), F.max(y).alias("_y1"))
+
+    def pruned(pairs: DataFrame) -> DataFrame:
+        low = [F.greatest(F.col(f"_{c}0") - F.col(f"_{c}"), F.col(f"_{c}") - F.col(f"_{c}1"), F.lit(0.0)) for c in "xy"]
+        high = [F.greatest(F.abs(F.col(f"_{c}0") - F.col(f"_{c}")), F.abs(F.col(f"_{c}") - F.col(f"_{c}1"))) for c in "xy"]
+        end = F.min(F.hypot(*high)).over(Window.partitionBy(point_id))
+        kept = pairs.withColumn("_end", end * (1 + 1e-9)).where(F.hypot(*low) <= F.col("_end"))
+        return kept.select(point_id, "_x", "_y", F.col("_bi").alias("_i"), F.col("_bj").alias("_j"))
+
+    span = n.agg(F.greatest(F.max("_i") - F.min("_i"), F.max("_j") - F.min("_j"))).first()[0] or 0
+    top = (span.bit_length() + 1) // 2
+    # Four boxes at most at the top, 16 times as many at each level.
+    held = pruned(p.join(sure, point_id, "left_anti").crossJoin(F.broadcast(boxes(top))))
+    for level in range(top - 1, -1, -1):
+        inner = boxes(level).withColumns({"_i": F.shiftright("_bi", 2), "_j": F.shiftright("_bj", 2)})
+        held = pruned(held.join(F.broadcast(inner) if top - level < 4 else inner, ["_i", "_j"]))
+    return sure.unionByName(best(held.join(n, ["_i", "_j"])))

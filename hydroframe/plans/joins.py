@@ -129,4 +129,13 @@ def j14(spark, d):
 def j15(spark, d):
     nodes = table(spark, d, "orders").where("o_orderkey % 20 = 0").select(F.col("o_orderkey").alias("node"), (F.col("o_totalprice") / 1000).cast("double").alias("x"), ((F.col("o_orderkey") % 1000) * F.lit(0.3)).alias("y"))
     pts = events(spark, d).where("kind = 'purchase' and event_id % 4 = 0").select("event_id", (F.col("value") * 5).alias("x"), ((F.col("event_id") % 300) * F.lit(1.0)).alias("y"))
-    return joins.nearest_point(pts, nodes, "x", "y", 20.0, "event_id", "node").select("event_id", "node", F.round("distance", 6).alias("distance"))
+    found = joins.nearest_point(pts, nodes, "x", "y", 20.0, "event_id", "node").where("distance <= 160")
+    return found.select("event_id", "node", F.round("distance", 6).alias("distance"))
+
+
+@register("j15_nearest_point_whole")
+def j15_whole(spark, d):
+    """All purchases and all orders; a theta join of these is too slow for SQL, so tests compare with brute force."""
+    nodes = table(spark, d, "orders").select(F.col("o_orderkey").alias("node"), (F.col("o_totalprice") / 1000).cast("double").alias("x"), ((F.col("o_orderkey") % 1000) * F.lit(0.3)).cast("double").alias("y"))
+    pts = events(spark, d).where("kind = 'purchase'").select("event_id", (F.col("value") * 5).alias("x"), ((F.col("event_id") % 300) * F.lit(1.0)).cast("double").alias("y"))
+    return joins.nearest_point(pts, nodes, "x", "y", 4.0, "event_id", "node").select("event_id", "node", "distance")

@@ -3,10 +3,13 @@
 import numpy as np
 import pandas as pd
 import pytest
+from conftest import DATA
 from pyspark.sql import functions as F
 
+import hydroframe.plans  # noqa: F401
 from hydroframe.functions import geo, seawater, times, vectors
 from hydroframe.operators import filters, grouped, joins, sequence, stats, windows
+from hydroframe.plans import registry
 
 S = 1_000_000
 
@@ -187,3 +190,38 @@ def test_published_check_values(spark):
 
 def test_periods():
     assert [times.period_us(p) for p in ("5min", "2h", "D", "30s")] == [300 * S, 7200 * S, 86400 * S, 30 * S]
+
+
+def brute_nearest(points, nodes):
+    """(distance, node) of each point; rows are id, x, y."""
+    ids, at = np.array([n[0] for n in nodes]), np.array([n[1:] for n in nodes], float)
+    out = {}
+    for i, x, y in points:
+        d = np.hypot(at[:, 0] - x, at[:, 1] - y)
+        out[i] = (d.min(), ids[d <= d.min() + 1e-9].min())
+    return out
+
+
+@pytest.mark.parametrize("cell", [0.5, 8.0])
+def test_every_point_has_its_nearest_node(spark, cell):
+    draw = np.random.default_rng(3)
+    nodes = [(i, *map(float, p)) for i, p in enumerate(np.round(draw.normal(0, 20, (300, 2)), 1))] + [(300, 900.0, -700.0), (301, 5.0, 5.0), (302, 5.0, 5.0)]
+    points = [(i, *map(float, p)) for i, p in enumerate(np.round(draw.normal(0, 60, (200, 2)), 1))] + [(200, 5000.0, 4000.0), (201, -90.0, 1e5), (202, 5.0, 5.0)]
+    a, b = spark.createDataFrame([*points, (203, None, 1.0)], "p long, x double, y double"), spark.createDataFrame([*nodes, (303, None, None)], "n long, x double, y double")
+    found = {r.p: r for r in joins.nearest_point(a, b, "x", "y", cell, "p", "n").collect()}
+    expected = brute_nearest(points, nodes)
+    assert set(found) == set(expected)
+    where = {i: xy for i, *xy in nodes}
+    for i, x, y in points:
+        assert abs(found[i].distance - expected[i][0]) < 1e-6 and abs(np.hypot(where[found[i].n][0] - x, where[found[i].n][1] - y) - expected[i][0]) < 1e-6
+    assert found[202].n == 301
+    assert joins.nearest_point(a, b.limit(0), "x", "y", cell, "p", "n").count() == 0
+
+
+def test_nearest_point_takes_the_whole_tables(spark):
+    found = registry.queries()["j15_nearest_point_whole"](spark, DATA).collect()
+    e, o = pd.read_parquet(f"{DATA}/events.parquet"), pd.read_parquet(f"{DATA}/orders.parquet")
+    e = e[(e.event_type == "purchase") & e.value.notna()]
+    points = list(zip(e.event_id, e.value * 5, e.event_id % 300 * 1.0, strict=True))
+    expected = brute_nearest(points, list(zip(o.o_orderkey, o.o_totalprice.astype(float) / 1000, o.o_orderkey % 1000 * 0.3, strict=True)))
+    assert len(found) == len(expected) and all(abs(r.distance - expected[r.event_id][0]) < 1e-6 for r in found)
