@@ -61,6 +61,12 @@ def j05(spark, d):
     return joins.runs_for_points(picked, runs, "us", "start", 3_600_000_000).select("run")
 
 
+@register("j05_runs_for_points_whole", f"select distinct r.event_id as run from {E} r join (select us from {E} where kind = 'purchase') p on r.us >= p.us and r.us < p.us + 3600000000 where r.kind = 'view'")
+def j05_whole(spark, d):
+    runs = events(spark, d).where("kind = 'view'").select(F.col("event_id").alias("run"), F.col("us").alias("start"))
+    return joins.runs_for_points(points(spark, d).select("us"), runs, "us", "start", 3_600_000_000).select("run")
+
+
 @register("j06_asof_last_good", f"select p.event_id, v.value as last_value from {_PT} p asof left join (select * from {_V} where value > 10) v on p.device = v.device and p.us >= v.us")
 def j06(spark, d):
     series = views(spark, d).withColumn("good", F.when(F.col("value") > 10, F.col("value")))
@@ -111,6 +117,13 @@ def j13(spark, d):
     return joins.moving_anchor(events(spark, d).select("event_id", "us"), anchors, "us").select("event_id", "anchor_lat", "anchor_lon")
 
 
+@register("j13_moving_anchor_whole", f"select x.event_id, a.lat as anchor_lat, a.lon as anchor_lon from {E} x asof left join (select us, lat, lon from {P} where kind = 'purchase') a on x.us >= a.us")
+def j13_whole(spark, d):
+    """Every purchase sets the anchor."""
+    anchors = positions(events(spark, d)).where("kind = 'purchase'").select("us", "lat", "lon")
+    return joins.moving_anchor(events(spark, d).select("event_id", "us"), anchors, "us").select("event_id", "anchor_lat", "anchor_lon")
+
+
 _GRID = "(select p_partkey, p_partkey % 60 as i, p_partkey % 99 as j from part)"
 
 

@@ -225,3 +225,15 @@ def test_nearest_point_takes_the_whole_tables(spark):
     points = list(zip(e.event_id, e.value * 5, e.event_id % 300 * 1.0, strict=True))
     expected = brute_nearest(points, list(zip(o.o_orderkey, o.o_totalprice.astype(float) / 1000, o.o_orderkey % 1000 * 0.3, strict=True)))
     assert len(found) == len(expected) and all(abs(r.distance - expected[r.event_id][0]) < 1e-6 for r in found)
+
+
+def test_every_purchase_is_a_point_and_an_anchor(spark):
+    e = pd.read_parquet(f"{DATA}/events.parquet").sort_values("ts")
+    bought, seen = e[e.event_type == "purchase"], e[e.event_type == "view"]
+    since = seen.ts.to_numpy()[:, None] - bought.ts.to_numpy()[None, :]
+    near = ((since >= np.timedelta64(0)) & (since < np.timedelta64(1, "h"))).any(axis=1)
+    found = registry.queries()["j05_runs_for_points_whole"](spark, DATA).collect()
+    assert sorted(r.run for r in found) == sorted(seen.event_id[near])
+    anchors = {r.event_id: r.anchor_lon for r in registry.queries()["j13_moving_anchor_whole"](spark, DATA).collect()}
+    for b in bought.itertuples():
+        assert abs(anchors[b.event_id] - (20 + b.event_id % 97 / 1000)) < 1e-9
