@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sequence import in_row_blocks, joined
+
 
 def _limits(df: DataFrame, limits: dict[str, object], ts: str | None) -> list[tuple[str, str, object]]:
     """(column, 'min' | 'max' | 'fun', value) of the limits whose column exists; names match in any case."""
@@ -150,31 +153,32 @@ def too_frequent_values(df: DataFrame, column: str, max_percent: float = 0.5) ->
     counts = df.groupBy(column).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
     often = counts.join(F.broadcast(total)).where(F.col("_n") * 100.0 / F.col("_total") > max_percent)
-    often = often.select(F.col(column).alias("_value"), F.lit(True).alias("_often"))
+    # At most 100 / max_percent values, so the hot rows stay where they are.
+    often = F.broadcast(often.select(F.col(column).alias("_value"), F.lit(True).alias("_often")))
     return df.join(often, F.col(column).eqNullSafe(F.col("_value")), "left").withColumn("too_frequent", F.coalesce("_often", F.lit(False))).select(*df.columns, "too_frequent")
 
 
-def frozen_signal(df: DataFrame, keys: list[str], order: list[str], column: str, noise: float, strides: tuple[int, ...] = (16, 32)) -> DataFrame:
+def frozen_signal(df: DataFrame, keys: list[str], order: list[str], column: str, noise: float, strides: tuple[int, ...] = (16, 32), block_rows: int = 1 << 17) -> DataFrame:
     """`works`, true where the signal differs by more than noise from a neighbour row or over a stride of rows.
 
     The n-th whole stride of k rows is compared from its first row to the first row of the next; an unfinished last
     stride is not tested.  Where more than a tenth of a device's differences are null, every row works.
     """
-    by, w = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(*order)
-    c = F.col(column)
-    moved = F.abs(c - F.lag(c).over(w)) > noise
-    out = df.withColumns({"_n": F.row_number().over(w) - 1, "_moved": F.coalesce(moved, F.lit(False)), "_blank": F.isnull(c - F.lag(c).over(w))})
-    works = F.col("_moved") | F.coalesce(F.lead("_moved").over(w), F.lit(False))
-    for k in strides:
-        block = Window.partitionBy(*keys, F.floor(F.col("_n") / k))
-        first = F.max(F.when(F.col("_n") % k == 0, c)).over(block)
-        out = out.withColumn(f"_first{k}", first)
-        ahead = F.lead(c, k).over(w)
-        jump = F.when(F.col("_n") % k == 0, F.abs(ahead - c) > noise)
-        out = out.withColumn(f"_jump{k}", jump)
-        works = works | F.coalesce(F.max(f"_jump{k}").over(block), F.lit(False))
-    blank = (F.count_if("_blank").over(by) - 1) / F.greatest(F.count("*").over(by) - 1, F.lit(1)) > 0.1
-    return out.withColumn("works", works | blank).select(*df.columns, "works")
+    def run(out: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        w, c = Window.partitionBy(*keys).orderBy(*order), F.col(column)
+        change = c - F.lag(c).over(w)
+        out = out.withColumns({"_moved": F.coalesce(F.abs(change) > noise, F.lit(False)), "_blank": F.isnull(change)})
+        works = F.col("_moved") | F.coalesce(F.lead("_moved").over(w), F.lit(False))
+        for k in strides:
+            jump = F.when(F.col("_i") % k == 0, F.abs(F.lead(c, k).over(w) - c) > noise)
+            out = out.withColumn(f"_jump{k}", jump)
+            works = works | F.coalesce(F.max(f"_jump{k}").over(Window.partitionBy(*keys, F.floor(F.col("_i") / k))), F.lit(False))
+        return out.withColumn("works", works)
+
+    whole, reach = math.lcm(*strides), max(strides, default=1)
+    out = in_row_blocks(df, keys, order[0], order[1:], reach, reach, run, -(-block_rows // whole) * whole)
+    blank = out.groupBy(*keys).agg(((F.count_if("_blank") - 1) / F.greatest(F.count("*") - 1, F.lit(1)) > 0.1).alias("_all"))
+    return joined(out, blank, keys).withColumn("works", F.col("works") | F.col("_all")).select(*df.columns, "works")
 
 
 def overlaps_bbox(west: Column, east: Column, south: Column, north: Column, box: tuple[float, float, float, float]) -> Column:

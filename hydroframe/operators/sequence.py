@@ -8,6 +8,7 @@ rows, the rows at a block's edges copied.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,13 @@ from pyspark.sql import functions as F
 BUCKET_US = 86_400_000_000
 
 
+def joined(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which nulls are equal to each other, as they are in a window."""
+    named = other.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.lit(True))
+    return df.join(named, on, how).drop(*[f"_k_{k}" for k in keys])
+
+
 def carry(df: DataFrame, keys: list[str], us: str, order: list[str], values: dict[str, Column], backward: bool = False, strict: bool = False, bucket_us: int = BUCKET_US) -> DataFrame:
     """Add columns: the last (or, backward, the next) non-null of each value at or before (after) the row.
 
@@ -24,18 +32,16 @@ def carry(df: DataFrame, keys: list[str], us: str, order: list[str], values: dic
     bucket = F.floor(F.col(us) / bucket_us)
     df = df.withColumns({"_bucket": bucket, **{f"_v_{n}": v for n, v in values.items()}})
     sort = [us, *order]
-    w = Window.partitionBy(*keys, "_bucket").orderBy(*sort)
-    w = w.rowsBetween(1 if strict else 0, Window.unboundedFollowing) if backward else w.rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
-    pick = F.first if backward else F.last
-    inside = df.withColumns({f"_in_{n}": pick(f"_v_{n}", ignorenulls=True).over(w) for n in values})
+    # Backward runs down the order: a frame that grows from its first row is kept up row by row, one that shrinks is not.
+    turned = F.desc if backward else F.asc
+    w = Window.partitionBy(*keys, "_bucket").orderBy(*[turned(c) for c in sort]).rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
+    inside = df.withColumns({f"_in_{n}": F.last(f"_v_{n}", ignorenulls=True).over(w) for n in values})
     place = F.struct(*sort)
     edge = F.min_by if backward else F.max_by
     passed = df.groupBy(*keys, "_bucket").agg(*[edge(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), place)).alias(f"_p_{n}") for n in values])
-    over = Window.partitionBy(*keys).orderBy("_bucket")
-    over = over.rowsBetween(1, Window.unboundedFollowing) if backward else over.rowsBetween(Window.unboundedPreceding, -1)
-    passed = passed.select(*keys, "_bucket", *[pick(f"_p_{n}", ignorenulls=True).over(over).alias(f"_c_{n}") for n in values])
-    joined = inside.join(passed, [*keys, "_bucket"], "left")
-    out = joined.withColumns({n: F.coalesce(f"_in_{n}", f"_c_{n}") for n in values})
+    over = Window.partitionBy(*keys).orderBy(turned("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    passed = passed.select(*keys, "_bucket", *[F.last(f"_p_{n}", ignorenulls=True).over(over).alias(f"_c_{n}") for n in values])
+    out = joined(inside, passed, [*keys, "_bucket"], "left").withColumns({n: F.coalesce(f"_in_{n}", f"_c_{n}") for n in values})
     return out.drop("_bucket", *[f"{p}{n}" for n in values for p in ("_v_", "_in_", "_c_")])
 
 
@@ -45,7 +51,19 @@ def numbered(df: DataFrame, keys: list[str], us: str, order: list[str], bucket_u
     own = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(us, *order)) - 1
     before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     counts = df.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n")).select(*keys, "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
-    return df.join(counts, [*keys, "_bucket"]).withColumn("_i", own + F.col("_before")).drop("_bucket", "_before")
+    return joined(df, counts, [*keys, "_bucket"]).withColumn("_i", own + F.col("_before")).drop("_bucket", "_before")
+
+
+def cumulated(df: DataFrame, keys: list[str], us: str, order: list[str], sums: dict[str, Column], bucket_us: int = BUCKET_US) -> DataFrame:
+    """Add columns: the sum of each value over the rows up to this one, counted per bucket, then summed up."""
+    df = df.withColumns({"_bucket": F.floor(F.col(us) / bucket_us), **{f"_v_{n}": v for n, v in sums.items()}})
+    own = Window.partitionBy(*keys, "_bucket").orderBy(us, *order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = df.groupBy(*keys, "_bucket").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums])
+    totals = totals.select(*keys, "_bucket", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in sums])
+    inside = df.withColumns({n: F.sum(f"_v_{n}").over(own) for n in sums})
+    out = joined(inside, totals, [*keys, "_bucket"]).withColumns({n: F.coalesce(n, F.lit(0)) + F.col(f"_b_{n}") for n in sums})
+    return out.drop("_bucket", *[f"{p}{n}" for n in sums for p in ("_v_", "_b_")])
 
 
 def in_row_blocks(df: DataFrame, keys: list[str], us: str, order: list[str], before: int, after: int, fn: Callable[[DataFrame, list[str], list[str]], DataFrame], block_rows: int = 1 << 17) -> DataFrame:
@@ -61,8 +79,8 @@ def in_row_blocks(df: DataFrame, keys: list[str], us: str, order: list[str], bef
     return done.where(F.col("_block") == F.floor(F.col("_i") / block_rows)).drop("_block", "_i")
 
 
-def islands(df: DataFrame, keys: list[str], order: list[str], flag: Column) -> DataFrame:
-    """Add `island`: a number per key for each run of rows with the same flag."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    change = F.when(flag.eqNullSafe(F.lag(flag).over(w)), 0).otherwise(1)
-    return df.withColumn("_change", change).withColumn("island", F.sum("_change").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_change")
+def islands(df: DataFrame, keys: list[str], order: list[str], flag: Column, bucket_us: int = BUCKET_US) -> DataFrame:
+    """Add `island`: a number per key for each run of rows with the same flag; the first of `order` is a number."""
+    df = carry(df, keys, order[0], order[1:], {"_was": F.struct(flag.alias("flag"))}, strict=True, bucket_us=bucket_us)
+    change = F.when(F.col("_was").isNotNull() & flag.eqNullSafe(F.col("_was.flag")), 0).otherwise(1)
+    return cumulated(df, keys, order[0], order[1:], {"island": change}, bucket_us).drop("_was")

@@ -8,46 +8,63 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import _between, neighbours
-from .sequence import carry, islands
+from .sequence import carry, cumulated, in_row_blocks, islands, joined
+
+
+#: Rows of a long series that a task works on at a time.
+BLOCK_ROWS = 1 << 17
 
 
 def _over(keys: list[str], order: list[str]):
     return Window.partitionBy(*keys).orderBy(*order)
 
 
-def single_spikes(df: DataFrame, keys: list[str], order: list[str], column: str, max_spike: float) -> DataFrame:
+def single_spikes(df: DataFrame, keys: list[str], order: list[str], column: str, max_spike: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """`spike`, true where the value is above or below both neighbours by more than max_spike; an end needs one."""
-    w, c = _over(keys, order), F.col(column)
-    before, after = c - F.lag(c).over(w), c - F.lead(c).over(w)
-    up = F.coalesce(before > max_spike, F.lit(True)) & F.coalesce(after > max_spike, F.lit(True))
-    down = F.coalesce(before < -max_spike, F.lit(True)) & F.coalesce(after < -max_spike, F.lit(True))
-    return df.withColumn("spike", c.isNotNull() & (before.isNotNull() | after.isNotNull()) & (up | down))
+
+    def run(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        w, c = _over(keys, order), F.col(column)
+        before, after = c - F.lag(c).over(w), c - F.lead(c).over(w)
+        up = F.coalesce(before > max_spike, F.lit(True)) & F.coalesce(after > max_spike, F.lit(True))
+        down = F.coalesce(before < -max_spike, F.lit(True)) & F.coalesce(after < -max_spike, F.lit(True))
+        return rows.withColumn("spike", c.isNotNull() & (before.isNotNull() | after.isNotNull()) & (up | down))
+
+    return in_row_blocks(df, keys, order[0], order[1:], 1, 1, run, block_rows)
 
 
-def despike(df: DataFrame, keys: list[str], order: list[str], column: str, passes: list[tuple[float, int]]) -> DataFrame:
+def despike(df: DataFrame, keys: list[str], order: list[str], column: str, passes: list[tuple[float, int]], block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Each pass (offset, block) nulls values with |y - mean| > offset * deviation over a moving block.
 
     Mean and population deviation are over the values kept so far; the ends use the first and last full block.
     """
-    out = df.withColumn("_i", F.row_number().over(_over(keys, order)) - 1).withColumn("_n", F.count("*").over(Window.partitionBy(*keys)))
-    for offset, block in passes:
-        w = _over(keys, ["_i"]).rowsBetween(-(block // 2), block - block // 2 - 1)
-        out = out.withColumns({"_mean": F.avg(column).over(w), "_std": F.stddev_pop(column).over(w)})
-        low, high = block // 2, F.col("_n") - (block - block // 2)
-        by = Window.partitionBy(*keys)
-        edge = {f"_{s}{e}": F.max(F.when(F.col("_i") == at, F.col(f"_{s}"))).over(by) for s in ("mean", "std") for e, at in (("0", F.least(F.lit(low), F.greatest(high, F.lit(0)))), ("1", F.greatest(high, F.lit(0))))}
-        out = out.withColumns(edge)
-        mean, std = (F.when(F.col("_i") < low, F.col(f"_{s}0")).when(F.col("_i") > high, F.col(f"_{s}1")).otherwise(F.col(f"_{s}")) for s in ("mean", "std"))
-        out = out.withColumn(column, F.when(~(F.abs(F.col(column) - mean) > offset * std) | std.isNull(), F.col(column)))
-    return out.select(*df.columns)
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+
+    def run(out: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        for offset, block in passes:
+            w = _over(keys, order).rowsBetween(-(block // 2), block - block // 2 - 1)
+            out = out.withColumns({"_mean": F.avg(column).over(w), "_std": F.stddev_pop(column).over(w)})
+            low, high = block // 2, F.col("_n") - (block - block // 2)
+            by = Window.partitionBy(*keys)
+            edge = {f"_{s}{e}": F.max(F.when(F.col("_i") == at, F.col(f"_{s}"))).over(by) for s in ("mean", "std") for e, at in (("0", F.least(F.lit(low), F.greatest(high, F.lit(0)))), ("1", F.greatest(high, F.lit(0))))}
+            out = out.withColumns(edge)
+            mean, std = (F.when(F.col("_i") < low, F.col(f"_{s}0")).when(F.col("_i") > high, F.col(f"_{s}1")).otherwise(F.col(f"_{s}")) for s in ("mean", "std"))
+            out = out.withColumn(column, F.when(~(F.abs(F.col(column) - mean) > offset * std) | std.isNull(), F.col(column)))
+        return out
+
+    # A pass sees a block to each side, and at the ends as far again to the first or last full block.
+    reach = 2 * sum(block for _, block in passes)
+    return in_row_blocks(joined(df, sizes, keys), keys, order[0], order[1:], reach, reach, run, max(block_rows, 2 * reach)).select(*df.columns)
 
 
 def despike_both_ways(df: DataFrame, keys: list[str], order: list[str], columns: list[str], passes: list[tuple[float, int]]) -> DataFrame:
-    """W02 backward, then forward, for each column in turn; rows lost in one column are gone for the next."""
+    """W02 backward, then forward, for each column in turn; rows lost in one column are gone for the next.
+
+    The columns of `order` are numbers.
+    """
     out = df
     for c in columns:
-        back = out.withColumn("_back", -F.row_number().over(_over(keys, order)))
-        back = despike(back, keys, ["_back"], c, passes).drop("_back").where(F.col(c).isNotNull())
+        turned = {f"_back{i}": -F.col(x) for i, x in enumerate(order)}
+        back = despike(out.withColumns(turned), keys, list(turned), c, passes).drop(*turned).where(F.col(c).isNotNull())
         out = despike(back, keys, order, c, passes).where(F.col(c).isNotNull())
     return out
 
@@ -81,9 +98,9 @@ def true_regions(df: DataFrame, keys: list[str], order: list[str], flag: str) ->
 
 def bursts(df: DataFrame, keys: list[str], us: str, gap_us: int) -> DataFrame:
     """`burst` (from 0): a new one begins after a gap of more than gap_us."""
-    w = _over(keys, [us])
-    new = F.when(F.col(us) - F.lag(us).over(w) > gap_us, 1).otherwise(0)
-    return df.withColumn("_new", new).withColumn("burst", F.sum("_new").over(w.rangeBetween(Window.unboundedPreceding, 0))).drop("_new")
+    before = carry(df, keys, us, [], {"_was": F.col(us)}, strict=True)
+    new = F.when(F.col(us) - F.col("_was") > gap_us, 1).otherwise(0)
+    return cumulated(before, keys, us, [], {"burst": new}).drop("_was")
 
 
 def default_gap(df: DataFrame, keys: list[str], us: str) -> DataFrame:
@@ -95,56 +112,64 @@ def default_gap(df: DataFrame, keys: list[str], us: str) -> DataFrame:
 
 def spread_repeated_times(df: DataFrame, keys: list[str], us: str, order: str, frequency: float) -> DataFrame:
     """Equal times become increasing by 1 / frequency, in shorter steps where they would pass the next time."""
-    w, group = _over(keys, [us]), Window.partitionBy(*keys, us)
-    k, n = F.row_number().over(group.orderBy(order)) - 1, F.count("*").over(group)
-    later = F.min(us).over(w.rangeBetween(1, Window.unboundedFollowing))
-    step = F.least(F.lit(1e6 / frequency), (later - F.col(us)) / n)
-    return df.withColumns({"_k": k, "_step": F.coalesce(step, F.lit(1e6 / frequency))}).withColumn(us, F.col(us) + F.round(F.col("_k") * F.col("_step")).cast("long")).drop("_k", "_step")
+    times = df.groupBy(*keys, us).agg(F.count("*").alias("_n"))
+    times = carry(times, keys, us, [], {"_later": F.col(us)}, backward=True, strict=True)
+    step = F.least(F.lit(1e6 / frequency), (F.col("_later") - F.col(us)) / F.col("_n"))
+    times = times.select(*keys, us, F.coalesce(step, F.lit(1e6 / frequency)).alias("_step"))
+    k = F.row_number().over(Window.partitionBy(*keys, us).orderBy(order)) - 1
+    return joined(df.withColumn("_k", k), times, [*keys, us]).withColumn(us, F.col(us) + F.round(F.col("_k") * F.col("_step")).cast("long")).select(*df.columns)
 
 
-def day_jump_correction(df: DataFrame, keys: list[str], order: str, us: str, tolerance_us: int | None = None) -> DataFrame:
-    """Rows between a jump by a day and the next one are shifted back by a day.
+def day_jump_correction(df: DataFrame, keys: list[str], order: str, us: str, tolerance_us: int | None = None, bucket: int = BLOCK_ROWS) -> DataFrame:
+    """Rows between a jump by a day and the next one are shifted back by a day; `order` is a number.
 
     A jump is a step that differs from a day (up or down) by at most the tolerance, by default ten times the greater of
     one second and the median step.  The rows from each odd jump to the next are shifted against it.
     """
-    day, w = 86_400_000_000, _over(keys, [order])
-    out = df.withColumn("_d", F.col(us) - F.lag(us).over(w))
+    day = 86_400_000_000
+    out = carry(df, keys, order, [], {"_was": F.col(us)}, strict=True, bucket_us=bucket).withColumn("_d", F.col(us) - F.col("_was"))
     if tolerance_us is None:
         usual = out.groupBy(*keys).agg(F.percentile(F.abs("_d"), 0.5).alias("_m"))
-        out = out.join(usual, keys)
+        out = joined(out, usual, keys)
         tolerance = F.greatest(F.lit(1_000_000), F.coalesce("_m", F.lit(0))) * 10
     else:
         out, tolerance = out.withColumn("_m", F.lit(0)), F.lit(tolerance_us)
     sign = F.when(F.abs(F.col("_d") - day) <= tolerance, 1).when(F.abs(F.col("_d") + day) <= tolerance, -1).otherwise(0)
-    out = out.withColumn("_sign", sign).withColumn("_nth", F.sum(F.abs("_sign")).over(w))
-    shift = F.last(F.when(F.col("_sign") != 0, F.struct("_sign", "_nth")), ignorenulls=True).over(w)
-    out = out.withColumn("_shift", shift)
+    out = cumulated(out.withColumn("_sign", sign), keys, order, [], {"_nth": F.abs("_sign")}, bucket)
+    out = carry(out, keys, order, [], {"_shift": F.when(F.col("_sign") != 0, F.struct("_sign", "_nth"))}, bucket_us=bucket)
     moved = F.when(F.col("_shift._nth") % 2 == 1, F.col(us) - F.col("_shift._sign") * day).otherwise(F.col(us))
     return out.withColumn(us, moved).select(*df.columns)
 
 
-def gaussian_moving_mean(df: DataFrame, keys: list[str], order: list[str], column: str, window: int, std: float = 3.0) -> DataFrame:
+def gaussian_moving_mean(df: DataFrame, keys: list[str], order: list[str], column: str, window: int, std: float = 3.0, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Centred mean of `window` rows weighted by a Gaussian of rows; nulls are left out, one value is enough."""
     import math
 
-    w, half = _over(keys, order), window // 2
-    terms = [(math.exp(-0.5 * (k / std) ** 2), F.lag(column, -k).over(w) if k else F.col(column)) for k in range(-half, window - half)]
-    top = reduce(lambda a, b: a + b, [F.coalesce(x * g, F.lit(0.0)) for g, x in terms])
-    weight = reduce(lambda a, b: a + b, [F.when(x.isNotNull(), g).otherwise(0.0) for g, x in terms])
-    return df.withColumn(column, F.try_divide(top, weight))
+    half = window // 2
+
+    def run(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        w = _over(keys, order)
+        terms = [(math.exp(-0.5 * (k / std) ** 2), F.lag(column, -k).over(w) if k else F.col(column)) for k in range(-half, window - half)]
+        top = reduce(lambda a, b: a + b, [F.coalesce(x * g, F.lit(0.0)) for g, x in terms])
+        weight = reduce(lambda a, b: a + b, [F.when(x.isNotNull(), g).otherwise(0.0) for g, x in terms])
+        return rows.withColumn(column, F.try_divide(top, weight))
 
+    return in_row_blocks(df, keys, order[0], order[1:], half, window - half - 1, run, block_rows)
 
-def mostly_bad_regions(df: DataFrame, keys: list[str], order: list[str], flag: str, window: int, least: int | None = None) -> DataFrame:
+
+def mostly_bad_regions(df: DataFrame, keys: list[str], order: list[str], flag: str, window: int, least: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """`mostly`, true where more than half of a centred window (or `least` rows) is true; the ends repeat their edge."""
     least = window // 2 + 1 if least is None else least
-    w, half = _over(keys, order), window // 2
-    i, n = F.row_number().over(w) - 1, F.count("*").over(Window.partitionBy(*keys))
-    inside = F.sum(F.col(flag).cast("int")).over(w.rowsBetween(-half, window - half - 1))
-    first, last = F.first(F.col(flag).cast("int")).over(w), F.last(F.col(flag).cast("int")).over(w.rowsBetween(0, Window.unboundedFollowing))
-    before = F.greatest(half - i, F.lit(0)) * first
-    after = F.greatest(i + (window - half) - n, F.lit(0)) * last
-    return df.withColumn("mostly", inside + before + after >= least)
+    half, place = window // 2, F.struct(*order)
+    ends = df.withColumn("_f", F.col(flag).cast("int")).groupBy(*keys).agg(F.count("*").alias("_n"), F.min_by("_f", place).alias("_first"), F.max_by("_f", place).alias("_last"))
+
+    def run(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        inside = F.sum(F.col(flag).cast("int")).over(_over(keys, order).rowsBetween(-half, window - half - 1))
+        before = F.greatest(half - F.col("_i"), F.lit(0)) * F.col("_first")
+        after = F.greatest(F.col("_i") + (window - half) - F.col("_n"), F.lit(0)) * F.col("_last")
+        return rows.withColumn("mostly", inside + before + after >= least)
+
+    return in_row_blocks(joined(df, ends, keys), keys, order[0], order[1:], half, window - half - 1, run, block_rows).select(*df.columns, "mostly")
 
 
 def overlapping_intervals(df: DataFrame, us: str, length_us: int, overlap: float = 0.5, origin_us: int = 0) -> DataFrame:
@@ -158,8 +183,7 @@ def overlapping_intervals(df: DataFrame, us: str, length_us: int, overlap: float
 def keep_index_after_delete(df: DataFrame, keys: list[str], us: str, order: list[str], bad: str, side: str = "left") -> DataFrame:
     """`good_index`: where each row's number goes when bad rows are deleted: its own new number, or for a bad row
     that of the last good row before (left) or the next one after (right), null if there is none."""
-    w = _over(keys, [us, *order])
-    counted = df.withColumn("_g", F.sum(F.when(F.col(bad), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    counted = cumulated(df, keys, us, order, {"_g": F.when(F.col(bad), 0).otherwise(1)}).withColumn("_g", F.col("_g") - 1)
     own = F.when(~F.col(bad), F.col("_g"))
     return carry(counted, keys, us, order, {"good_index": own}, backward=side == "right").drop("_g")
 

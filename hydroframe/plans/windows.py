@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import sequence, windows
+from ..operators import windows
 from ..sources.series import events
 from .filters import E
 from .registry import register
@@ -103,8 +103,6 @@ def w09(spark, d):
     return windows.spread_repeated_times(df, ["kind"], "us", "event_id", 4.0).select("event_id", "us")
 
 
-
-
 @register("w13_day_jump_correction", f"select event_id, us from {E}")
 def w13(spark, d):
     # One series of all events: rows 300 to 599 of each thousand are a day ahead and come back.
@@ -182,8 +180,6 @@ def s26(spark, d):
     return windows.separator_rows(events(spark, d).select("device", "us", "value"), ["device"], "us")
 
 
-
-
 @register(
     "w01b_single_spikes_long_series",
     f"""with a as (select event_id, value - lag(value) over w as b, value - lead(value) over w as a from {E} window w as (order by us))
@@ -191,7 +187,7 @@ def s26(spark, d):
 )
 def w01b(spark, d):
     df = events(spark, d).withColumn("series", F.lit("all"))
-    return sequence.in_row_blocks(df, ["series"], "us", ["event_id"], 1, 1, lambda x, keys, order: windows.single_spikes(x, keys, order, "value", 20.0), 256).select("event_id", "spike")
+    return windows.single_spikes(df, ["series"], ["us", "event_id"], "value", 20.0, block_rows=256).select("event_id", "spike")
 
 
 @register(
@@ -201,4 +197,4 @@ def w01b(spark, d):
 )
 def w16b(spark, d):
     df = events(spark, d).withColumn("series", F.lit("all"))
-    return rounded(sequence.in_row_blocks(df, ["series"], "us", ["event_id"], 4, 4, lambda x, keys, order: windows.gaussian_moving_mean(x, keys, order, "value", 9), 256).select("event_id", "value"))
+    return rounded(windows.gaussian_moving_mean(df, ["series"], ["us", "event_id"], "value", 9, block_rows=256).select("event_id", "value"))
