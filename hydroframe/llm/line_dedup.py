@@ -91,7 +91,7 @@ def lines(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     a, b = np.searchsorted(ink, begin), np.searchsorted(ink, end)
     has = b > a
     first, last = ink[a[has]], ink[b[has] - 1] + 1
-    one, two = (words.hashed(data, first, last, lower=True, second=s) for s in (False, True))
+    one, two = (np.ascontiguousarray(x) for x in words.digests(data, first, last, lower=True).T)
     return row[has], number[has], one, two
 
 
