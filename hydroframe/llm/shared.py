@@ -17,9 +17,11 @@ _own: dict[str, str] = {}
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; below a temporary one only where that is unset, as in tests."""
+    """A new folder below spark.checkpoint.dir; where that is unset, below a temporary one, in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         root = _own.setdefault(app, "file://" + tempfile.mkdtemp(prefix="hydroframe-"))
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -67,3 +69,33 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def sized(ids: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:
     """A frame of a few plain columns, to be broadcast if its rows are at most so many, else to be merged by a shuffle."""
     return F.broadcast(ids) if ids.count() <= broadcast_rows else ids.hint("merge")
+
+
+#: The rows of one key are dealt to at most so many tasks.
+SALTS = 256
+
+
+def salt(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
+
+
+def salts(column: str):
+    """The salts that the rows of a key have, as an aggregate for `by_key`."""
+    return F.collect_set(salt(column)).alias("salts")
+
+
+def by_key(rows: DataFrame, other: DataFrame, keys: list[str], column: str, how: str = "inner") -> DataFrame:
+    """rows joined to the one row that `other` has for a key: a common key goes to many tasks, by a salt from a column.
+
+    other has, for each key, `salts` of the same rows; it is copied to each salt, so at most once for a row.
+    """
+    copies = other.withColumn("_salt", F.explode("salts")).drop("salts")
+    return rows.withColumn("_salt", salt(column)).join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name with as many underscores before it as no column of df has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -323,3 +323,33 @@ def test_word_hashes_follow_words():
     h = words.hashed(data, begin, end)
     low = words.hashed(data, begin, end, lower=True)
     assert h[1] == h[3] and h[5] == h[7] and h[0] != h[4] and low[0] == low[4] and len(set(h.tolist())) == 5
+
+
+def test_a_long_chain_is_one_component(spark):
+    """Each document shares over 80 % with its neighbours only; ids are shuffled."""
+    n, order = 2000, list(range(2000))
+    random.Random(3).shuffle(order)
+    rows = [(order[i], " ".join(f"w{j}" for j in range(3 * i, 3 * i + 60)), "s") for i in range(n)]
+    found = near_dedup.near_duplicates(documents(spark, rows).repartition(4), 4, 80).toPandas()
+    assert set(found.component_id) == {0} and found.kept.sum() == 1
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [16, 1024, 4096])
+def test_structured_words_do_not_collide(spark, n):
+    """A Thue-Morse word and its complement collide under polynomial hashes modulo a power of two."""
+    one = thue_morse(n)
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one, "s"), (2, other, "s")]
+    same(near_dedup.near_duplicates(documents(spark, rows), 4, 80).toPandas(), near_classes(rows, 4, 80))
+    rows = [(i, one, "s") for i in range(9)] + [(9, other, "s")]
+    same(line_dedup.drop_common_lines(documents(spark, rows), 10).toPandas(), lines_dropped(rows, 10))
+    words_of = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join([*words_of[:15], w, *words_of[15:]]), "s") for i, w in enumerate((one, other))]
+    same(substring_dedup.remove_repeats(documents(spark, rows)).toPandas(), repeats_removed(rows))
+    for w in (one, other):  # sequences of words, too
+        letters = np.array([ord(c) for c in w], np.uint64)
+        assert len(np.unique(words.sequences(np.concatenate([letters, letters ^ np.uint64(3)]), np.array([0, n]), np.array([n, 2 * n])))) == 2
