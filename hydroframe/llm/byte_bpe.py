@@ -86,17 +86,20 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_
     return rows.mapInArrow(run, f"id {kind}, bytes binary").withColumnRenamed("id", id_col)
 
 
-def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """Encode and decode in one pass: id, n_tokens, ids_sha256 and decoded_sha256, without keeping any ids."""
+def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", piece_chars: int = PIECE_CHARS, keep_ids: bool = False) -> DataFrame:
+    """Encode and decode in one pass: id, n_tokens, ids_sha256, decoded_sha256 and, with keep_ids, ids (an array)."""
 
     def row(codec, pieces):
-        n, ids_hash, bytes_hash = 0, hashlib.sha256(), hashlib.sha256()
+        n, every, ids_hash, bytes_hash = 0, [], hashlib.sha256(), hashlib.sha256()
         for piece in pieces:
             ids = codec.encode_ordinary(piece)
             if ids:
                 ids_hash.update((" " * (n > 0) + str(ids)[1:-1].replace(",", "")).encode())
                 bytes_hash.update(codec.decode_bytes(ids))
                 n += len(ids)
-        return n, ids_hash.hexdigest(), bytes_hash.hexdigest()
+                if keep_ids:
+                    every += ids
+        return n, ids_hash.hexdigest(), bytes_hash.hexdigest(), *([every] if keep_ids else [])
 
-    return _mapped(docs, id_col, text_col, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", rank_file, pattern, row, piece_chars)
+    more = ", ids array<int>" if keep_ids else ""
+    return _mapped(docs, id_col, text_col, f"n_tokens bigint, ids_sha256 string, decoded_sha256 string{more}", rank_file, pattern, row, piece_chars)

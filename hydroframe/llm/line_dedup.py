@@ -1,12 +1,13 @@
 r"""Line dedup by a sharded minimal perfect hash.
 
 A line's key is the line without white space ([\x20\x09-\x0D]) at both ends, A-Z lower-cased.  Keys are counted once per
-document.  All distinct key hashes are dealt to shards; each shard is a minimal perfect hash of its keys (levels of bit
+document.  A key is known by its BLAKE2b digest of 128 bits.  All distinct digests are dealt to shards; each shard is a minimal perfect hash of its keys (levels of bit
 arrays in which only keys without a collision set their bit; the rank of the bit is the index) and two compact arrays, a
 32-bit fingerprint and a saturated 16-bit count for each key.  Documents send the hashes of their lines, packed per batch
 and shard, to the shard they belong to and probe its arrays there; lines themselves are never joined.  What comes back
-is the numbers of the lines to drop.  Every shard is held in `copies` tasks, among which probes of a very common line are
-spread, and a task holds one shard and one batch of probes at a time.
+is the numbers of the lines to drop.  A task holds one shard and one batch of probes at a time.  The most common lines, at
+most HOT_PARTS for each task of a shuffle, are a small shard of their own that goes to every task, so no line sends more
+than a part of a task's share of probes to one place.
 
 Edge cases: null and empty texts are one empty line; empty keys are never dropped; every row is a document of its own,
 also where ids are null or repeated; a text that loses all lines is empty; other columns are ignored.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from . import shared, words
 
-SHARD_KEYS, COPIES, LEVELS, GAMMA, FULL = 1 << 16, 4, 24, 2.0, 65535
+SHARD_KEYS, HOT_PARTS, LEVELS, GAMMA, FULL = 1 << 16, 8, 24, 2.0, 65535
 U = np.uint64
 
 
@@ -117,19 +118,24 @@ def index(counts: DataFrame, shards: int) -> DataFrame:
     import pandas as pd
 
     def build(keys: pd.DataFrame) -> pd.DataFrame:
-        one, two, n = (keys[c].to_numpy() for c in ("h1", "h2", "n_docs"))
-        sizes, bits, rest = PerfectHash.build(one.view(U))
-        count = np.minimum(n, FULL).astype(np.uint16)
-        at = PerfectHash(sizes, bits).index(one[~rest].view(U))
-        fingerprints, arrays = np.zeros(len(at), np.uint32), np.zeros(len(at), np.uint16)
-        fingerprints[at], arrays[at] = two[~rest].view(U) >> U(32), count[~rest]
-        left = np.stack([one[rest], two[rest], n[rest]]).astype(np.int64).tobytes()
-        return pd.DataFrame({"shard": [keys["shard"].iloc[0]], "sizes": [sizes], "bits": [bits], "fingerprints": [fingerprints.tobytes()], "counts": [arrays.tobytes()], "rest": [left]})
+        held = arrays(*(keys[c].to_numpy() for c in ("h1", "h2", "n_docs")))
+        return pd.DataFrame({"shard": [keys["shard"].iloc[0]], **{name: [x] for name, x in zip(("sizes", "bits", "fingerprints", "counts", "rest"), held, strict=True)}})
 
     keyed = counts.withColumn("shard", F.pmod(F.col("h1"), F.lit(shards)))
     return keyed.groupBy("shard").applyInPandas(build, _INDEX)
 
 
+def arrays(one: np.ndarray, two: np.ndarray, n: np.ndarray) -> tuple:
+    """Sizes, bits, fingerprints, counts and rest of a shard of keys (two hashes and a count)."""
+    sizes, bits, rest = PerfectHash.build(one.view(U))
+    count = np.minimum(n, FULL).astype(np.uint16)
+    at = PerfectHash(sizes, bits).index(one[~rest].view(U))
+    fingerprints, counts = np.zeros(len(at), np.uint32), np.zeros(len(at), np.uint16)
+    fingerprints[at], counts[at] = two[~rest].view(U) >> U(32), count[~rest]
+    left = np.stack([one[rest], two[rest], n[rest]]).astype(np.int64).tobytes()
+    return sizes, bits, fingerprints.tobytes(), counts.tobytes(), left
+
+
 class Shard:
     def __init__(self, sizes, bits, fingerprints, counts, rest) -> None:
         self.hash = PerfectHash([int(x) for x in sizes], bits)
@@ -149,58 +155,76 @@ class Shard:
         return out
 
 
-_PROBE = np.dtype([("h1", "<i8"), ("h2", "<i8"), ("key", "<i8"), ("line", "<i4")])
+_PROBE = np.dtype([("h1", "<i8"), ("h2", "<i8"), ("key", "<i8"), ("key2", "<i8"), ("line", "<i4")])
+#: The shard of what the small shard of the most common lines has found: nothing is left to look up.
+_FOUND = -1
 
 
-def probes(keyed: DataFrame, shards: int, copies: int) -> DataFrame:
-    """shard, copy and packed probes of every batch of (key, text) rows."""
+def probes(keyed: DataFrame, shards: int, hot: tuple, min_docs: int) -> DataFrame:
+    """shard and packed probes of every batch of (key, key2, text) rows; hot: the arrays of the most common lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = Shard(*hot)
         for batch in batches:
-            for part in shared.parts(batch, 1):
-                row, number, one, two = lines(*shared.text_bytes(part.column(1)))
-                key = part.column(0).to_numpy()
+            for part in shared.parts(batch, 2):
+                row, number, one, two = lines(*shared.text_bytes(part.column(2)))
                 packed = np.zeros(len(row), _PROBE)
                 packed["h1"], packed["h2"], packed["line"] = one.view(np.int64), two.view(np.int64), number
-                packed["key"] = key[row] if len(row) else 0
+                for k, name in enumerate(("key", "key2")):
+                    packed[name] = part.column(k).to_numpy()[row]
                 shard = np.mod(packed["h1"], shards)
+                count = common.lookup(packed["h1"].copy(), packed["h2"].copy())
+                use = (count == 0) | (count >= min_docs)
+                packed, shard = packed[use], np.where(count > 0, _FOUND, shard)[use]
                 order = np.argsort(shard, kind="stable")
                 found, begin = np.unique(shard[order], return_index=True)
                 cut = np.append(begin, len(order))
-                copy = int(key[0]) % copies if len(key) else 0
                 rows = [packed[order[a:b]].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-                yield pa.record_batch([pa.array(found.astype(np.int64)), pa.array(np.full(len(found), copy, np.int64)), pa.array(rows, pa.binary())], ["shard", "copy", "probes"])
+                yield pa.record_batch([pa.array(found.astype(np.int64)), pa.array(rows, pa.binary())], ["shard", "probes"])
 
-    return keyed.mapInArrow(run, "shard bigint, copy bigint, probes binary")
+    return keyed.mapInArrow(run, "shard bigint, probes binary")
 
 
-def dropped(keyed: DataFrame, arrays: DataFrame, shards: int, min_docs: int, copies: int = COPIES) -> DataFrame:
-    """key and line_numbers of lines whose key is in at least min_docs documents, found by probing the arrays."""
+def dropped(keyed: DataFrame, index_rows: DataFrame, shards: int, hot: tuple, min_docs: int) -> DataFrame:
+    """key, key2 and line_numbers of lines whose key is in at least min_docs documents, found by probing the arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, shard = None, None
         for batch in batches:
-            keys, numbers = [], []
-            for name, copy, probe, *held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            keys, keys2, numbers = [], [], []
+            for name, probe, *held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if probe is None:
-                    now, shard = (name, copy), Shard(*held)
+                    now, shard = name, Shard(*held)
                     continue
-                assert now == (name, copy), "a probe without its shard"
                 packed = np.frombuffer(probe, _PROBE)
-                found = packed[shard.lookup(packed["h1"].copy(), packed["h2"].copy()) >= min_docs]
-                order = np.argsort(found["key"], kind="stable")
-                each, begin = np.unique(found["key"][order], return_index=True)
-                keys += each.tolist()
-                numbers += np.split(found["line"][order], begin[1:]) if len(each) else []
-            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array([x.tolist() for x in numbers], pa.list_(pa.int32()))], ["key", "line_numbers"])
+                if name != _FOUND:
+                    assert now == name, "a probe without its shard"
+                    packed = packed[shard.lookup(packed["h1"].copy(), packed["h2"].copy()) >= min_docs]
+                if len(packed):
+                    packed = packed[np.lexsort((packed["key2"], packed["key"]))]
+                    begin = np.flatnonzero(np.append(True, (packed["key"][1:] != packed["key"][:-1]) | (packed["key2"][1:] != packed["key2"][:-1])))
+                    keys += packed["key"][begin].tolist()
+                    keys2 += packed["key2"][begin].tolist()
+                    numbers += np.split(packed["line"], begin[1:])
+            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(keys2, pa.int64()), pa.array([x.tolist() for x in numbers], pa.list_(pa.int32()))], ["key", "key2", "line_numbers"])
 
     assert min_docs <= FULL
-    held = arrays.select("shard", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)).cast("array<bigint>")).alias("copy"), F.lit(None).cast("binary").alias("probes"), "sizes", "bits", "fingerprints", "counts", "rest")
-    asked = probes(keyed, shards, copies)
+    held = index_rows.select("shard", F.lit(None).cast("binary").alias("probes"), "sizes", "bits", "fingerprints", "counts", "rest", F.lit(0).cast("bigint").alias("deal"))
+    # What is found already goes anywhere.
+    asked = probes(keyed, shards, hot, min_docs)
+    asked = asked.withColumn("deal", F.when(F.col("shard") == _FOUND, F.xxhash64("probes")).otherwise(0))
     n = shared.partitions(keyed.sparkSession)
-    both = held.unionByName(asked, allowMissingColumns=True).repartition(n, "shard", "copy").sortWithinPartitions("shard", "copy", F.col("probes").isNotNull())
-    found = both.mapInArrow(run, "key bigint, line_numbers array<int>")
-    return found.groupBy("key").agg(F.flatten(F.collect_list("line_numbers")).alias("line_numbers"))
+    both = held.unionByName(asked, allowMissingColumns=True).repartition(n, "shard", "deal").sortWithinPartitions("shard", "deal", F.col("probes").isNotNull()).drop("deal")
+    found = both.mapInArrow(run, "key bigint, key2 bigint, line_numbers array<int>")
+    return found.groupBy("key", "key2").agg(F.flatten(F.collect_list("line_numbers")).alias("line_numbers"))
+
+
+def hot_lines(counts: DataFrame) -> tuple[int, tuple]:
+    """How many keys there are, and the arrays of the most common ones: of lines in more than a part of a task's share."""
+    n, total = counts.agg(F.count("*"), F.coalesce(F.sum("n_docs"), F.lit(0))).first()
+    limit = max(1, total // (HOT_PARTS * shared.partitions(counts.sparkSession)))
+    few = counts.where(F.col("n_docs") > max(limit, 100)).toArrow()
+    return n, arrays(*(few.column(c).to_numpy().astype(np.int64) for c in ("h1", "h2", "n_docs")))
 
 
 def drop_common_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text", texts: bool = True, shard_keys: int = SHARD_KEYS) -> DataFrame:
@@ -223,13 +247,14 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id
                 yield pa.record_batch([part.column(0), *columns], ["id", "n_lines", "n_dropped", "kept_sha256", "kept_text"])
 
     text = shared.text_or_empty(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("key"))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("key"), F.xxhash64(F.lit("second"), F.col(id_col), text).alias("key2"))
     counts = shared.written(line_counts(rows.select("text")), "line-counts")
-    shards = max(1, -(-counts.count() // shard_keys))
-    arrays = shared.written(index(counts, shards), "line-index")
-    gone = shared.written(dropped(rows.select("key", "text"), arrays, shards, min_docs), "dropped-lines")
+    n_keys, hot = hot_lines(counts)
+    shards = max(1, -(-n_keys // shard_keys))
+    index_rows = shared.written(index(counts, shards), "line-index")
+    gone = shared.written(dropped(rows.select("key", "key2", "text"), index_rows, shards, hot, min_docs), "dropped-lines")
     # The same plan at every size: texts meet the few numbers by a merge join.
-    out = rows.join(gone.hint("merge"), "key", "left").select("id", "text", F.coalesce("line_numbers", F.array().cast("array<int>")).alias("line_numbers"))
+    out = rows.join(gone.hint("merge"), ["key", "key2"], "left").select("id", "text", F.coalesce("line_numbers", F.array().cast("array<int>")).alias("line_numbers"))
     kind = rows.schema["id"].dataType.simpleString()
     out = out.mapInArrow(run, f"id {kind}, n_lines bigint, n_dropped bigint, kept_sha256 string, kept_text string").withColumnRenamed("id", id_col)
     return out if texts else out.drop("kept_text")

@@ -7,9 +7,9 @@ This never misses a deadline, so after any number of slots before the first sour
 block away from its target.  A source that runs dry leaves, and the others go on by their weights: every block gets a slot.
 
 The schedule is one SQL fold over all blocks, which is sequential by definition: one task, time in proportion to blocks
-times sources, and a few bytes a block.  It bounds neither blocks nor sources.  With a `period` weights become whole units
-of so many slots (at least one unit each, the rest by largest remainder) and the schedule of one period serves for all;
-then shares are those of the units, not of the weights, and sources more than the period get the schedule without one.
+times sources, and a few bytes a block.  So that it doesn't grow without bound, blocks are larger than `block_chars` where
+the characters would make more than `most_blocks` of them: then a block is that part of the corpus.  A source has one
+block at least, whatever its size, and no number of sources is too large.
 
 Prefix sums run per (source, hash bucket) with the sums of buckets added, so a hot source is spread over all tasks.
 
@@ -25,7 +25,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PERIOD, BLOCK_CHARS, EXPONENT = 1000, 1 << 16, 0.7
+from . import shared
+
+BLOCK_CHARS, MOST_BLOCKS, EXPONENT = 1 << 16, 1 << 19, 0.7
 
 
 def weigh(sizes: DataFrame, weights: dict[str, float] | None, exponent: float) -> DataFrame:
@@ -36,42 +38,15 @@ def weigh(sizes: DataFrame, weights: dict[str, float] | None, exponent: float) -
     return sizes.select("source", "chars", given[F.col("source")].cast("double").alias("w")).where("w > 0")
 
 
-def units(weighed: DataFrame, period: int) -> DataFrame:
-    """source and units (whole, at least 1, `period` in all) of each source; weighed: source, w."""
-    every, ranked = Window.partitionBy(), Window.partitionBy().orderBy(F.desc("part"), "source")
-    spare = F.lit(period) - F.count("*").over(every)
-    share = weighed.withColumn("share", F.col("w") / F.sum("w").over(every) * spare)
-    share = share.select("source", F.floor("share").alias("whole"), (F.col("share") - F.floor("share")).alias("part"))
-    extra = F.lit(period) - F.sum(F.col("whole") + 1).over(every)
-    more = F.when(F.row_number().over(ranked) <= extra, 1).otherwise(0)
-    return share.select("source", (F.col("whole") + 1 + more).cast("int").alias("units"))
-
-
-def template(source_units: DataFrame, period: int) -> DataFrame:
-    """source, units, k, slot: the k-th block of each source in a period and its slot, by earliest deadline first."""
-    ordered = source_units.agg(F.array_sort(F.collect_list(F.struct("source", "units"))).alias("s"))
-    # The fold keeps how many blocks each source has run and the source of each slot so far.
-    fold = f"""
-        aggregate(sequence(0, {period - 1}), named_struct('ran', array_repeat(0, size(s)), 'slots', cast(array() as array<int>)),
-          (a, t) -> element_at(transform(array(array_min(transform(s, (x, i) ->
-            if(a.ran[i] < x.units and a.ran[i] * {period} div x.units <= t,
-               named_struct('deadline', cast((a.ran[i] + 1) * {period} + x.units - 1 as bigint) div x.units, 'i', i), named_struct('deadline', 9223372036854775807L, 'i', -1))))),
-            p -> named_struct('ran', transform(a.ran, (n, i) -> if(i = p.i, n + 1, n)), 'slots', array_append(a.slots, p.i))), 1),
-          a -> a.slots)"""
-    slots = ordered.where(f"size(s) between 1 and {period}").select("s", F.posexplode(F.expr(fold)).alias("slot", "i"))
-    k = F.row_number().over(Window.partitionBy("i").orderBy("slot")) - 1
-    return slots.select(F.expr("s[i].source").alias("source"), F.expr("s[i].units").alias("units"), k.alias("k"), "slot")
-
-
-def schedule(weighed: DataFrame, block_chars: int, more_than: int = 0) -> DataFrame:
-    """source, pace (slots from one block to the next), slots (of all its blocks), if sources are more than `more_than`.
+def schedule(weighed: DataFrame, block_chars: int) -> DataFrame:
+    """source, pace (slots from one block to the next), slots (of all its blocks).
 
     The fold keeps the next block of each source that has one, the blocks run and the weight of these sources, and where
     each slot went: a list of lists, as appending copies the list.
     """
     n = F.greatest(F.expr(f"(chars + {block_chars - 1}) div {block_chars}"), F.lit(1)).cast("int").alias("n")
     ordered = weighed.select("source", F.col("w").cast("double").alias("w"), n).agg(F.array_sort(F.collect_list(F.struct("source", "w", "n"))).alias("s"))
-    ordered = ordered.where(f"size(s) > {more_than}").select("s", F.expr("aggregate(s, 0D, (a, x) -> a + x.w)").alias("w"), F.expr("aggregate(s, 0L, (a, x) -> a + x.n)").alias("blocks"))
+    ordered = ordered.where("size(s) > 0").select("s", F.expr("aggregate(s, 0D, (a, x) -> a + x.w)").alias("w"), F.expr("aggregate(s, 0L, (a, x) -> a + x.n)").alias("blocks"))
     step, state = 1000, "array<struct<deadline:double,release:double,i:int,k:int>>"
     # A block is released in slot t if its release is below t + 1; without ones run dry, t is the sum of blocks run.
     one = f"""
@@ -92,38 +67,31 @@ def schedule(weighed: DataFrame, block_chars: int, more_than: int = 0) -> DataFr
     return slots.groupBy("source").agg(F.first("pace").alias("pace"), F.sort_array(F.collect_list("slot")).alias("slots"))
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, period: int | None = None, block_chars: int = BLOCK_CHARS, exponent: float = EXPONENT, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS, most_blocks: int = MOST_BLOCKS, exponent: float = EXPONENT, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """id, source, block, release, deadline, slot and in_mix of every document."""
     source = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), source.alias("source"), F.coalesce(F.length(text_col), F.lit(0)).cast("long").alias("chars"))
+    rows = shared.written(rows, "sizes")
     rows = rows.withColumn("place", F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))).withColumn("bucket", F.substring("place", 1, 3))
     order = Window.partitionBy("source", "bucket").orderBy("place", "id", "chars")
-    rows = rows.withColumn("within", F.sum("chars").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("chars"))
+    within = rows.withColumn("within", F.sum("chars").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("chars"))
 
-    sums = docs.select(source.alias("source"), F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, 3).alias("bucket"), F.coalesce(F.length(text_col), F.lit(0)).cast("long").alias("chars"))
-    sums = sums.groupBy("source", "bucket").agg(F.sum("chars").alias("chars"))
+    sums = rows.groupBy("source", "bucket").agg(F.sum("chars").alias("chars"))
     before = F.sum("chars").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sums.select("source", "bucket", F.coalesce(before, F.lit(0)).alias("before"))
-    placed = rows.join(offsets, ["source", "bucket"]).withColumn("block", F.expr(f"(before + within) div {block_chars}"))
+    total = sums.agg(F.sum("chars")).first()[0] or 0
+    block_chars = max(block_chars, -(-total // most_blocks))
+    placed = within.join(offsets, ["source", "bucket"]).withColumn("block", F.expr(f"(before + within) div {block_chars}"))
 
     weighed = weigh(sums.groupBy("source").agg(F.sum("chars").alias("chars")), weights, exponent)
-    held = schedule(weighed, block_chars, period or 0)
-    held = held.select("source", F.size("slots").cast("long").alias("units"), F.lit(None).cast("long").alias("period"), "pace", "slots", (F.array_max("slots") + 1).alias("end"))
-    if period is not None:
-        plan = template(units(weighed, period), period).groupBy("source").agg(F.first("units").cast("long").alias("units"), F.sort_array(F.collect_list(F.col("slot").cast("long"))).alias("slots"))
-        n = F.expr(f"(chars + {block_chars - 1}) div {block_chars}")
-        end = F.expr(f"n div units * {period} + slots[cast(n % units as int)]")
-        plan = plan.join(weighed.select("source", n.alias("n")), "source").select("source", "units", F.lit(period).cast("long").alias("period"), F.lit(None).cast("double").alias("pace"), "slots", end.alias("end"))
-        held = plan.unionByName(held)
-    held = held.withColumn("horizon", F.min("end").over(Window.partitionBy()))
-    # Bounded by the period, or a few bytes a block of text.
+    held = schedule(weighed, block_chars).withColumn("horizon", F.min(F.array_max("slots") + 1).over(Window.partitionBy()))
+    # A few bytes a block, of which there are at most most_blocks and one for each source.
     found = placed.join(F.broadcast(held), "source", "left")
     # Empty texts behind the last character lie in the last block.
-    block = F.when(F.col("pace").isNotNull(), F.least("block", F.col("units") - 1)).otherwise(F.col("block"))
-    slot = F.expr("block div units * coalesce(period, 0) + slots[cast(block % units as int)]")
-    return found.withColumn("block", block).select(
+    found = found.withColumn("block", F.coalesce(F.least("block", F.size("slots").cast("long") - 1), "block"))
+    slot = F.expr("slots[cast(block as int)]")
+    return found.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "block",
-        F.expr("coalesce(block * period div units, cast(floor(block * pace) as bigint))").alias("release"),
-        F.expr("coalesce(((block + 1) * period + units - 1) div units, cast(ceil((block + 1) * pace) as bigint))").alias("deadline"),
+        F.floor(F.col("block") * F.col("pace")).alias("release"), F.ceil((F.col("block") + 1) * F.col("pace")).alias("deadline"),
         slot.alias("slot"), F.coalesce(slot < F.col("horizon"), F.lit(False)).alias("in_mix"),
     )

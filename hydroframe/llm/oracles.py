@@ -6,7 +6,7 @@ libraries themselves and by held-out accuracy.
 
 from __future__ import annotations
 
-from .mixing import BLOCK_CHARS, EXPONENT, PERIOD
+from .mixing import BLOCK_CHARS, EXPONENT, MOST_BLOCKS
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -34,26 +34,25 @@ from f group by conv_id
 OP5 = f"""
 with recursive d as (
   select doc_id, coalesce(source, '') as source, coalesce(length(text), 0) as chars, md5(coalesce(doc_id::varchar, '')) as place from documents
-), p as (
-  select *, ((sum(chars) over (partition by source order by place, doc_id nulls first, chars rows unbounded preceding) - chars) // {BLOCK_CHARS})::bigint as block from d
-), z as (select source, sum(chars) as chars, pow(greatest(sum(chars), 1)::double, {EXPONENT}) as w from d group by source),
-h as (select source, chars, w / sum(w) over () * ({PERIOD} - count(*) over ()) as share from z),
-r as (select *, row_number() over (order by share - floor(share) desc, source) as rank, {PERIOD} - sum(floor(share) + 1) over () as extra from h),
-u as (select source, chars, (floor(share) + 1 + (rank <= extra)::int)::bigint as units, row_number() over (order by source) as i from r),
-g as (select list(units order by i) as us from u),
+), size as (select greatest({BLOCK_CHARS}, (sum(chars) + {MOST_BLOCKS} - 1) // {MOST_BLOCKS})::bigint as size from d),
+p as (
+  select *, ((sum(chars) over (partition by source order by place, doc_id nulls first, chars rows unbounded preceding) - chars) // size)::bigint as b from d, size
+), z as (select source, greatest((sum(chars) + any_value(size) - 1) // any_value(size), 1)::bigint as n, pow(greatest(sum(chars), 1)::double, {EXPONENT}) as w from d, size group by source),
+u as (select *, row_number() over (order by source) as i from z),
+g as (select list(w order by i) as ws, list(n order by i) as ns, list_reduce(list(w order by i), lambda a, b: a + b) as whole, sum(n)::bigint as blocks from u),
 edf as (
-  select 0::bigint as t, us, list_transform(us, lambda x: 0::bigint) as ran, 0::bigint as pick from g
+  select 0::bigint as t, ws, ns, blocks, list_transform(ns, lambda x: 0::bigint) as ran, whole as w, 0::bigint as run, 0::bigint as pick from g
   union all
-  select t + 1, us, list_transform(ran, lambda n, i: n + (i = pick)::bigint), pick from (
-    select t, us, ran, list_min(list_transform(us, lambda x, i: case when ran[i] < x and ran[i] * {PERIOD} // x <= t
-      then ((ran[i] + 1) * {PERIOD} + x - 1) // x * 100000 + i else 9000000000000000 end)) % 100000 as pick from edf where t < {PERIOD})
+  select t + 1, ws, ns, blocks, list_transform(ran, lambda k, i: k + (i = pick)::bigint), case when ran[pick] + 1 >= ns[pick] then w - ws[pick] else w end,
+    case when ran[pick] + 1 >= ns[pick] then run - ran[pick] else run + 1 end, pick
+  from (
+    select * exclude (pick, next), coalesce(list_min(list_filter(next, lambda x: x.released < (run + 1) / w)), list_min(next)).i as pick from (
+      select *, list_filter(list_transform(ran, lambda k, i: case when k < ns[i] then {{'deadline': (k + 1) / ws[i], 'released': k / ws[i], 'i': i}} end), lambda x: x is not null) as next from edf where t < blocks))
 ), s as (select pick as i, t - 1 as slot, row_number() over (partition by pick order by t) - 1 as k from edf where t > 0),
-q as (select u.source, u.units, s.k, s.slot from s join u using (i)),
-n as (select source, units, (chars + {BLOCK_CHARS} - 1)::bigint // {BLOCK_CHARS} as n from u),
-hz as (select min(n.n // n.units * {PERIOD} + q.slot) as horizon from n join q on q.source = n.source and q.k = n.n % n.units)
-select p.doc_id, p.source, p.block, p.block * {PERIOD} // q.units as release, ((p.block + 1) * {PERIOD} + q.units - 1) // q.units as deadline,
-  p.block // q.units * {PERIOD} + q.slot as slot, p.block // q.units * {PERIOD} + q.slot < hz.horizon as in_mix
-from p join q on q.source = p.source and q.k = p.block % q.units cross join hz
+hz as (select min(last) as horizon from (select max(slot) + 1 as last from s group by i)),
+q as (select p.doc_id, p.source, least(p.b, u.n - 1) as block, u.i, g.whole / u.w as pace from p join u using (source) cross join g)
+select q.doc_id, q.source, q.block, floor(q.block * q.pace)::bigint as release, ceil((q.block + 1) * q.pace)::bigint as deadline, s.slot, s.slot < hz.horizon as in_mix
+from q join s on s.i = q.i and s.k = q.block cross join hz
 """
 
 OP6 = """

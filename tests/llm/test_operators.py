@@ -1,6 +1,7 @@
 """Each operator against a brute-force version on awkward texts, and on empty tables, nulls and repeated rows."""
 
 import random
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -197,35 +198,36 @@ def test_top_k(spark):
     assert top_k.top_k(whole.limit(0), whole.limit(0)).count() == 0
 
 
-def brute_schedule(units, period):
-    ran, out = [0] * len(units), []
-    for t in range(period):
-        ready = [(-(-(n + 1) * period // u), i) for i, (n, u) in enumerate(zip(ran, units, strict=True)) if n < u and n * period // u <= t]
-        out.append(min(ready)[1])
+def brute_schedule(weights, blocks):
+    """Earliest deadline first among released blocks, by exact fractions."""
+    w = [Fraction(x) for x in weights]
+    whole, ran, out = sum(w), [0] * len(w), []
+    for t in range(blocks):
+        ready = [((n + 1) * whole / x, n * whole / x, i) for i, (n, x) in enumerate(zip(ran, w, strict=True)) if n * whole / x < t + 1]
+        out.append(min(ready)[-1])
         ran[out[-1]] += 1
     return out
 
 
-@pytest.mark.parametrize("units", [[1], [5, 3, 2], [90, *[1] * 10], [33, 33, 34], [1, 99]])
-def test_schedule_stays_within_a_block(spark, units):
-    period = sum(units)
-    sources = spark.createDataFrame([(f"s{i:02}", u) for i, u in enumerate(units)], "source string, units int")
-    plan = mixing.template(sources, period).orderBy("slot").toPandas()
-    expected = brute_schedule(units, period)
-    assert [int(s[1:]) for s in plan.source] == expected
-    for i, u in enumerate(units):
-        given = np.cumsum(np.array(expected) == i)
-        assert np.abs(given - np.arange(1, period + 1) * u / period).max() < 1
+@pytest.mark.parametrize("weights", [[1], [5, 3, 2], [90, *[1] * 10], [33, 33, 34], [1, 99]])
+def test_schedule_is_earliest_deadline_first(spark, weights):
+    blocks = 3 * sum(weights)
+    found = mixing.schedule(sized_sources(spark, [6 * w for w in weights], weights), 10).toPandas()
+    order = np.full(2 * blocks, -1)
+    for s, slots in zip(found.source, found.slots, strict=True):
+        order[list(slots)] = int(s[1:])
+    assert order[:blocks].tolist() == brute_schedule(weights, blocks)
 
 
 def test_mixing(docs, rows, empty):
-    out = mixing.mix(docs, period=50, block_chars=500).toPandas()
+    out = mixing.mix(docs, block_chars=500).toPandas()
     assert len(out) == len(rows) and out.in_mix.any() and not out.in_mix.all()
-    assert ((out.release <= out.slot) & (out.slot < out.deadline)).all()
+    mixed = out[out.in_mix]
+    assert ((mixed.release <= mixed.slot) & (mixed.slot < mixed.deadline)).all()
     one = out.groupby("source").block.max()
     assert (one >= 0).all() and out.groupby(["source", "block"]).slot.nunique().max() == 1
     assert out.groupby("slot").source.nunique().max() == 1
-    given = mixing.mix(docs, {"s0": 3.0, "s1": 1.0}, period=20, block_chars=500).toPandas()
+    given = mixing.mix(docs, {"s0": 3.0, "s1": 1.0}, block_chars=500).toPandas()
     assert set(given[given.slot.notna()].source) == {"s0", "s1"} and not given[given.slot.isna()].in_mix.any()
     assert mixing.mix(empty).count() == 0
 
@@ -264,13 +266,18 @@ def test_given_weights_are_followed(spark):
     assert np.abs(np.cumsum(found.source == "a") - np.arange(1, len(found) + 1) * 0.9).max() < 1 + 1e-9
 
 
-@pytest.mark.parametrize("period", [None, mixing.PERIOD])
-def test_more_sources_than_a_period(spark, period):
+def test_many_sources(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", "repeat('x', 50) as text", "concat('s', id % 1200) as source")
-    found = mixing.mix(docs, period=period, block_chars=50).toPandas()
+    found = mixing.mix(docs, block_chars=50).toPandas()
     assert len(found) == 3000 and sorted(found.slot) == list(range(3000)) and found.in_mix.any()
 
 
+def test_blocks_are_bounded(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat('x', 50) as text", "concat('s', id % 3) as source")
+    found = mixing.mix(docs, block_chars=50, most_blocks=300).toPandas()
+    assert found.slot.nunique() == 300 and sorted(found.slot.unique()) == list(range(300))
+
+
 def test_the_mixing_stage_keeps_every_row(spark):
     rows = [(i, "x" * 40_000, "hot" if i < 60 else "" if i == 60 else f"s{i % 7}") for i in range(100)] + [(None, "y", None), (3, "z", "s1"), (101, None, "s2")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
