@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from . import shared, words
 
 BUCKETS, MANTISSA, BAND, SMALL, SLACK, LEAST_FOR_ESTIMATE = 128, 10, 4, 8, 0.25, 128
-TURNS, MEMBERS_PER_TASK = 2, 64
+TURNS, MEMBERS_PER_TASK = 2, 32
 U = np.uint64
 _LOOK = np.stack([np.random.default_rng(1000 + k).permutation(BUCKETS) for k in range(BUCKETS)])
 
