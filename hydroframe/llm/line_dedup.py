@@ -250,7 +250,8 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("key"), F.xxhash64(F.lit("second"), F.col(id_col), text).alias("key2"))
     counts = shared.written(line_counts(rows.select("text")), "line-counts")
     n_keys, hot = hot_lines(counts)
-    shards = max(1, -(-n_keys // shard_keys))
+    # At least one shard for each task, so that probes go to all of them.
+    shards = max(shared.partitions(docs.sparkSession), -(-n_keys // shard_keys))
     index_rows = shared.written(index(counts, shards), "line-index")
     gone = shared.written(dropped(rows.select("key", "key2", "text"), index_rows, shards, hot, min_docs), "dropped-lines")
     # The same plan at every size: texts meet the few numbers by a merge join.
