@@ -193,9 +193,9 @@ def order_by_time(df: DataFrame, keys: list[str], ts: str, ties: list[str]) -> D
     return df.orderBy(*keys, ts, *ties)
 
 
-def last_n(df: DataFrame, ts: str, n: int = 20) -> DataFrame:
-    """The last n rows by time; a report, so the limit is its purpose."""
-    return df.orderBy(F.desc(ts)).limit(n)
+def last_n(df: DataFrame, ts: str, n: int = 20, ties: list[str] | None = None) -> DataFrame:
+    """The last n rows by time and tie-breakers; a report, so the limit is its purpose."""
+    return df.orderBy(*[F.desc(c) for c in [ts, *(ties or [])]]).limit(n)
 
 
 def separator_rows(df: DataFrame, keys: list[str], us: str, frequency: float | None = None) -> DataFrame:

@@ -7,13 +7,22 @@ from pyspark.sql import functions as F
 from ..operators import derived
 from ..sources.series import events
 from .filters import E, P, positions
-from .joins import points, views
+from .joins import _PT, _V, points, views
 from .registry import register
 from .stats import rounded
 from .windows import _HOLED
 
 
-@register("j08_nav_columns_for_samples")
+@register(
+    "j08_nav_columns_for_samples",
+    f"""with v as (select device, us, value as y, (us - lag(us) over w) / 1e6 as h0, (lead(us) over w - us) / 1e6 as h1, value - lag(value) over w as e0, lead(value) over w - value as e1 from {_V} window w as (partition by device order by us)),
+    s as (select *, e0 / h0 as d0, e1 / h1 as d1 from v),
+    m as (select device, us, y, case when d0 is null then d1 when d1 is null then d0 when d0 * d1 > 0 then 3 * (h0 + h1) / ((2 * h1 + h0) / d0 + (h1 + 2 * h0) / d1) else 0 end as m from s),
+    a as (select p.event_id, p.device, p.us, m.us as pu, m.y as py, m.m as pm from {_PT} p asof left join m on p.device = m.device and p.us >= m.us),
+    b as (select a.*, m.us as nu, m.y as ny, m.m as nm from a asof left join m on a.device = m.device and a.us <= m.us),
+    t as (select *, (nu - pu) / 1e6 as h, (us - pu) / nullif(nu - pu, 0)::double as s from b)
+    select event_id, round(case when nu = pu then py when nu > pu then py * (1 + 2 * s) * (1 - s) * (1 - s) + h * pm * s * (1 - s) * (1 - s) + ny * s * s * (3 - 2 * s) + h * nm * s * s * (s - 1) end, 6) as nav_value from t""",
+)
 def j08(spark, d):
     return rounded(derived.nav_columns_for_samples(points(spark, d), views(spark, d), ["device"], "us", ["value"]).select("event_id", "nav_value"))
 

@@ -54,15 +54,8 @@ def j04(spark, d):
     return joins.bucketed_intervals(events(spark, d), "us", day_spans(spark, d), "Time_st", "Time_en", ["device"]).select("event_id", "Time_st")
 
 
-@register("j05_runs_for_points", f"select distinct r.event_id as run from {E} r join (select us from {E} where kind = 'purchase' and event_id % 10 = 0) p on r.us >= p.us and r.us < p.us + 3600000000 where r.kind = 'view'")
+@register("j05_runs_for_points", f"select distinct r.event_id as run from {E} r join (select us from {E} where kind = 'purchase') p on r.us >= p.us and r.us < p.us + 3600000000 where r.kind = 'view'")
 def j05(spark, d):
-    runs = events(spark, d).where("kind = 'view'").select(F.col("event_id").alias("run"), F.col("us").alias("start"))
-    picked = points(spark, d).where("event_id % 10 = 0").select("us")
-    return joins.runs_for_points(picked, runs, "us", "start", 3_600_000_000).select("run")
-
-
-@register("j05_runs_for_points_whole", f"select distinct r.event_id as run from {E} r join (select us from {E} where kind = 'purchase') p on r.us >= p.us and r.us < p.us + 3600000000 where r.kind = 'view'")
-def j05_whole(spark, d):
     runs = events(spark, d).where("kind = 'view'").select(F.col("event_id").alias("run"), F.col("us").alias("start"))
     return joins.runs_for_points(points(spark, d).select("us"), runs, "us", "start", 3_600_000_000).select("run")
 
@@ -111,14 +104,8 @@ def j12(spark, d):
     return joins.match_profiles_to_route(points(spark, d), route, "us", "device").select("event_id", "route_point_no")
 
 
-@register("j13_moving_anchor", f"select x.event_id, a.lat as anchor_lat, a.lon as anchor_lon from {E} x asof left join (select us, lat, lon from {P} where event_id % 50 = 0) a on x.us >= a.us")
+@register("j13_moving_anchor", f"select x.event_id, a.lat as anchor_lat, a.lon as anchor_lon from {E} x asof left join (select us, lat, lon from {P} where kind = 'purchase') a on x.us >= a.us")
 def j13(spark, d):
-    anchors = positions(events(spark, d)).where("event_id % 50 = 0").select("us", "lat", "lon")
-    return joins.moving_anchor(events(spark, d).select("event_id", "us"), anchors, "us").select("event_id", "anchor_lat", "anchor_lon")
-
-
-@register("j13_moving_anchor_whole", f"select x.event_id, a.lat as anchor_lat, a.lon as anchor_lon from {E} x asof left join (select us, lat, lon from {P} where kind = 'purchase') a on x.us >= a.us")
-def j13_whole(spark, d):
     """Every purchase sets the anchor."""
     anchors = positions(events(spark, d)).where("kind = 'purchase'").select("us", "lat", "lon")
     return joins.moving_anchor(events(spark, d).select("event_id", "us"), anchors, "us").select("event_id", "anchor_lat", "anchor_lon")
@@ -133,21 +120,8 @@ def j14(spark, d):
     return joins.nearest_grid_cells(positions(events(spark, d)), grid, "lat", "lon", (55, 20), 0.001).select("event_id", "p_partkey")
 
 
-@register(
-    "j15_nearest_point",
-    f"""with n as (select o_orderkey as node, o_totalprice / 1000 as x, (o_orderkey % 1000) * 0.3 as y from orders where o_orderkey % 20 = 0), p as (select event_id, value * 5 as x, (event_id % 300) * 1.0 as y from {E} where kind = 'purchase' and event_id % 4 = 0),
-    r as (select event_id, node, sqrt(pow(n.x - p.x, 2) + pow(n.y - p.y, 2)) as d, row_number() over (partition by event_id order by sqrt(pow(n.x - p.x, 2) + pow(n.y - p.y, 2)), node) as k from p join n on sqrt(pow(n.x - p.x, 2) + pow(n.y - p.y, 2)) <= 160)
-    select event_id, node, round(d, 6) as distance from r where k = 1""",
-)
+@register("j15_nearest_point")
 def j15(spark, d):
-    nodes = table(spark, d, "orders").where("o_orderkey % 20 = 0").select(F.col("o_orderkey").alias("node"), (F.col("o_totalprice") / 1000).cast("double").alias("x"), ((F.col("o_orderkey") % 1000) * F.lit(0.3)).alias("y"))
-    pts = events(spark, d).where("kind = 'purchase' and event_id % 4 = 0").select("event_id", (F.col("value") * 5).alias("x"), ((F.col("event_id") % 300) * F.lit(1.0)).alias("y"))
-    found = joins.nearest_point(pts, nodes, "x", "y", 20.0, "event_id", "node").where("distance <= 160")
-    return found.select("event_id", "node", F.round("distance", 6).alias("distance"))
-
-
-@register("j15_nearest_point_whole")
-def j15_whole(spark, d):
     """All purchases and all orders; a theta join of these is too slow for SQL, so tests compare with brute force."""
     nodes = table(spark, d, "orders").select(F.col("o_orderkey").alias("node"), (F.col("o_totalprice") / 1000).cast("double").alias("x"), ((F.col("o_orderkey") % 1000) * F.lit(0.3)).cast("double").alias("y"))
     pts = events(spark, d).where("kind = 'purchase'").select("event_id", (F.col("value") * 5).alias("x"), ((F.col("event_id") % 300) * F.lit(1.0)).cast("double").alias("y"))

@@ -184,7 +184,22 @@ def m15(spark, d):
     return df.select("event_id", F.round(times.from_matlab(matlab) / 1e6).cast("long").alias("from_matlab"), F.round(times.year_fraction(F.col("ts")), 8).alias("year"), times.zone_view(F.col("us"), 2).alias("local"))
 
 
-@register("m16_utm_inverse")
+def _utm_sql() -> str:
+    """The Krueger series written out for zone 34."""
+    n = 1 / (2 * 298.257223563 - 1)
+    radius = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = [n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480]
+    delta = [2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15]
+    sinh, cosh = "((exp({0}) - exp(-({0}))) / 2)", "((exp({0}) + exp(-({0}))) / 2)"
+    xi = "xi" + "".join(f" - {b!r} * sin({2 * j} * xi) * {cosh.format(f'{2 * j} * eta')}" for j, b in enumerate(beta, 1))
+    eta = "eta" + "".join(f" - {b!r} * cos({2 * j} * xi) * {sinh.format(f'{2 * j} * eta')}" for j, b in enumerate(beta, 1))
+    lat = "chi" + "".join(f" + {c!r} * sin({2 * j} * chi)" for j, c in enumerate(delta, 1))
+    return f"""with a as (select event_id, (6095000.0 + (lat - 55) * 111000) / {0.9996 * radius!r} as xi, (lon - 20) * 64000 / {0.9996 * radius!r} as eta from {P}),
+    b as (select event_id, {xi} as xi, {eta} as eta from a), c as (select *, asin(sin(xi) / {cosh.format("eta")}) as chi from b)
+    select event_id, round(degrees({lat}), 8) as lat, round(degrees(atan2({sinh.format("eta")}, cos(xi))) + 21, 8) as lon from c"""
+
+
+@register("m16_utm_inverse", _utm_sql())
 def m16(spark, d):
     p = positions(events(spark, d)).withColumns({"x": 500000 + (F.col("lon") - 20) * 64000, "y": F.lit(6_095_000.0) + (F.col("lat") - 55) * 111000})
     return p.select("event_id", *[F.round(c, 8).alias(n) for n, c in geo.utm_inverse(F.col("x"), F.col("y")).items()])

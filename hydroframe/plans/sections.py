@@ -30,7 +30,17 @@ def g01(spark, d):
     return out.select("device", "event_id", "section")
 
 
-@register("g02_section_distance")
+_STEP = "sqrt(pow(radians({1} - {0}) * 6371000 * cos(radians(({2} + {3}) / 2)), 2) + pow(radians({3} - {2}) * 6371000, 2))"
+
+
+@register(
+    "g02_section_distance",
+    f"""with a as (select *, lag(lon) over w as lo0, lag(lat) over w as la0, lead(lon) over w as lo1, lead(lat) over w as la1, cos(radians(lat)) as sc from {P} window w as (partition by device order by us)),
+    b as (select *, coalesce({_STEP.format("lo0", "lon", "la0", "lat")}, 0) / 1000 as step, (coalesce(lo1, 2 * lon - lo0) - lon) * sc as dx, coalesce(la1, 2 * lat - la0) - lat as dy from a),
+    c as (select *, sum(step) over (partition by device order by us) as distance, coalesce((0.002 * sc * dx + 0.001 * dy) / nullif(dx * dx + dy * dy, 0), 0) as t from b),
+    e as (select *, lon + dx * t / sc as fx, lat + dy * t as fy from c)
+    select event_id, round(distance, 6) as distance, round(distance + coalesce({_STEP.format("lon", "fx", "lat", "fy")} / 1000 * sign(t * (dx * dx + dy * dy)), 0), 6) as distance_en from e""",
+)
 def g02(spark, d):
     p = positions(events(spark, d)).withColumns({"lat_en": F.col("lat") + 0.001, "lon_en": F.col("lon") + 0.002})
     return rounded(sections.section_distance(p, ["device"], "us", "lat", "lon", "lat_en", "lon_en").select("event_id", "distance", "distance_en"))
@@ -48,11 +58,11 @@ def g04(spark, d):
     return rounded(sections.clean_depth_line(df, ["device"], ["us"], "depth", 1.5, 0.5, 200, [(2.5, 11)]).select("event_id", "depth"))
 
 
-@register("g05_merge_cast_depth", f"with l as (select device, event_id * 1.0 as x, value as d from {E} where event_id % 2 = 0), c as (select device, event_id + 0.25 as x, value + 50 as d from {E} where event_id % 5 = 0) select device, x, d as depth from l union all select device, x, d from c where not exists (select 1 from l where l.device = c.device and abs(l.x - c.x) < 0.5 and abs(l.d - c.d) <= 50 * abs(l.x - c.x) + 1)")
+@register("g05_merge_cast_depth", f"with l as (select device, event_id * 1.0 as x, value as d from {E} where kind <> 'error'), c as (select device, event_id + 0.25 as x, value + 50 as d from {E} where kind = 'error') select device, x, d as depth from l union all select device, x, d from c where not exists (select 1 from l where l.device = c.device and abs(l.x - c.x) < 0.5 and abs(l.d - c.d) <= 50 * abs(l.x - c.x) + 1)")
 def g05(spark, d):
     df = events(spark, d)
-    line = df.where("event_id % 2 = 0").select("device", (F.col("event_id") * F.lit(1.0)).alias("x"), F.col("value").alias("depth"))
-    casts = df.where("event_id % 5 = 0").select("device", (F.col("event_id") + F.lit(0.25)).alias("x"), (F.col("value") + 50).alias("depth"))
+    line = df.where("kind <> 'error'").select("device", (F.col("event_id") * F.lit(1.0)).alias("x"), F.col("value").alias("depth"))
+    casts = df.where("kind = 'error'").select("device", (F.col("event_id") + F.lit(0.25)).alias("x"), (F.col("value") + 50).alias("depth"))
     return sections.merge_cast_depth(line, casts, ["device"], "x", "depth")
 
 

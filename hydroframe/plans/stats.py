@@ -209,7 +209,11 @@ def a20(spark, d):
     return stats.angular_fit_apply(v, stats.angular_fit(v, ["kind"], "dir", "to"), ["kind"], "dir").select("event_id", F.round("fitted", 4).alias("fitted"))
 
 
-@register("a21_zeroing_rotation")
+@register(
+    "a21_zeroing_rotation",
+    f"""with m as (select label, avg(ax) as a, avg(ay) as b, avg(az) as c from {_G} group by 1), r as (select *, sqrt(a * a + b * b + c * c) as r from m), n as (select label, a / r as x, b / r as y, c / r as z, 1 / (1 + c / r) as k from r)
+    select vec_id, round((1 - k * x * x) * ax - k * x * y * ay - x * az, 6) as ax, round(-k * x * y * ax + (1 - k * y * y) * ay - y * az, 6) as ay, round(x * ax + y * ay + z * az, 6) as az from {_G} join n using (label)""",
+)
 def a21(spark, d):
     v = vectors3(spark, d)
     return stats.rotate_by(v, stats.zeroing_rotation(v, ["label"], ["ax", "ay", "az"]), ["label"], ["ax", "ay", "az"]).select("vec_id", *[F.round(c, 6).alias(c) for c in ("ax", "ay", "az")])

@@ -42,7 +42,10 @@ def s04(spark, d):
     return good.where(F.length(F.substring_index("line", ";", 1)) > 4)
 
 
-@register("s05_device_line_rules")
+@register(
+    "s05_device_line_rules",
+    f"select event_id, strftime(ts, '%Y,%-m,%-d,%-H,%-M,%-S') || ',1,2,3,' || printf('%.2f', value) as line from {E} union all select event_id, '2024,1,1,0,0,0,1,2,3,5.00' from {E} where event_id % 10 = 0",
+)
 def s05(spark, d):
     df = events(spark, d).select("event_id", F.concat(F.date_format("ts", "yyyy,M,d,H,m,s"), F.lit(",1,2,3,"), F.format_string("%.2f", "value"), F.when(F.col("event_id") % 10 == 0, "2024,1,1,0,0,0,1,2,3,5.00").otherwise("")).alias("line"))
     return files.device_line_rules(df, "line", "inclinometer_text")[0]
@@ -123,17 +126,17 @@ def s18(spark, d):
     return spark.read.schema("event_id bigint, Pressure double").option("sep", "\t").option("header", True).csv(path)
 
 
-@register("s19_write_and_read_gpx", f"select device::varchar as track, us // {DAY} as segment, us // 1000000 as time_s, round(lat, 6) as lat from {P}")
+@register("s19_write_and_read_gpx", f"select device::varchar as track, us // {DAY} as segment, us // 1000000 as time_s, round(lat, 6) as lat, round(value, 2) as ele from {P}")
 def s19(spark, d):
     path = folder(spark, "gpx")
-    p = positions(events(spark, d)).select(F.col("device").cast("string").alias("track"), F.expr(f"us div {DAY}").alias("segment"), F.col("ts").alias("Time"), F.round("lat", 6).alias("Lat"), F.col("lon").alias("Lon"), F.col("kind").alias("name"))
-    sinks.write_gpx(p.select("name", "Time", "Lat", "Lon"), p, path)
+    p = positions(events(spark, d)).select(F.col("device").cast("string").alias("track"), F.expr(f"us div {DAY}").alias("segment"), F.col("ts").alias("Time"), F.round("lat", 6).alias("Lat"), F.col("lon").alias("Lon"), F.round("value", 2).alias("ele"), F.col("kind").alias("name"))
+    sinks.write_gpx(p.select("name", "Time", "Lat", "Lon", "ele"), p, path)
     days = p.select("track", "segment").distinct()
     from pyspark.sql import Window
 
     days = days.withColumn("n", F.row_number().over(Window.partitionBy("track").orderBy("segment")) - 1)
     tracks = files.read_gpx(spark, f"{path}/tracks")["tracks"]
-    return tracks.join(days.withColumnRenamed("segment", "day"), (tracks.track == days.track) & (tracks.segment == F.col("n"))).select(tracks.track, F.col("day").alias("segment"), F.unix_seconds("Time").alias("time_s"), F.col("Lat").alias("lat"))
+    return tracks.join(days.withColumnRenamed("segment", "day"), (tracks.track == days.track) & (tracks.segment == F.col("n"))).select(tracks.track, F.col("day").alias("segment"), F.unix_seconds("Time").alias("time_s"), F.col("Lat").alias("lat"), "ele")
 
 
 def by_day(spark, d):
@@ -143,22 +146,41 @@ def by_day(spark, d):
 _DAYS = f"(select *, 'day' || (us // {DAY}) as file from {E})"
 
 
-@register("s20_append_with_log", f"select file as \"fileName\", min(us) as \"Time_st\", max(us) as \"Time_en\", count(*) as rows from {_DAYS} group by 1")
+@register("s20_append_with_log", f"select file as \"fileName\", min(us) as \"Time_st\", max(us) as \"Time_en\", count(*) as rows, max(us) // 1000 as \"fileChangeTime\" from {_DAYS} group by 1")
 def s20(spark, d):
     root = folder(spark, "append")
     for half in (0, 1):
-        part = by_day(spark, d).where(f"us div {DAY} % 2 = {half}")
-        sinks.append_with_log(part, "fileName", "us", f"{root}/data", f"{root}/log", ["fileName"])
+        part = by_day(spark, d).where(f"us div {DAY} % 2 = {half}").withColumn("changed", F.expr("us div 1000"))
+        sinks.append_with_log(part, "fileName", "us", f"{root}/data", f"{root}/log", ["fileName"], "changed")
     return spark.read.parquet(f"{root}/log")
 
 
-@register("s21_incremental_ingest", f"select event_id, case when (us // {DAY}) % 4 = 1 then value else value + 100 end as value from {_DAYS}")
-def s21(spark, d):
+_CHANGED = f"select event_id, case when (us // {DAY}) % 4 = 1 then value else value + 100 end as value from {_DAYS}"
+
+
+def _changed_files(spark, d):
+    """What is stored (odd days), the listing, the log (every second of these days has the newer change time) and fresh rows."""
     fresh = by_day(spark, d).withColumn("value", F.col("value") + 100)
     listing = fresh.select("fileName", F.lit(200).alias("fileChangeTime")).distinct()
-    log = by_day(spark, d).where(f"us div {DAY} % 2 = 1").select("fileName", F.when(F.expr(f"us div {DAY} % 4 = 1"), 200).otherwise(100).alias("fileChangeTime")).distinct()
     stored = by_day(spark, d).where(f"us div {DAY} % 2 = 1")
-    return sinks.incremental_ingest(stored, listing, log, fresh).select("event_id", "value")
+    return stored.withColumn("changed", F.when(F.expr(f"us div {DAY} % 4 = 1"), 200).otherwise(100)), listing, fresh
+
+
+@register("s21_incremental_ingest", _CHANGED)
+def s21(spark, d):
+    stored, listing, fresh = _changed_files(spark, d)
+    log = stored.select("fileName", F.col("changed").alias("fileChangeTime")).distinct()
+    return sinks.incremental_ingest(stored.drop("changed"), listing, log, fresh).select("event_id", "value")
+
+
+@register("s21b_reload_changed_files", _CHANGED)
+def s21b(spark, d):
+    root = folder(spark, "reload")
+    stored, listing, fresh = _changed_files(spark, d)
+    sinks.append_with_log(stored, "fileName", "us", f"{root}/data", f"{root}/log", ["fileName"], "changed")
+    for _ in range(2):  # The second time nothing is left to load.
+        sinks.reload_changed_files(fresh, listing, f"{root}/data", f"{root}/log", "fileName", "us")
+    return spark.read.parquet(f"{root}/data").select("event_id", "value")
 
 
 @register("s22_replace_from_time", f"select event_id, case when us >= f then -value else value end as value from {E} join (select device, min(us) as f from {E} where us >= 1705276800000000 group by device) using (device) union all select event_id, value from {E} where device not in (select device from {E} where us >= 1705276800000000)")
@@ -210,9 +232,14 @@ def s30(spark, d):
     return files.coefficients_for(df.select("event_id", "device", "us"), coefs, ["device"], "us", ["Ag"]).select("event_id", F.col("Ag")[0][0].alias("k"))
 
 
-@register("s31_list_source_files")
+@register("s31_list_source_files", f"select 'day=' || (us // {DAY}) as day, count(*)::int as rows from {E} where us // {DAY} % 7 <> 0 group by 1")
 def s31(spark, d):
-    return files.list_source_files(spark, d, "*.parquet", bad="^(nation|region)").select("name", "length")
+    path = folder(spark, "listed")
+    days = events(spark, d).groupBy(F.expr(f"us div {DAY}").alias("day")).agg(F.array_join(F.collect_list(F.col("event_id").cast("string")), "\n").alias("value"))
+    days.repartition("day").write.partitionBy("day").text(path)
+    found = files.list_source_files(spark, path, "*.txt").where(F.regexp_extract("path", r"day=(\d+)", 1).cast("long") % 7 != 0)
+    text = spark.read.text(path).groupBy(F.concat(F.lit("day="), "day").alias("day")).agg(F.count("*").cast("int").alias("rows"))
+    return found.select(F.element_at(F.split("path", "/"), -2).alias("day")).join(text, "day")
 
 
 
@@ -267,12 +294,12 @@ def s06(spark, d):
     return files.zip_members(text.mapInPandas(packed, "path string, content binary"))
 
 
-@register("s07_read_gpx", f"select event_id::varchar as name, us // 1000000 as time_s, round(lat, 6) as lat, round(lon, 6) as lon from {P} where kind = 'purchase'")
+@register("s07_read_gpx", f"select event_id::varchar as name, us // 1000000 as time_s, round(lat, 6) as lat, round(lon, 6) as lon from {P}")
 def s07(spark, d):
     path = folder(spark, "waypoints")
-    p = positions(events(spark, d)).where("kind = 'purchase'")
+    p = positions(events(spark, d))
     points = p.select(F.col("event_id").cast("string").alias("name"), F.col("ts").alias("Time"), F.col("lat").alias("Lat"), F.col("lon").alias("Lon"))
-    sinks.write_gpx(points, points.select(F.col("name").alias("track"), F.lit(0).alias("segment"), "Time", "Lat", "Lon").limit(0), path)
+    sinks.write_gpx(points, points.select(F.col("name").alias("track"), F.lit(0).alias("segment"), "Time", "Lat", "Lon"), path)
     out = files.read_gpx(spark, f"{path}/waypoints")["waypoints"]
     return out.select("name", F.unix_seconds("Time").alias("time_s"), F.round("Lat", 6).alias("lat"), F.round("Lon", 6).alias("lon"))
 

@@ -147,25 +147,29 @@ def o01(spark, d):
     return windows.order_by_time(events(spark, d), ["device"], "us", ["event_id"]).select("device", "us", "event_id")
 
 
-@register("o02_last_n", f"select event_id from {E} where kind = 'error' order by us desc limit 20")
+@register("o02_last_n", f"select event_id from {E} order by us desc, event_id desc limit 20")
 def o02(spark, d):
-    return windows.last_n(events(spark, d).where("kind = 'error'"), "us", 20).select("event_id")
+    return windows.last_n(events(spark, d), "us", 20, ["event_id"]).select("event_id")
+
+
+#: The kinds of events, of which each is a deployment or a list.
+_KINDS = ("click", "error", "purchase", "signup", "view")
 
 
 @register(
     "o03_stack_deployments",
-    f"""with p as (select kind, us, value::float as value, (kind = 'view')::int as deployment from {E} where kind in ('view', 'click')), s as (select *, us - lag(us) over (partition by deployment order by us) as st from p)
+    f"""with p as (select kind, us, value::float as value, (list_position({list(_KINDS)}, kind) - 1)::int as deployment from {E}), s as (select *, us - lag(us) over (partition by deployment order by us) as st from p)
     select kind, us, value, deployment from p union all select kind, max(us) + max_by(st, us) // 2, null, deployment from s group by kind, deployment""",
 )
 def o03(spark, d):
     df = events(spark, d)
-    return windows.stack_deployments([df.where("kind = 'click'"), df.where("kind = 'view'")], ["kind"], "us", ["value"])
+    return windows.stack_deployments([df.where(F.col("kind") == k) for k in _KINDS], ["kind"], "us", ["value"])
 
 
-@register("o04_union_station_lists", f"select event_id, us, value from {E} where kind in ('view', 'click')")
+@register("o04_union_station_lists", f"select event_id, us, value from {E}")
 def o04(spark, d):
     df = events(spark, d).select("event_id", "us", "value", "kind")
-    return windows.union_station_lists([df.where(f"kind = '{k}'").drop("kind") for k in ("view", "click")], "us")
+    return windows.union_station_lists([df.where(F.col("kind") == k).drop("kind") for k in _KINDS], "us")
 
 
 @register("o05_intersect_ranges", f"select event_id, greatest(us, {HOUR} * (us // {HOUR}) + 600000000) as start, least(us + 900000000, {HOUR} * (us // {HOUR}) + 1800000000) as end from {E}")

@@ -54,15 +54,15 @@ def expand_repeated_columns(lines: DataFrame, line: str, sep: str, fixed: list[s
 
 
 def repair_lines(lines: DataFrame, line: str, replace: list[tuple[str, str]], drop: str | None = None, least: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Lines after regex replacements, and apart from them the lines that match `drop` or are too short."""
+    """Lines after regex replacements, and apart from them the lines that match `drop`, are too short or null."""
     c = F.col(line)
     for pattern, new in replace:
         c = F.regexp_replace(c, pattern, new)
     bad = F.length(line) < least
     if drop:
         bad = bad | F.col(line).rlike(drop)
-    mended = lines.withColumn(line, c)
-    return mended.where(~bad), mended.where(bad)
+    mended = lines.withColumn("_bad", F.coalesce(bad, F.lit(True))).withColumn(line, c)
+    return mended.where(~F.col("_bad")).drop("_bad"), mended.where("_bad").drop("_bad")
 
 
 #: (pattern, replacement) rules of three loggers, lines to drop, least length (fixed values).

@@ -47,28 +47,47 @@ def unique_names(points: DataFrame, name: str, order: str) -> DataFrame:
 
 
 def write_gpx(waypoints: DataFrame, tracks: DataFrame, path: str) -> None:
-    """Waypoints (name, Time, Lat, Lon) and tracks (track, segment, Time, Lat, Lon) as GPX elements, a file per element kind."""
+    """Waypoints (name, Time, Lat, Lon) and tracks (track, segment, Time, Lat, Lon) as GPX elements, a file per element kind.
 
-    def point(extra: list) -> list:
-        return [F.col("Lat").alias("_lat"), F.col("Lon").alias("_lon"), F.date_format("Time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"), *extra]
+    A column ele of either becomes the elevation of its points.
+    """
 
-    unique_names(waypoints, "name", "Time").select(*point([F.col("name")])).write.mode("overwrite").format("xml").option("rowTag", "wpt").option("rootTag", "gpx").save(f"{path}/waypoints")
-    seg = tracks.groupBy("track", "segment").agg(F.array_sort(F.collect_list(F.struct(F.col("Time").alias("_order"), *point([])))).alias("p"))
+    def point(df: DataFrame, extra: list) -> list:
+        height = [F.col("ele")] if "ele" in df.columns else []
+        return [F.col("Lat").alias("_lat"), F.col("Lon").alias("_lon"), *height, F.date_format("Time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"), *extra]
+
+    unique_names(waypoints, "name", "Time").select(*point(waypoints, [F.col("name")])).write.mode("overwrite").format("xml").option("rowTag", "wpt").option("rootTag", "gpx").save(f"{path}/waypoints")
+    seg = tracks.groupBy("track", "segment").agg(F.array_sort(F.collect_list(F.struct(F.col("Time").alias("_order"), *point(tracks, [])))).alias("p"))
     seg = seg.withColumn("trkpt", F.transform("p", lambda x: x.dropFields("_order")))
     trk = seg.groupBy("track").agg(F.array_sort(F.collect_list(F.struct("segment", "trkpt"))).alias("s"))
     trk = trk.select(F.col("track").alias("name"), F.transform("s", lambda x: x.dropFields("segment")).alias("trkseg"))
     trk.write.mode("overwrite").format("xml").option("rowTag", "trk").option("rootTag", "gpx").save(f"{path}/tracks")
 
 
-def file_log(df: DataFrame, file: str, us: str) -> DataFrame:
-    """One log row per file: start, end and rows."""
-    return df.groupBy(F.col(file).alias("fileName")).agg(F.min(us).alias("Time_st"), F.max(us).alias("Time_en"), F.count("*").alias("rows"))
+def file_log(df: DataFrame, file: str, us: str, changed: str | None = None) -> DataFrame:
+    """One log row per file: start, end, rows and change time (of a column, null without one)."""
+    when = F.max(changed) if changed else F.lit(None).cast("timestamp")
+    return df.groupBy(F.col(file).alias("fileName")).agg(F.min(us).alias("Time_st"), F.max(us).alias("Time_en"), F.count("*").alias("rows"), when.alias("fileChangeTime"))
+
+
+def append_with_log(df: DataFrame, file: str, us: str, table: str, log: str, by: list[str], changed: str | None = None) -> None:
+    """Append rows, partitioned, and their log rows; `changed`, the change time of a row's file, goes to the log only."""
+    (df.drop(changed) if changed else df).write.mode("append").partitionBy(*by).parquet(table)
+    file_log(df, file, us, changed).write.mode("append").parquet(log)
+
+
+def last_log(log: DataFrame) -> DataFrame:
+    """The newest log row of each file, as a file that is loaded again gets one more."""
+    return log.groupBy("fileName").agg(F.max("fileChangeTime").alias("fileChangeTime"))
 
 
-def append_with_log(df: DataFrame, file: str, us: str, table: str, log: str, by: list[str]) -> None:
-    """Append rows, partitioned, and their log rows."""
-    df.write.mode("append").partitionBy(*by).parquet(table)
-    file_log(df, file, us).write.mode("append").parquet(log)
+def reload_changed_files(fresh: DataFrame, listing: DataFrame, table: str, log: str, file: str, us: str) -> None:
+    """Load the files that are new or changed since the log: each replaces its own folder of the table, which is
+    partitioned by file, and gets a log row.  A run that is broken off and started again loads the same files again."""
+    todo = files_to_load(listing, last_log(fresh.sparkSession.read.parquet(log))).select(F.col("fileName").alias(file), F.col("fileChangeTime").alias("_changed"))
+    rows = fresh.join(todo, file)
+    rows.drop("_changed").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(file).parquet(table)
+    file_log(rows, file, us, "_changed").write.mode("append").parquet(log)
 
 
 def files_to_load(listing: DataFrame, log: DataFrame) -> DataFrame:

@@ -9,19 +9,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
+from ..sources.sinks import file_log
+
 
 def stream_ingest(spark: SparkSession, folder: str, schema: StructType, target: str, log: str, checkpoint: str, files_per_batch: int = 16) -> None:
-    """Append new files of a folder once each, with a log row per file (start, end, rows); restarts continue.
+    """Append new files of a folder once each, with a log row per file (start, end, rows, change time); restarts continue.
 
-    A batch that is run again replaces its own output, so a file is never counted twice.
+    A batch that is run again replaces its own output, so a file is never counted twice.  The log is that of S20, so a
+    file that changes later is found by S21.
     """
 
-    def save(batch: DataFrame, number: int) -> None:
-        rows = batch.withColumn("file", F.input_file_name())
-        rows.write.mode("overwrite").parquet(f"{target}/batch={number}")
-        rows.groupBy("file").agg(F.min("ts").alias("Time_st"), F.max("ts").alias("Time_en"), F.count("*").alias("rows")).write.mode("overwrite").parquet(f"{log}/batch={number}")
+    def save(rows: DataFrame, number: int) -> None:
+        rows.drop("_changed").write.mode("overwrite").parquet(f"{target}/batch={number}")
+        file_log(rows, "file", "ts", "_changed").write.mode("overwrite").parquet(f"{log}/batch={number}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+    stream = stream.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("_changed"))
     stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
@@ -63,7 +66,7 @@ def replace_from_batch(target: str, us: str) -> Callable[[DataFrame, int], None]
 def replaced(spark: SparkSession, target: str, schema: StructType, us: str) -> DataFrame:
     """Rows of the target that no later batch has replaced; cuts are one row per batch."""
     cuts = spark.read.schema("cut bigint, batch bigint").parquet(f"{target}/cuts")
-    later = Window.orderBy("batch").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.orderBy(F.desc("batch")).rowsBetween(Window.unboundedPreceding, -1)
     limits = cuts.select("batch", F.min("cut").over(later).alias("_limit"))
     rows = spark.read.schema(StructType(schema.fields).add("batch", LongType())).parquet(f"{target}/rows")
     return rows.join(F.broadcast(limits), "batch").where(F.col("_limit").isNull() | (F.col(us) < F.col("_limit"))).select(*schema.names)

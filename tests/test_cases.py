@@ -219,7 +219,7 @@ def test_every_point_has_its_nearest_node(spark, cell):
 
 
 def test_nearest_point_takes_the_whole_tables(spark):
-    found = registry.queries()["j15_nearest_point_whole"](spark, DATA).collect()
+    found = registry.queries()["j15_nearest_point"](spark, DATA).collect()
     e, o = pd.read_parquet(f"{DATA}/events.parquet"), pd.read_parquet(f"{DATA}/orders.parquet")
     e = e[(e.event_type == "purchase") & e.value.notna()]
     points = list(zip(e.event_id, e.value * 5, e.event_id % 300 * 1.0, strict=True))
@@ -232,8 +232,8 @@ def test_every_purchase_is_a_point_and_an_anchor(spark):
     bought, seen = e[e.event_type == "purchase"], e[e.event_type == "view"]
     since = seen.ts.to_numpy()[:, None] - bought.ts.to_numpy()[None, :]
     near = ((since >= np.timedelta64(0)) & (since < np.timedelta64(1, "h"))).any(axis=1)
-    found = registry.queries()["j05_runs_for_points_whole"](spark, DATA).collect()
+    found = registry.queries()["j05_runs_for_points"](spark, DATA).collect()
     assert sorted(r.run for r in found) == sorted(seen.event_id[near])
-    anchors = {r.event_id: r.anchor_lon for r in registry.queries()["j13_moving_anchor_whole"](spark, DATA).collect()}
+    anchors = {r.event_id: r.anchor_lon for r in registry.queries()["j13_moving_anchor"](spark, DATA).collect()}
     for b in bought.itertuples():
         assert abs(anchors[b.event_id] - (20 + b.event_id % 97 / 1000)) < 1e-9
