@@ -5,8 +5,8 @@ steps), and those of the line before and after it.  The field labels every line
 marginal of each line given the whole document.  Marginals, weighted by line length, are averaged to a document, and two
 numbers fitted on the training documents turn the average into a probability.  Only the text is ever an input.
 
-Training uses at most `sample_docs` labelled documents, the first by hash of id, of at most `sample_lines` lines each (a
-bound of the sample only); lines take the label of their document.  Every document is scored on its whole text.
+Training uses at most `sample_docs` labelled documents, the first by hash of id, of at most `sample_lines` lines each and
+`total_lines` in all (a bound of the sample only: some 250 MB of features); lines take the label of their document.  Every document is scored on its whole text.
 
 Edge cases: null and empty texts are one empty line and get a score too; a null id is scored and never held out; labels
 that repeat an id count once, the smaller one; null labels are left out; without labels of both kinds every score is 0.5.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import shared, words
 
-SAMPLE_DOCS, SAMPLE_LINES, ROUNDS = 4000, 400, 150
+SAMPLE_DOCS, SAMPLE_LINES, TOTAL_LINES, ROUNDS = 4000, 400, 200_000, 150
 _SHARES = (0.0, 0.02, 0.06, 0.15, 0.3, 0.5, 0.8)
 _LENGTHS = (0, 1, 4, 12, 40, 120, 400)
 
@@ -100,7 +100,7 @@ def with_neighbours(row: np.ndarray, own: np.ndarray) -> np.ndarray:
 def marginals(emit: np.ndarray, row: np.ndarray, step: np.ndarray, need_pairs: bool = False):
     """P(good) of each line: emit is the log-odds of good by features, step[i, j] the score of state i before state j.
 
-    With need_pairs, also the log partition of each row and the expected number of each pair of neighbouring states.
+    With need_pairs, also the first line of each pair of neighbours and the probabilities of its two states.
     """
     n = len(row)
     head = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if n else np.zeros(0, np.int64)
@@ -124,12 +124,10 @@ def marginals(emit: np.ndarray, row: np.ndarray, step: np.ndarray, need_pairs: b
     good = 1 / (1 + np.exp(np.clip(both[:, 0] - both[:, 1], -500, 500)))
     if not need_pairs:
         return good
-    tail = head + length - 1
-    total = np.logaddexp(alpha[tail, 0], alpha[tail, 1])
     z = np.logaddexp(both[:, 0], both[:, 1])
     pair = np.flatnonzero(row[1:] == row[:-1])
     joint = alpha[pair][:, :, None] + step + (score[pair + 1] + beta[pair + 1])[:, None, :] - z[pair][:, None, None]
-    return good, total, np.exp(joint).sum(axis=0)
+    return good, pair, np.exp(joint)
 
 
 @dataclass
@@ -156,7 +154,7 @@ def logit(p: np.ndarray) -> np.ndarray:
 
 
 def fit(row: np.ndarray, weight: np.ndarray, own: np.ndarray, label: np.ndarray, rounds: int = ROUNDS, penalty: float = 1e-4) -> Model:
-    """Train on lines of documents 0, 1, ... with labels 0 and 1, by Adam on the conditional likelihood."""
+    """Train on lines of documents 0, 1, ... with labels 0 and 1, by Adam on the conditional likelihood of documents weighted by class."""
     x, y = with_neighbours(row, own), label[row].astype(np.float64)
     n_lines = len(row)
     # Both labels weigh alike in the sum, so the threshold lies between them whatever their shares are.
@@ -165,12 +163,12 @@ def fit(row: np.ndarray, weight: np.ndarray, own: np.ndarray, label: np.ndarray,
     weights, step = np.zeros(x.shape[1]), np.zeros((2, 2))
     pair = np.flatnonzero(row[1:] == row[:-1])
     seen = np.zeros((2, 2))
-    np.add.at(seen, (y[pair].astype(int), y[pair + 1].astype(int)), 1)
+    np.add.at(seen, (y[pair].astype(int), y[pair + 1].astype(int)), part[pair])
     moments = [np.zeros(len(weights) + 4), np.zeros(len(weights) + 4)]
     for i in range(1, rounds + 1):
-        good, _, pairs = marginals(x @ weights, row, step, True)
+        good, pair, states = marginals(x @ weights, row, step, True)
         slope = x.T @ ((y - good) * part) / n_lines - penalty * weights
-        turn = (seen - pairs) / n_lines - penalty * step
+        turn = (seen - np.tensordot(part[pair], states, 1)) / n_lines - penalty * step
         g = np.concatenate([slope, turn.ravel()])
         moments = [0.9 * moments[0] + 0.1 * g, 0.99 * moments[1] + 0.01 * g * g]
         move = 0.1 * (moments[0] / (1 - 0.9**i)) / (np.sqrt(moments[1] / (1 - 0.99**i)) + 1e-8)
@@ -183,7 +181,7 @@ def fit(row: np.ndarray, weight: np.ndarray, own: np.ndarray, label: np.ndarray,
     return Model(weights, step, max(a, 0.05), b)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES, total_lines: int = TOTAL_LINES) -> Model | None:
     """Fit on a bounded sample; labels: id_col and label_col of the rows that may be learned from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,6 +200,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("id"), shared.text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "id")
     got = rows.select("text", "label", "place").mapInArrow(run, "label int, place bigint, own binary, weight binary").collect()
     got.sort(key=lambda r: (r["place"], r["label"], bytes(r["own"])))
+    held = np.cumsum([len(r["weight"]) // 8 for r in got])
+    got = got[: int(np.searchsorted(held, total_lines, side="right"))]
     if len({r["label"] for r in got}) < 2:
         return None
     weight = [np.frombuffer(r["weight"], np.float64) for r in got]
