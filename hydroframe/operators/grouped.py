@@ -173,8 +173,8 @@ def correct_time(df: DataFrame, keys: list[str], us: str, order: str, frequency:
     """Shift to UTC, clamp to limits, then make times increase in the order of the file.
 
     Files that already increase keep their times (decided by one aggregate).  In others, times off the longest increasing
-    subsequence are inversions: they are deleted, or replaced in line with their neighbours; times outside a hole are
-    never moved by more than 1.5 s twice in a row.
+    subsequence are inversions: they are deleted, or replaced in line with their neighbours (of the nearest times kept, whatever the
+    distance).
     """
     t = F.col(us) - round(zone_hours * 3600e6)
     if limits_us:
@@ -368,8 +368,8 @@ def fir_filter(df: DataFrame, keys: list[str], order: list[str], column: str, ta
     """Zero-phase FIR of each group, edges reflected."""
 
     def one(y: np.ndarray) -> np.ndarray:
-        pad = min(len(taps) // 2, len(y) - 1)
-        return np.convolve(np.pad(y, (pad, pad), mode="reflect" if pad else "edge"), taps, mode="same")[pad : pad + len(y)]
+        pad = len(taps) // 2
+        return np.convolve(np.pad(y, (pad, pad), mode="reflect" if len(y) > 1 else "edge"), taps, mode="valid")
 
     return _on_values(df, keys, order, column, one)
 

@@ -11,6 +11,29 @@ from .registry import register
 from .stats import DAY, HOUR, day_runs, rounded
 
 
+#: The pressure below as SQL, and its rows numbered from 0 in each block.
+PRESSURE = f"(select 'probe' as device, event_id, us, value, 80 - 0.8e0 * abs(event_id % 200 - 100) + value % 1 as p, event_id // 1000 as block from {E})"
+_NUMBERED = f"(select *, row_number() over (partition by block order by us) - 1 as n from {PRESSURE})"
+#: Values of each kind on even hours.
+_HOURS = f"""(with g as (select kind, us, value from {E}), x as (select kind, unnest(range(((min(us) + {HOUR} - 1) // {HOUR} * {HOUR})::bigint, (max(us) // {HOUR} * {HOUR} + 1)::bigint, {HOUR})) as us from g group by kind),
+    a as (select x.*, g.us as pu, g.value as pv from x asof left join g on x.kind = g.kind and x.us >= g.us), b as (select a.*, g.us as nu, g.value as nv from a asof left join g on a.kind = g.kind and a.us <= g.us)
+    select kind, us, case when nu = pu then pv else pv + (nv - pv) * (us - pu) / (nu - pu) end as value, row_number() over (partition by kind order by us) - 1 as n from b)"""
+
+
+def _taps_sql(half: int, cutoff: float, high_pass: bool) -> str:
+    """Relations t and taps (a from -half to half, w): a windowed sinc, the Bessel function by its series."""
+    bessel = f"list_sum(list_transform(range(40), lambda k: pow(pow({0.1102 * 51.3}, 2) * (1 - pow(a / {half}, 2)) / 4, k) / pow(gamma(k + 1), 2)))"
+    w = "case when a = 0 then 1 else 0 end - w / sum(w) over ()" if high_pass else "w / sum(w) over ()"
+    return f"t as (select a, case when a = 0 then {cutoff}e0 else sin(pi() * {cutoff}e0 * a) / (pi() * a) end * {bessel} as w from range(-{half}, {half + 1}) as r(a)), taps as (select a, {w} as w from t)"
+
+
+def _filtered_sql(key: str, column: str) -> str:
+    """Rows of s (with n, from 0 in each key) filtered by taps, reflected at both ends."""
+    at = "((s.n + a) % (2 * c - 2) + 2 * c - 2) % (2 * c - 2)"
+    return f"""l as (select {key}, count(*) as c from s group by 1), m as (select s.{key}, s.n, w, case when {at} < c then {at} else 2 * c - 2 - {at} end as k from s join l using ({key}), taps),
+    f as (select m.{key}, m.n, sum(w * s.{column}) as y from m join s on s.{key} = m.{key} and s.n = m.k group by 1, 2)"""
+
+
 def pressure(spark, d):
     """A made-up pressure: casts of 200 events down to 80 decibars, with noise from the value."""
     phase = F.abs((F.col("event_id") % 200) - 100)
@@ -33,12 +56,27 @@ def w08(spark, d):
     return grouped.mark_longest_increasing(events(spark, d), ["device"], ["us"], "value").select("event_id", "increasing")
 
 
-@register("w10_linearize_time")
+@register(
+    "w10_linearize_time",
+    f"""with g as (select *, us - lag(us) over (partition by device order by us, event_id) as gap from {E}), b as (select *, sum(case when gap > {2 * HOUR} then 1 else 0 end) over (partition by device order by us, event_id rows unbounded preceding) as burst from g),
+    r as (select *, row_number() over w - 1 as n, coalesce(us > lag(us) over w, true) as rises, first_value(us) over w as t0 from b window w as (partition by device, burst order by us, event_id)),
+    c as (select device, burst, max(n) as top, max(us) as t1, min(case when rises and n > 0 then n - 1 end) as i, max(case when rises and n > 0 then n end) as j from r group by 1, 2),
+    x as (select r.*, top, t1 - t0 - {HOUR} * top as error, t1, coalesce(i, 0) as i, coalesce(j, top) as j, max(case when rises then n end) over (partition by r.device, r.burst order by n rows unbounded preceding) as up from r join c on r.device = c.device and r.burst = c.burst),
+    y as (select *, max(case when n = i then us end) over (partition by device, burst) as ti, max(case when n = j then us end) over (partition by device, burst) as tj from x)
+    select event_id, device, round(case when abs(error) < {4 * HOUR} then t0 + n * {HOUR} when error > 0 then us + (n - up) * {HOUR} else t0 + n * (tj - ti) / greatest(1, j - i) end)::bigint as us from y""",
+)
 def w10(spark, d):
     return grouped.linearize_time(events(spark, d).select("event_id", "device", "us"), ["device"], "us", "event_id", 1 / 3600)
 
 
-@register("w11_linearize_with_shifts")
+@register(
+    "w11_linearize_with_shifts",
+    f"""with recursive x as (select event_id, device, us, row_number() over (partition by device order by event_id) as n from {E}),
+    s as (select device, event_id, n, us, n as b, us as bt from x where n = 1 union all
+    select x.device, x.event_id, x.n, case when far then x.us else line end, case when far then x.n else b end, case when far then x.us else bt end from s join x on x.device = s.device and x.n = s.n + 1,
+    lateral (select bt + (x.n - b) * {2 * HOUR} as line) as a, lateral (select abs(x.us - line) > {4 * HOUR} as far) as c)
+    select event_id, device, us from s""",
+)
 def w11(spark, d):
     return grouped.linearize_with_shifts(events(spark, d).select("event_id", "device", "us"), ["device"], "us", "event_id", 1 / 7200, 4 * HOUR)
 
@@ -60,10 +98,17 @@ def w15(spark, d):
     return grouped.trim_bad_bottom(casts.withColumn("sigma", F.col("p") / 10 + F.col("value") / 100), ["device", "block", "burst", "run"], "us", "p", "sigma", 5.0).select("event_id", "block", "run")
 
 
-@register("w17_filter_periodic_spike")
+@register(
+    "w17_filter_periodic_spike",
+    f"""with recursive x as (select block, event_id, n, p + case when event_id % 25 = 7 then 300 else 0 end as v from {_NUMBERED}), l as (select block, list(v order by n) as v, count(*) as c from x group by 1),
+    j as (select block, c, list_transform(range(c), lambda i: abs(v[i + 1] - (v[(i - 1 + c) % c + 1] + v[(i + 1) % c + 1]) / 2)) as j from l),
+    s as (select block, c, j, 7::bigint as place, 5 + list_position(j[6:10], list_max(j[6:10])) - 1 as best from j union all
+    select block, c, j, next, a + list_position(j[a + 1:e], list_max(j[a + 1:e])) - 1 from s, lateral (select case when j[best + 1] > 50 then best else place end + 25 as next) as q, lateral (select greatest(next - 2, 0) as a, least(next + 3, c) as e) as r where next < c)
+    select event_id, round(v, 6) as v from x where not exists (select 1 from s where s.block = x.block and best = n and s.j[best + 1] > 50)""",
+)
 def w17(spark, d):
     df = pressure(spark, d).withColumn("v", F.when(F.col("event_id") % 25 == 7, F.col("p") + 300).otherwise(F.col("p")))
-    return grouped.filter_periodic_spike(df, ["block"], ["us"], "v", 25, 7, 2, 50.0).select("event_id", "v")
+    return rounded(grouped.filter_periodic_spike(df, ["block"], ["us"], "v", 25, 7, 2, 50.0).select("event_id", "v"))
 
 
 @register("w19_wavelet_smooth")
@@ -76,27 +121,50 @@ def w20(spark, d):
     return rounded(grouped.lag_correction(events(spark, d), ["device"], "us", "value", 30.0).select("event_id", "value"))
 
 
-@register("w20b_recursive_low_pass")
+@register(
+    "w20b_recursive_low_pass",
+    f"""with recursive x as {_NUMBERED}, s as (select block, event_id, n, p from x where n = 0 union all select x.block, x.event_id, x.n, s.p + (1 - exp(-1 / 5e0)) * (x.p - s.p) from s join x on x.block = s.block and x.n = s.n + 1)
+    select event_id, round(p, 6) as p from s""",
+)
 def w20b(spark, d):
     return rounded(grouped.recursive_low_pass(pressure(spark, d), ["block"], "us", "p", 5.0, 1.0).select("event_id", "p"))
 
 
-@register("w21_pressure_hysteresis")
+@register(
+    "w21_pressure_hysteresis",
+    f"""with recursive x as (select *, 1 - 0.033e0 * (exp(p / 5000) - 1) as d, exp(-(us - lag(us) over (partition by block order by n)) / 1e6 / 1450) as c from {_NUMBERED}),
+    s as (select block, event_id, n, value as o, value from x where n = 0 union all select x.block, x.event_id, x.n, x.value, (x.value + s.value * c * d - s.o * c) / d from s join x on x.block = s.block and x.n = s.n + 1)
+    select event_id, round(value, 6) as value from s""",
+)
 def w21(spark, d):
     return rounded(grouped.pressure_hysteresis(pressure(spark, d), ["block"], "us", "value", "p").select("event_id", "value"))
 
 
-@register("w22_fir_filter")
+@register(
+    "w22_fir_filter",
+    f"with s as {_NUMBERED}, {_taps_sql(36, 0.1, True)}, {_filtered_sql('block', 'p')} select event_id, round(y, 6) as p from s join f on s.block = f.block and s.n = f.n",
+)
 def w22(spark, d):
     return rounded(grouped.fir_filter(pressure(spark, d), ["block"], ["us"], "p", grouped.kaiser_taps(0.1, 0.1, high_pass=True)).select("event_id", "p"))
 
 
-@register("w22b_notch_filter")
+@register(
+    "w22b_notch_filter",
+    f"""with recursive x as {_NUMBERED}, l as (select block, regr_slope(p, n) as k, regr_intercept(p, n) as h, count(*) as c from x group by 1), w as (select cos(0.2e0 * pi()) as co, sin(0.2e0 * pi()) / 60 as al),
+    d as (select x.block, event_id, n, c - 1 - n as back, p - k * n - h as y, k * n + h as trend from x join l on x.block = l.block),
+    a as (select block, n, y as x1, y as x2, y as y1, y as y2 from d where n = 0 union all select a.block, a.n + 1, d.y, x1, (d.y - 2 * co * x1 + x2 + 2 * co * y1 - (1 - al) * y2) / (1 + al), y1 from a join d on d.block = a.block and d.n = a.n, w),
+    e as (select d.block, d.event_id, d.back, trend, a.y1 as y from d join a on a.block = d.block and a.n = d.n + 1),
+    b as (select block, back as n, y as x1, y as x2, y as y1, y as y2 from e where back = 0 union all select b.block, b.n + 1, e.y, x1, (e.y - 2 * co * x1 + x2 + 2 * co * y1 - (1 - al) * y2) / (1 + al), y1 from b join e on e.block = b.block and e.back = b.n, w)
+    select event_id, round(b.y1 + trend, 6) as p from e join b on b.block = e.block and b.n = e.back + 1""",
+)
 def w22b(spark, d):
     return rounded(grouped.notch_filter(pressure(spark, d), ["block"], ["us"], "p", 0.2).select("event_id", "p"))
 
 
-@register("w23_decimate")
+@register(
+    "w23_decimate",
+    f"with s as {_HOURS}, {_taps_sql(29, 0.25, False)}, {_filtered_sql('kind', 'value')} select s.kind, us, round(y, 6) as value from s join f on s.kind = f.kind and s.n = f.n where us // {HOUR} % 4 = 0",
+)
 def w23(spark, d):
     return rounded(grouped.decimate(events(spark, d), ["kind"], "us", "value", HOUR, 4))
 
@@ -114,11 +182,21 @@ def w26(spark, d):
     return grouped.psd_multitaper(pressure(spark, d), ["block"], "us", "p", 1.0)
 
 
-@register("w27_psd_welch")
+@register(
+    "w27_psd_welch",
+    f"""with s as {_HOURS}, c as (select kind, n, value, unnest([n // 32, n // 32 - 1]) as seg from s), g as (select *, n - 32 * seg as i, avg(value) over w as m, count(*) over w as c from c where seg >= 0 window w as (partition by kind, seg)),
+    h as (select kind, seg, i, (value - m) * (0.5 - 0.5 * cos(2 * pi() * i / 64)) as y from g where c = 64), d as (select kind, seg, k, pow(sum(y * cos(2 * pi() * i * k / 64)), 2) + pow(sum(y * sin(2 * pi() * i * k / 64)), 2) as power from h, range(33) as r(k) group by 1, 2, 3)
+    select kind, round(k / 64 * 1e6 / {HOUR}, 12) as freq, round(avg(power * case when k in (0, 32) then 1 else 2 end / (1e6 / {HOUR} * 24)), 2) as psd, count(*) as segments from d group by kind, k""",
+)
 def w27(spark, d):
-    return grouped.psd_welch(events(spark, d), ["kind"], "us", "value", HOUR, 64)
+    return grouped.psd_welch(events(spark, d), ["kind"], "us", "value", HOUR, 64).withColumns({"freq": F.round("freq", 12), "psd": F.round("psd", 2)})
 
 
-@register("w29_wavelet_scalogram")
+@register(
+    "w29_wavelet_scalogram",
+    f"""with x as (select block, us, n, p - avg(p) over (partition by block) as y from {_NUMBERED}), k as (select scale, m, m / scale as t from (select unnest([4, 16, 64]) as scale), lateral (select unnest(range(-4 * scale, 4 * scale + 1)) as m) as r)
+    select o.us, scale::double as scale, round((pow(sum(v.y * cos(6 * t) * exp(-t * t / 2)), 2) + pow(sum(v.y * sin(6 * t) * exp(-t * t / 2)), 2)) / sqrt(pi()) / scale, 3) as power
+    from (select block, us, scale, t, n - m as at from x, k) as o join x as v on v.block = o.block and v.n = o.at group by o.block, o.us, scale""",
+)
 def w29(spark, d):
-    return rounded(grouped.wavelet_scalogram(pressure(spark, d), ["block"], "us", "p", [4, 16, 64]).drop("block"))
+    return rounded(grouped.wavelet_scalogram(pressure(spark, d), ["block"], "us", "p", [4, 16, 64]).drop("block"), 3)

@@ -76,7 +76,16 @@ def g06(spark, d):
     return rounded(sections.horizon_slices(profiles(spark, d), ["cast_id"], "z", "v", [2.5, 4.0], 1.6, 15))
 
 
-@register("g07_grid_section")
+@register(
+    "g07_grid_section",
+    f"""with m as (select section, x, z, avg(v) as v from {_L} group by 1, 2, 3), s as (select *, lead(z) over w as zn, lead(v) over w as vn from m window w as (partition by section, x order by z)),
+    t as (select section, x, i / 2e0 as z, v + coalesce((i / 2e0 - z) * (vn - v) / (zn - z), 0) as v from s, lateral (select unnest(range((2 * z)::bigint, (2 * coalesce(zn, z + 0.5))::bigint)) as i) as r),
+    u as (select *, lead(x) over w as xn, lead(v) over w as vn from t window w as (partition by section, z order by x)),
+    g as (select section, 5e0 * i as x, z, v + coalesce((5 * i - x) * (vn - v) / (xn - x), 0) as v from u, lateral (select unnest(range(ceil(x / 5)::bigint, coalesce(ceil(xn / 5), floor(x / 5) + 1)::bigint)) as i) as r),
+    d as (select section, x, max(z) as d from m group by 1, 2), e as (select *, lead(x) over w as xn, lead(d) over w as dn from d window w as (partition by section order by x)),
+    b as (select section, 5e0 * i as x, d + coalesce((5 * i - x) * (dn - d) / (xn - x), 0) as d from e, lateral (select unnest(range(ceil(x / 5)::bigint, coalesce(ceil(xn / 5), floor(x / 5) + 1)::bigint)) as i) as r)
+    select section, x, z, round(v, 6) as v from g join b using (section, x) where z <= d + 1e-9""",
+)
 def g07(spark, d):
     return rounded(sections.grid_section(profiles(spark, d), ["section"], "x", "z", "v", 5.0, 0.5))
 
