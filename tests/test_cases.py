@@ -237,3 +237,14 @@ def test_every_purchase_is_a_point_and_an_anchor(spark):
     anchors = {r.event_id: r.anchor_lon for r in registry.queries()["j13_moving_anchor"](spark, DATA).collect()}
     for b in bought.itertuples():
         assert abs(anchors[b.event_id] - (20 + b.event_id % 97 / 1000)) < 1e-9
+
+
+def test_filter_of_a_group_shorter_than_its_taps(spark):
+    taps = grouped.kaiser_taps(0.1, 0.1)
+    flat = grouped.fir_filter(series(spark, us=range(5), v=[2.0] * 5), ["k"], ["us"], "v", taps)
+    assert column(flat, "v", "us") == pytest.approx([2.0] * 5)
+    y = [1.0, 5.0, 2.0]
+    mirrored = [y[min(i % 4, 4 - i % 4)] for i in range(-len(taps), len(taps) + 3)]
+    expected = [sum(t * mirrored[i + len(taps) + j - len(taps) // 2] for j, t in enumerate(taps)) for i in range(3)]
+    got = grouped.fir_filter(series(spark, us=range(3), v=y), ["k"], ["us"], "v", taps)
+    assert column(got, "v", "us") == pytest.approx(expected)
