@@ -360,3 +360,14 @@ def test_structured_words_do_not_collide(spark, n):
     for w in (one, other):  # sequences of words, too
         letters = np.array([ord(c) for c in w], np.uint64)
         assert len(np.unique(words.sequences(np.concatenate([letters, letters ^ np.uint64(3)]), np.array([0, n]), np.array([n, 2 * n])))) == 2
+
+
+def test_splits_deal_evenly_and_equal_vectors_together():
+    rng = np.random.default_rng(8)
+    x = np.floor(256 * rng.normal(size=(4000, 6))).astype(np.int64)
+    leaf = top_k.leaf_of(x, *top_k.splits(x, 16))
+    assert np.bincount(leaf, minlength=16).min() > 200 and leaf.max() == 15
+    same_vectors = np.repeat(x[:1], 500, axis=0)
+    assert set(top_k.leaf_of(same_vectors, *top_k.splits(same_vectors, 16))) == {0}
+    assert len(set(top_k.leaf_of(same_vectors, *top_k.splits(np.concatenate([x, same_vectors]), 16)))) == 1
+    assert top_k.leaf_of(x[:0], *top_k.splits(x[:0], 4)).tolist() == []
