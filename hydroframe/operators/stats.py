@@ -330,9 +330,19 @@ def mean_anchor(df: DataFrame, keys: list[str], lat: str, lon: str) -> DataFrame
     return df.groupBy(*keys).agg(F.avg(lat).alias("anchor_lat"), F.avg(lon).alias("anchor_lon"))
 
 
-def interval_std(df: DataFrame, keys: list[str], us: str, period_us: int, columns: list[str]) -> DataFrame:
-    """Sample deviation of each channel in each interval."""
-    return df.groupBy(*keys, bin_of(us, period_us).alias("bin")).agg(*[F.stddev_samp(c).alias(f"{c}_std") for c in columns])
+def interval_std(df: DataFrame, keys: list[str], us: str, period_us: int, columns: list[str], taps: np.ndarray | None = None) -> DataFrame:
+    """Sample deviation of each channel in each interval; with taps (of a high-pass filter) of the filtered channel too.
+
+    The filter runs over each group of keys as a whole, so a long series should be keyed by day or file as well.
+    """
+    names = {c: f"{c}_std" for c in columns}
+    if taps is not None:
+        from .grouped import fir_filter
+
+        for c in columns:
+            df = fir_filter(df.withColumn(f"{c}_passed", F.col(c)), keys, [us], f"{c}_passed", taps)
+            names[f"{c}_passed"] = f"{c}_passed_std"
+    return df.groupBy(*keys, bin_of(us, period_us).alias("bin")).agg(*[F.stddev_samp(c).alias(n) for c, n in names.items()])
 
 
 def mean_speed_compare(a: DataFrame, b: DataFrame, u: str, v: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import grouped
+from ..operators import grouped, stats
 from ..sources.series import events
 from .filters import E
 from .registry import register
@@ -148,6 +148,14 @@ def w22(spark, d):
     return rounded(grouped.fir_filter(pressure(spark, d), ["block"], ["us"], "p", grouped.kaiser_taps(0.1, 0.1, high_pass=True)).select("event_id", "p"))
 
 
+@register(
+    "a24b_interval_std_passed",
+    f"with s as {_NUMBERED}, {_taps_sql(36, 0.1, True)}, {_filtered_sql('block', 'p')} select s.block, us // {DAY} * {DAY} as bin, round(stddev_samp(p), 6) as p_std, round(stddev_samp(y), 6) as p_passed_std from s join f on s.block = f.block and s.n = f.n group by 1, 2",
+)
+def a24b(spark, d):
+    return rounded(stats.interval_std(pressure(spark, d), ["block"], "us", DAY, ["p"], grouped.kaiser_taps(0.1, 0.1, high_pass=True)))
+
+
 @register(
     "w22b_notch_filter",
     f"""with recursive x as {_NUMBERED}, l as (select block, regr_slope(p, n) as k, regr_intercept(p, n) as h, count(*) as c from x group by 1), w as (select cos(0.2e0 * pi()) as co, sin(0.2e0 * pi()) / 60 as al),
