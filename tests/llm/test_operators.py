@@ -149,6 +149,24 @@ def test_substrings(docs, rows, empty):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("bits", [1, 3])
+def test_spans_are_compared_by_their_words(spark, docs, rows, bits):
+    """With almost no hash bits different paths pass for equal; their words at the source's coordinates tell them apart."""
+    same(substring_dedup.remove_repeats(docs, hash_bits=bits).toPandas(), repeats_removed(rows))
+    pick = random.Random(bits)
+    base = [f"v{pick.randrange(400)}" for _ in range(300)]
+    cut = [(i, pick.choice([" ", "  ", "\t\n"]).join(base[a : a + 60] + [f"x{i}"] + base[b : b + 40]), "s") for i in range(40) for a, b in [(pick.randrange(240), pick.randrange(260))]]
+    found = substring_dedup.remove_repeats(documents(spark, cut).repartition(6), hash_bits=bits).toPandas()
+    same(found, repeats_removed(cut))
+    assert found.n_removed.sum() > 1500
+
+
+def test_repeated_ids_with_different_texts(spark):
+    long, short = " ".join(f"w{i}" for i in range(90)), " ".join(f"w{i}" for i in range(30))
+    found = substring_dedup.remove_repeats(documents(spark, [(1, long, None), (1, short, None), (2, long, None)]).repartition(3)).toPandas()
+    assert sorted(zip(found.doc_id, found.n_words, found.n_removed, strict=True)) == [(1, 30, 0), (1, 90, 0), (2, 90, 90)]
+
+
 def test_exact_groups(docs, rows, empty):
     same(exact_dedup.exact_duplicates(docs, files_per_batch=2).toPandas(), exact_groups(rows))
     assert exact_dedup.exact_duplicates(empty).count() == 0
