@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -169,12 +169,25 @@ def linearize_with_shifts(df: DataFrame, keys: list[str], us: str, order: str, f
     return apply_per_block(df, keys, [order], run, _same(df))
 
 
-def correct_time(df: DataFrame, keys: list[str], us: str, order: str, frequency: float, zone_hours: float = 0, limits_us: tuple[int, int] | None = None, delete_inversions: bool = False) -> DataFrame:
+def even_times(t: np.ndarray, step: float, most: float) -> np.ndarray:
+    """Rising times with a constant step in each stretch between holes of over `most`, but for runs of rows it would move further."""
+    holes = np.flatnonzero(np.diff(t) > most) + 1
+    line = np.round(np.concatenate([_line(x.astype(np.float64), step, most) for x in np.split(t, holes)])).astype(np.int64)
+    far = np.abs(line - t) > most
+    far[np.concatenate([[0], holes, holes - 1, [len(t) - 1]]).astype(int)] = False
+    far &= np.append(False, far[:-1]) | np.append(far[1:], False)
+    out = np.where(far, t, line)
+    return t if (np.diff(out) < 0).any() else out
+
+
+def correct_time(df: DataFrame, keys: list[str], us: str, order: str, frequency: float, zone_hours: float = 0, limits_us: tuple[int, int] | None = None, delete_inversions: bool = False, even: bool = False, max_error_us: int = 1_500_000) -> DataFrame:
     """Shift to UTC, clamp to limits, then make times increase in the order of the file.
 
     Files that already increase keep their times (decided by one aggregate).  In others, times off the longest increasing
     subsequence are inversions: they are deleted, or replaced in line with their neighbours (of the nearest times kept, whatever the
-    distance).
+    distance).  With even, times between holes of more than max_error_us then get a constant step (as W10), in every file;
+    where two rows in a row would move by more than max_error_us they keep their times, and so does the whole file if its
+    times would no longer rise.
     """
     t = F.col(us) - round(zone_hours * 3600e6)
     if limits_us:
@@ -190,15 +203,20 @@ def correct_time(df: DataFrame, keys: list[str], us: str, order: str, frequency:
         known = np.flatnonzero(~np.isnan(x))
         good[known[longest_increasing(x[known])]] = True
         if delete_inversions:
-            return rows[good]
+            return evened(rows[good])
         at = np.arange(len(x))
         new = np.interp(at, at[good], x[good]) if good.any() else x
         head, tail = (at[good][0], at[good][-1]) if good.any() else (0, 0)
         new[:head] = new[head] - (head - at[:head]) * 1e6 / frequency
         new[tail + 1 :] = new[tail] + (at[tail + 1 :] - tail) * 1e6 / frequency
-        return rows.assign(**{us: np.round(new).astype(np.int64)})
+        return evened(rows.assign(**{us: np.round(new).astype(np.int64)}))
+
+    def evened(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.assign(**{us: even_times(rows[us].to_numpy(np.int64), 1e6 / frequency, max_error_us)}) if even and len(rows) else rows
 
     fine = marked.where("_bad = 0").drop("_bad")
+    if even:
+        fine = apply_per_block(fine, keys, [order], evened, _same(moved))
     mended = apply_per_block(marked.where("_bad > 0").drop("_bad"), keys, [order], run, _same(moved))
     return fine.unionByName(mended)
 
@@ -325,6 +343,35 @@ def lag_correction(df: DataFrame, keys: list[str], us: str, column: str, tau_s:
     return df.withColumn(column, F.col(column) + tau_s * F.coalesce(slope, F.lit(0.0)))
 
 
+def exponential_inverse(df: DataFrame, keys: list[str], us: str, column: str, tau_s: float | Column) -> DataFrame:
+    """The input of a sensor that nears it exponentially; its time constant may be a column, as one that depends on speed.
+
+    The constant of the row before counts.  The first row, and one at the time of the row before, stay.
+    """
+    w = Window.partitionBy(*keys).orderBy(us)
+    tau = F.lag(tau_s).over(w) if isinstance(tau_s, Column) else F.lit(tau_s)
+    rest = F.exp(-(F.col(us) - F.lag(us).over(w)) / 1e6 / tau)
+    return df.withColumn(column, F.coalesce(F.try_divide(F.col(column) - rest * F.lag(column).over(w), 1 - rest), F.col(column)))
+
+
+def inverse_and_low_pass(df: DataFrame, keys: list[str], us: str, column: str, tau_s: float | Column, smooth_s: float, frequency: float) -> DataFrame:
+    """The exponential inverse and a bilinear low-pass of time constant smooth_s in one recursion, per cast; nulls are passed over."""
+    double = 2 * smooth_s * frequency
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        y = rows[column].to_numpy(np.float64)
+        good = np.flatnonzero(~np.isnan(y))
+        x, out = y[good], y.copy()
+        rest = np.exp(-1 / frequency / rows["_tau"].to_numpy(np.float64)[good][:-1])
+        pushed = (x[1:] - rest * x[:-1]) / (1 - rest) + x[:-1]
+        for i, v in enumerate(pushed, 1):
+            out[good[i]] = (v + (double - 1) * out[good[i - 1]]) / (1 + double)
+        return rows.assign(**{column: out})
+
+    held = df.withColumn("_tau", (tau_s if isinstance(tau_s, Column) else F.lit(tau_s)).cast("double"))
+    return apply_per_block(held, keys, [us], run, _same(held)).drop("_tau")
+
+
 def low_pass(y: np.ndarray, gain: float) -> np.ndarray:
     out = np.empty(len(y))
     last = y[0] if len(y) else 0.0
@@ -423,8 +470,36 @@ def slepian(n: int, half_width: float, count: int) -> tuple[np.ndarray, np.ndarr
     return tapers, np.array([2 * w * a[0] + (2 * kernel / 1 * a[1:]).sum() for a in auto])
 
 
-def psd_multitaper(df: DataFrame, keys: list[str], us: str, column: str, frequency: float, half_width: float = 2.5, tapers: int = 4) -> DataFrame:
-    """Frequency and power density (arrays) of each interval, its mean removed; zero where there are no values."""
+def _combined(power: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    return 2 * (weight * power).sum(axis=0) / weight.sum(axis=0)
+
+
+def adaptive_power(power: np.ndarray, weight: np.ndarray, rounds: int = 150) -> np.ndarray:
+    """One-sided power of several tapers (rows) by Thomson's weights.
+
+    A taper counts the less, the more its leakage (its share outside the band, of the variance) exceeds the spectrum; weights
+    and spectrum are found in turns.
+    """
+    inside = np.minimum(weight, 1)[:, None]
+    level = _combined(power, inside)
+    leakage = (1 - inside) * (level.sum() - (level[0] + level[-1]) / 2) / (2 * len(level))
+    found, before = _combined(power[:2], inside[:2]), np.zeros_like(power)
+    if not power.any():
+        return level
+    for _ in range(rounds):
+        below = inside * found + leakage
+        share = np.sqrt(inside) * np.divide(found, below, out=np.ones_like(below), where=below > 0)
+        if np.max(np.mean((share - before) ** 2, axis=0)) < 1e-10:
+            break
+        found, before = np.where(found > 0, _combined(power, np.maximum(share, 1e-12) ** 2), 0), share
+    return found
+
+
+def psd_multitaper(df: DataFrame, keys: list[str], us: str, column: str, frequency: float, half_width: float = 2.5, tapers: int = 4, adaptive: bool = False) -> DataFrame:
+    """Frequency and power density (arrays) of each interval, its mean removed; zero where there are no values.
+
+    Tapers weigh by their concentration, or, with adaptive, by Thomson's weights for each frequency.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         y = rows[column].to_numpy(np.float64)
@@ -436,10 +511,10 @@ def psd_multitaper(df: DataFrame, keys: list[str], us: str, column: str, frequen
         else:
             own, weight = slepian(len(y), half_width, tapers)
             power = np.abs(np.fft.rfft(own * y, axis=1)) ** 2
-            psd = (weight[:, None] * power).sum(axis=0) / weight.sum() * 2 / frequency
-            psd[0] /= 2
+            power[:, 0] /= 2
             if len(y) % 2 == 0:
-                psd[-1] /= 2
+                power[:, -1] /= 2
+            psd = (adaptive_power(power, weight) if adaptive else _combined(power, weight[:, None])) / frequency
         return pd.DataFrame({**{k: [rows[k].iloc[0]] for k in keys}, "freq": [freq], "psd": [psd]})
 
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)

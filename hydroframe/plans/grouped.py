@@ -130,6 +130,27 @@ def w20b(spark, d):
     return rounded(grouped.recursive_low_pass(pressure(spark, d), ["block"], "us", "p", 5.0, 1.0).select("event_id", "p"))
 
 
+@register(
+    "w20c_exponential_inverse",
+    f"""with x as (select event_id, value, lag(value) over w as v, exp(-(us - lag(us) over w) / 1e6 / lag(3600 + 100 * abs(value)) over w) as c from {E} window w as (partition by device order by us, event_id))
+    select event_id, round(coalesce((value - c * v) / nullif(1 - c, 0), value), 6) as value from x""",
+)
+def w20c(spark, d):
+    tau = 3600 + 100 * F.abs("value")
+    return rounded(grouped.exponential_inverse(events(spark, d), ["device"], "us", "value", tau).select("event_id", "value"))
+
+
+@register(
+    "w20d_inverse_and_low_pass",
+    f"""with recursive x as (select *, lag(p) over (partition by block order by n) as before, exp(-1 / lag(2 + 0.01e0 * p) over (partition by block order by n)) as c from {_NUMBERED}),
+    s as (select block, event_id, n, p from x where n = 0 union all select x.block, x.event_id, x.n, ((x.p - c * before) / (1 - c) + before + 5 * s.p) / 7 from s join x on x.block = s.block and x.n = s.n + 1)
+    select event_id, round(p, 6) as p from s""",
+)
+def w20d(spark, d):
+    tau = 2 + 0.01 * F.col("p")
+    return rounded(grouped.inverse_and_low_pass(pressure(spark, d), ["block"], "us", "p", tau, 3.0, 1.0).select("event_id", "p"))
+
+
 @register(
     "w21_pressure_hysteresis",
     f"""with recursive x as (select *, 1 - 0.033e0 * (exp(p / 5000) - 1) as d, exp(-(us - lag(us) over (partition by block order by n)) / 1e6 / 1450) as c from {_NUMBERED}),

@@ -130,17 +130,23 @@ def _nmea_degrees(text: Column, side: Column) -> Column:
     return (whole + (x - whole * 100) / 60) * F.when(side.isin("S", "W"), -1).otherwise(1)
 
 
-def read_nmea(spark: SparkSession, paths: str, step_after: int = 15) -> DataFrame:
+def read_nmea(spark: SparkSession, paths: str, step_after: int = 15, round_seconds: bool = False) -> DataFrame:
     """One row per file and time of NMEA sentences; a sentence without a time belongs to the time before it.
 
-    After more than `step_after` sentences without a time a row begins one second later.
+    After more than `step_after` sentences without a time a row begins one second later.  A bad date counts as the date before
+    it in the file.  Parts of seconds are cut off, or rounded.
     """
     lines = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
     part = F.split(F.regexp_replace("line", r"\*.*$", ""), ",")
     kind = F.substring(part[0], 4, 3)
     get = lambda i: F.get(part, F.lit(i))
     rmc, gga, dbt = kind == "RMC", kind == "GGA", kind == "DBT"
-    stamp = F.try_to_timestamp(F.concat_ws(" ", F.get(part, F.lit(9)), F.substring(get(1), 1, 6)), F.lit("ddMMyy HHmmss"))
+    date = F.when(F.try_to_timestamp(get(9), F.lit("ddMMyy")).isNotNull(), get(9))
+    in_file = Window.partitionBy("file").orderBy("n")
+    date = F.coalesce(date, F.last(F.when(rmc, date), ignorenulls=True).over(in_file))
+    stamp = F.try_to_timestamp(F.concat_ws(" ", date, F.substring(get(1), 1, 6)), F.lit("ddMMyy HHmmss"))
+    if round_seconds:
+        stamp = stamp + F.make_dt_interval(secs=F.round(F.coalesce(F.concat(F.lit("0"), F.substring(get(1), 7, 9)).try_cast("double"), F.lit(0.0))))
     rows = lines.where(F.col("line").startswith("$")).select(
         "file", "n", F.when(rmc, stamp).alias("t"),
         F.when(rmc, _nmea_degrees(get(3), get(4))).when(gga, _nmea_degrees(get(2), get(3))).alias("Lat"), F.when(rmc, _nmea_degrees(get(5), get(6))).when(gga, _nmea_degrees(get(4), get(5))).alias("Lon"),

@@ -143,6 +143,28 @@ def test_spectra_find_the_tone(spark):
     assert welch.loc[welch.psd.idxmax(), "freq"] == 0.125
 
 
+def test_adaptive_weights_cut_leakage(spark):
+    t, rng = np.arange(512), np.random.default_rng(3)
+    df = series(spark, us=t * S, v=1e4 * np.sin(2 * np.pi * 0.0703 * t) + rng.normal(size=512))
+    plain, adaptive = (np.array(grouped.psd_multitaper(df, ["k"], "us", "v", 1.0, adaptive=a).first()["psd"]) for a in (False, True))
+    assert plain.argmax() == adaptive.argmax() and np.isclose(plain.max(), adaptive.max(), rtol=0.05)
+    assert adaptive[45:70].mean() < 0.9 * plain[45:70].mean()
+    power = rng.chisquare(2, (4, 65))
+    assert np.allclose(grouped.adaptive_power(power, np.ones(4)), 2 * power.mean(axis=0))
+    assert not grouped.adaptive_power(np.zeros((4, 9)), np.full(4, 0.9)).any()
+
+
+def test_even_times_keep_what_would_move_too_far(spark):
+    t = np.round(np.arange(60) * 1e6 + np.where(np.arange(60) % 3 == 1, 300_000, 0)).astype(np.int64)
+    assert (grouped.even_times(t, 1e6, 1_500_000) == np.arange(60) * S).all()
+    drift = np.round(np.arange(60) * 1_060_000).astype(np.int64)
+    out = grouped.even_times(drift, 1e6, 1_500_000)
+    assert (np.diff(out) >= 0).all() and np.abs(out - drift).max() <= 1_500_000 + S
+    df = series(spark, us=np.append(t, 30 * S), n=np.arange(61))
+    found = grouped.correct_time(df, ["k"], "us", "n", 1.0, delete_inversions=True, even=True).orderBy("n").toPandas()
+    assert found.us.tolist() == (np.arange(60) * S).tolist()
+
+
 def test_filters_pass_and_stop():
     low = grouped.kaiser_taps(0.2, 0.1)
     n = np.arange(2000)

@@ -31,6 +31,13 @@ def test_nmea(spark, tmp_path):
     assert str(rows[0]["Time"]) == "2021-02-16 10:11:12"
 
 
+def test_nmea_dates_and_seconds(spark, tmp_path):
+    (tmp_path / "n.txt").write_text("$GPRMC,101112.70,A,5443.196,N,02031.532,E,4.5,90.0,160221,,*00\n$GPRMC,101114.20,A,5443.2,N,02031.5,E,4.6,91.0,991399,,*00\n")
+    for rounded, first in ((False, "12"), (True, "13")):
+        rows = files.read_nmea(spark, str(tmp_path / "n.txt"), round_seconds=rounded).orderBy("Time").collect()
+        assert [str(r["Time"]) for r in rows] == [f"2021-02-16 10:11:{first}", "2021-02-16 10:11:14"]
+
+
 def test_framed_binary(spark, tmp_path):
     body = np.array([[1, 2, 3], [4, 5, 6]], "<i2")
     (tmp_path / "x.bin").write_bytes(b"junk" + b"".join(b"\xff\x00\xff" + r.tobytes() for r in body) + b"\xff\x00\xff\x01")
