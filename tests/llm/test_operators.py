@@ -150,15 +150,17 @@ def test_substrings(docs, rows, empty):
 
 
 @pytest.mark.parametrize("bits", [1, 3])
-def test_spans_are_compared_by_their_words(spark, docs, rows, bits):
+def test_spans_are_compared_by_their_words(spark, docs, rows, bits, monkeypatch):
     """With almost no hash bits different paths pass for equal; their words at the source's coordinates tell them apart."""
+    exact, calls = substring_dedup._by_words, []
+    monkeypatch.setattr(substring_dedup, "_by_words", lambda *given: calls.append(1) or exact(*given))
     same(substring_dedup.remove_repeats(docs, hash_bits=bits).toPandas(), repeats_removed(rows))
     pick = random.Random(bits)
     base = [f"v{pick.randrange(400)}" for _ in range(300)]
     cut = [(i, pick.choice([" ", "  ", "\t\n"]).join(base[a : a + 60] + [f"x{i}"] + base[b : b + 40]), "s") for i in range(40) for a, b in [(pick.randrange(240), pick.randrange(260))]]
     found = substring_dedup.remove_repeats(documents(spark, cut).repartition(6), hash_bits=bits).toPandas()
     same(found, repeats_removed(cut))
-    assert found.n_removed.sum() > 1500
+    assert found.n_removed.sum() > 1500 and calls
 
 
 def test_repeated_ids_with_different_texts(spark):
