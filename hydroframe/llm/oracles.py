@@ -106,6 +106,63 @@ select doc_id, count(*) as n_lines, count(c.key) as n_dropped,
 from k left join c using (key) group by r, doc_id
 """
 
+_FIELDS = ", ".join(f"coalesce(octet_length(encode({c}::varchar))::varchar || ':' || {c}::varchar, '-')" for c in ("doc_id", "source", "lang", "n_chars"))
+_TEXT = "coalesce(octet_length(encode(text))::varchar || ':' || {}, '-')"
+
+# crc32 bit by bit: the register of the text's bytes, with eight steps for each.
+OP11 = f"""
+with recursive d as (
+  select row_number() over (partition by lang order by doc_id nulls first, sha256(concat({_FIELDS}, {_TEXT.format("text")}))) - 1 as pos, row_number() over () as r, lang, doc_id,
+    sha256(concat({_FIELDS}, {_TEXT.format("text")})) as leaf, sha256(concat({_FIELDS}, {_TEXT.format(_LOWER.format("text"))})) as low, doc_id::varchar as t from documents
+), crc as (
+  select r, t, 0 as i, 4294967295::bigint as c from d where doc_id is not null
+  union all
+  select r, t, i + 1, list_reduce(list_prepend(xor(c, ascii(substr(t, i + 1, 1))::bigint), range(8)), lambda a, _: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) from crc where i < length(t)
+), touched as (select r from crc where i = length(t) and xor(c, 4294967295) % 3 = 0),
+tree as (
+  select 0 as lv, lang, pos, leaf as h, count(*) over (partition by lang) as n from d
+  union all
+  select lv + 1, lang, pos // 8, sha256(string_agg(h, '' order by pos)), ((any_value(n) + 7) // 8)::bigint from tree where n > 1 group by lv, lang, pos // 8
+), subs as (select lang, h as subroot, row_number() over (order by lang nulls first) - 1 as pos, lv as height from tree where n = 1),
+top as (
+  select 0 as lv, pos, subroot as h, count(*) over () as n from subs
+  union all
+  select lv + 1, pos // 8, sha256(string_agg(h, '' order by pos)), ((any_value(n) + 7) // 8)::bigint from top where n > 1 group by lv, pos // 8
+), nodes as (
+  select t.lang, lv, pos, h from tree t where n > 1
+  union all
+  select s.lang, s.height + top.lv, top.pos, top.h from top, subs s where n > 1
+), walk as (
+  select d.r, d.lang, 0 as lv, d.pos, case when k.r is not null then d.low else d.leaf end as h, '' as proof, s.height, s.pos as spot
+  from d left join touched k on k.r = d.r join subs s on s.lang is not distinct from d.lang
+  union all
+  select w.r, w.lang, w.lv + 1, any_value(case when w.lv + 1 = w.height then w.spot else w.pos // 8 end),
+    sha256(string_agg(case when n.pos = w.pos then w.h else n.h end, '' order by n.pos)),
+    any_value(w.proof) || coalesce(string_agg(n.h, '' order by n.pos) filter (n.pos <> w.pos), ''), w.height, any_value(w.spot)
+  from (select * replace (case when lv = 0 and height = 0 then spot else pos end as pos) from walk) w
+  join nodes n on n.lang is not distinct from w.lang and n.lv = w.lv and n.pos // 8 = w.pos // 8 group by w.r, w.lang, w.lv, w.height
+), last as (select r, arg_max(h, lv) as folded, arg_max(proof, lv) as proof from walk group by r)
+select d.doc_id, d.leaf, s.subroot, top.h as root, sha256(last.proof) as proof_sha256, last.folded as folded_root, last.folded = top.h as verified
+from d join last using (r) join subs s on s.lang is not distinct from d.lang cross join top where top.n = 1
+"""
+
+OP13 = """
+with v as (
+  select vec_id, min(struct_pack(w := len(embedding), label := case when vec_id % 7 = 0 then (label + 1) % 10 else label end, q := list_transform(embedding, lambda x: floor(256 * x::double)))) as v from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 group by vec_id
+), s as (
+  select a.vec_id as anchor_id, b.vec_id, a.v.label = b.v.label as same, list_inner_product(a.v.q, b.v.q)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id and a.v.w = b.v.w where a.vec_id % 100 = 0
+), p as (
+  select * from (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as place from s where same) where place <= 5
+), n as (
+  select s.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+    row_number() over (partition by s.anchor_id, p.vec_id order by s.score desc, s.vec_id) as rank
+  from p join s using (anchor_id) where not s.same and 80 * p.score <= 100 * s.score and 100 * s.score <= 100 * p.score
+)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": OP2, "op5_mixing": OP5, "op6_top_k": OP6, "op7_near_dedup": OP7, "op8_substring_dedup": OP8, "op9_exact_dedup": OP9, "op10_line_dedup": OP10}
+    return {"op2_chat_format": OP2, "op5_mixing": OP5, "op6_top_k": OP6, "op7_near_dedup": OP7, "op8_substring_dedup": OP8, "op9_exact_dedup": OP9, "op10_line_dedup": OP10, "op11_merkle": OP11, "op13_hard_negatives": OP13}

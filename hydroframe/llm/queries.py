@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, exact_dedup, line_dedup, mixing, near_dedup, quality, substring_dedup, token_counts, top_k
+from . import byte_bpe, chat_format, exact_dedup, hard_negatives, line_dedup, merkle, mixing, near_dedup, packing, quality, substring_dedup, token_counts, top_k
 from .shared import table
 
 
@@ -59,5 +59,31 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_common_lines(table(spark, sf_dir, "documents"), texts=False)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+
+    def leaf(text):
+        return merkle.leaf([text if c == "text" else F.col(c) for c in merkle.COLUMNS])
+
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, leaf(lower))
+    rows = docs.select(F.col("lang").alias("grp"), F.col("doc_id").alias("sort"), leaf(F.col("text")).alias("leaf"), "doc_id", tampered.alias("tampered"))
+    made = merkle.manifest(rows, ["doc_id", "tampered"])
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("siblings"), F.col("path"))
+    made = made.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("siblings")).alias("proof_sha256"), folded.alias("folded_root"))
+    return made.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(hard_negatives.integer_rows(table(spark, sf_dir, "embeddings"), label), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op2_chat_format, op3_quality, op4_byte_bpe, op5_mixing, op6_top_k, op7_near_dedup, op8_substring_dedup, op9_exact_dedup, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op2_chat_format, op3_quality, op4_byte_bpe, op5_mixing, op6_top_k, op7_near_dedup, op8_substring_dedup, op9_exact_dedup, op10_line_dedup, op11_merkle, op12_packing, op13_hard_negatives)}
