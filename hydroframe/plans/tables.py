@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources import files, sinks
+from ..sources import files, loaders, ranges, sinks
 from ..sources.series import events, table
 from ..streaming.run import folder
 from .filters import E, P, positions
@@ -276,22 +276,23 @@ def s01(spark, d):
 
 @register("s06_read_zip_members", f"select 'day' || (us // {DAY}) || '.zip' as archive, 'a.csv' as member, row_number() over (partition by us // {DAY} order by us) as line_no, event_id || ',' || kind as line from {E}")
 def s06(spark, d):
+    path = folder(spark, "zip")
+
     def packed(batches):
         import io
         import zipfile
 
         for batch in batches:
-            contents = []
-            for text in batch["text"]:
+            for name, text in zip(batch["name"], batch["text"], strict=True):
                 with zipfile.ZipFile(out := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as archive:
-                    archive.writestr("a.csv", text)
                     archive.writestr("a.log", "left out")
-                contents.append(out.getvalue())
-            yield batch[["path"]].assign(content=contents)
+                    archive.writestr("a.csv", text)
+                ranges.write_bytes(f"{path}/{name}", out.getvalue())
+            yield batch[["name"]]
 
-    lines = events(spark, d).groupBy(F.expr(f"concat('day', us div {DAY}, '.zip')").alias("path")).agg(F.array_sort(F.collect_list(F.struct("us", F.concat_ws(",", "event_id", "kind").alias("line")))).alias("l"))
-    text = lines.select("path", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text"))
-    return files.zip_members(text.mapInPandas(packed, "path string, content binary"))
+    lines = events(spark, d).groupBy(F.expr(f"concat('day', us div {DAY}, '.zip')").alias("name")).agg(F.array_sort(F.collect_list(F.struct("us", F.concat_ws(",", "event_id", "kind").alias("line")))).alias("l"))
+    lines.select("name", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text")).mapInPandas(packed, "name string").count()
+    return files.read_zip_members(spark, path, range_bytes=4096).withColumn("archive", F.substring_index("archive", "/", -1))
 
 
 @register("s07_read_gpx", f"select event_id::varchar as name, us // 1000000 as time_s, round(lat, 6) as lat, round(lon, 6) as lon from {P}")
@@ -306,10 +307,33 @@ def s07(spark, d):
 
 @register("s09_read_framed_binary", f"select 'kind ' || kind as file, row_number() over (partition by kind order by us) - 1 as frame, event_id % 20000 as a, device::bigint as b, floor(value)::bigint as c from {E}")
 def s09(spark, d):
+    """A file of frames for each kind, with a byte of noise behind each, read in ranges of 4 kB."""
     def little(c):
         return F.concat(F.substring(F.lpad(F.hex(c), 4, "0"), 3, 2), F.substring(F.lpad(F.hex(c), 4, "0"), 1, 2))
 
+    path = folder(spark, "frames")
     frame = F.concat(F.lit("FF7FFF7F"), *[little(c.cast("bigint")) for c in (F.col("event_id") % 20000, F.col("device"), F.floor("value"))])
-    frames = events(spark, d).groupBy(F.concat(F.lit("kind "), "kind").alias("path")).agg(F.array_sort(F.collect_list(F.struct("us", frame.alias("f")))).alias("l"))
-    contents = frames.select("path", F.unhex(F.array_join(F.transform("l", lambda x: x["f"]), "")).alias("content"))
-    return files.framed_binary(contents, b"\xff\x7f\xff\x7f", ["a", "b", "c"])
+    frames = events(spark, d).select("kind", "us", F.unhex(frame).cast("string").alias("value"))
+    frames.repartition("kind").sortWithinPartitions("kind", "us").select("kind", "value").write.partitionBy("kind").text(path)
+    out = files.read_framed_binary(spark, path, b"\xff\x7f\xff\x7f", ["a", "b", "c"], range_bytes=4096)
+    return out.withColumn("file", F.concat(F.lit("kind "), F.regexp_extract("file", "kind=([^/]*)", 1)))
+
+
+@register("s32_loader_plugin", f"select us // 1000000 as time_s, device::double as \"P\", round(value, 2) as \"Temp\", (event_id % 1000)::double as \"Cond\" from {E} where event_id % 7 <> 0")
+def s32(spark, d):
+    """Logger text of every event, read by the loader that a configuration's name ends with; every seventh line has no time."""
+    path = folder(spark, "logger")
+    time = F.when(F.col("event_id") % 7 == 0, "no time").otherwise(F.date_format("ts", "dd/MM/yyyy HH:mm:ss.SSS"))
+    events(spark, d).select(F.concat_ws(";", time, "device", F.format_string("%.2f", "value"), F.col("event_id") % 1000)).write.text(path)
+    return loaders.read(spark, path, "csv_CTD_IdrRedas#2", range_bytes=1 << 16).select(F.unix_seconds("Time").alias("time_s"), "P", "Temp", "Cond")
+
+
+@register("s32b_loader_inclinometer", f"select event_id::double as \"Ax\", us // 1000000 as time_s, device::double as \"Battery\", round(value, 2) as \"Temp\" from {E}")
+def s32b(spark, d):
+    """The loader's own format, on lines of which every fifth holds two records glued together."""
+    path = folder(spark, "glued")
+    line = F.concat(F.date_format("ts", "yyyy,M,d,H,m,s"), F.lit(","), F.col("event_id"), F.lit(",1,2,3,4,5,"), F.col("device"), F.lit(","), F.format_string("%.2f", "value"))
+    twos = events(spark, d).select(F.expr("if(event_id % 5 = 1, event_id - 1, event_id)").alias("n"), "event_id", line.alias("line"))
+    twos.groupBy("n").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "line"))), lambda x: x["line"]), "").alias("line")).select("line").write.text(path)
+    loaders.register(spark, "inclinometer")
+    return spark.read.format("inclinometer").option("rangeBytes", 1 << 16).load(path).select("Ax", F.unix_seconds("Time").alias("time_s"), "Battery", "Temp")

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
+from ..operators.sequence import carry, cumulated, numbered
+from . import ranges
+
 #: What a suffix in a header names (fixed values).
 SUFFIXES = {"text": StringType(), "time": StringType(), "float": DoubleType()}
 NUMPY_TYPES = {"i1": ShortType(), "i2": ShortType(), "i4": IntegerType(), "i8": LongType(), "f4": FloatType(), "f8": DoubleType()}
@@ -83,25 +81,13 @@ def device_line_rules(lines: DataFrame, line: str, device: str) -> tuple[DataFra
     return repair_lines(cut, line, [], drop, least)
 
 
-def read_zip_members(spark: SparkSession, paths: str, pattern: str = r"\.csv$") -> DataFrame:
-    """Archive, member and line (with its number) of the text members of zip archives, one archive at a time in a task."""
-    return zip_members(spark.read.format("binaryFile").load(paths).select("path", "content"), pattern)
-
+def read_zip_members(spark: SparkSession, paths: str, pattern: str = r"\.csv$", range_bytes: int = ranges.RANGE_BYTES) -> DataFrame:
+    """Archive, member and line (with its number) of the text members of zip archives, streamed.
 
-def zip_members(archives: DataFrame, pattern: str = r"\.csv$") -> DataFrame:
-    """As read_zip_members, of rows of path and content."""
-    import re
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for name in archive.namelist():
-                        if re.search(pattern, name):
-                            text = archive.read(name).decode("utf-8", "replace").splitlines()
-                            yield pd.DataFrame({"archive": path, "member": name, "line_no": np.arange(1, len(text) + 1), "line": text})
-
-    return archives.select("path", "content").mapInPandas(run, "archive string, member string, line_no bigint, line string")
+    Members are dealt to tasks by the byte range of the archive that they begin in.
+    """
+    name = ranges.register(spark, ranges.Members)
+    return spark.read.format(name).options(pattern=pattern, rangeBytes=range_bytes).load(paths)
 
 
 _POINT = "_lat double, _lon double, ele double, time string, name string, sym string, cmt string"
@@ -133,31 +119,33 @@ def _nmea_degrees(text: Column, side: Column) -> Column:
 def read_nmea(spark: SparkSession, paths: str, step_after: int = 15, round_seconds: bool = False) -> DataFrame:
     """One row per file and time of NMEA sentences; a sentence without a time belongs to the time before it.
 
-    After more than `step_after` sentences without a time a row begins one second later.  A bad date counts as the date before
-    it in the file.  Parts of seconds are cut off, or rounded.
+    After more than `step_after` sentences without a time a row begins one second later.  A bad or missing date counts as the
+    date before it in the file.  Parts of seconds are cut off, or rounded.
+
+    Spark splits files as it does for any text.  A split passes on its last date, its last time and its number of sentences,
+    so one long file is spread over tasks.
     """
-    lines = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("n"), F.col("value").alias("line"))
     part = F.split(F.regexp_replace("line", r"\*.*$", ""), ",")
     kind = F.substring(part[0], 4, 3)
     get = lambda i: F.get(part, F.lit(i))
     rmc, gga, dbt = kind == "RMC", kind == "GGA", kind == "DBT"
-    date = F.when(F.try_to_timestamp(get(9), F.lit("ddMMyy")).isNotNull(), get(9))
-    in_file = Window.partitionBy("file").orderBy("n")
-    date = F.coalesce(date, F.last(F.when(rmc, date), ignorenulls=True).over(in_file))
-    stamp = F.try_to_timestamp(F.concat_ws(" ", date, F.substring(get(1), 1, 6)), F.lit("ddMMyy HHmmss"))
+    lines = lines.where(F.col("line").startswith("$"))
+    dated = carry(lines, ["file"], "split", ["n"], {"date": F.when(rmc & F.try_to_timestamp(get(9), F.lit("ddMMyy")).isNotNull(), get(9))}, bucket_us=1)
+    stamp = F.try_to_timestamp(F.concat_ws(" ", "date", F.substring(get(1), 1, 6)), F.lit("ddMMyy HHmmss"))
     if round_seconds:
         stamp = stamp + F.make_dt_interval(secs=F.round(F.coalesce(F.concat(F.lit("0"), F.substring(get(1), 7, 9)).try_cast("double"), F.lit(0.0))))
-    rows = lines.where(F.col("line").startswith("$")).select(
-        "file", "n", F.when(rmc, stamp).alias("t"),
+    rows = dated.select(
+        "file", "split", "n", F.when(rmc | gga, stamp).alias("t"),
         F.when(rmc, _nmea_degrees(get(3), get(4))).when(gga, _nmea_degrees(get(2), get(3))).alias("Lat"), F.when(rmc, _nmea_degrees(get(5), get(6))).when(gga, _nmea_degrees(get(4), get(5))).alias("Lon"),
         F.when(rmc, get(7).try_cast("double")).alias("Speed"), F.when(rmc, get(8).try_cast("double")).alias("Course"), F.when(dbt, get(3).try_cast("double")).alias("DepEcho"),
     )
-    w = Window.partitionBy("file").orderBy("n")
-    held = rows.withColumns({"_t": F.last("t", ignorenulls=True).over(w), "_k": F.row_number().over(w) - F.last(F.when(F.col("t").isNotNull(), F.col("n"))).over(w)})
-    group = Window.partitionBy("file", "_t").orderBy("n")
-    held = held.withColumn("_since", F.row_number().over(group) - 1)
-    time = F.col("_t") + F.make_dt_interval(secs=F.floor(F.col("_since") / (step_after + 1)))
-    return held.where("_t is not null").groupBy("file", time.alias("Time")).agg(*[F.last(c, ignorenulls=True).alias(c) for c in ("Lat", "Lon", "Speed", "Course", "DepEcho")])
+    rows = numbered(rows, ["file"], "split", ["n"], 1)
+    held = carry(rows, ["file"], "split", ["n"], {"_t": F.col("t"), "_at": F.when(F.col("t").isNotNull(), F.col("_i"))}, bucket_us=1)
+    time = F.col("_t") + F.make_dt_interval(secs=F.floor((F.col("_i") - F.col("_at")) / (step_after + 1)))
+    place = F.struct("split", "n")
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in ("Lat", "Lon", "Speed", "Course", "DepEcho")]
+    return held.where("_t is not null").groupBy("file", time.alias("Time")).agg(*last)
 
 
 def decode_frames(content: bytes, sync: bytes, words: int, dtype: str = "<i2", seven_bit: bool = False) -> np.ndarray:
@@ -175,21 +163,12 @@ def decode_frames(content: bytes, sync: bytes, words: int, dtype: str = "<i2", s
     return np.array(found).reshape(-1, words)
 
 
-def read_framed_binary(spark: SparkSession, paths: str, sync: bytes, columns: list[str], dtype: str = "<i2", seven_bit: bool = False) -> DataFrame:
-    """File, frame number and numbers of framed binary files, one file at a time in a task."""
-    return framed_binary(spark.read.format("binaryFile").load(paths), sync, columns, dtype, seven_bit)
-
-
-def framed_binary(contents: DataFrame, sync: bytes, columns: list[str], dtype: str = "<i2", seven_bit: bool = False) -> DataFrame:
-    """As read_framed_binary, of rows of path and content."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                rows = decode_frames(content, sync, len(columns), dtype, seven_bit)
-                yield pd.DataFrame(rows.astype(np.int64), columns=columns).assign(file=path, frame=np.arange(len(rows)))[["file", "frame", *columns]]
-
-    return contents.select("path", "content").mapInPandas(run, "file string, frame bigint, " + ", ".join(f"`{c}` bigint" for c in columns))
+def read_framed_binary(spark: SparkSession, paths: str, sync: bytes, columns: list[str], dtype: str = "<i2", seven_bit: bool = False, range_bytes: int = ranges.RANGE_BYTES) -> DataFrame:
+    """File, frame number and numbers of framed binary files, read in byte ranges that find the frames as the whole file does."""
+    name = ranges.register(spark, ranges.Frames)
+    options = {"sync": sync.hex(), "columns": ",".join(columns), "dtype": dtype, "sevenBit": str(seven_bit).lower(), "rangeBytes": range_bytes}
+    frames = spark.read.format(name).options(**options).load(paths)
+    return numbered(frames, ["file"], "range", ["place"], 1).select("file", F.col("_i").alias("frame"), *columns)
 
 
 def read_tracker_messages(messages: DataFrame, column: str, groups: dict[int, dict[str, str]]) -> DataFrame:
