@@ -13,6 +13,9 @@ from ..streaming.run import drain, folder
 from .filters import E
 from .registry import register
 from .stats import DAY, HOUR, rounded
+from .windows import _despike_sql
+
+_TIMED = f"(select device, us as event_id, value, row_number() over (partition by device order by us) - 1 as i, count(*) over (partition by device) as n from {E})"
 
 
 def feed(spark, d, files=4):
@@ -76,12 +79,15 @@ def t04(spark, d):
 
 @register("t05_late_rows_replace", f"select event_id, us, case when us >= 1705276800000000 then value + 1000 else value end as value from {E}")
 def t05(spark, d):
+    """All events come in one file, then those from a time on once more with other values; the stream is stopped in between."""
+    path, root = folder(spark, "feed"), folder(spark, "replace")
     df = table(spark, d, "events").select("event_id", micros("ts").alias("us"), "value")
-    target = folder(spark, "replace")
-    save = streams.replace_from_batch(target, "us")
-    save(df, 0)
-    save(df.where("us >= 1705276800000000").withColumn("value", F.col("value") + 1000), 1)
-    return streams.replaced(spark, target, df.schema, "us")
+    save = streams.replace_from_batch(root, "us")
+    for part in (df, df.where("us >= 1705276800000000").withColumn("value", F.col("value") + 1000)):
+        part.write.mode("append").parquet(path)
+        stream = spark.readStream.schema(df.schema).parquet(path)
+        stream.writeStream.foreachBatch(save).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    return streams.replaced(spark, root, df.schema, "us")
 
 
 @register("t06_stream_dedup", f"select device, us // {DAY} as day from {E} group by 1, 2")
@@ -92,13 +98,22 @@ def t06(spark, d):
 
 @register("t07_stream_holes", f"select * from (select device, us as start, lead(us) over (partition by device order by us) - us as size from {E}) where size > {2 * DAY}")
 def t07(spark, d):
-    return in_order(spark, d, lambda stream: streams.stream_holes(stream.select("device", "us"), "device", "us", 2 * DAY))
+    """Gaps that have an end; open ones come with a null size."""
+    out = in_order(spark, d, lambda stream: streams.stream_holes(stream, "device", "ts", "us", 2 * DAY, "2 days", 400 * DAY), 30)
+    return out.where("size is not null")
 
 
 @register(
     "t08_stream_despike",
     f"""with a as (select device, us, value, value - lag(value) over w as b, value - lead(value) over w as a from {E} window w as (partition by device order by us))
-    select device, us, value, coalesce(b > 20, true) and a > 20 or coalesce(b < -20, true) and a < -20 as spike from a where a is not null""",
+    select device, us, value, (b is not null or a is not null) and (coalesce(b > 20, true) and coalesce(a > 20, true) or coalesce(b < -20, true) and coalesce(a < -20, true)) as spike from a where device is not null""",
 )
 def t08(spark, d):
-    return in_order(spark, d, lambda stream: streams.stream_despike(stream.select("device", "us", "value"), "device", "us", "value", 20.0))
+    out = in_order(spark, d, lambda stream: streams.stream_spikes(stream, "device", "ts", "us", "value", 20.0, "2 days", 20 * DAY), 60)
+    return out.where("device is not null")
+
+
+@register("t08b_stream_despike_blocks", f"select device, event_id as us, value as kept from {_despike_sql(_despike_sql(_TIMED, 1.5, 10), 2.0, 5)}")
+def t08b(spark, d):
+    out = in_order(spark, d, lambda stream: streams.stream_despike(stream, "device", "ts", "us", "value", [(1.5, 10), (2.0, 5)], "2 days", 400 * DAY), 900)
+    return out.select("device", "us", "kept")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,28 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Timers, lists of state and keys that go need the store on disk.
+_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB."""
+    was = {key: spark.conf.get(key, None) for key in _STORE}
+    for key, value in _STORE.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in was.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def drain(stream: DataFrame, mode: str = "append", root: str | None = None) -> DataFrame:
     """Rows that the stream puts out for the files there are now; complete mode gives those of the last batch.
 
@@ -31,5 +55,6 @@ def drain(stream: DataFrame, mode: str = "append", root: str | None = None) -> D
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/out" if mode == "complete" else f"{root}/out/batch={number}")
 
-    stream.writeStream.outputMode(mode).foreachBatch(save).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    with state_on_disk(stream.sparkSession):
+        stream.writeStream.outputMode(mode).foreachBatch(save).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
     return stream.sparkSession.read.schema(schema).parquet(f"{root}/out").select(*schema.names)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import LongType, StructType
 
 from ..sources.sinks import file_log
@@ -63,13 +66,23 @@ def replace_from_batch(target: str, us: str) -> Callable[[DataFrame, int], None]
     return save
 
 
-def replaced(spark: SparkSession, target: str, schema: StructType, us: str) -> DataFrame:
-    """Rows of the target that no later batch has replaced; cuts are one row per batch."""
-    cuts = spark.read.schema("cut bigint, batch bigint").parquet(f"{target}/cuts")
-    later = Window.orderBy(F.desc("batch")).rowsBetween(Window.unboundedPreceding, -1)
-    limits = cuts.select("batch", F.min("cut").over(later).alias("_limit"))
+def replaced(spark: SparkSession, target: str, schema: StructType, us: str, group: int = 1000) -> DataFrame:
+    """Rows of the target that no later batch has replaced.
+
+    A batch's limit is the least cut of the batches after it, looked up in groups of batches and then between groups.
+    """
+    cuts = spark.read.schema("cut bigint, batch bigint").parquet(f"{target}/cuts").withColumn("_group", F.expr(f"batch div {group}"))
+
+    def least(by: list[str], order: str, column: str) -> Column:
+        return F.min(column).over(Window.partitionBy(*by).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1))
+
+    groups = cuts.groupBy("_group").agg(F.min("cut").alias("_least")).withColumn("_far", F.expr(f"_group div {group}"))
+    # A row for each thousand batches, in groups of a thousand; what is further on is one row for each million batches.
+    far = groups.groupBy("_far").agg(F.min("_least").alias("_all")).withColumn("_all", least([], "_far", "_all"))
+    groups = groups.withColumn("_next", least(["_far"], "_group", "_least")).join(far, "_far").select("_group", F.least("_next", "_all").alias("_next"))
+    limits = cuts.withColumn("_own", least(["_group"], "batch", "cut")).join(groups, "_group").select("batch", F.least("_own", "_next").alias("_limit"))
     rows = spark.read.schema(StructType(schema.fields).add("batch", LongType())).parquet(f"{target}/rows")
-    return rows.join(F.broadcast(limits), "batch").where(F.col("_limit").isNull() | (F.col(us) < F.col("_limit"))).select(*schema.names)
+    return rows.join(limits, "batch").where(F.col("_limit").isNull() | (F.col(us) < F.col("_limit"))).select(*schema.names)
 
 
 def stream_dedup(stream: DataFrame, keys: list[str], ts: str, late: str) -> DataFrame:
@@ -77,49 +90,164 @@ def stream_dedup(stream: DataFrame, keys: list[str], ts: str, late: str) -> Data
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([*keys, ts])
 
 
-def stream_holes(stream: DataFrame, key: str, us: str, longest_us: int) -> DataFrame:
-    """Gaps of more than longest_us as (key, start, size); the state holds each key's last time.
+class _Holes(StatefulProcessor):
+    """The last time of a key that nothing can come before any more, and the times after it, in order."""
 
-    Rows of a key come in order of time between batches; within a batch they are sorted.
-    """
-    from pyspark.sql.streaming.state import GroupState
+    def __init__(self, key: str, us: str, longest_us: int, forget_us: int) -> None:
+        self.key, self.us, self.longest_us, self.forget_us = key, us, longest_us, forget_us
 
-    def run(name: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times = sorted(t for rows in batches for t in rows[us])
-        last = state.get[0] if state.exists else None
-        found = []
-        for t in times:
-            if last is not None and t - last > longest_us:
-                found.append((name[0], last, t - last))
-            last = t if last is None else max(last, t)
-        if last is not None:
-            state.update((last,))
-        if found:
-            yield pd.DataFrame(found, columns=[key, "start", "size"])
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.final = handle.getValueState("final", "us bigint, told boolean")
+        self.waiting = handle.getListState("waiting", "us bigint")
 
-    kind = stream.schema[key].dataType.simpleString()
-    return stream.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, start bigint, size bigint", "last bigint", "append", "NoTimeout")
-
-
-def stream_despike(stream: DataFrame, key: str, us: str, column: str, max_spike: float) -> DataFrame:
-    """W01 on a stream: (key, us, value, spike) of each row once its successor is there; the state keeps two rows."""
-    from pyspark.sql.streaming.state import GroupState
-
-    def run(name: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        old = list(state.get) if state.exists else [None] * 4
-        tail = [(t, v) for t, v in zip(old[::2], old[1::2], strict=True) if t is not None]
-        rows = tail + sorted((t, v) for part in batches for t, v in zip(part[us], part[column], strict=True))
+    def _settled(self, name, limit_us: int) -> pd.DataFrame:
+        """Holes up to the watermark; sets the timer that is next."""
+        last, told = self.final.get() if self.final.exists() else (None, False)
+        held = sorted({t for (t,) in self.waiting.get() if last is None or t > last}) if self.waiting.exists() else []
+        done, left = [t for t in held if t <= limit_us], [t for t in held if t > limit_us]
         found = []
-        for i in range(max(0, len(tail) - 1), len(rows) - 1):
-            v, after = rows[i][1], rows[i][1] - rows[i + 1][1]
-            before = v - rows[i - 1][1] if i else None
-            up = after > max_spike and (before is None or before > max_spike)
-            down = after < -max_spike and (before is None or before < -max_spike)
-            found.append((name[0], rows[i][0], v, bool(up or down)))
-        last = rows[-2:]
-        state.update(tuple(x for r in [(None, None)] * (2 - len(last)) + last for x in r))
-        if found:
-            yield pd.DataFrame(found, columns=[key, us, column, "spike"])
-
+        for t in done:
+            if last is not None and t - last > self.longest_us:
+                found.append((name, last, t - last))
+            last, told = t, False
+        if last is not None and not told and not left and limit_us >= last + self.longest_us:
+            # Nothing came for so long, and nothing can any more: a hole whose end is not known.
+            found.append((name, last, None))
+            told = True
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if last is not None and not left and limit_us >= last + self.forget_us:
+            self.final.clear()
+            self.waiting.clear()
+        else:
+            if last is not None:
+                self.final.update((last, told))
+            self.waiting.put([(t,) for t in left]) if left else self.waiting.clear()
+            after = left[0] if left else last + (self.forget_us if told else self.longest_us)
+            self.handle.registerTimer(max(-(-after // 1000), limit_us // 1000 + 1))
+        return pd.DataFrame(found, columns=[self.key, "start", "size"]).astype({"start": "Int64", "size": "Int64"})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        self.waiting.appendList([(int(t),) for part in rows for t in part[self.us].dropna().unique()])
+        if self.waiting.exists() or self.final.exists():
+            yield self._settled(key[0], timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._settled(key[0], timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def close(self) -> None:
+        pass
+
+
+def stream_holes(stream: DataFrame, key: str, ts: str, us: str, longest_us: int, wait: str, forget_us: int) -> DataFrame:
+    """Gaps of more than longest_us as (key, start, size); rows may come in any order, `wait` late at most.
+
+    A gap is given when the watermark has passed its end, so a late row inside the wait still closes it.  When a key has been
+    silent for longest_us past the wait, the open hole is given with a null size; should the key speak again, it comes once
+    more with its size.  A key that was silent for forget_us is forgotten: its state goes, and a later row begins anew.
+    """
     kind = stream.schema[key].dataType.simpleString()
-    return stream.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, {us} bigint, {column} double, spike boolean", "t0 bigint, v0 double, t1 bigint, v1 double", "append", "NoTimeout")
+    rows = stream.select(key, ts, us).withWatermark(ts, wait).groupBy(key)
+    return rows.transformWithStateInPandas(_Holes(key, us, longest_us, max(forget_us, longest_us)), f"{key} {kind}, start bigint, size bigint", "Append", "EventTime")
+
+
+def spikes(values: np.ndarray, begins: bool, ends: bool, max_spike: float) -> np.ndarray:
+    """W01 on one series in order."""
+    before, after = np.full(len(values), np.nan), np.full(len(values), np.nan)
+    before[1:], after[:-1] = np.diff(values), -np.diff(values)
+    up = ~(before <= max_spike) & ~(after <= max_spike)
+    down = ~(before >= -max_spike) & ~(after >= -max_spike)
+    return ~np.isnan(values) & ~(np.isnan(before) & np.isnan(after)) & (up | down)
+
+
+def despiked(values: np.ndarray, begins: bool, ends: bool, passes: list[tuple[float, int]]) -> np.ndarray:
+    """W02 on one series in order: NaN where a pass finds a spike.  begins, ends: the series' own ends, which take the first
+    and last full block, are among the values."""
+    out = values.astype(np.float64).copy()
+    for offset, block in passes:
+        half, n = block // 2, len(out)
+        padded = np.concatenate([np.full(half, np.nan), out, np.full(block - half - 1, np.nan)])
+        view = np.lib.stride_tricks.sliding_window_view(padded, block)
+        some = ~np.isnan(view)
+        count = some.sum(axis=1)
+        mean = np.where(some, view, 0).sum(axis=1) / np.maximum(count, 1)
+        std = np.sqrt(np.where(some, (view - mean[:, None]) ** 2, 0).sum(axis=1) / np.maximum(count, 1))
+        mean, std = np.where(count > 0, mean, np.nan), np.where(count > 0, std, np.nan)
+        high = max(n - (block - half), 0)
+        first = min(half, high)
+        i = np.arange(n)
+        if ends:
+            mean, std = (np.where(i > high, x[high], x) for x in (mean, std))
+        if begins:
+            mean, std = (np.where(i < half, x[first], x) for x in (mean, std))
+        with np.errstate(invalid="ignore"):
+            out[np.abs(out - mean) > offset * std] = np.nan
+    return out
+
+
+class _Blocks(StatefulProcessor):
+    """A ring of the last rows of a key: those not given yet, and before them as many as their blocks look back at."""
+
+    def __init__(self, key: str, us: str, column: str, result: str, reach: int, flush_us: int, fn: Callable[[np.ndarray, bool, bool], np.ndarray]) -> None:
+        self.names, self.us, self.column, self.reach, self.flush_us, self.fn = [key, us, column, result], us, column, reach, flush_us, fn
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.ring = handle.getListState("ring", "us bigint, value double")
+        #: Rows of the ring that were given already; whether the series' first row has left it.
+        self.place = handle.getValueState("place", "given int, cut boolean")
+
+    def _moved(self, name, fresh: list[tuple], limit_us: int, flush: bool) -> pd.DataFrame:
+        given, cut = self.place.get() if self.place.exists() else (0, False)
+        ring = [tuple(r) for r in self.ring.get()] if self.ring.exists() else []
+        floor = ring[given - 1][0] if given else None
+        rows = ring[:given] + sorted((r for r in ring[given:] + fresh if floor is None or r[0] >= floor), key=lambda r: r[0])
+        settled = len(rows) if flush else max(given, sum(t <= limit_us for t, _ in rows) - self.reach)
+        values = np.array([np.nan if v is None else v for _, v in rows], np.float64)
+        found = self.fn(values, not cut, flush)[given:settled] if settled > given else []
+        out = pd.DataFrame({self.names[0]: name, self.names[1]: [t for t, _ in rows[given:settled]], self.names[2]: values[given:settled], self.names[3]: found})
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if flush:
+            self.ring.clear()
+            self.place.clear()
+        else:
+            gone = max(0, settled - self.reach)
+            self.ring.put([(t, None if np.isnan(v) else float(v)) for (t, _), v in zip(rows[gone:], values[gone:], strict=True)])
+            self.place.update((settled - gone, cut or gone > 0))
+            self.handle.registerTimer(max(-(-(rows[-1][0] + self.flush_us) // 1000), limit_us // 1000 + 1))
+        return out
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        fresh = [(int(t), None if v is None or v != v else float(v)) for part in rows for t, v in zip(part[self.us], part[self.column], strict=True) if t == t and t is not None]
+        if fresh:
+            yield self._moved(key[0], fresh, timerValues.getCurrentWatermarkInMs() * 1000, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.ring.exists():
+            yield self._moved(key[0], [], timerValues.getCurrentWatermarkInMs() * 1000, True)
+
+    def close(self) -> None:
+        pass
+
+
+def _in_blocks(stream: DataFrame, key: str, ts: str, us: str, column: str, late: str, result: str, kind: str, processor: _Blocks) -> DataFrame:
+    rows = stream.select(key, ts, us, F.col(column).cast("double").alias(column)).withWatermark(ts, late).groupBy(key)
+    schema = f"{key} {stream.schema[key].dataType.simpleString()}, {us} bigint, {column} double, {result} {kind}"
+    return rows.transformWithStateInPandas(processor, schema, "Append", "EventTime")
+
+
+def stream_spikes(stream: DataFrame, key: str, ts: str, us: str, column: str, max_spike: float, late: str, flush_us: int) -> DataFrame:
+    """W01 on a stream: (key, us, value, spike) of each row once its successor is final; as stream_despike otherwise."""
+    return _in_blocks(stream, key, ts, us, column, late, "spike", "boolean", _Blocks(key, us, column, "spike", 1, flush_us, partial(spikes, max_spike=max_spike)))
+
+
+def stream_despike(stream: DataFrame, key: str, ts: str, us: str, column: str, passes: list[tuple[float, int]], late: str, flush_us: int) -> DataFrame:
+    """W02 on a stream: (key, us, value, kept) of each row, kept null where a pass finds a spike.
+
+    Rows may come in any order, `late` late at most.  A row is given when all that its blocks look ahead at is final; the
+    state holds the rows not given yet and the last ones before them, the sum of the blocks at most.  When a key has been
+    silent for flush_us, its last rows come out by the rule for the end of a series; a later row begins a new series.
+    """
+    return _in_blocks(stream, key, ts, us, column, late, "kept", "double", _Blocks(key, us, column, "kept", sum(b for _, b in passes), flush_us, partial(despiked, passes=passes)))
