@@ -1,16 +1,14 @@
-"""Seawater and oxygen as Column expressions (M10-M12, M22, W20 in part), from public polynomials.
+"""Salinity and oxygen as Column expressions (M10-M12, W20 in part), from public polynomials; what follows from them by
+TEOS-10 is in `teos`.
 
-Practical salinity is PSS-78.  Density, sound speed and depth are the EOS-80 polynomials of UNESCO 44.  Absolute salinity
+Practical salinity is PSS-78, density at the surface EOS-80 (UNESCO 44).  Absolute salinity
 is the constant ratio 35.16504 / 35 times practical salinity, in the Baltic (9 to 30 E, 53 to 66 N) plus the Baltic formula
 0.087 (1 - S / 35); an atlas of anomalies is not built in, which leaves up to 0.025 g/kg in the open ocean.  A user's own
-anomaly ratio can be given as a column.  Conservative temperature is approximated by potential temperature (EOS-80), which
-is within 0.1 degrees for 0 to 30 degrees and 0 to 40 g/kg.
+anomaly ratio can be given as a column.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,75 +59,11 @@ def absolute_salinity(sp: Column, lon: Column, lat: Column, anomaly_ratio: Colum
     return F.when(baltic, plain + 0.087 * (1 - sp / 35)).otherwise(open_sea)
 
 
-def adiabatic_gradient(s: Column, t: Column, p: Column) -> Column:
-    """Degrees per decibar (Bryden, 1973)."""
-    d = s - 35
-    return (
-        (((-2.1687e-16 * t + 1.8676e-14) * t - 4.6206e-13) * p + ((2.7759e-12 * t - 1.1351e-10) * d + ((-5.4481e-14 * t + 8.733e-12) * t - 6.7795e-10) * t + 1.8741e-8)) * p
-        + (-4.2393e-8 * t + 1.8932e-6) * d + ((6.6228e-10 * t - 6.836e-8) * t + 8.5258e-6) * t + 3.5803e-5
-    )
-
-
-def _let(value: Column, use) -> Column:
-    """Bind a value that an expression uses many times, so that it is not written out each time."""
-    return F.transform(F.array(value), use)[0]
-
-
-def potential_temperature(s: Column, t: Column, p: Column, reference: float = 0.0) -> Column:
-    """By one Runge-Kutta step of the fourth order (Fofonoff, 1977)."""
-    a, b, r = 1 - math.sqrt(0.5), 1 + math.sqrt(0.5), math.sqrt(2)
-
-    def steps(x: Column) -> Column:
-        """x holds s, p and the step h."""
-        s, p, h = x["s"], x["p"], x["h"]
-
-        def slope(t: Column, at: Column) -> Column:
-            return h * adiabatic_gradient(s, t, at)
-
-        def first(y: Column) -> Column:
-            return _let(slope(y, p), lambda k: _let(y + k / 2, lambda t1: second(t1, k)))
-
-        def second(t1: Column, q1: Column) -> Column:
-            return _let(slope(t1, p + h / 2), lambda k: _let(t1 + a * (k - q1), lambda t2: third(t2, (2 - r) * k + (-2 + 3 / r) * q1)))
-
-        def third(t2: Column, q2: Column) -> Column:
-            return _let(q2, lambda q: _let(slope(t2, p + h / 2), lambda k: _let(t2 + b * (k - q), lambda t3: fourth(t3, (2 + r) * k + (-2 - 3 / r) * q))))
-
-        def fourth(t3: Column, q3: Column) -> Column:
-            return t3 + (slope(t3, p + h) - 2 * q3) / 6
-
-        return _let(x["t"], first)
-
-    return _let(F.struct(s.alias("s"), t.alias("t"), p.alias("p"), (reference - p).alias("h")), steps)
-
-
 def density_at_surface(s: Column, t: Column) -> Column:
     """kg/m3 at one atmosphere."""
     return _poly(t, _PURE) + s * (_poly(t, _SALT) + F.sqrt(F.greatest(s, F.lit(0.0))) * _poly(t, _SALT15) + s * _SALT2)
 
 
-def sigma0(s: Column, t: Column, p: Column) -> Column:
-    """Potential density minus 1000."""
-    return density_at_surface(s, potential_temperature(s, t, p)) - 1000
-
-
-def depth(p: Column, lat: Column) -> Column:
-    """Metres (Saunders and Fofonoff, 1976)."""
-    x = F.sin(F.radians(lat)) ** 2
-    g = 9.780318 * (1.0 + (5.2788e-3 + 2.36e-5 * x) * x) + 1.092e-6 * p
-    return (((-1.82e-15 * p + 2.279e-10) * p - 2.2512e-5) * p + 9.72659) * p / g
-
-
-def sound_speed(s: Column, t: Column, d: Column) -> Column:
-    """m/s by depth (Mackenzie, 1981)."""
-    return 1448.96 + 4.591 * t - 5.304e-2 * t**2 + 2.374e-4 * t**3 + 1.340 * (s - 35) + 1.630e-2 * d + 1.675e-7 * d**2 - 1.025e-2 * t * (s - 35) - 7.139e-13 * t * d**3
-
-
-def buoyancy_frequency(sigma: Column, next_sigma: Column, z: Column, next_z: Column) -> Column:
-    """N squared between a sample and the next; null for the last."""
-    return 9.81 / (1000 + sigma) * F.try_divide(next_sigma - sigma, next_z - z)
-
-
 def oxygen_solubility(t: Column, s: Column) -> Column:
     """Micromoles per kilogram."""
     ts = F.log((298.15 - t) / (273.15 + t))

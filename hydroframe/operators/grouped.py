@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -456,66 +457,113 @@ def decimate(df: DataFrame, keys: list[str], us: str, column: str, period_us: in
     return fir_filter(even, keys, [us], column, kaiser_taps(1 / k, 0.5 / k)).where((F.col(us) / period_us).cast("long") % k == 0)
 
 
+def _smooth_vectors(n: int, width: float, count: int, terms: int) -> np.ndarray:
+    """The first eigenvectors of the tapers' difference operator, as sums of orthonormal polynomials on the n points.
+
+    On the discrete Chebyshev polynomials (degree k, b_k = k / 2 * sqrt((n^2 - k^2) / (4 k^2 - 1)) between neighbours) the
+    operator is a diagonal of k (k + 1) / 2 and a multiple of x^2, both exact, so a small matrix gives the vectors' coefficients;
+    these fall off faster than any power.  Polynomials are run up one after another.
+    """
+    k = np.arange(1, terms, dtype=np.float64)
+    b = k / 2 * np.sqrt((n * n - k * k) / (4 * k * k - 1))
+    x = np.diag(b, 1) + np.diag(b, -1)
+    square = x @ x
+    # The last degree has a neighbour that was cut off.
+    square[-1, -1] += (terms / 2) ** 2 * (n * n - terms * terms) / (4 * terms * terms - 1)
+    degree = np.arange(terms)
+    _, vectors = np.linalg.eigh(-np.diag(degree * (degree + 1) / 2) - 2 * math.sin(math.pi * width) ** 2 * square)
+    coefs = vectors[:, ::-1][:, :count]
+    at, before, now = np.arange(n) - (n - 1) / 2, np.zeros(n), np.full(n, 1 / math.sqrt(n))
+    out = np.outer(coefs[0], now)
+    for i in range(1, terms):
+        before, now = now, (at * now - (b[i - 2] if i > 1 else 0) * before) / b[i - 1]
+        out += np.outer(coefs[i], now)
+    return out
+
+
+@lru_cache(maxsize=16)
 def slepian(n: int, half_width: float, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Discrete prolate spheroidal tapers by the symmetric tridiagonal eigenproblem, and their concentrations."""
-    w, i = half_width / n, np.arange(n)
-    main = ((n - 1 - 2 * i) / 2) ** 2 * math.cos(2 * math.pi * w)
-    side = i[1:] * (n - i[1:]) / 2
-    _, vectors = np.linalg.eigh(np.diag(main) + np.diag(side, 1) + np.diag(side, -1))
-    tapers = vectors[:, ::-1][:, :count].T
-    tapers = np.array([t * (np.sign(t.sum()) if k % 2 == 0 else np.sign(t[1] if abs(t[1]) > 1e-12 else 1)) for k, t in enumerate(tapers)])
+    """Discrete prolate spheroidal tapers (unit norm) of n points and their concentrations in the band of half_width / n.
+
+    Long tapers are summed up from polynomials in time and memory in proportion to n; where the polynomials' degree would come
+    near the square root of n, the tridiagonal eigenproblem is small and solved as it is.
+    """
+    width, terms = half_width / n, 40 + int(4 * half_width) + 2 * count
+    if terms < 1.5 * math.sqrt(n):
+        tapers = _smooth_vectors(n, width, count, terms)
+    else:
+        i = np.arange(n)
+        side = i[1:] * (n - i[1:]) / 2
+        operator = np.diag(((n - 1 - 2 * i) / 2) ** 2 * math.cos(2 * math.pi * width)) + np.diag(side, 1) + np.diag(side, -1)
+        tapers = np.linalg.eigh(operator)[1][:, ::-1][:, :count].T
+    tapers = tapers / np.sqrt((tapers**2).sum(axis=1))[:, None]
+    # Even tapers have a positive sum, odd ones begin by rising.
+    lean = (n - 1) / 2 - np.arange(n)
+    tapers = tapers * np.array([1.0 if (t.sum() if k % 2 == 0 else (t * lean).sum()) >= 0 else -1.0 for k, t in enumerate(tapers)])[:, None]
+    # The share of a taper's power in the band, from its autocorrelation.
+    size = 1 << (2 * n - 1).bit_length()
+    auto = np.fft.irfft(np.abs(np.fft.rfft(tapers, size, axis=1)) ** 2, size, axis=1)[:, :n]
     lag = np.arange(1, n)
-    kernel = 2 * np.sin(2 * math.pi * w * lag) / (2 * math.pi * lag)
-    auto = [np.correlate(t, t, "full")[n - 1 :] for t in tapers]
-    return tapers, np.array([2 * w * a[0] + (2 * kernel / 1 * a[1:]).sum() for a in auto])
+    kernel = np.sin(2 * math.pi * width * lag) / (math.pi * lag)
+    return tapers, 2 * width * auto[:, 0] + 2 * auto[:, 1:] @ kernel
 
 
-def _combined(power: np.ndarray, weight: np.ndarray) -> np.ndarray:
+def weighted_power(power: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """One-sided power of tapers (rows), each by its weight."""
     return 2 * (weight * power).sum(axis=0) / weight.sum(axis=0)
 
 
-def adaptive_power(power: np.ndarray, weight: np.ndarray, rounds: int = 150) -> np.ndarray:
-    """One-sided power of several tapers (rows) by Thomson's weights.
+def adaptive_power(power: np.ndarray, concentration: np.ndarray, variance: float, tolerance: float = 1e-8, rounds: int = 200) -> np.ndarray:
+    """One-sided power of tapers (rows) by Thomson's adaptive weights (1982).
 
-    A taper counts the less, the more its leakage (its share outside the band, of the variance) exceeds the spectrum; weights
-    and spectrum are found in turns.
+    At each frequency the spectrum s is the mean of the tapers' power with weights c (s / (c s + (1 - c) v))^2, for
+    concentrations c and the variance v of the series: a taper counts less where what leaks into it outweighs s.  All
+    frequencies are put in again together until no s changes by more than a part of `tolerance`.
     """
-    inside = np.minimum(weight, 1)[:, None]
-    level = _combined(power, inside)
-    leakage = (1 - inside) * (level.sum() - (level[0] + level[-1]) / 2) / (2 * len(level))
-    found, before = _combined(power[:2], inside[:2]), np.zeros_like(power)
-    if not power.any():
-        return level
+    c = np.clip(concentration, 1e-12, 1)[:, None]
+    s = (c * power).mean(axis=0)
     for _ in range(rounds):
-        below = inside * found + leakage
-        share = np.sqrt(inside) * np.divide(found, below, out=np.ones_like(below), where=below > 0)
-        if np.max(np.mean((share - before) ** 2, axis=0)) < 1e-10:
+        expected = c * s + (1 - c) * variance
+        weight = c * np.divide(s, expected, out=np.ones_like(expected), where=expected > 0) ** 2
+        total = weight.sum(axis=0)
+        again = np.divide((weight * power).sum(axis=0), total, out=np.zeros_like(s), where=total > 0)
+        settled = np.abs(again - s) <= tolerance * s
+        s = again
+        if settled.all():
             break
-        found, before = np.where(found > 0, _combined(power, np.maximum(share, 1e-12) ** 2), 0), share
-    return found
+    return 2 * s
 
 
-def psd_multitaper(df: DataFrame, keys: list[str], us: str, column: str, frequency: float, half_width: float = 2.5, tapers: int = 4, adaptive: bool = False) -> DataFrame:
+def psd_multitaper(
+    df: DataFrame, keys: list[str], us: str, column: str, frequency: float, half_width: float = 2.5, tapers: int | None = None, adaptive: bool = False, least: float = 0.9, padded: bool = False,
+    band: tuple[float, float] | None = None,
+) -> DataFrame:
     """Frequency and power density (arrays) of each interval, its mean removed; zero where there are no values.
 
-    Tapers weigh by their concentration, or, with adaptive, by Thomson's weights for each frequency.
+    Of `tapers` tapers (twice half_width, if not given) those count whose concentration is above `least`, the first if none
+    is.  They weigh by their concentration, or, with adaptive, by Thomson's weights for each frequency.  padded: zeros up to
+    the next power of two, 256 at least; band: only frequencies within it.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         y = rows[column].to_numpy(np.float64)
         good = ~np.isnan(y)
         y = np.where(good, y - (y[good].mean() if good.any() else 0), 0)
-        freq = np.fft.rfftfreq(len(y), 1 / frequency)
+        size = max(256, 1 << (len(y) - 1).bit_length()) if padded else len(y)
+        freq = np.fft.rfftfreq(size, 1 / frequency)
+        chosen = (freq >= band[0]) & (freq <= band[1]) if band else np.full(len(freq), True)
         if len(y) < 8:
             psd = np.zeros(len(freq))
         else:
-            own, weight = slepian(len(y), half_width, tapers)
-            power = np.abs(np.fft.rfft(own * y, axis=1)) ** 2
-            power[:, 0] /= 2
-            if len(y) % 2 == 0:
-                power[:, -1] /= 2
-            psd = (adaptive_power(power, weight) if adaptive else _combined(power, weight[:, None])) / frequency
-        return pd.DataFrame({**{k: [rows[k].iloc[0]] for k in keys}, "freq": [freq], "psd": [psd]})
+            own, weight = slepian(len(y), half_width, tapers or max(1, int(2 * half_width)))
+            use = weight > least
+            use[0] |= not use.any()
+            power = np.abs(np.fft.rfft(own[use] * y, size, axis=1)) ** 2
+            psd = (adaptive_power(power, weight[use], float((y * y).mean())) if adaptive else weighted_power(power, weight[use][:, None])) / frequency
+            psd[0] /= 2
+            if size % 2 == 0:
+                psd[-1] /= 2
+        return pd.DataFrame({**{k: [rows[k].iloc[0]] for k in keys}, "freq": [freq[chosen]], "psd": [psd[chosen]]})
 
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     return apply_per_block(df, keys, [us], run, f"{kinds}, freq array<double>, psd array<double>")

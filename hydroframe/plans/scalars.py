@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import geo, seawater, times, vectors
+from ..functions import geo, seawater, teos, times, vectors
 from ..operators import joins
 from ..sources.series import events
 from .filters import E, P, positions
@@ -109,14 +109,38 @@ def m10(spark, d):
     return out.select("event_id", F.round("sp", 5).alias("sp"), F.round(sa, 5).alias("sa"), F.round(seawater.density_at_surface(F.col("sp"), F.col("t")), 4).alias("rho"))
 
 
-@register("m10b_profile_properties")
+def _teos_sql(source: str) -> str:
+    """Rows of source (s, t, p and more) with potential and conservative temperature, sigma0, sound speed and height."""
+    e, g = teos, teos.GUESS
+    flat = lambda x: {k[:2]: c for k, c in x.items() if k[2] == 0}
+    at = lambda x, *v: e.nested_sql(x, list(v))
+    by_y, by_z = e.derived(e.S, 1), e.derived(e.S, 2)
+    out = f"""(select *, sqrt({e.SFAC} * s) as x, t * 0.025 as y, p * 1e-4 as z, s * 35 / {e.SSO} as s1 from {source})"""
+    out = f"""(select *, {at(e.S, "x", "y", "z")} as part, t + p * ({g[0]} + s1 * {g[1]} + p * {g[2]} + t * ({g[3]} + s1 * {g[4]} + t * {g[5]} + p * {g[6]})) as pt0 from {out})"""
+    out = f"(select *, -{e.CP0} / ((pt0 + 273.15) * (1 - 0.05 * (1 - s / {e.SSO}))) / 0.025 as slope0 from {out})"
+    for n in (0, 1):
+        out = f"(select *, pt{n} * 0.025 as w{n} from {out})"
+        out = f"(select *, ({at(flat(e.S), 'x', f'w{n}')}) - part as off{n} from {out})"
+        out = f"(select *, (2 * pt{n} - off{n} / slope{n}) * 0.0125 as u{n} from {out})"
+        out = f"(select *, ({at(flat(by_y), 'x', f'u{n}')}) * 0.025 as slope{n + 1} from {out})"
+        out = f"(select *, pt{n} - off{n} / slope{n + 1} as pt{n + 1} from {out})"
+    out = f"(select *, pt2 * 0.025 as w2, sin(radians(55.0)) * sin(radians(55.0)) as ls from {out})"
+    out = f"(select *, ({at({k[:2]: c for k, c in e.H.items()}, 'x', 'w2')}) / {e.CP0} as ct, 9.780327 * (1 + (5.2792e-3 + 2.32e-5 * ls) * ls) as g0, ({at({(i,): c for i, c in enumerate(e.STANDARD_ENTHALPY)}, 'z')}) * 1e8 as h0 from {out})"
+    out = f"(select *, sqrt({e.SFAC} * s + {e.OFFSET}) as xv, ct * 0.025 as yv, {at(e.G_Z, 'x', 'y', 'z')} as v, {at(e.derived(e.G_Z, 2), 'x', 'y', 'z')} as vz, {at(by_y, 'x', 'y', 'z')} as cy, {at(by_z, 'x', 'y', 'z')} as cz from {out})"
+    return f"(select *, 1 / ({at(flat(e.V), 'xv', 'yv')}) - 1000 as sigma0, v * sqrt(cy / (cz * cz - cy * vz)) as sound, -2 * h0 / (g0 + sqrt(g0 * g0 + 2 * {e.GAMMA} * g0 * h0)) as height from {out})"
+
+
+@register(
+    "m10b_profile_properties",
+    f"""select event_id, round(pt2, 9) as theta, round(ct, 9) as ct, round(sigma0, 8) as sigma0, round(sound, 6) as sound, round(height, 8) as height
+    from {_teos_sql(f"(select event_id, 5 + value % 30 as s, value % 20 as t, (event_id % 200)::double as p from {E})")}""",
+)
 def m10b(spark, d):
-    s, t, p = 5 + F.col("value") % 30, F.col("value") % 20, (F.col("event_id") % 200).cast("double")
-    z = seawater.depth(p, F.lit(55.0))
-    w = Window.partitionBy("device").orderBy("z", "event_id")
-    out = events(spark, d).select("device", "event_id", z.alias("z"), seawater.sigma0(s, t, p).alias("sigma0"), seawater.potential_temperature(s, t, p).alias("theta"), seawater.sound_speed(s, t, z).alias("sound"))
-    n2 = seawater.buoyancy_frequency(F.col("sigma0"), F.lead("sigma0").over(w), F.col("z"), F.lead("z").over(w))
-    return rounded(out.withColumn("n2", n2))
+    s, t, p = F.col("s"), F.col("t"), F.col("p")
+    q = events(spark, d).select("event_id", (5 + F.col("value") % 30).alias("s"), (F.col("value") % 20).alias("t"), (F.col("event_id") % 200).cast("double").alias("p"))
+    q = q.withColumn("theta", teos.potential_temperature(s, t, p)).withColumn("ct", teos.conservative_temperature_of_potential(s, F.col("theta")))
+    out = {"theta": (F.col("theta"), 9), "ct": (F.col("ct"), 9), "sigma0": (teos.sigma0(s, F.col("ct")), 8), "sound": (teos.sound_speed(s, t, p), 6), "height": (teos.height(p, F.lit(55.0)), 8)}
+    return q.select("event_id", *[F.round(c, n).alias(k) for k, (c, n) in out.items()])
 
 
 @register(
@@ -236,9 +260,17 @@ def m23(spark, d):
 
 @register(
     "m22_buoyancy_frequency",
-    f"with q as (select device, event_id, event_id % 200 + event_id / 100000.0 as z, 5 + value / 10 as s from {E}) select event_id, round(9.81 / (1000 + s) * (lead(s) over w - s) / (lead(z) over w - z), 6) as n2 from q window w as (partition by device order by z)",
+    f"""with q as (select device, event_id, event_id % 200 + event_id / 100000.0 as p, 5 + value / 10 as s, value % 20 as t from {E}),
+    h as (select *, -2 * h0 / (g0 + sqrt(g0 * g0 + 2 * {teos.GAMMA} * g0 * h0)) as height from (
+      select *, ({teos.nested_sql({(i,): c for i, c in enumerate(teos.STANDARD_ENTHALPY)}, ["(p * 1e-4)"])}) * 1e8 as h0, 9.780327 * (1 + (5.2792e-3 + 2.32e-5 * ls) * ls) as g0 from (select *, sin(radians(55.0)) * sin(radians(55.0)) as ls from q))),
+    m as (select event_id, s, t, p, lead(s) over w - s as ds, lead(t) over w - t as dt, lead(p) over w - p as dp, g0 * (1 - {teos.GAMMA} * (height + lead(height) over w) / 2) as g from h window w as (partition by device order by p)),
+    x as (select *, sqrt({teos.SFAC} * (s + ds / 2) + {teos.OFFSET}) as x, (t + dt / 2) * 0.025 as y, (p + dp / 2) * 1e-4 as z from m),
+    v as (select *, {teos.nested_sql(teos.V, ["x", "y", "z"])} as v, {teos.nested_sql(teos.derived(teos.V, 0), ["x", "y", "z"])} as vx, {teos.nested_sql(teos.derived(teos.V, 1), ["x", "y", "z"])} as vy from x)
+    select event_id, round(g * g * -(vy * 0.025 * dt + vx * {teos.SFAC} / (2 * x) * ds) / (v * v * 1e4 * dp), 9) as n2 from v""",
 )
 def m22(spark, d):
-    w = Window.partitionBy("device").orderBy("z")
-    q = events(spark, d).select("device", "event_id", (F.col("event_id") % 200 + F.col("event_id") / 100000).alias("z"), (5 + F.col("value") / 10).alias("s"))
-    return q.select("event_id", F.round(seawater.buoyancy_frequency(F.col("s"), F.lead("s").over(w), F.col("z"), F.lead("z").over(w)), 6).alias("n2"))
+    w = Window.partitionBy("device").orderBy("p")
+    q = events(spark, d).select("device", "event_id", (F.col("event_id") % 200 + F.col("event_id") / 100000).alias("p"), (5 + F.col("value") / 10).alias("s"), (F.col("value") % 20).alias("t"))
+    q = q.withColumns({f"n_{c}": F.lead(c).over(w) for c in "stp"})
+    n2 = teos.n_squared(F.col("s"), F.col("t"), F.col("p"), F.col("n_s"), F.col("n_t"), F.col("n_p"), F.lit(55.0))
+    return q.select("event_id", F.round(n2, 9).alias("n2"))
