@@ -159,25 +159,26 @@ def too_frequent_values(df: DataFrame, column: str, max_percent: float = 0.5) ->
 
 
 def frozen_signal(df: DataFrame, keys: list[str], order: list[str], column: str, noise: float, strides: tuple[int, ...] = (16, 32), block_rows: int = 1 << 17) -> DataFrame:
-    """`works`, true where the signal differs by more than noise from a neighbour row or over a stride of rows.
+    """`works`, true where the signal differs by more than noise from the row before, or over a stride of rows.
 
-    The n-th whole stride of k rows is compared from its first row to the first row of the next; an unfinished last
-    stride is not tested.  Where more than a tenth of a device's differences are null, every row works.
+    The n-th whole stride of k rows lies between the rows n k and n k + k and stands for the rows behind the first of these,
+    up to the second; an unfinished last stride is not tested.  The first row is as the second.  Where the differences
+    that are null are more than a tenth of a device's rows, every row works.
     """
     def run(out: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
         w, c = Window.partitionBy(*keys).orderBy(*order), F.col(column)
         change = c - F.lag(c).over(w)
         out = out.withColumns({"_moved": F.coalesce(F.abs(change) > noise, F.lit(False)), "_blank": F.isnull(change)})
-        works = F.col("_moved") | F.coalesce(F.lead("_moved").over(w), F.lit(False))
+        works, at = F.when(F.col("_i") > 0, F.col("_moved")).otherwise(F.coalesce(F.lead("_moved").over(w), F.lit(False))), F.greatest(F.col("_i") - 1, F.lit(0))
         for k in strides:
-            jump = F.when(F.col("_i") % k == 0, F.abs(F.lead(c, k).over(w) - c) > noise)
+            jump = F.when((F.col("_i") > 0) & (at % k == 0), F.abs(F.lead(c, k - 1).over(w) - F.lag(c).over(w)) > noise)
             out = out.withColumn(f"_jump{k}", jump)
-            works = works | F.coalesce(F.max(f"_jump{k}").over(Window.partitionBy(*keys, F.floor(F.col("_i") / k))), F.lit(False))
+            works = works | F.coalesce(F.max(f"_jump{k}").over(Window.partitionBy(*keys, F.floor(at / k))), F.lit(False))
         return out.withColumn("works", works)
 
     whole, reach = math.lcm(*strides), max(strides, default=1)
     out = in_row_blocks(df, keys, order[0], order[1:], reach, reach, run, -(-block_rows // whole) * whole)
-    blank = out.groupBy(*keys).agg(((F.count_if("_blank") - 1) / F.greatest(F.count("*") - 1, F.lit(1)) > 0.1).alias("_all"))
+    blank = out.groupBy(*keys).agg((F.count_if("_blank") - 1 > F.count("*") / 10).alias("_all"))
     return joined(out, blank, keys).withColumn("works", F.col("works") | F.col("_all")).select(*df.columns, "works")
 
 

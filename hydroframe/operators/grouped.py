@@ -16,6 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .sequence import BUCKET_US, carry, cumulated, extremes, islands, joined, numbered, settled
+
+#: Rows of a long series that are ordered at once, where a row number is the order.
+BLOCK_ROWS = 1 << 17
+
 
 def apply_per_block(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType | str) -> DataFrame:
     """Run a function on each group of rows, sorted by `order`; keys name bursts, casts or files of bounded size.
@@ -111,16 +116,37 @@ def longest_increasing(values: np.ndarray) -> np.ndarray:
     return np.array(out[::-1], int)
 
 
-def mark_longest_increasing(df: DataFrame, keys: list[str], order: list[str], column: str) -> DataFrame:
-    """`increasing`, true for the rows of the longest strictly increasing subsequence of each group."""
+def mark_longest_increasing(df: DataFrame, keys: list[str], order: list[str], column: str, repeats: bool = False, bucket: int = BUCKET_US) -> DataFrame:
+    """`increasing`, true for the rows of the longest strictly increasing subsequence of each group; nulls are none of it.
+
+    A group is cut where all values before are less than all that follow: the subsequence of the whole is that of the parts
+    one after another.  A row alone in its part needs no search, so of one long series only the stretches that some value
+    falls back in come together, each in one task (all of it, where the first value is the greatest).  repeats: rows with
+    the value of the row after them are marked with it (a subsequence that doesn't decrease).
+
+    The first column of `order` is a number; `bucket`, its range in which rows are ordered at once.
+    """
+    us, more, c = order[0], order[1:], F.col(column)
+    ends = extremes(df, keys, us, more, {"_before": ("max", c, False), "_after": ("min", c, True)}, bucket)
+    begins = F.coalesce(F.col("_before") < F.least(c, "_after"), F.lit(True))
+    closes = F.coalesce(F.greatest(c, "_before") < F.col("_after"), F.lit(True))
+    ends = settled(ends.withColumns({"_begins": begins, "_alone": c.isNull() | (begins & closes)}).drop("_before", "_after"))
+    single = ends.where("_alone").drop("_begins", "_alone").withColumn("increasing", c.isNotNull())
+    parts = cumulated(ends.where("not _alone").drop("_alone"), keys, us, more, {"_part": F.col("_begins").cast("int")}, bucket).drop("_begins")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         mark = np.zeros(len(rows), bool)
-        good = rows[column].notna().to_numpy()
-        mark[np.flatnonzero(good)[longest_increasing(rows[column].to_numpy()[good])]] = True
+        mark[longest_increasing(rows[column].to_numpy())] = True
         return rows.assign(increasing=mark)
 
-    return apply_per_block(df, keys, order, run, _same(df, increasing="boolean"))
+    found = apply_per_block(parts, [*keys, "_part"], order, run, _same(parts, increasing="boolean")).drop("_part")
+    out = single.unionByName(found)
+    if repeats:
+        out = settled(out)
+        runs = islands(out, keys, order, c, bucket)
+        kept = runs.groupBy(*keys, "island").agg(F.bool_or("increasing").alias("_any"))
+        out = joined(runs, kept, [*keys, "island"]).withColumn("increasing", F.col("_any") & c.isNotNull()).drop("_any", "island")
+    return out
 
 
 def _line(t: np.ndarray, step: float, hole: float) -> np.ndarray:
@@ -155,19 +181,37 @@ def linearize_time(df: DataFrame, keys: list[str], us: str, order: str, frequenc
     return apply_per_block(parts, [*keys, "burst"], [us, order], run, _same(parts)).drop("burst")
 
 
-def linearize_with_shifts(df: DataFrame, keys: list[str], us: str, order: str, frequency: float, accuracy_us: int) -> DataFrame:
-    """One line of constant step per group that jumps only where the times left it by more than the accuracy."""
+def shifted_line(t: np.ndarray, step: float, accuracy: float) -> np.ndarray:
+    """A line of constant step that begins anew at each time that lies off it by more than the accuracy."""
+    line, base, ahead = np.empty(len(t)), 0, 64
+    while base < len(t):
+        end = min(base + ahead, len(t))
+        own = t[base] + np.arange(end - base) * step
+        off = np.flatnonzero(np.abs(t[base:end] - own) > accuracy)
+        if len(off) or end == len(t):
+            stop = off[0] if len(off) else end - base
+            line[base : base + stop] = own[:stop]
+            base, ahead = base + stop, 64
+        else:
+            ahead *= 4
+    return line
+
+
+def linearize_with_shifts(df: DataFrame, keys: list[str], us: str, order: str, frequency: float, accuracy_us: int, bucket: int = BLOCK_ROWS) -> DataFrame:
+    """One line of constant step per group that jumps only where the times left it by more than the accuracy.
+
+    Where a step differs from the given one by more than twice the accuracy, the line begins anew whatever came before; what
+    lies between such places goes to tasks on its own.  `order` is a number, `bucket` its range in which rows are ordered at once.
+    """
+    period = 1e6 / frequency
+    before = carry(df, keys, order, [], {"_was": F.struct(us)}, strict=True, bucket_us=bucket)
+    jump = F.coalesce(F.abs(F.col(us) - F.col(f"_was.{us}") - period) > 2 * accuracy_us, F.lit(False))
+    parts = cumulated(before, keys, order, [], {"_part": jump.cast("int")}, bucket).drop("_was")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        t = rows[us].to_numpy(np.float64)
-        line, base = np.empty(len(t)), 0
-        for i in range(len(t)):
-            line[i] = t[base] + (i - base) * 1e6 / frequency
-            if abs(t[i] - line[i]) > accuracy_us:
-                base, line[i] = i, t[i]
-        return rows.assign(**{us: np.round(line).astype(np.int64)})
+        return rows.assign(**{us: np.round(shifted_line(rows[us].to_numpy(np.float64), period, accuracy_us)).astype(np.int64)})
 
-    return apply_per_block(df, keys, [order], run, _same(df))
+    return apply_per_block(parts, [*keys, "_part"], [order], run, _same(parts)).drop("_part")
 
 
 def even_times(t: np.ndarray, step: float, most: float) -> np.ndarray:
@@ -181,45 +225,90 @@ def even_times(t: np.ndarray, step: float, most: float) -> np.ndarray:
     return t if (np.diff(out) < 0).any() else out
 
 
-def correct_time(df: DataFrame, keys: list[str], us: str, order: str, frequency: float, zone_hours: float = 0, limits_us: tuple[int, int] | None = None, delete_inversions: bool = False, even: bool = False, max_error_us: int = 1_500_000) -> DataFrame:
-    """Shift to UTC, clamp to limits, then make times increase in the order of the file.
+def _without_inversions(df: DataFrame, keys: list[str], us: str, order: str, period: Column, delete: bool, repeats: bool, bucket: int) -> DataFrame:
+    """Times off the longest increasing subsequence go, or lie on the line of their neighbours; at an end by the period.
 
-    Files that already increase keep their times (decided by one aggregate).  In others, times off the longest increasing
-    subsequence are inversions: they are deleted, or replaced in line with their neighbours (of the nearest times kept, whatever the
-    distance).  With even, times between holes of more than max_error_us then get a constant step (as W10), in every file;
-    where two rows in a row would move by more than max_error_us they keep their times, and so does the whole file if its
-    times would no longer rise.
+    repeats: times said again right before one of them stay too.
     """
+    marked = mark_longest_increasing(df, keys, [order], us, repeats, bucket)
+    if delete:
+        return marked.where("increasing").drop("increasing")
+    rows = settled(numbered(settled(marked), keys, order, [], bucket))
+    here = F.when(F.col("increasing"), F.struct(F.col("_i").alias("i"), F.col(us).alias("t")))
+    rows = settled(carry(rows, keys, order, [], {"_low": here}, bucket_us=bucket))
+    rows = carry(rows, keys, order, [], {"_high": here}, backward=True, bucket_us=bucket)
+    low, high, i = F.col("_low"), F.col("_high"), F.col("_i")
+    between = low["t"] + F.coalesce(F.try_divide((i - low["i"]) * (high["t"] - low["t"]), high["i"] - low["i"]), F.lit(0.0))
+    line = F.when(low.isNotNull() & high.isNotNull(), between).when(low.isNotNull(), low["t"] + (i - low["i"]) * period).otherwise(high["t"] - (high["i"] - i) * period)
+    return rows.withColumn(us, F.coalesce(F.rint(line).cast("long"), F.col(us))).select(*df.columns)
+
+
+def _evened(df: DataFrame, keys: list[str], us: str, order: str, frequency: str, max_error_us: int, bucket: int) -> DataFrame:
+    """W10 between holes, with reverts; a file whose times would then fall keeps them.  frequency: a column."""
+    before = carry(df.withColumn("_old", F.col(us)), keys, order, [], {"_was": F.struct("_old")}, strict=True, bucket_us=bucket)
+    parts = cumulated(before, keys, order, [], {"_part": F.coalesce(F.col("_old") - F.col("_was._old") > max_error_us, F.lit(False)).cast("int")}, bucket).drop("_was")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.assign(**{us: even_times(rows[us].to_numpy(np.int64), 1e6 / rows[frequency].iloc[0], max_error_us)})
+
+    new = settled(apply_per_block(parts, [*keys, "_part"], [order], run, _same(parts)).drop("_part"))
+    new = carry(new, keys, order, [], {"_was": F.struct(us)}, strict=True, bucket_us=bucket)
+    falls = new.groupBy(*keys).agg(F.coalesce(F.bool_or(F.col(us) < F.col(f"_was.{us}")), F.lit(False)).alias("_drops"))
+    return joined(new, falls, keys).withColumn(us, F.when(F.col("_drops"), F.col("_old")).otherwise(F.col(us))).select(*df.columns)
+
+
+def correct_time(
+    df: DataFrame, keys: list[str], us: str, order: str, frequency: float | None, zone_hours: float = 0, limits_us: tuple[int, int] | None = None, delete_inversions: bool = False, even: bool = False,
+    max_error_us: int = 1_500_000, choose: bool = False, accuracy_us: int | None = None, bucket: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Shift to UTC, clamp to limits, then make times increase in the order of the file (a number).
+
+    Files that already increase keep their times.  In others, times off the longest increasing subsequence are inversions:
+    they are deleted, or replaced in line with their neighbours (of the nearest times kept, whatever the distance).
+
+    choose: each file then gets its method.  Without times that repeat it is done.  Repeated times become even by the given
+    frequency: with accuracy_us on one line with shifts (W11), else spread inside each time (W09); without a given frequency,
+    files with repeats or inversions are made even by the one that W07 finds in them (W10), where that is above one a second.
+    What still doesn't increase lies in line with what does.
+
+    even: W10 in every file.  Its times between holes of more than max_error_us get a constant step; where two rows in a row
+    would move by more than max_error_us they keep their times, and so does the whole file if its times would no longer rise.
+    """
+    from .windows import spread_repeated_times
+
     t = F.col(us) - round(zone_hours * 3600e6)
     if limits_us:
         t = F.greatest(F.lit(limits_us[0]), F.least(F.lit(limits_us[1]), t))
     moved = df.withColumn(us, t)
-    step = moved.withColumn("_d", F.col(us) - F.lag(us).over(Window.partitionBy(*keys).orderBy(order)))
-    bad = step.groupBy(*keys).agg(F.count_if((F.col("_d") <= 0) | F.col(us).isNull()).alias("_bad"))
-    marked = moved.join(bad, keys)
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        x = rows[us].to_numpy(np.float64)
-        good = np.zeros(len(x), bool)
-        known = np.flatnonzero(~np.isnan(x))
-        good[known[longest_increasing(x[known])]] = True
-        if delete_inversions:
-            return evened(rows[good])
-        at = np.arange(len(x))
-        new = np.interp(at, at[good], x[good]) if good.any() else x
-        head, tail = (at[good][0], at[good][-1]) if good.any() else (0, 0)
-        new[:head] = new[head] - (head - at[:head]) * 1e6 / frequency
-        new[tail + 1 :] = new[tail] + (at[tail + 1 :] - tail) * 1e6 / frequency
-        return evened(rows.assign(**{us: np.round(new).astype(np.int64)}))
-
-    def evened(rows: pd.DataFrame) -> pd.DataFrame:
-        return rows.assign(**{us: even_times(rows[us].to_numpy(np.int64), 1e6 / frequency, max_error_us)}) if even and len(rows) else rows
-
-    fine = marked.where("_bad = 0").drop("_bad")
+    step = carry(moved, keys, order, [], {"_was": F.struct(us)}, strict=True, bucket_us=bucket)
+    d = F.col(us) - F.col(f"_was.{us}")
+    kinds = step.groupBy(*keys).agg(F.count_if(d == 0).alias("_same"), F.count_if((d < 0) | F.col(us).isNull()).alias("_falls"))
+    if frequency is None:
+        known = sampling_frequency(moved.where(F.col(us).isNotNull()), keys, us).select(*keys, F.col("frequency").alias("_f"))
+        kinds = joined(kinds, known, keys, "left").withColumn("_f", F.coalesce("_f", F.lit(1.0)))
+    else:
+        kinds = kinds.withColumn("_f", F.lit(float(frequency)))
+    marked = settled(joined(moved, kinds, keys))
+    turned = (F.col("_falls") > 0) if choose else (F.col("_falls") + F.col("_same") > 0)
+    mended = _without_inversions(marked.where(turned), keys, us, order, 1e6 / F.col("_f"), delete_inversions, choose, bucket)
+    out = marked.where(~turned).unionByName(mended)
+    if choose:
+        out = settled(out)
+        if frequency is None:
+            even_ones = ((F.col("_same") > 0) | (F.col("_falls") > 0)) & (F.col("_f") > 1)
+            out = out.where(~even_ones).unionByName(_evened(out.where(even_ones), keys, us, order, "_f", max_error_us, bucket))
+        else:
+            rest, same = out.where("_same = 0"), out.where("_same > 0")
+            done = linearize_with_shifts(same, keys, us, order, frequency, accuracy_us, bucket) if accuracy_us is not None else spread_repeated_times(same, keys, us, order, frequency)
+            out = rest.unionByName(done)
+        # Only what still repeats or falls is looked at again.
+        out = settled(out)
+        left = carry(out, keys, order, [], {"_was": F.struct(us)}, strict=True, bucket_us=bucket).where(F.col(us) <= F.col(f"_was.{us}")).select(*keys).distinct().withColumn("_left", F.lit(True))
+        out = settled(joined(out, left, keys, "left"))
+        out = out.where("_left is null").drop("_left").unionByName(_without_inversions(out.where("_left").drop("_left"), keys, us, order, 1e6 / F.col("_f"), False, False, bucket))
     if even:
-        fine = apply_per_block(fine, keys, [order], evened, _same(moved))
-    mended = apply_per_block(marked.where("_bad > 0").drop("_bad"), keys, [order], run, _same(moved))
-    return fine.unionByName(mended)
+        out = _evened(settled(out), keys, us, order, "_f", max_error_us, bucket)
+    return out.select(*df.columns)
 
 
 def extract_casts(p: np.ndarray, min_dp: float, min_samples: int) -> list[tuple[int, int]]:

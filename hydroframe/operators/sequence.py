@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..streaming.run import folder
+
 #: Width of a time bucket if none is given: one day in microseconds.
 BUCKET_US = 86_400_000_000
 
@@ -66,6 +68,32 @@ def cumulated(df: DataFrame, keys: list[str], us: str, order: list[str], sums: d
     return out.drop("_bucket", *[f"{p}{n}" for n in sums for p in ("_v_", "_b_")])
 
 
+def extremes(df: DataFrame, keys: list[str], us: str, order: list[str], values: dict[str, tuple[str, Column, bool]], bucket_us: int = BUCKET_US) -> DataFrame:
+    """Add columns: the least or greatest of each value over all rows before this one, or after it.
+
+    values: name to ("min" or "max", value, whether after).  Found per bucket, then from the values that each bucket passes on.
+    """
+    df = df.withColumns({"_bucket": F.floor(F.col(us) / bucket_us), **{f"_v_{n}": v for n, (_, v, _) in values.items()}})
+
+    def window(by: list[str], along: list[str], after: bool):
+        turned = F.desc if after else F.asc
+        return Window.partitionBy(*by).orderBy(*[turned(c) for c in along]).rowsBetween(Window.unboundedPreceding, -1)
+
+    of = {n: (F.min, F.least) if kind == "min" else (F.max, F.greatest) for n, (kind, _, _) in values.items()}
+    passed = df.groupBy(*keys, "_bucket").agg(*[of[n][0](f"_v_{n}").alias(f"_p_{n}") for n in values])
+    passed = passed.select(*keys, "_bucket", *[of[n][0](f"_p_{n}").over(window(keys, ["_bucket"], after)).alias(f"_b_{n}") for n, (_, _, after) in values.items()])
+    inside = df.withColumns({n: of[n][0](f"_v_{n}").over(window([*keys, "_bucket"], [us, *order], after)) for n, (_, _, after) in values.items()})
+    out = joined(inside, passed, [*keys, "_bucket"]).withColumns({n: of[n][1](n, f"_b_{n}") for n in values})
+    return out.drop("_bucket", *[f"{p}{n}" for n in values for p in ("_v_", "_b_")])
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Written to the shared folder and read back: a frame that several later steps read is made once."""
+    path = folder(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def in_row_blocks(df: DataFrame, keys: list[str], us: str, order: list[str], before: int, after: int, fn: Callable[[DataFrame, list[str], list[str]], DataFrame], block_rows: int = 1 << 17) -> DataFrame:
     """Run an operator that looks at most `before` rows back and `after` rows ahead on blocks of one long series.
 

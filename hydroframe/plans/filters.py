@@ -102,10 +102,10 @@ def f12(spark, d):
 
 @register(
     "f13_frozen_signal",
-    f"""with a as (select event_id, device, floor(value / 8) as v, row_number() over w - 1 as n, floor(value / 8) - lag(floor(value / 8)) over w as dv, lead(floor(value / 8), 16) over w - floor(value / 8) as d16,
-      lead(floor(value / 8), 32) over w - floor(value / 8) as d32, lead(floor(value / 8)) over w - floor(value / 8) as nx from {E} window w as (partition by device order by us))
-    select event_id, coalesce(abs(dv) > 0, false) or coalesce(abs(nx) > 0, false) or coalesce(max(case when n % 16 = 0 then abs(d16) > 0 end) over (partition by device, n // 16), false)
-      or coalesce(max(case when n % 32 = 0 then abs(d32) > 0 end) over (partition by device, n // 32), false) as works from a""",
+    f"""with a as (select event_id, device, floor(value / 8) as v, row_number() over w - 1 as n, count(*) over (partition by device) as c from {E} window w as (partition by device order by us)),
+    d as (select device, n, abs(lead(v) over w - v) > 0 as moved, abs(lead(v, 16) over w - v) > 0 as j16, abs(lead(v, 32) over w - v) > 0 as j32 from a window w as (partition by device order by n))
+    select a.event_id, coalesce(m.moved, false) or coalesce(s.j16, false) or coalesce(t.j32, false) as works from a left join d m on m.device = a.device and m.n = greatest(a.n - 1, 0)
+      left join d s on s.device = a.device and s.n = greatest(a.n - 1, 0) // 16 * 16 left join d t on t.device = a.device and t.n = greatest(a.n - 1, 0) // 32 * 32""",
 )
 def f13(spark, d):
     df = events(spark, d).withColumn("v", F.floor(F.col("value") / 8).cast("double"))

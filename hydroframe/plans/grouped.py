@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import grouped, stats
+from ..operators import grouped, sequence, stats
 from ..sources.series import events
 from .filters import E
 from .registry import register
@@ -51,11 +51,34 @@ def w07(spark, d):
     return grouped.sampling_frequency(events(spark, d), ["kind"], "us", HOUR).withColumn("frequency", F.round("frequency", 8))
 
 
-@register("w08_longest_increasing")
+_RISING = f"""recursive x as (select event_id, device, value as v, row_number() over (partition by device order by us) as n from {E} where value is not null),
+    f as (select device, event_id, n, v, [v] as ends, 1 as k from x where n = 1 union all
+    select x.device, x.event_id, x.n, x.v, list_concat(ends[1:j], [x.v], ends[j + 2:]), j + 1 from f join x on x.device = f.device and x.n = f.n + 1, lateral (select len(list_filter(ends, lambda e: e < x.v)) as j) as c),
+    b as (select a.device, a.event_id, a.n, a.k, max(z.n) as before from f a left join f z on z.device = a.device and z.n < a.n and z.k = a.k - 1 group by 1, 2, 3, 4),
+    p as (select device, event_id, before from b where (device, n) in (select device, max(n) from (select *, max(k) over (partition by device) as top from b) where k = top group by device) union all
+    select b.device, b.event_id, b.before from p join b on b.device = p.device and b.n = p.before)"""
+
+
+@register("w08_longest_increasing", f"with {_RISING} select e.event_id, p.event_id is not null as increasing from {E} e left join p using (event_id)")
 def w08(spark, d):
     return grouped.mark_longest_increasing(events(spark, d), ["device"], ["us"], "value").select("event_id", "increasing")
 
 
+_LOG = f"(select event_id, kind, n % 51 = 8 as back, 60000000 * (n // 3) as t from (select event_id, kind, row_number() over (partition by kind order by event_id) - 1 as n from {E}))"
+
+
+@register(
+    "w12b_correct_time_by_file",
+    f"""with o as (select * from {_LOG} where not back), g as (select kind, t, count(*) as n, lead(t) over (partition by kind order by t) as later from o group by kind, t)
+    select event_id, (o.t + round((row_number() over (partition by kind, o.t order by event_id) - 1) * coalesce(least(20000000e0, (later - o.t) / n), 20000000e0)))::bigint as us from o join g using (kind, t)""",
+)
+def w12b(spark, d):
+    """Logs of three rows a minute with whole minutes, one row in 51 an hour back: inversions go, repeats are spread."""
+    df = sequence.numbered(events(spark, d).select("event_id", "kind"), ["kind"], "event_id", [], 1 << 17)
+    df = df.select("event_id", "kind", (F.expr("_i div 3") * 60_000_000 - F.when(F.col("_i") % 51 == 8, 3_600_000_000).otherwise(0)).alias("us"))
+    return grouped.correct_time(df, ["kind"], "us", "event_id", 1 / 20, delete_inversions=True, choose=True).select("event_id", "us")
+
+
 @register(
     "w10_linearize_time",
     f"""with g as (select *, us - lag(us) over (partition by device order by us, event_id) as gap from {E}), b as (select *, sum(case when gap > {2 * HOUR} then 1 else 0 end) over (partition by device order by us, event_id rows unbounded preceding) as burst from g),

@@ -220,6 +220,98 @@ def test_even_times_keep_what_would_move_too_far(spark):
     assert found.us.tolist() == (np.arange(60) * S).tolist()
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_parts_join_to_the_longest_increasing(spark, seed):
+    rng = np.random.default_rng(seed)
+    v = np.arange(400.0) // 2 + np.where(rng.random(400) < 0.1, rng.normal(0, 20, 400).round(), 0)
+    v[rng.random(400) < 0.03] = np.nan
+    if seed == 2:
+        v[0] = 1e9
+    df = spark.createDataFrame([(0, i, None if np.isnan(x) else float(x)) for i, x in enumerate(v)], "k int, n bigint, v double")
+    known = np.flatnonzero(~np.isnan(v))
+    expected = np.zeros(400, bool)
+    expected[known[grouped.longest_increasing(v[known])]] = True
+    for bucket in (7, 1000):
+        found = grouped.mark_longest_increasing(df, ["k"], ["n"], "v", bucket=bucket).orderBy("n").toPandas().increasing
+        assert (found == expected).all()
+    held = v[known]
+    wide = expected[known].copy()
+    for i in range(len(held) - 2, -1, -1):
+        wide[i] |= held[i] == held[i + 1] and wide[i + 1]
+    got = grouped.mark_longest_increasing(df.where("v is not null"), ["k"], ["n"], "v", repeats=True, bucket=50).orderBy("n").toPandas().increasing
+    assert (got == wide).all() and (np.diff(held[wide]) >= 0).all() and wide.sum() > expected.sum()
+
+
+def test_a_long_series_is_cut_into_parts(spark):
+    """Stretches that fall back are short, whatever the series' length."""
+    df = spark.range(300_000).select(F.lit(1).alias("k"), F.col("id").alias("n"), (F.col("id") - F.when(F.col("id") % 1000 == 500, 20).otherwise(0)).cast("double").alias("v"))
+    found = grouped.mark_longest_increasing(df, ["k"], ["n"], "v", bucket=1 << 14)
+    assert found.where("increasing").count() == 300_000 - 300
+    assert found.where("not increasing").selectExpr("count(*)", "min(n % 1000)", "max(n % 1000)").first()[:] == (300, 500, 500)
+
+
+def test_lines_with_shifts_in_parts(spark):
+    rng = np.random.default_rng(4)
+    t = (np.arange(500) * 1e6 + np.cumsum(np.where(rng.random(500) < 0.05, rng.normal(0, 4e6, 500), 0)) + rng.normal(0, 2e5, 500)).round().astype(np.int64)
+    line, base = np.empty(500), 0
+    for i in range(500):
+        line[i] = t[base] + (i - base) * 1e6
+        if abs(t[i] - line[i]) > 600_000:
+            base, line[i] = i, t[i]
+    found = grouped.linearize_with_shifts(series(spark, us=t, n=np.arange(500)), ["k"], "us", "n", 1.0, 600_000, bucket=64).orderBy("n").toPandas()
+    assert (found.us.to_numpy() == np.round(line).astype(np.int64)).all() and (line != t).any()
+
+
+def test_method_by_file(spark):
+    """Rising files stay; repeats are spread, laid on a line with shifts, or made even by the frequency that is found."""
+    n = np.arange(120)
+    parts = {"rises": n * S + n % 2 * 1000, "repeats": n // 4 * S, "falls": np.where(n == 60, 0, n * S)}
+    df = spark.createDataFrame(pd.concat([pd.DataFrame({"k": k, "n": n, "us": t.astype(np.int64)}) for k, t in parts.items()]))
+
+    def by(**how):
+        out = grouped.correct_time(df, ["k"], "us", "n", choose=True, **how).orderBy("n").toPandas()
+        return {k: out[out.k == k].us.to_numpy() for k in parts}
+
+    spread = by(frequency=4.0)
+    assert (spread["rises"] == parts["rises"]).all() and (spread["repeats"] == n * S // 4).all() and (spread["falls"] == n * S).all()
+    shifts = by(frequency=4.0, accuracy_us=1_500_000)
+    assert (shifts["repeats"] == n * S // 4).all()
+    found = by(frequency=None)
+    assert (found["rises"] == parts["rises"]).all() and (found["falls"] == n * S).all()
+    assert (np.diff(found["repeats"]) > 0).all() and np.abs(found["repeats"] - n * S // 4).max() <= S
+    assert len(by(frequency=4.0, delete_inversions=True)["falls"]) == 119
+
+
+def works_by_hand(s, noise, strides=(16, 32)):
+    """Row by row: each row is judged by the step to it and by the strides it lies in, counted behind a stride's first row."""
+    n = len(s)
+    if sum(np.isnan(s[i + 1] - s[i]) for i in range(n - 1)) > n / 10:
+        return [True] * n
+    out = []
+    for i in range(n):
+        j = max(i - 1, 0)
+        good = j + 1 < n and abs(s[j + 1] - s[j]) > noise
+        for k in strides:
+            a, b = j // k * k, j // k * k + k
+            good = good or (b < n and abs(s[b] - s[a]) > noise)
+        out.append(bool(good))
+    return out
+
+
+@pytest.mark.parametrize("block_rows", [1 << 17, 32])
+def test_frozen_signal_row_by_row(spark, block_rows):
+    rng = np.random.default_rng(7)
+    cases = {"step": np.repeat([0.0, 1.0], [17, 23]), "two": np.array([0.0, 0, 1, 1]), "slow": np.arange(200) * 0.04, "mixed": np.where(rng.random(150) < 0.1, 5.0, 1.0).cumsum() // 3, "one": np.array([3.0])}
+    cases["holes"] = np.where(rng.random(90) < 0.3, np.nan, 1.0)
+    cases["few"] = np.where(np.arange(90) % 31 == 5, np.nan, np.arange(90) // 40 * 1.0)
+    rows = [(k, i, None if np.isnan(x) else float(x)) for k, v in cases.items() for i, x in enumerate(v)]
+    df = spark.createDataFrame(rows, "k string, n bigint, v double")
+    found = filters.frozen_signal(df, ["k"], ["n"], "v", 0.5, block_rows=block_rows).orderBy("n").toPandas()
+    for k, v in cases.items():
+        assert found[found.k == k].works.tolist() == works_by_hand(v, 0.5), k
+    assert works_by_hand(cases["two"], 0) == [False, False, True, False]
+
+
 def test_filters_pass_and_stop():
     low = grouped.kaiser_taps(0.2, 0.1)
     n = np.arange(2000)
