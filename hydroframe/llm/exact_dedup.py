@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from . import shared
 
-FILES_PER_BATCH, BROADCAST_ROWS = 24, 200_000
+FILES_PER_BATCH, BROADCAST_ROWS, LARGE_GROUP = 24, 200_000, 1 << 16
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -74,14 +74,22 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     false_hits = shared.written(checked.where(~F.col("same")).select("digest"), "false-hits")
     found = spark.read.schema(feed.schema).parquet(f"{root}/feed").select("id", "digest")
     if not false_hits.limit(1).count():
-        out = found.join(state, "digest")
+        out = _by_digest(found, state)
     else:
         other = keyed.join(false_hits, "digest", "left_semi")
         anew = other.groupBy("digest", "text").agg(F.min(F.struct("id")).alias("keep"), F.count("*").alias("group_size"))
         anew = other.join(anew, ["digest", "text"]).select("digest", "id", F.col("keep.id").alias("keep_id"), "group_size")
-        out = found.join(false_hits, "digest", "left_anti").join(state, "digest").select("digest", "id", "keep_id", "group_size").unionByName(anew)
+        out = _by_digest(found.join(false_hits, "digest", "left_anti"), state).select("digest", "id", "keep_id", "group_size").unionByName(anew)
     return out.select(F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
 
 
+def _by_digest(found: DataFrame, state: DataFrame) -> DataFrame:
+    """Rows with the state of their digest; the rows of a digest that many have are dealt to many tasks."""
+    large = state.where(F.col("group_size") > LARGE_GROUP).select("digest", F.lit(True).alias("large"))
+    found = found.join(shared.sized(large), "digest", "left").withColumn("_salt", F.when(F.col("large"), shared.salt("id")).otherwise(0)).drop("large")
+    copies = F.when(F.col("group_size") > LARGE_GROUP, F.sequence(F.lit(0), F.lit(shared.SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return found.join(state.withColumn("_salt", F.explode(copies)), ["digest", "_salt"]).drop("_salt")
+
+
 def rows_of(spark, path: str, schema) -> int:
     return spark.read.schema(schema).parquet(path).limit(1).count()

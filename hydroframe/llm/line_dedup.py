@@ -6,8 +6,8 @@ arrays in which only keys without a collision set their bit; the rank of the bit
 32-bit fingerprint and a saturated 16-bit count for each key.  Documents send the hashes of their lines, packed per batch
 and shard, to the shard they belong to and probe its arrays there; lines themselves are never joined.  What comes back
 is the numbers of the lines to drop.  A task holds one shard and one batch of probes at a time.  The most common lines, at
-most HOT_PARTS for each task of a shuffle, are a small shard of their own that goes to every task, so no line sends more
-than a part of a task's share of probes to one place.
+most HOT_PARTS for each task of a shuffle, go to every task with their whole digests, so no line sends more than a part of a
+task's share of probes to one place.
 
 Edge cases: null and empty texts are one empty line; empty keys are never dropped; every row is a document of its own,
 also where ids are null or repeated; a text that loses all lines is empty; other columns are ignored.
@@ -155,16 +155,34 @@ class Shard:
         return out
 
 
+class Common:
+    """The few most common keys with their whole digests and counts: a line that is none of them is never taken for one."""
+
+    def __init__(self, one: np.ndarray, two: np.ndarray, n: np.ndarray) -> None:
+        order = np.lexsort((two, one))
+        self.one, self.two, self.n = one[order], two[order], n[order]
+
+    def lookup(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Counts of keys, 0 for those that are none of these."""
+        out = np.zeros(len(one), np.int64)
+        at, end = np.searchsorted(self.one, one, "left"), np.searchsorted(self.one, one, "right")
+        while (left := np.flatnonzero(at < end)).size:
+            same = self.two[at[left]] == two[left]
+            out[left[same]] = self.n[at[left[same]]]
+            at[left] = np.where(same, end[left], at[left] + 1)
+        return out
+
+
 _PROBE = np.dtype([("h1", "<i8"), ("h2", "<i8"), ("key", "<i8"), ("key2", "<i8"), ("line", "<i4")])
-#: The shard of what the small shard of the most common lines has found: nothing is left to look up.
+#: The shard of what is found among the most common lines: nothing is left to look up.
 _FOUND = -1
 
 
 def probes(keyed: DataFrame, shards: int, hot: tuple, min_docs: int) -> DataFrame:
-    """shard and packed probes of every batch of (key, key2, text) rows; hot: the arrays of the most common lines."""
+    """shard and packed probes of every batch of (key, key2, text) rows; hot: digests and counts of the most common lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = Shard(*hot)
+        common = Common(*hot)
         for batch in batches:
             for part in shared.parts(batch, 2):
                 row, number, one, two = lines(*shared.text_bytes(part.column(2)))
@@ -220,11 +238,11 @@ def dropped(keyed: DataFrame, index_rows: DataFrame, shards: int, hot: tuple, mi
 
 
 def hot_lines(counts: DataFrame) -> tuple[int, tuple]:
-    """How many keys there are, and the arrays of the most common ones: of lines in more than a part of a task's share."""
+    """How many keys there are, and digests and counts of the most common ones: of lines in more than a part of a task's share."""
     n, total = counts.agg(F.count("*"), F.coalesce(F.sum("n_docs"), F.lit(0))).first()
     limit = max(1, total // (HOT_PARTS * shared.partitions(counts.sparkSession)))
     few = counts.where(F.col("n_docs") > max(limit, 100)).toArrow()
-    return n, arrays(*(few.column(c).to_numpy().astype(np.int64) for c in ("h1", "h2", "n_docs")))
+    return n, tuple(few.column(c).to_numpy().astype(np.int64) for c in ("h1", "h2", "n_docs"))
 
 
 def drop_common_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text", texts: bool = True, shard_keys: int = SHARD_KEYS) -> DataFrame:

@@ -7,7 +7,7 @@ This never misses a deadline, so after any number of slots before the first sour
 block away from its target.  A source that runs dry leaves, and the others go on by their weights: every block gets a slot.
 
 The schedule is one SQL fold over all blocks, which is sequential by definition: one task, time in proportion to blocks
-times sources, and a few bytes a block.  So that it doesn't grow without bound, blocks are larger than `block_chars` where
+times the root of the number of sources, about a hundred bytes a source and a few a block.  So that it doesn't grow without bound, blocks are larger than `block_chars` where
 the characters would make more than `most_blocks` of them: then a block is that part of the corpus.  A source has one
 block at least, whatever its size, and no number of sources is too large.
 
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from . import shared
 
 BLOCK_CHARS, MOST_BLOCKS, EXPONENT = 1 << 16, 1 << 19, 0.7
+#: Sources whose slots are broadcast; of more, a join by source deals them.
+MOST_BROADCAST = 20_000
 
 
 def weigh(sizes: DataFrame, weights: dict[str, float] | None, exponent: float) -> DataFrame:
@@ -41,26 +43,34 @@ def weigh(sizes: DataFrame, weights: dict[str, float] | None, exponent: float) -
 def schedule(weighed: DataFrame, block_chars: int) -> DataFrame:
     """source, pace (slots from one block to the next), slots (of all its blocks).
 
-    The fold keeps the next block of each source that has one, the blocks run and the weight of these sources, and where
+    The fold keeps the next block of each source that has one, in buckets of about the root of their number.  A bucket knows the
+    earliest deadline of its released blocks and when the next of the others is released; a slot looks at every bucket, and
+    into those where a block is released or runs.  Besides it keeps the blocks run and the weight of these sources, and where
     each slot went: a list of lists, as appending copies the list.
     """
     n = F.greatest(F.expr(f"(chars + {block_chars - 1}) div {block_chars}"), F.lit(1)).cast("int").alias("n")
     ordered = weighed.select("source", F.col("w").cast("double").alias("w"), n).agg(F.array_sort(F.collect_list(F.struct("source", "w", "n"))).alias("s"))
-    ordered = ordered.where("size(s) > 0").select("s", F.expr("aggregate(s, 0D, (a, x) -> a + x.w)").alias("w"), F.expr("aggregate(s, 0L, (a, x) -> a + x.n)").alias("blocks"))
-    step, state = 1000, "array<struct<deadline:double,release:double,i:int,k:int>>"
-    # A block is released in slot t if its release is below t + 1; without ones run dry, t is the sum of blocks run.
-    one = f"""
-        transform(array(transform(array(coalesce(array_min(filter(a.next, x -> x.release < (a.ran + 1) / a.w)), array_min(a.next))),
-          p -> named_struct('p', p, 'last', p.k + 1 >= s[p.i].n, 'rest', array_remove(a.next, p)))[0]),
-          q -> named_struct(
-            'next', if(q.last, q.rest, array_append(q.rest, named_struct('deadline', (q.p.k + 2) / s[q.p.i].w, 'release', (q.p.k + 1) / s[q.p.i].w, 'i', q.p.i, 'k', q.p.k + 1))),
-            'ran', if(q.last, a.ran - q.p.k, a.ran + 1), 'w', if(q.last, a.w - s[q.p.i].w, a.w), 'out', array_append(a.out, q.p.i)))[0]"""
+    ordered = ordered.where("size(s) > 0").select("s", F.expr("aggregate(s, 0D, (a, x) -> a + x.w)").alias("w"), F.expr("aggregate(s, 0L, (a, x) -> a + x.n)").alias("blocks"), F.expr("cast(ceil(sqrt(size(s))) as int)").alias("z"))
+    step, job = 1000, "struct<deadline:double,release:double,i:int,k:int>"
+    buckets = f"array<struct<best:{job},wake:double,jobs:array<{job}>>>"
+    begin = f"""cast(transform(sequence(0, (size(s) - 1) div z), g -> named_struct('best', null, 'wake', -1D,
+        'jobs', transform(slice(s, cast(g * z + 1 as int), z), (x, o) -> named_struct('deadline', 1 / x.w, 'release', 0D, 'i', cast(g * z + o as int), 'k', 0)))) as {buckets})"""
+    # A block is released in slot t if its release is below t + 1; without ones run dry, t is the sum of blocks run.  That time never
+    # falls, so a bucket's earliest deadline holds until a block in it is released or runs.
+    woken = """transform(a.buckets, b -> if(b.wake < v, named_struct('best', array_min(filter(b.jobs, x -> x.release < v)),
+        'wake', coalesce(array_min(transform(filter(b.jobs, x -> x.release >= v), x -> x.release)), double('infinity')), 'jobs', b.jobs), b))"""
+    chosen = "coalesce(array_min(transform(c, b -> b.best)), array_min(transform(c, b -> array_min(b.jobs))))"
+    after = "named_struct('deadline', (p.k + 2) / s[p.i].w, 'release', (p.k + 1) / s[p.i].w, 'i', p.i, 'k', p.k + 1)"
+    left = f"""transform(c, (b, o) -> if(o = p.i div z, named_struct('best', cast(null as {job}), 'wake', -1D,
+        'jobs', if(p.k + 1 >= s[p.i].n, filter(b.jobs, x -> x.i != p.i), transform(b.jobs, x -> if(x.i = p.i, {after}, x)))), b))"""
+    one = f"""transform(array((a.ran + 1) / a.w), v -> transform(array({woken}), c -> transform(array({chosen}), p -> named_struct(
+        'buckets', {left}, 'ran', if(p.k + 1 >= s[p.i].n, a.ran - p.k, a.ran + 1), 'w', if(p.k + 1 >= s[p.i].n, a.w - s[p.i].w, a.w), 'out', array_append(a.out, p.i)))[0])[0])[0]"""
     fold = f"""
         aggregate(sequence(0L, (blocks - 1) div {step}),
-          named_struct('next', cast(transform(s, (x, i) -> named_struct('deadline', 1 / x.w, 'release', 0D, 'i', i, 'k', 0)) as {state}), 'ran', 0L, 'w', w, 'lists', cast(array() as array<array<int>>)),
+          named_struct('buckets', {begin}, 'ran', 0L, 'w', w, 'lists', cast(array() as array<array<int>>)),
           (o, c) -> transform(array(aggregate(sequence(1, cast(least({step}, blocks - c * {step}) as int)),
-              named_struct('next', o.next, 'ran', o.ran, 'w', o.w, 'out', cast(array() as array<int>)), (a, t) -> {one})),
-            a -> named_struct('next', a.next, 'ran', a.ran, 'w', a.w, 'lists', array_append(o.lists, a.out)))[0],
+              named_struct('buckets', o.buckets, 'ran', o.ran, 'w', o.w, 'out', cast(array() as array<int>)), (a, t) -> {one})),
+            a -> named_struct('buckets', a.buckets, 'ran', a.ran, 'w', a.w, 'lists', array_append(o.lists, a.out)))[0],
           o -> flatten(o.lists))"""
     slots = ordered.select("s", "w", F.posexplode(F.expr(fold)).alias("slot", "i"))
     slots = slots.select(F.expr("s[i].source").alias("source"), F.expr("w / s[i].w").alias("pace"), F.col("slot").cast("long").alias("slot"))
@@ -84,14 +94,15 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: i
     placed = within.join(offsets, ["source", "bucket"]).withColumn("block", F.expr(f"(before + within) div {block_chars}"))
 
     weighed = weigh(sums.groupBy("source").agg(F.sum("chars").alias("chars")), weights, exponent)
-    held = schedule(weighed, block_chars).withColumn("horizon", F.min(F.array_max("slots") + 1).over(Window.partitionBy()))
-    # A few bytes a block, of which there are at most most_blocks and one for each source.
-    found = placed.join(F.broadcast(held), "source", "left")
+    held = shared.written(schedule(weighed, block_chars), "schedule")
+    horizon = held.agg(F.min(F.array_max("slots") + 1)).first()[0]
+    # Slots are 8 bytes a block, of which there are most_blocks at most and one for each source.
+    found = placed.join(shared.sized(held, MOST_BROADCAST), "source", "left")
     # Empty texts behind the last character lie in the last block.
     found = found.withColumn("block", F.coalesce(F.least("block", F.size("slots").cast("long") - 1), "block"))
     slot = F.expr("slots[cast(block as int)]")
     return found.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "block",
         F.floor(F.col("block") * F.col("pace")).alias("release"), F.ceil((F.col("block") + 1) * F.col("pace")).alias("deadline"),
-        slot.alias("slot"), F.coalesce(slot < F.col("horizon"), F.lit(False)).alias("in_mix"),
+        slot.alias("slot"), F.coalesce(slot < F.lit(horizon).cast("long"), F.lit(False)).alias("in_mix"),
     )

@@ -210,8 +210,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(row, np.concatenate(weight), own.astype(np.float32), np.array([r["label"] for r in got]))
 
 
+def score_names(docs: DataFrame) -> tuple[str, str]:
+    """Names of the score and the prediction: `score` and `predicted`, with underscores before them where docs has such columns."""
+    return shared.free_name(docs, "score"), shared.free_name(docs, "predicted")
+
+
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every column of docs, score (0 to 1) and predicted (1 if score >= 0.5, else 0)."""
+    """Every column of docs, then the score (0 to 1) and the prediction (1 if the score is 0.5 or more, else 0), as score_names has them."""
+    score_col, predicted_col = score_names(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,12 +225,11 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                 data, ends = shared.text_bytes(part.column(at).fill_null(""))
                 found = model.score(data, ends) if model else np.full(part.num_rows, 0.5)
                 columns = [*part.columns, pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32))]
-                yield pa.record_batch(columns, [*part.schema.names, "score", "predicted"])
+                yield pa.record_batch(columns, [*part.schema.names, score_col, predicted_col])
 
-    rows = docs.drop("score", "predicted")
-    at = rows.columns.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{schema}, score double, predicted int")
+    at = docs.columns.index(text_col)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{schema}, `{score_col}` double, `{predicted_col}` int")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -34,7 +34,21 @@ def test_pipeline(spark):
         counts.append(docs.count())
         assert docs.columns == columns or name == "encode"
     assert counts == sorted(counts, reverse=True) and counts[-1] > 50
-    assert {"n_tokens", "ids_sha256", "decoded_sha256"} < set(docs.columns)
+    assert {"n_tokens", "ids_sha256", "decoded_sha256", "source", "slot"} < set(docs.columns)
+    slots = docs.groupBy("slot").agg({"source": "max", "*": "count"}).toPandas()
+    assert docs.where("slot is null").count() == 0 and sorted(slots.slot) == list(range(len(slots)))
+
+
+def test_quality_stage_keeps_the_columns_of_the_table(spark):
+    """The rows are those that the classifier accepts; columns named like its own pass unchanged, in any case."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    plain = queries.op3_quality(spark, DATA).where("predicted = 1").toPandas()
+    named = docs.selectExpr("*", "'mine' as score", "'own' as Predicted", "'x' as _score")
+    found = dict(corpus_pipeline.STAGES)["quality"](spark, named, DATA)
+    assert found.columns == named.columns
+    rows = found.toPandas()
+    assert set(rows.score) == {"mine"} and set(rows.Predicted) == {"own"} and set(rows._score) == {"x"}
+    assert sorted(rows.doc_id) == sorted(plain.doc_id) and 0 < len(rows) < docs.count()
 
 
 def test_stages_with_awkward_tables(spark):

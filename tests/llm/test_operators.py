@@ -333,11 +333,12 @@ def test_quality_learns_and_scores_everything(spark, docs, empty):
     test = out[out.held_out]
     assert 50 < len(test) < 150 and (test.predicted == (test.doc_id % 3 > 0)).mean() > 0.97
     scored = quality.score(docs, model)
-    assert scored.where("score between 0 and 1").count() == docs.count()
-    assert set(docs.columns) - {"score"} <= set(scored.columns)
+    # The table's own column of that name stays as it is.
+    assert scored.where("_score between 0 and 1").count() == docs.count() == scored.where("score = 'x'").count()
+    assert scored.columns == [*docs.columns, "_score", "predicted"]
     assert quality.score(empty, model).count() == 0
     assert quality.train(empty, labels) is None
-    assert quality.score(docs, None).where("score <> 0.5").count() == 0
+    assert quality.score(docs, None).where("_score <> 0.5").count() == 0
 
 
 def test_word_hashes_follow_words():
@@ -391,3 +392,24 @@ def test_splits_deal_evenly_and_equal_vectors_together():
     assert set(top_k.leaf_of(same_vectors, *top_k.splits(same_vectors, 16))) == {0}
     assert len(set(top_k.leaf_of(same_vectors, *top_k.splits(np.concatenate([x, same_vectors]), 16)))) == 1
     assert top_k.leaf_of(x[:0], *top_k.splits(x[:0], 4)).tolist() == []
+
+
+def test_common_lines_are_known_by_their_whole_digest():
+    """A key of which all but a few bits are those of a common line is not taken for it."""
+    one, two, n = np.array([5, 5, -7, 9]), np.array([1, 1 << 40, 3, 4]), np.array([100, 200, 300, 400])
+    common = line_dedup.Common(one, two, n)
+    assert common.lookup(one, two).tolist() == [100, 200, 300, 400]
+    forged = two ^ np.array([1 << 20, 1, 2, 1 << 62])
+    assert common.lookup(one, forged).tolist() == [0, 0, 0, 0] and common.lookup(one + 1, two).tolist() == [0, 0, 0, 0]
+    shard = line_dedup.Shard(*line_dedup.arrays(np.array([5]), np.array([3 << 33]), np.array([50])))
+    # What a fingerprint alone would accept.
+    assert shard.lookup(np.array([5]), np.array([(3 << 33) + 1])).tolist() == [50]
+    assert line_dedup.Common(np.array([5]), np.array([3 << 33]), np.array([50])).lookup(np.array([5]), np.array([(3 << 33) + 1])).tolist() == [0]
+
+
+def test_large_groups_of_copies_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "LARGE_GROUP", 3)
+    rows = [(i, ["same", "same  ", None, "", f"own {i}"][i % 5], "s") for i in range(60)] + [(7, "same", "s"), (None, "same", "s")]
+    found = exact_dedup.exact_duplicates(documents(spark, rows)).toPandas()
+    assert found.groupby("digest").group_size.first().sort_values().tolist()[-3:] == [12, 14, 24]
+    assert len(found) == 62 and (found.groupby("digest").size() == found.groupby("digest").group_size.first()).all()
