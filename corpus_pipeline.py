@@ -22,7 +22,8 @@ ORACLE_SQL = None
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier accepts."""
     model = quality.train(docs, shared.table(spark, sf_dir, "labels").where(~quality.held_out()))
-    return quality.score(docs, model).where("predicted = 1").select(docs.columns)
+    scored, (_, predicted) = quality.score(docs, model), quality.score_names(docs)
+    return scored.where(F.col(predicted) == 1).select(docs.columns)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,19 +43,30 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.withColumn(row, row_key).join(shared.sized(gone), row, "left_anti").select(docs.columns)
 
 
+def _with_slots(docs: DataFrame, slot: str) -> DataFrame:
+    """Documents with their slot of the mix, which is the same for the same documents whatever their order."""
+    planned_id = shared.free_name(docs, "planned_id")
+    plan = mixing.mix(docs).where("slot is not null").groupBy(F.col("doc_id").alias(planned_id)).agg(F.min("slot").alias(slot))
+    return docs.join(plan.hint("merge"), F.col("doc_id").eqNullSafe(F.col(planned_id))).drop(planned_id)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, in the order of the slots of the mix: a source that runs dry leaves, and the others go on."""
-    slot, planned_id = shared.free_name(docs, "slot"), shared.free_name(docs, "planned_id")
-    plan = mixing.mix(docs).where("slot is not null").groupBy(F.col("doc_id").alias(planned_id)).agg(F.min("slot").alias(slot))
-    chosen = docs.join(plan.hint("merge"), F.col("doc_id").eqNullSafe(F.col(planned_id)))
-    return chosen.orderBy(slot, "doc_id").select(docs.columns)
+    slot = shared.free_name(docs, "slot")
+    return _with_slots(docs, slot).orderBy(slot, "doc_id").select(docs.columns)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of the ids and of what they decode to."""
+    """Token ids of every document with its source and slot of the mix, and digests of the ids and of what they decode to.
+
+    Files keep no order, and the mixing stage adds no column; so the slot is found again here, for whoever reads the mix.
+    """
     import public_tokenizers
 
-    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=True)
+    slot, key = shared.free_name(docs, "slot"), shared.free_name(docs, "key")
+    placed = _with_slots(docs, slot).select(F.struct("doc_id", F.col("source").cast("string").alias("source"), F.col(slot).alias("slot")).alias(key), "text")
+    made = byte_bpe.round_trip(placed, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, id_col=key, keep_ids=True)
+    return made.select(f"{key}.*", *[c for c in made.columns if c != key])
 
 
 STAGES = [("quality", quality_stage), ("exact", exact_stage), ("near", near_stage), ("mixing", mixing_stage), ("encode", encode_stage)]
