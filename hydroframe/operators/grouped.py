@@ -69,29 +69,32 @@ def _same(df: DataFrame, **extra: str) -> str:
     return ", ".join(f"`{n}` {k}" for n, k in kinds.items())
 
 
-def sampling_frequency(df: DataFrame, keys: list[str], us: str, step_us: int = 1_000_000) -> DataFrame:
+def sampling_frequency(df: DataFrame, keys: list[str], us: str, step_us: int = 1_000_000, order: str | None = None, bucket: int | None = None) -> DataFrame:
     """Samples a second inside packets, and how many rows are followed by no greater time or by a smaller one.
 
     Times are rounded down to step_us.  The rows of one time, divided by the step that led to it, give a frequency.  Steps
     of more than the mean and one step_us are breaks between packets: these, what is beside them, and the first and last
     rows of a series are left out, then frequencies off the median by three deviations and more.
+
+    Rows are in the order of `order` (a number, by default the time), at once within a range `bucket` of it.
     """
-    w = Window.partitionBy(*keys).orderBy("_i")
-    t = df if "_i" in df.columns else df.withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy(us)))
-    step = t.withColumn("_d", F.floor(F.col(us) / step_us) - F.lag(F.floor(F.col(us) / step_us)).over(w))
-    marks = step.withColumn("_run", F.sum(F.when(F.col("_d") > 0, 1).otherwise(0)).over(w))
-    runs = marks.groupBy(*keys, "_run").agg(F.count("*").alias("n"), F.max(F.when(F.col("_d") > 0, F.col("_d"))).alias("gap"))
-    by = Window.partitionBy(*keys)
-    near = by.orderBy("_run")
-    inside = F.col("gap") < F.avg("gap").over(by) + 1
-    runs = runs.where("gap is not null").withColumn("_in", inside).withColumn("_last", F.lead("_run").over(near).isNull())
-    runs = runs.withColumn("_use", F.col("_in") & F.coalesce(F.lag("_in").over(near), F.lit(True)) & F.coalesce(F.lead("_in").over(near), F.lit(True)) & ~F.col("_last"))
-    rates = runs.where("_use").withColumn("f", F.col("n") / F.col("gap"))
+    by, bucket = order or us, bucket or (BLOCK_ROWS if order else BUCKET_US)
+    step = carry(df.select(*keys, *dict.fromkeys([us, by])), keys, by, [], {"_was": F.struct(us)}, strict=True, bucket_us=bucket)
+    step = step.withColumn("_d", F.floor(F.col(us) / step_us) - F.floor(F.col(f"_was.{us}") / step_us)).drop("_was")
+    marks = cumulated(settled(step), keys, by, [], {"_run": F.when(F.col("_d") > 0, 1).otherwise(0)}, bucket)
+    runs = marks.groupBy(*keys, "_run").agg(F.count("*").alias("n"), F.max(F.when(F.col("_d") > 0, F.col("_d"))).alias("gap")).where("gap is not null")
+    runs = settled(runs)
+    mean = runs.groupBy(*keys).agg(F.avg("gap").alias("_usual"))
+    runs = joined(runs, mean, keys).withColumn("_in", F.col("gap") < F.col("_usual") + 1)
+    near = carry(runs, keys, "_run", [], {"_left": F.struct("_in")}, strict=True, bucket_us=BLOCK_ROWS)
+    near = carry(near, keys, "_run", [], {"_right": F.struct("_in")}, backward=True, strict=True, bucket_us=BLOCK_ROWS)
+    use = F.col("_in") & F.coalesce(F.col("_left._in"), F.lit(True)) & F.coalesce(F.col("_right._in"), F.lit(True)) & F.col("_right").isNotNull()
+    rates = settled(near.where(use).select(*keys, (F.col("n") / F.col("gap")).alias("f")))
     usual = rates.groupBy(*keys).agg(F.percentile("f", 0.5).alias("_m"), F.stddev_pop("f").alias("_s"), F.avg("f").alias("_mean"))
-    good = rates.join(usual, keys).where(F.abs(F.col("f") - F.col("_m")) < 3 * F.col("_s")).groupBy(*keys).agg(F.count("*").alias("_n"), F.avg("f").alias("_good"))
-    frequency = usual.join(good, keys, "left").select(*keys, (F.when(F.col("_n") > 1, F.col("_good")).otherwise(F.col("_mean")) * 1e6 / step_us).alias("frequency"))
+    good = joined(rates, usual, keys).where(F.abs(F.col("f") - F.col("_m")) < 3 * F.col("_s")).groupBy(*keys).agg(F.count("*").alias("_n"), F.avg("f").alias("_good"))
+    frequency = joined(usual, good, keys, "left").select(*keys, (F.when(F.col("_n") > 1, F.col("_good")).otherwise(F.col("_mean")) * 1e6 / step_us).alias("frequency"))
     steps = step.groupBy(*keys).agg((F.count_if(F.col("_d") == 0) + 1).alias("n_same"), F.count_if(F.col("_d") < 0).alias("n_decreasing"))
-    return steps.join(frequency, keys, "left")
+    return joined(steps, frequency, keys, "left")
 
 
 def longest_increasing(values: np.ndarray) -> np.ndarray:
@@ -284,7 +287,7 @@ def correct_time(
     d = F.col(us) - F.col(f"_was.{us}")
     kinds = step.groupBy(*keys).agg(F.count_if(d == 0).alias("_same"), F.count_if((d < 0) | F.col(us).isNull()).alias("_falls"))
     if frequency is None:
-        known = sampling_frequency(moved.where(F.col(us).isNotNull()), keys, us).select(*keys, F.col("frequency").alias("_f"))
+        known = sampling_frequency(moved.where(F.col(us).isNotNull()), keys, us, order=order, bucket=bucket).select(*keys, F.col("frequency").alias("_f"))
         kinds = joined(kinds, known, keys, "left").withColumn("_f", F.coalesce("_f", F.lit(1.0)))
     else:
         kinds = kinds.withColumn("_f", F.lit(float(frequency)))
@@ -501,14 +504,49 @@ def kaiser_taps(cutoff: float, width: float, ripple_db: float = 60.0, high_pass:
     return (at == 0) - taps if high_pass else taps
 
 
-def fir_filter(df: DataFrame, keys: list[str], order: list[str], column: str, taps: np.ndarray) -> DataFrame:
-    """Zero-phase FIR of each group, edges reflected."""
+def _on_blocks(df: DataFrame, keys: list[str], order: list[str], column: str, reach: int, fn: Callable[[np.ndarray, np.ndarray, int], np.ndarray], block_rows: int, bucket: int = BUCKET_US) -> DataFrame:
+    """A column by fn(values, numbers, length of the series) on blocks of a numbered series, `reach` rows of the blocks beside copied.
+
+    So one long series is spread over tasks.  fn's values for the copied rows are thrown away.
+    """
+    block = max(block_rows, 2 * reach)
+    rows = settled(numbered(df, keys, order[0], order[1:], bucket))
+    rows = joined(rows, rows.groupBy(*keys).agg(F.count("*").alias("_n")), keys)
+    first, last = F.greatest(F.floor((F.col("_i") - reach) / block), F.lit(0)), F.least(F.floor((F.col("_i") + reach) / block), F.floor((F.col("_n") - 1) / block))
+    copies = rows.withColumn("_block", F.explode(F.sequence(first, last)))
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        at = part["_i"].to_numpy(np.int64)
+        out = part.assign(**{column: fn(part[column].to_numpy(np.float64), at, int(part["_n"].iloc[0]))})
+        return out[at // block == part["_block"].iloc[0]]
+
+    done = apply_per_block(copies, [*keys, "_block"], ["_i"], run, _same(copies, **{column: "double"}))
+    return done.select(*df.columns)
+
 
-    def one(y: np.ndarray) -> np.ndarray:
-        pad = len(taps) // 2
-        return np.convolve(np.pad(y, (pad, pad), mode="reflect" if len(y) > 1 else "edge"), taps, mode="valid")
+def convolved(y: np.ndarray, taps: np.ndarray) -> np.ndarray:
+    """The part of a convolution that has all taps, by FFT."""
+    size = 1 << (len(y) + len(taps) - 2).bit_length()
+    return np.fft.irfft(np.fft.rfft(y, size) * np.fft.rfft(taps, size), size)[len(taps) - 1 : len(y)]
 
-    return _on_values(df, keys, order, column, one)
+
+def fir_filter(df: DataFrame, keys: list[str], order: list[str], column: str, taps: np.ndarray, block_rows: int = BLOCK_ROWS, bucket: int = BUCKET_US) -> DataFrame:
+    """Zero-phase FIR of each group, edges reflected; in overlapping blocks (overlap-save)."""
+    pad = len(taps) // 2
+
+    def one(y: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        left, right = pad if at[0] == 0 else 0, pad if at[-1] == n - 1 else 0
+        whole = np.pad(y, (left, right), mode="reflect" if len(y) > 1 else "edge")
+        out = np.full(len(whole), np.nan)
+        blank = np.isnan(whole)
+        if len(whole) >= len(taps):
+            out[pad : len(whole) - pad] = convolved(np.where(blank, 0, whole), taps)
+            if blank.any():
+                # A null reaches as far as the taps.
+                out[pad : len(whole) - pad][convolved(blank.astype(float), np.ones(len(taps))) > 0.5] = np.nan
+        return out[left : left + len(y)]
+
+    return _on_blocks(df, keys, order, column, pad, one, block_rows, bucket)
 
 
 def notch(y: np.ndarray, frequency: float, quality: float) -> np.ndarray:
@@ -527,15 +565,23 @@ def notch(y: np.ndarray, frequency: float, quality: float) -> np.ndarray:
     return y
 
 
-def notch_filter(df: DataFrame, keys: list[str], order: list[str], column: str, frequency: float, quality: float = 30.0) -> DataFrame:
-    """Zero-phase notch of each group after its line of trend is taken out (and put back)."""
+def notch_filter(df: DataFrame, keys: list[str], order: list[str], column: str, frequency: float, quality: float = 30.0, block_rows: int = BLOCK_ROWS, bucket: int = BUCKET_US) -> DataFrame:
+    """Zero-phase notch of each group after its line of trend is taken out (and put back).
 
-    def one(y: np.ndarray) -> np.ndarray:
-        n = np.arange(len(y))
-        trend = np.polyval(np.polyfit(n, y, 1), n) if len(y) > 1 else y
-        return notch(y - trend, frequency, quality) + trend
-
-    return _on_values(df, keys, order, column, one)
+    The line comes from sums over the group.  A block begins as far before its rows as the filter remembers, to a part of
+    1e-13, and ends as far behind them.
+    """
+    alpha = math.sin(math.pi * frequency) / (2 * quality)
+    reach = math.ceil(math.log(1e-13) / (0.5 * math.log((1 - alpha) / (1 + alpha))))
+    rows = settled(numbered(df, keys, order[0], order[1:], bucket))
+    size = rows.groupBy(*keys).agg(F.count("*").alias("_all"))
+    centred = F.col("_i") - (F.col("_all") - 1) / 2
+    lines = joined(rows, size, keys).groupBy(*keys).agg(F.avg(column).alias("_mean"), F.sum(centred * F.col(column)).alias("_turn"), F.max("_all").alias("_all"))
+    slope = F.coalesce(F.try_divide(12 * F.col("_turn"), F.col("_all") * (F.col("_all") * F.col("_all") - 1.0)), F.lit(0.0))
+    rows = joined(rows, lines, keys).withColumn("_trend", F.when(F.col("_all") > 1, F.col("_mean") + slope * centred).otherwise(F.col(column)))
+    flat = rows.drop("_i").withColumn(column, F.col(column) - F.col("_trend"))
+    done = _on_blocks(flat, keys, order, column, reach, lambda y, at, n: notch(y, frequency, quality), block_rows, bucket)
+    return done.withColumn(column, F.col(column) + F.col("_trend")).select(*df.columns)
 
 
 def decimate(df: DataFrame, keys: list[str], us: str, column: str, period_us: int, k: int) -> DataFrame:
@@ -667,8 +713,7 @@ def psd_welch(df: DataFrame, keys: list[str], us: str, column: str, period_us: i
 
     even = resample_linear(df, keys, us, column, period_us)
     half = nfft // 2
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(us)) - 1
-    seg = even.withColumn("_i", place).withColumn("_seg", F.explode(F.array(F.floor(F.col("_i") / half), F.floor(F.col("_i") / half) - 1))).where("_seg >= 0")
+    seg = numbered(even, keys, us, []).withColumn("_seg", F.explode(F.array(F.floor(F.col("_i") / half), F.floor(F.col("_i") / half) - 1))).where("_seg >= 0")
     seg = seg.withColumn("_n", F.count("*").over(Window.partitionBy(*keys, "_seg"))).where(F.col("_n") == nfft)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:

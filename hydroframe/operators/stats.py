@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import to_cartesian, to_polar
+from .sequence import carry
 
 
 def bin_of(us: str | Column, period_us: int, centred: bool = False) -> Column:
@@ -72,14 +73,47 @@ def vector_series_stats(df: DataFrame, keys: list[str], us: str, speed: str, dir
     return out.drop("_u", "_v", "_s", "_c", "_skew", "_kurt")
 
 
-def _student_p(r: Column, n: Column) -> Column:
-    """Two-sided p of a correlation, by the normal approximation of Student's t (Hill), exact enough for tables."""
-    df = n - 2
-    t2 = r * r * df / F.greatest(1 - r * r, F.lit(1e-300))
-    z = F.sqrt((df - 0.5) * F.log1p(t2 / df))
-    k = 1 / (1 + 0.2316419 * z)
-    poly = k * (0.319381530 + k * (-0.356563782 + k * (1.781477937 + k * (-1.821255978 + k * 1.330274429))))
-    return F.least(F.lit(1.0), 2 * poly * F.exp(-z * z / 2) / math.sqrt(2 * math.pi))
+def log_gamma(x: Column) -> Column:
+    """Natural logarithm of the gamma function of a positive number, by Stirling's series at x + 8."""
+    y = x + 8
+    series = 1 / (12 * y) - 1 / (360 * F.pow(y, F.lit(3.0))) + 1 / (1260 * F.pow(y, F.lit(5.0))) - 1 / (1680 * F.pow(y, F.lit(7.0))) + 1 / (1188 * F.pow(y, F.lit(9.0)))
+    shift = F.aggregate(F.sequence(F.lit(0), F.lit(7)), F.lit(0.0), lambda s, i: s + F.log(x + i))
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - shift
+
+
+def incomplete_beta(x: Column, a: Column, b: Column) -> Column:
+    """The regularised incomplete beta function I_x(a, b), by its continued fraction, run down as a fold.
+
+    Beyond its mean the mirrored function is taken, where the fraction settles in about the root of the parameters.
+    """
+    mirrored = x > (a + 1) / (a + b + 2)
+    values = F.struct(F.when(mirrored, 1 - x).otherwise(x).alias("x"), F.when(mirrored, b).otherwise(a).alias("a"), F.when(mirrored, a).otherwise(b).alias("b"), mirrored.alias("m"))
+
+    def use(q: Column) -> Column:
+        x, a, b = q["x"], q["a"], q["b"]
+        ends = F.log(x) * a + F.log1p(-x) * b + log_gamma(a + b) - log_gamma(a) - log_gamma(b) - F.log(a)
+        first = 1 / (1 - (a + b) * x / (a + 1))
+        state = F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("h"))
+
+        def half(s: Column, t: Column) -> Column:
+            """One more term of the fraction."""
+            c, d = 1 + t / s["c"], 1 / (1 + t * s["d"])
+            return F.struct(c.alias("c"), d.alias("d"), (s["h"] * c * d).alias("h"))
+
+        def step(s: Column, m: Column) -> Column:
+            even, odd = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+            return F.transform(F.array(half(s, even)), lambda u: half(u, odd))[0]
+
+        terms = F.transform(F.sequence(F.lit(1), (40 + 4 * F.sqrt(F.greatest(a, b))).cast("int")), lambda m: m.cast("double"))
+        part = F.when(x <= 0, 0.0).otherwise(F.exp(ends) * F.aggregate(terms, state, step)["h"])
+        return F.when(q["m"], 1 - part).otherwise(part)
+
+    return F.transform(F.array(values), use)[0]
+
+
+def correlation_p(r: Column, n: Column) -> Column:
+    """Two-sided p of a correlation of n pairs by Student's t, null below three pairs."""
+    return F.when(n > 2, incomplete_beta(F.greatest(1 - r * r, F.lit(0.0)), (n - 2) / 2.0, F.lit(0.5)))
 
 
 def pair_correlation(pairs: DataFrame, device: str, speed: str, direction: str) -> DataFrame:
@@ -89,8 +123,8 @@ def pair_correlation(pairs: DataFrame, device: str, speed: str, direction: str)
     both = pairs.where(F.col(f"{direction}_1").isNotNull() & F.col(f"{direction}_2").isNotNull())
     means = both.groupBy(d1, d2).agg(F.atan2(F.avg(F.sin(a)), F.avg(F.cos(a))).alias("_a"), F.atan2(F.avg(F.sin(b)), F.avg(F.cos(b))).alias("_b"))
     x, y = F.sin(a - F.col("_a")), F.sin(b - F.col("_b"))
-    out = both.join(F.broadcast(means), [d1, d2]).groupBy(d1, d2).agg(F.corr(f"{speed}_1", f"{speed}_2").alias("r"), F.count("*").alias("n"), F.try_divide(F.sum(x * y), F.sqrt(F.sum(x * x) * F.sum(y * y))).alias("circular_r"))
-    return out.withColumn("p", F.when(F.col("n") > 3, _student_p(F.col("r"), F.col("n").cast("double"))))
+    out = both.join(means, [d1, d2]).groupBy(d1, d2).agg(F.corr(f"{speed}_1", f"{speed}_2").alias("r"), F.count("*").alias("n"), F.try_divide(F.sum(x * y), F.sqrt(F.sum(x * x) * F.sum(y * y))).alias("circular_r"))
+    return out.withColumn("p", correlation_p(F.col("r"), F.col("n").cast("double")))
 
 
 def pair_shift(pairs: DataFrame, device: str, column: str) -> DataFrame:
@@ -168,8 +202,8 @@ def merge_runs(log: DataFrame, merges: DataFrame, keys: list[str], run: str = "r
 
 def time_holes(df: DataFrame, keys: list[str], us: str, longest_us: int) -> DataFrame:
     """Gaps of more than longest_us: the time before and their size."""
-    gap = F.lead(us).over(Window.partitionBy(*keys).orderBy(us)) - F.col(us)
-    return df.select(*keys, F.col(us).alias("start"), gap.alias("size")).where(F.col("size") > longest_us)
+    after = carry(df.select(*keys, us), keys, us, [], {"_next": F.col(us)}, backward=True, strict=True)
+    return after.select(*keys, F.col(us).alias("start"), (F.col("_next") - F.col(us)).alias("size")).where(F.col("size") > longest_us)
 
 
 def fill_start(df: DataFrame, keys: list[str], us: str, longest_us: int, wait_us: int, now_us: int) -> DataFrame:

@@ -83,11 +83,14 @@ def hour_pairs(spark, d):
 
 @register(
     "a06_pair_correlation",
-    f"""with p as {_PAIRS}, m as (select kind_1, kind_2, atan2(avg(sin(d1)), avg(cos(d1))) as a, atan2(avg(sin(d2)), avg(cos(d2))) as b from p group by 1, 2)
-    select kind_1, kind_2, round(corr(v1, v2), 6) as r, count(*) as n, round(sum(sin(d1 - a) * sin(d2 - b)) / sqrt(sum(pow(sin(d1 - a), 2)) * sum(pow(sin(d2 - b), 2))), 6) as circular_r from p join m using (kind_1, kind_2) group by 1, 2""",
+    f"""with p as {_PAIRS}, m as (select kind_1, kind_2, atan2(avg(sin(d1)), avg(cos(d1))) as a, atan2(avg(sin(d2)), avg(cos(d2))) as b from p group by 1, 2),
+    c as (select kind_1, kind_2, corr(v1, v2) as r, count(*) as n, sum(sin(d1 - a) * sin(d2 - b)) / sqrt(sum(pow(sin(d1 - a), 2)) * sum(pow(sin(d2 - b), 2))) as circular_r from p join m using (kind_1, kind_2) group by 1, 2),
+    h as (select *, (pi() / 2 - asin(abs(r))) / 20000 as h from c),
+    i as (select kind_1, kind_2, sum(case when k in (0, 20000) then 1 when k % 2 = 1 then 4 else 2 end * pow(greatest(cos(asin(abs(r)) + k * h), 0), n - 3)) * any_value(h) / 3 as s from h, range(20001) as t(k) group by 1, 2)
+    select kind_1, kind_2, round(r, 6) as r, n, round(circular_r, 6) as circular_r, round(2 * s * exp(lgamma((n - 1) / 2) - lgamma((n - 2) / 2) - lgamma(0.5)), 6) as p from c join i using (kind_1, kind_2)""",
 )
 def a06(spark, d):
-    return rounded(stats.pair_correlation(hour_pairs(spark, d), "kind", "value", "dir").drop("p"))
+    return rounded(stats.pair_correlation(hour_pairs(spark, d), "kind", "value", "dir"))
 
 
 @register("a07_pair_shift", f"select kind_1, kind_2, round(avg(v1 - v2), 6) as shift, round(stddev_samp(v1 - v2), 6) as std from {_PAIRS} group by 1, 2")

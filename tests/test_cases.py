@@ -322,6 +322,40 @@ def test_filters_pass_and_stop():
     assert np.abs(grouped.notch(fast, 0.6, 30)[mid]).max() < 0.05
 
 
+def test_p_of_a_correlation(spark):
+    """By sums over Student's density, for few and many pairs."""
+    cases = [(0.0, 5), (0.3, 3), (0.5, 4), (-0.5, 10), (0.9, 30), (0.05, 4000), (0.004, 200_000), (1.0, 9), (0.02, 2)]
+    df = spark.createDataFrame([(float(r), n) for r, n in cases], "r double, n long")
+    found = [x[0] for x in df.select(stats.correlation_p(F.col("r"), F.col("n").cast("double"))).collect()]
+    from math import asin, exp, lgamma, pi
+
+    for (r, n), p in zip(cases, found, strict=True):
+        if n < 3:
+            assert p is None
+            continue
+        at = np.linspace(asin(abs(r)), pi / 2, 2_000_001)
+        y = np.cos(at).clip(0) ** (n - 3)
+        whole = ((y[1:] + y[:-1]) / 2 * np.diff(at)).sum() if abs(r) < 1 else 0.0
+        assert p == pytest.approx(2 * whole * exp(lgamma((n - 1) / 2) - lgamma((n - 2) / 2) - lgamma(0.5)), abs=1e-8)
+    many = spark.range(1).select(stats.log_gamma(F.lit(0.5)), stats.log_gamma(F.lit(1e6))).first()
+    assert many[0] == pytest.approx(lgamma(0.5), abs=1e-12) and many[1] == pytest.approx(lgamma(1e6), rel=1e-14)
+
+
+@pytest.mark.parametrize("block_rows", [100, 1 << 17])
+def test_filters_in_blocks_are_those_of_the_whole(spark, block_rows):
+    rng = np.random.default_rng(3)
+    y = rng.normal(size=900).cumsum()
+    df = series(spark, us=np.arange(900) * S, v=y)
+    taps = grouped.kaiser_taps(0.2, 0.1)
+    pad = len(taps) // 2
+    whole = np.convolve(np.pad(y, pad, mode="reflect"), taps, "valid")
+    assert np.allclose(grouped.fir_filter(df, ["k"], ["us"], "v", taps, block_rows, 50 * S).orderBy("us").toPandas().v, whole, atol=1e-9)
+    n = np.arange(900)
+    trend = np.polyval(np.polyfit(n, y, 1), n)
+    expected = grouped.notch(y - trend, 0.3, 5.0) + trend
+    assert np.allclose(grouped.notch_filter(df, ["k"], ["us"], "v", 0.3, 5.0, block_rows, 50 * S).orderBy("us").toPandas().v, expected, atol=1e-7)
+
+
 def test_ellipsoid_is_recovered():
     rng = np.random.default_rng(1)
     unit = rng.normal(size=(500, 3))
