@@ -6,7 +6,9 @@ Bins, intervals and bursts are read in append mode, each once, when the watermar
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from ..sources import sinks
 from ..sources.series import micros, table
 from ..streaming import streams
 from ..streaming.run import drain, folder
@@ -44,13 +46,14 @@ def in_order(spark, d, build, flush_days: int = 0):
     return out
 
 
-@register("t01_stream_ingest", f"select count(*) as rows, min(us) as start, max(us) as end from {E}")
+@register("t01_stream_ingest", f"select count(*) as rows, min(us) as start, max(us) as end, count(*) as logged from {E}")
 def t01(spark, d):
     path, stream = feed(spark, d)
     root = folder(spark, "ingest")
-    streams.stream_ingest(spark, path, stream.schema, f"{root}/data", f"{root}/log", f"{root}/state", 2)
-    log = spark.read.parquet(f"{root}/log")
-    return log.agg(F.sum("rows").alias("rows"), F.min(micros("Time_st")).alias("start"), F.max(micros("Time_en")).alias("end"))
+    streams.stream_ingest(spark, path, stream.schema, f"{root}/table", f"{root}/state", 2)
+    rows = sinks.read_table(spark, f"{root}/table", StructType([*stream.schema.fields, StructField("fileName", StringType())]))
+    log = sinks.manifest(spark, f"{root}/table").agg(F.sum("rows").alias("logged"))
+    return rows.agg(F.count("*").alias("rows"), F.min("us").alias("start"), F.max("us").alias("end")).crossJoin(log)
 
 
 @register("t02_stream_bin_mean", f"select kind, us // {HOUR} * {HOUR} as bin, count(*) as rows, round(avg(value), 6) as value from {E} group by 1, 2")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 #: Decimals of columns in text (fixed values).
 TEXT_DIGITS = {"Vdir": 4, "inclination": 4, "Pressure": 3}
@@ -76,26 +77,78 @@ def append_with_log(df: DataFrame, file: str, us: str, table: str, log: str, by:
     file_log(df, file, us, changed).write.mode("append").parquet(log)
 
 
-def last_log(log: DataFrame) -> DataFrame:
-    """The newest log row of each file, as a file that is loaded again gets one more."""
-    return log.groupBy("fileName").agg(F.max("fileChangeTime").alias("fileChangeTime"))
-
-
-def reload_changed_files(fresh: DataFrame, listing: DataFrame, table: str, log: str, file: str, us: str) -> None:
-    """Load the files that are new or changed since the log: each replaces its own folder of the table, which is
-    partitioned by file, and gets a log row.  A run that is broken off and started again loads the same files again."""
-    todo = files_to_load(listing, last_log(fresh.sparkSession.read.parquet(log))).select(F.col("fileName").alias(file), F.col("fileChangeTime").alias("_changed"))
-    rows = fresh.join(todo, file)
-    rows.drop("_changed").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(file).parquet(table)
-    file_log(rows, file, us, "_changed").write.mode("append").parquet(log)
-
-
 def files_to_load(listing: DataFrame, log: DataFrame) -> DataFrame:
     """Files (fileName, fileChangeTime) that the log lacks or has with an earlier change time."""
     done = log.select("fileName", F.col("fileChangeTime").alias("_done"))
     return listing.join(done, (listing.fileName == done.fileName) & (F.col("_done") >= F.col("fileChangeTime")), "left_anti")
 
 
+#: A row for each source file: the load that holds its rows, its change time, and the log of S20.
+_MANIFEST = "fileName string, load string, fileChangeTime timestamp, Time_st bigint, Time_en bigint, rows bigint"
+
+
+def create_table(spark: SparkSession, root: str) -> None:
+    """An empty table at a folder, unless there is one.
+
+    Rows lie in data/load=<name>, a folder for each load, which nobody sees by itself.  The files of a load become current when
+    a new version of the manifest names them; a version is one file, put in its place by one rename.  So a load replaces or
+    empties any number of files at once, and one that is broken off is never half seen; run again, it begins anew.
+    """
+    _write_manifest(spark.createDataFrame([], _MANIFEST), root, 0, "ignore")
+
+
+def _write_manifest(rows: DataFrame, root: str, version: int, mode: str) -> None:
+    rows.coalesce(1).write.mode(mode).parquet(f"{root}/manifest/version={version}")
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """The current manifest of a table, with its version."""
+    every = spark.read.schema(f"{_MANIFEST}, version bigint").parquet(f"{root}/manifest")
+    # Files of a version that is still being written are not among them, and version 0 has no rows but is there.
+    version = every.select("version").agg(F.max("version")).first()[0] or 0
+    return every.where(F.col("version") == version).withColumn("version", F.lit(version).cast("bigint"))
+
+
+def _version(spark: SparkSession, root: str) -> int:
+    return manifest(spark, root).agg(F.max("version")).first()[0] or 0
+
+
+def load_files(rows: DataFrame, files: DataFrame, root: str, load: str, us: str, file: str = "fileName") -> None:
+    """Rows of some files become the current rows of these files, in place of any before.
+
+    files: fileName and fileChangeTime of all of them, also of those without rows.  load: a name that the same load has when
+    it is run again; its folder is written over.
+    """
+    spark = rows.sparkSession
+    path = f"{root}/data/load={load}"
+    rows.write.mode("overwrite").parquet(path)
+    held = spark.read.schema(rows.schema).parquet(path)
+    log = file_log(held, file, us).drop("fileChangeTime")
+    fresh = files.select("fileName", F.col("fileChangeTime").cast("timestamp").alias("fileChangeTime")).distinct().join(log, "fileName", "left")
+    fresh = fresh.select("fileName", F.lit(load).alias("load"), "fileChangeTime", "Time_st", "Time_en", F.coalesce("rows", F.lit(0)).alias("rows"))
+    now = manifest(spark, root)
+    version = _version(spark, root)
+    kept = now.drop("version").join(fresh.select("fileName"), "fileName", "left_anti")
+    _write_manifest(kept.unionByName(fresh), root, version + 1, "errorifexists")
+
+
+def read_table(spark: SparkSession, root: str, schema: StructType, file: str = "fileName") -> DataFrame:
+    """The current rows of a table; schema: that of the rows."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField("load", StringType())])).parquet(f"{root}/data")
+    current = manifest(spark, root).where("rows > 0").select(F.col("fileName").alias(file), "load")
+    return rows.join(current, [file, "load"], "left_semi").select(*schema.names)
+
+
+def reload_changed_files(fresh: DataFrame, listing: DataFrame, root: str, us: str, load: str, file: str = "fileName") -> None:
+    """Load the files of a listing (fileName, fileChangeTime) that are new or changed since the manifest, from fresh rows.
+
+    A file that has no rows left is emptied.  Nothing is written if nothing has changed.
+    """
+    todo = files_to_load(listing.select("fileName", F.col("fileChangeTime").cast("timestamp").alias("fileChangeTime")), manifest(fresh.sparkSession, root))
+    if not todo.isEmpty():
+        load_files(fresh.join(todo.select(F.col("fileName").alias(file)).distinct(), file, "left_semi"), todo, root, load, us, file)
+
+
 def incremental_ingest(stored: DataFrame, listing: DataFrame, log: DataFrame, fresh: DataFrame, file: str = "fileName") -> DataFrame:
     """What the table holds after changed files are loaded again: their old rows go, their new ones (in fresh) come."""
     todo = files_to_load(listing, log).select(F.col("fileName").alias(file)).distinct()

@@ -12,22 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.types import LongType, StructType
 
-from ..sources.sinks import file_log
+from ..operators.sequence import settled
+from ..sources.sinks import create_table, load_files
 
 
-def stream_ingest(spark: SparkSession, folder: str, schema: StructType, target: str, log: str, checkpoint: str, files_per_batch: int = 16) -> None:
-    """Append new files of a folder once each, with a log row per file (start, end, rows, change time); restarts continue.
+def stream_ingest(spark: SparkSession, folder: str, schema: StructType, root: str, checkpoint: str, files_per_batch: int = 16) -> None:
+    """Load new files of a folder once each into a table with a manifest (S21); restarts continue.
 
-    A batch that is run again replaces its own output, so a file is never counted twice.  The log is that of S20, so a
-    file that changes later is found by S21.
+    A batch is a load, of the same name when it is run again, so a file is never counted twice.  A file that changes after it
+    was loaded is not seen by the stream; `reload_changed_files` finds it by its change time and replaces its rows here.
+    Rows hold the time in microseconds as `us`, and get their file's path as `fileName`.
     """
+    create_table(spark, root)
 
     def save(rows: DataFrame, number: int) -> None:
-        rows.drop("_changed").write.mode("overwrite").parquet(f"{target}/batch={number}")
-        file_log(rows, "file", "ts", "_changed").write.mode("overwrite").parquet(f"{log}/batch={number}")
+        rows = settled(rows)
+        files = rows.select("fileName", F.col("_changed").alias("fileChangeTime")).distinct()
+        load_files(rows.drop("_changed"), files, root, f"stream-{number}", "us")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
-    stream = stream.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("_changed"))
+    stream = stream.select("*", F.col("_metadata.file_path").alias("fileName"), F.col("_metadata.file_modification_time").alias("_changed"))
     stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
