@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import displacement, foot_on_line
 from .grouped import _same, apply_per_block
+from .sequence import BUCKET_US, joined, numbered, settled
+
+#: Rounds in which Spark splits long stretches of a track; what is long then goes to one task.
+ROUNDS = 60
 
 
 def split_sections(points: DataFrame, route: str, order: str, marker: Column, excluded: Column, lat: str, lon: str, near_m: float) -> DataFrame:
@@ -174,15 +180,49 @@ def simplify(points: np.ndarray, tolerance: float) -> np.ndarray:
     return keep
 
 
-def simplify_track(df: DataFrame, keys: list[str], order: str, lat: str, lon: str, tolerance_m: float) -> DataFrame:
-    """Points of each track segment that its line needs within the tolerance."""
+def simplify_track(df: DataFrame, keys: list[str], order: str, lat: str, lon: str, tolerance_m: float, block_rows: int = 1 << 17, bucket: int = BUCKET_US) -> DataFrame:
+    """Points of each track segment that its line needs within the tolerance; `order` is a number.
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        y, x = np.radians(rows[lat].to_numpy(np.float64)), np.radians(rows[lon].to_numpy(np.float64))
-        plane = np.stack([x * np.cos(y.mean()), y], axis=1) * 6371000.0
-        return rows[simplify(plane, tolerance_m)] if len(rows) > 2 else rows
-
-    return apply_per_block(df, keys, [order], run, _same(df))
+    Stretches of more than block_rows points are split first by Spark: in each round a stretch gives its point farthest from the
+    line between its ends (partial maxima, one row a stretch), which cuts it in two, or is done, if that point is within
+    the tolerance.  Smaller stretches go to tasks on their own.  The splits are those of the whole track, so are the points.
+    """
+    rows = numbered(df, keys, order, [], bucket)
+    middle = F.radians(F.col(lat))
+    means = rows.groupBy(*keys).agg(F.avg(middle).alias("_mean"), F.count("*").alias("_n"))
+    rows = joined(rows, means, keys).withColumns({"_x": F.radians(F.col(lon)) * F.cos("_mean") * 6371000.0, "_y": middle * 6371000.0})
+    rows = settled(rows.select(*df.columns, "_i", "_x", "_y", "_n"))
+    first, last = F.col("_i") == 0, F.col("_i") == F.col("_n") - 1
+    kept, small, by = [rows.where(first | last).select(*df.columns)], [], [*keys, "_s"]
+    inner = rows.where(~first & ~last).drop("_n").withColumn("_s", F.lit(0).cast("bigint"))
+    corner = lambda at, name: [F.max(F.when(at, F.col(c))).alias(f"_{name}{c[1:]}") for c in ("_i", "_x", "_y")]
+    stretches = rows.groupBy(*keys).agg(*corner(first, "a"), *corner(last, "b")).withColumn("_s", F.lit(0).cast("bigint"))
+    for number in range(ROUNDS + 1):
+        stretches = settled(stretches.where("_bi - _ai > 1"))
+        short = (F.col("_bi") - F.col("_ai") <= block_rows) | F.lit(number == ROUNDS)
+        small.append(joined(inner, stretches.where(short), by).withColumn("_round", F.lit(number)))
+        if stretches.where(~short).isEmpty():
+            break
+        px, py, rx, ry = F.col("_bx") - F.col("_ax"), F.col("_by") - F.col("_ay"), F.col("_x") - F.col("_ax"), F.col("_y") - F.col("_ay")
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (rx * px + ry * py) / F.greatest(px * px + py * py, F.lit(1e-300))))
+        off = F.sqrt(F.pow(rx - t * px, F.lit(2.0)) + F.pow(ry - t * py, F.lit(2.0)))
+        corners = [f"_{e}{c}" for e in "ab" for c in "ixy"]
+        long = joined(inner, stretches.where(~short), by).withColumn("_far", F.struct(off.alias("off"), (-F.col("_i")).alias("back"), F.col("_x").alias("x"), F.col("_y").alias("y")))
+        far = long.groupBy(*by).agg(F.max("_far").alias("_far"), *[F.max(c).alias(c) for c in corners]).where(F.col("_far.off") > tolerance_m)
+        far = settled(far.select(*by, *corners, (-F.col("_far.back")).alias("_ci"), F.col("_far.x").alias("_cx"), F.col("_far.y").alias("_cy")))
+        cut = settled(joined(long.drop("_far", *corners), far.select(*by, "_ci"), by))
+        kept.append(cut.where("_i = _ci").select(*df.columns))
+        inner = cut.where("_i <> _ci").withColumn("_s", F.col("_s") * 2 + (F.col("_i") > F.col("_ci")).cast("bigint")).drop("_ci")
+        halves = [[F.col(f"_{e}{c}").alias(f"_{to}{c}") for e, to in zip(ends, "ab", strict=True) for c in "ixy"] for ends in ("ac", "cb")]
+        stretches = far.select(*keys, (F.col("_s") * 2).alias("_s"), *halves[0]).unionByName(far.select(*keys, (F.col("_s") * 2 + 1).alias("_s"), *halves[1]))
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        a, b = (part[[f"_{e}x", f"_{e}y"]].iloc[:1].to_numpy(np.float64) for e in "ab")
+        return part[simplify(np.concatenate([a, part[["_x", "_y"]].to_numpy(np.float64), b]), tolerance_m)[1:-1]]
+
+    rest = reduce(DataFrame.unionByName, small)
+    found = apply_per_block(rest, ["_round", *by], ["_i"], run, _same(rest)).select(*df.columns)
+    return reduce(DataFrame.unionByName, [*kept, found])
 
 
 def split_track_by_period(df: DataFrame, keys: list[str], us: str, period_us: int) -> DataFrame:

@@ -122,7 +122,21 @@ def g10b(spark, d):
     return rounded(sections.bottom_points(profiles(spark, d), ["section"], "x", "z", ["v"], 1.0))
 
 
-@register("g11_simplify_track")
+_PLANE = f"(select event_id, device, row_number() over (partition by device order by us) - 1 as n, radians(lon) * cos(avg(radians(lat)) over (partition by device)) * 6371000 as x, radians(lat) * 6371000 as y from {P})"
+
+
+@register(
+    "g11_simplify_track",
+    f"""with recursive p as {_PLANE}, e as (select device, min(n) as a, max(n) as b from p group by device),
+    s as (select device, a, b from e where b - a > 1 union all select device, unnest([a, c]), unnest([c, b]) from (
+      select device, a, b, arg_max(n, (off, -n)) as c, max(off) as off from (
+        select s.device, s.a, s.b, m.n, sqrt(pow(m.x - i.x - t * (j.x - i.x), 2) + pow(m.y - i.y - t * (j.y - i.y), 2)) as off
+        from s join p i on i.device = s.device and i.n = s.a join p j on j.device = s.device and j.n = s.b join p m on m.device = s.device and m.n > s.a and m.n < s.b,
+        lateral (select greatest(0, least(1, ((m.x - i.x) * (j.x - i.x) + (m.y - i.y) * (j.y - i.y)) / greatest(pow(j.x - i.x, 2) + pow(j.y - i.y, 2), 1e-300))) as t) as l)
+      group by device, a, b) where off > 1000),
+    k as (select device, a as n from s union select device, b from s union select device, a from e union select device, b from e)
+    select event_id, device from p join k using (device, n)""",
+)
 def g11(spark, d):
     return sections.simplify_track(positions(events(spark, d)), ["device"], "us", "lat", "lon", 1000.0).select("event_id", "device")
 

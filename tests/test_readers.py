@@ -80,6 +80,20 @@ def test_simplified_track():
     assert np.flatnonzero(sections.simplify(line, 1.0)).tolist() == [0, 24, 25, 26, 49]
 
 
+def test_long_tracks_are_split_like_the_whole(spark):
+    rng = np.random.default_rng(5)
+    turn = np.linspace(0, 30, 900)
+    lat, lon = 55 + turn * np.cos(turn) / 400 + rng.normal(0, 1e-4, 900), 20 + turn * np.sin(turn) / 400
+    tracks = {"spiral": (lat, lon), "line": (np.linspace(50, 51, 300), np.full(300, 20.0)), "two": (np.array([1.0, 2.0]), np.array([1.0, 2.0])), "one": (np.array([1.0]), np.array([1.0]))}
+    df = spark.createDataFrame([(k, i, float(a), float(b)) for k, (la, lo) in tracks.items() for i, (a, b) in enumerate(zip(la, lo, strict=True))], "k string, n bigint, lat double, lon double")
+    got = {r: sections.simplify_track(df, ["k"], "n", "lat", "lon", 300.0, r, 100).toPandas() for r in (40, 1 << 17)}
+    for k, (la, lo) in tracks.items():
+        y, x = np.radians(la), np.radians(lo)
+        want = np.flatnonzero(sections.simplify(np.stack([x * np.cos(y.mean()), y], axis=1) * 6371000.0, 300.0)).tolist() if len(la) > 2 else list(range(len(la)))
+        for r in got:
+            assert sorted(got[r][got[r].k == k].n) == want, (k, r)
+
+
 def test_grid_of_a_plane_is_the_plane(spark):
     rows = [(1, float(x), float(z), 2.0 * x + 3 * z) for x in (0, 4, 10) for z in (0, 2, 6)]
     df = spark.createDataFrame(rows, "section int, x double, z double, v double")
