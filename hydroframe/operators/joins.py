@@ -89,12 +89,45 @@ def asof_last_good(points: DataFrame, series: DataFrame, keys: list[str], us: st
     return found.select(*points.columns, *[F.col(f"prev.{c}").alias(f"last_{c}") for c in columns])
 
 
-def fill_from_other_tables(points: DataFrame, tables: list[DataFrame], us: str, columns: list[str], tolerance_us: int, keys: list[str] | None = None) -> DataFrame:
-    """Missing values of points are filled from the nearest row of each table in turn, within the tolerance."""
+def known_values(points: DataFrame, series: DataFrame, keys: list[str], us: str, values: dict[str, Column], backward: bool = False, bucket_us: int = BUCKET_US) -> DataFrame:
+    """Points with, for each value of the series, the last that is not null at or before them (backward: the next at or after)."""
+    packed = F.struct(*[v.alias(n) for n, v in values.items()])
+    left = points.select(F.struct(*points.columns).alias("_point"), *keys, F.col(us).alias("_us"), F.lit(None).cast(series.select(packed.alias("x")).schema["x"].dataType).alias("_row"), F.lit(1).alias("_side"))
+    right = series.where(F.col(us).isNotNull()).select(F.lit(None).cast(left.schema["_point"].dataType).alias("_point"), *keys, F.col(us).alias("_us"), packed.alias("_row"), F.lit(0).alias("_side"))
+    both = right.unionByName(left).withColumn("_rank", F.struct((-F.col("_side") if backward else F.col("_side")).alias("s"), "_row"))
+    found = carry(both, keys, "_us", ["_rank"], {n: F.col(f"_row.{n}") for n in values}, backward=backward, bucket_us=bucket_us)
+    return found.where("_side = 1").select("_point.*", *values)
+
+
+def values_at_edges(runs: DataFrame, series: DataFrame, keys: list[str], us: str, begin: str, end: str, good: list[str], columns: list[str]) -> DataFrame:
+    """<column>_st and <column>_en of each run: of the last row at or before its edge in which all of `good` are known.
+
+    A column that is null in that row gets its first known value inside the run for the start, and its last one at or before
+    the end for the end.
+    """
+    whole = F.when(F.concat(*[F.array(F.col(c).isNotNull()) for c in good]) == F.array(*[F.lit(True)] * len(good)), F.struct(*columns))
+    one = {f"_v_{c}": F.when(F.col(c).isNotNull(), F.struct(F.col(us).alias("us"), F.col(c).alias("v"))) for c in columns}
+    first = known_values(runs.withColumn(us, F.col(begin)), series, keys, us, {"_row_st": whole})
+    first = known_values(first, series, keys, us, one, backward=True)
+    start = {f"{c}_st": F.coalesce(F.col(f"_row_st.{c}"), F.when(F.col(f"_v_{c}.us") <= F.col(end), F.col(f"_v_{c}.v"))) for c in columns}
+    first = first.withColumns(start).select(*runs.columns, *start)
+    last = known_values(first.withColumn(us, F.col(end)), series, keys, us, {"_row_en": whole, **one})
+    stop = {f"{c}_en": F.coalesce(F.col(f"_row_en.{c}"), F.col(f"_v_{c}.v")) for c in columns}
+    return last.withColumns(stop).select(*runs.columns, *start, *stop)
+
+
+def fill_from_other_tables(points: DataFrame, tables: list[DataFrame], us: str, columns: list[str], tolerance_us: int, keys: list[str] | None = None, retry: bool = False) -> DataFrame:
+    """Missing values of points are filled from the nearest row of each table in turn, within the tolerance.
+
+    retry: what is still missing in a column is then taken from the nearest row of that table with a positive value in it.
+    """
     out = points
     for other in tables:
         near = nearest_join(out, other, keys or [], us, columns, tolerance_us, prefix="_f_")
         out = near.withColumns({c: F.coalesce(c, f"_f_{c}") for c in columns}).select(*points.columns)
+        for c in columns if retry else []:
+            near = nearest_join(out, other.where(F.col(c) > 0), keys or [], us, [c], tolerance_us, prefix="_f_")
+            out = near.withColumn(c, F.coalesce(c, f"_f_{c}")).select(*points.columns)
     return out
 
 
@@ -128,6 +161,16 @@ def moving_anchor(rows: DataFrame, anchors: DataFrame, us: str, lat: str = "lat"
     return found.select(*rows.columns, F.col(f"prev.{lat}").alias("anchor_lat"), F.col(f"prev.{lon}").alias("anchor_lon"))
 
 
+def anchor_from_track(rows: DataFrame, track: DataFrame, us: str, lat: str = "lat", lon: str = "lon", keys: list[str] | None = None, longest_gap_us: int | None = None) -> DataFrame:
+    """The anchor at each row is where another device's track was, between its points linear in time.
+
+    Null outside the track, and inside gaps of more than longest_gap_us.
+    """
+    found = neighbours(rows, track, keys or [], us, [lat, lon])
+    whole = F.lit(True) if longest_gap_us is None else F.col("next.us") - F.col("prev.us") <= longest_gap_us
+    return found.select(*rows.columns, *[F.when(whole, _between(us, c)).alias(f"anchor_{c}") for c in (lat, lon)])
+
+
 def nearest_grid_cells(points: DataFrame, grid: DataFrame, lat: str, lon: str, origin: tuple[float, float], step: float, around: bool = False) -> DataFrame:
     """The grid cell (lat, lon numbered i, j from the origin) nearest to each point within half a step, or the 2 x 2 cells around it."""
     y, x = (F.col(lat) - origin[0]) / step, (F.col(lon) - origin[1]) / step

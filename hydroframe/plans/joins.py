@@ -66,6 +66,39 @@ def j06(spark, d):
     return joins.asof_last_good(points(spark, d), series, ["device"], "us", "good", ["value"]).select("event_id", "last_value")
 
 
+_SOUND = f"(select device, us, case when event_id % 4 <> 1 then value end as a, case when event_id % 3 <> 0 then event_id end as b from {E} where kind = 'view')"
+
+
+@register(
+    "j06b_values_at_edges",
+    f"""with r as {_RUNS}, s as {_SOUND},
+    x as (select r.device, r.b as begin, r.e as end, st.a as a1, st.b as b1, en.a as a2, en.b as b2 from r asof left join (select * from s where a is not null) st on st.device = r.device and r.b >= st.us
+      asof left join (select * from s where a is not null) en on en.device = r.device and r.e >= en.us)
+    select x.device, x.begin, coalesce(a1, (select arg_min(a, us) from s where s.device = x.device and us >= x.begin and us <= x.end and a is not null)) as a_st,
+      coalesce(b1, (select arg_min(b, us) from s where s.device = x.device and us >= x.begin and us <= x.end and b is not null)) as b_st,
+      coalesce(a2, (select arg_max(a, us) from s where s.device = x.device and us <= x.end and a is not null)) as a_en,
+      coalesce(b2, (select arg_max(b, us) from s where s.device = x.device and us <= x.end and b is not null)) as b_en from x""",
+)
+def j06b(spark, d):
+    runs = points(spark, d).groupBy("device").agg(F.min("us").alias("begin")).withColumn("end", F.col("begin") + 259_200_000_000)
+    series = events(spark, d).where("kind = 'view'").select("device", "us", F.when(F.col("event_id") % 4 != 1, F.col("value")).alias("a"), F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("b"))
+    return joins.values_at_edges(runs, series, ["device"], "us", "begin", "end", ["a"], ["a", "b"]).drop("end")
+
+
+@register(
+    "j07b_fill_with_retry",
+    f"""with s as (select device, us, case when event_id % 3 = 0 then null when event_id % 3 = 1 then value else -value end as value from {E} where kind = 'view'), p as {_PT},
+    n as (select p.*, (select arg_min(s.value, (abs(s.us - p.us), -s.us)) from s where s.device = p.device and abs(s.us - p.us) <= 200000000000 and abs(s.us - p.us) = (select min(abs(t.us - p.us)) from s t where t.device = p.device)) as near from p)
+    select event_id, coalesce(near, (select arg_min(s.value, (abs(s.us - n.us), -s.us)) from s where s.device = n.device and s.value > 0 and abs(s.us - n.us) <= 200000000000)) as value from n""",
+)
+def j07b(spark, d):
+    """Of the other table's rows a third have no value and a third a negative one."""
+    value = F.when(F.col("event_id") % 3 == 1, F.col("value")).when(F.col("event_id") % 3 == 2, -F.col("value"))
+    other = events(spark, d).where("kind = 'view'").select("device", "us", value.alias("value"))
+    p = points(spark, d).withColumn("value", F.lit(None).cast("double"))
+    return joins.fill_from_other_tables(p, [other], "us", ["value"], 200_000_000_000, ["device"], retry=True).select("event_id", "value")
+
+
 @register(
     "j07_fill_from_other_tables",
     f"""with {_AROUND} select event_id, case when event_id % 3 = 0 then 0.5 when abs(near_us - us) <= 20000000000 then near_value end as value from n""",
@@ -111,6 +144,20 @@ def j13(spark, d):
     return joins.moving_anchor(events(spark, d).select("event_id", "us"), anchors, "us").select("event_id", "anchor_lat", "anchor_lon")
 
 
+@register(
+    "j13b_anchor_from_track",
+    f"""with t as (select us, lat, lon from {P} where kind = 'purchase'), a as (select x.event_id, x.us, t.us as pu, t.lat as plat, t.lon as plon from {E} x asof left join t on x.us >= t.us),
+    b as (select a.*, t.us as nu, t.lat as nlat, t.lon as nlon from a asof left join t on a.us <= t.us)
+    select event_id, case when nu - pu <= 14400000000 then round(case when nu = pu then plat else plat + (nlat - plat) * (us - pu) / (nu - pu) end, 6) end as anchor_lat,
+      case when nu - pu <= 14400000000 then round(case when nu = pu then plon else plon + (nlon - plon) * (us - pu) / (nu - pu) end, 6) end as anchor_lon from b""",
+)
+def j13b(spark, d):
+    """The anchor follows the track of all purchases, but for gaps of more than four hours."""
+    track = positions(events(spark, d)).where("kind = 'purchase'").select("us", "lat", "lon")
+    out = joins.anchor_from_track(events(spark, d).select("event_id", "us"), track, "us", longest_gap_us=14_400_000_000)
+    return out.select("event_id", F.round("anchor_lat", 6).alias("anchor_lat"), F.round("anchor_lon", 6).alias("anchor_lon"))
+
+
 _GRID = "(select p_partkey, p_partkey % 60 as i, p_partkey % 99 as j from part)"
 
 

@@ -235,6 +235,29 @@ def s30(spark, d):
     return files.coefficients_for(df.select("event_id", "device", "us"), coefs, ["device"], "us", ["Ag"]).select("event_id", F.col("Ag")[0][0].alias("k"))
 
 
+_COEF = f"(select device, us, event_id / 10e0 as k from {E} where kind = 'error')"
+
+
+@register(
+    "s30b_coefficients_upkeep",
+    f"""with old as {_COEF}, fresh as (select device, us, max(k) + 1 as k from old where device % 2 = 0 group by device, us), held as (select * from old where (device, us) not in (select device, us from fresh) union all select * from fresh),
+    moved as (select c.device + 100000 as device, c.us, c.k from (select device, max(us) as us, arg_max(k, us) as k from held group by device) c where c.device % 3 = 0)
+    select device, us, round(k * cos(radians(30)), 6) as a, round(k * sin(radians(30)), 6) as b, round(k, 6) as c from (select * from held union all select * from moved)""",
+)
+def s30b(spark, d):
+    """Fresh matrices of even devices replace those of the same time (those of device 1 are no numbers), others are copied, all turned by 30 degrees."""
+    df = events(spark, d).where("kind = 'error'")
+    k, none = F.col("event_id") / 10.0, F.lit(0.0)
+    matrix = lambda x: F.array(F.array(x, none, none), F.array(none, x, none), F.array(none, none, x))
+    old = df.select("device", "us", matrix(k).alias("Ag"))
+    fresh = df.where("device % 2 = 0 or device = 1").select("device", "us", matrix(F.when(F.col("device") == 1, F.lit(float("nan"))).otherwise(k + 1)).alias("Ag"))
+    held, _ = files.save_coefficients(old, fresh, ["device"], "us", {"Ag": 2})
+    last = held.where("device % 3 = 0").groupBy("device").agg(F.max("us").alias("us")).select(F.col("device").alias("source"), (F.col("device") + 100000).alias("target"), "us")
+    every = held.unionByName(files.copy_coefficients(held, last, "device", "us"))
+    out = files.rotate_coefficients(every, ["Ag"], "z", F.radians(F.lit(30.0)))
+    return out.select("device", "us", *[F.round(F.col("Ag")[i][j], 6).alias(n) for n, i, j in (("a", 0, 0), ("b", 1, 0), ("c", 2, 2))])
+
+
 @register("s31_list_source_files", f"select 'day=' || (us // {DAY}) as day, count(*)::int as rows from {E} where us // {DAY} % 7 <> 0 group by 1")
 def s31(spark, d):
     path = folder(spark, "listed")

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
-from ..operators.sequence import carry, cumulated, numbered
+from ..operators.sequence import carry, joined, numbered
 from . import ranges
 
 #: What a suffix in a header names (fixed values).
@@ -281,3 +281,51 @@ def coefficients_for(rows: DataFrame, coefs: DataFrame, keys: list[str], us: str
     return found.select(*rows.columns, *[F.col(f"prev.{c}").alias(c) for c in columns])
 
 
+
+
+def matrix_product(a: Column, b: Column) -> Column:
+    """The product of two matrices (arrays of rows)."""
+    columns = F.sequence(F.lit(0), F.size(b[0]) - 1)
+    dot = lambda row, k: F.aggregate(F.zip_with(row, b, lambda x, other: x * F.get(other, k)), F.lit(0.0), lambda s, x: s + x)
+    return F.transform(a, lambda row: F.transform(columns, lambda k: dot(row, k)))
+
+
+def rotation(axis: str, angle: Column) -> Column:
+    """The matrix that turns vectors about the axis x, y or z by an angle in radians."""
+    c, s, one, none = F.cos(angle), F.sin(angle), F.lit(1.0), F.lit(0.0)
+    rows = {"x": ((one, none, none), (none, c, -s), (none, s, c)), "y": ((c, none, s), (none, one, none), (-s, none, c)), "z": ((c, -s, none), (s, c, none), (none, none, one))}
+    return F.array(*[F.array(*r) for r in rows[axis]])
+
+
+def _finite(column: Column, levels: int) -> Column:
+    if not levels:
+        return column.isNotNull() & ~F.isnan(column) & (F.abs(column) != float("inf"))
+    return column.isNotNull() & F.forall(column, lambda x: _finite(x, levels - 1))
+
+
+def save_coefficients(coefs: DataFrame, fresh: DataFrame, keys: list[str], us: str, columns: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+    """The table with fresh rows, each in place of one of the same device and time, and apart the rows that are refused.
+
+    columns: names with their levels of arrays (0 a number, 1 a vector, 2 a matrix).  A row with a null or non-finite value in one
+    of them is refused; of several fresh rows of a device and time the greatest stays.
+    """
+    good = F.lit(True)
+    for name, levels in columns.items():
+        good = good & _finite(F.col(name), levels)
+    marked = fresh.withColumn("_good", F.coalesce(good, F.lit(False)))
+    values = [c for c in coefs.columns if c not in (*keys, us)]
+    kept = marked.where("_good").groupBy(*keys, us).agg(F.max(F.struct(*values)).alias("_v")).select(*keys, us, "_v.*").select(*coefs.columns)
+    old = joined(coefs, kept.select(*keys, us), [*keys, us], "left_anti")
+    return old.unionByName(kept), marked.where("not _good").drop("_good")
+
+
+def copy_coefficients(coefs: DataFrame, pairs: DataFrame, device: str, us: str) -> DataFrame:
+    """Rows for other devices: pairs has source, target and the time `us` from which the last of the source's at it holds."""
+    asked = pairs.select(F.col("source").alias(device), "target", us)
+    values = [c for c in coefs.columns if c not in (device, us)]
+    return coefficients_for(asked, coefs, [device], us, values).select(F.col("target").alias(device), us, *values)
+
+
+def rotate_coefficients(coefs: DataFrame, columns: list[str], axis: str, angle: Column) -> DataFrame:
+    """Matrices turned about an axis by an angle in radians: the rotation times the matrix."""
+    return coefs.withColumns({c: matrix_product(rotation(axis, angle), F.col(c)) for c in columns})
