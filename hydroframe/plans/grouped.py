@@ -110,12 +110,31 @@ def w12(spark, d):
     return grouped.correct_time(df, ["block"], "us", "event_id", 1.0, zone_hours=2, delete_inversions=True).select("event_id", "us")
 
 
-@register("w14_extract_runs")
+#: Rows of casts by taking out the lowest weak swing again and again: turns are places in the list ps of a stretch.
+_CASTS = f"""recursive y as (select *, sum(case when gap >= {DAY} then 1 else 0 end) over (partition by block order by us) as burst from (select *, us - lag(us) over (partition by block order by us) as gap from {PRESSURE} where p is not null)),
+    o as (select *, row_number() over w - 1 as n, sign(p - lag(p) over w) as s from y window w as (partition by block, burst order by us)),
+    g as (select *, coalesce(last_value(case when s <> 0 then s end ignore nulls) over (partition by block, burst order by n), 0) as way from o),
+    u as (select *, n > 0 and lead(way) over (partition by block, burst order by n) <> way as turn, count(*) over (partition by block, burst) as c from g),
+    r as (select block, burst, list(p order by n) as ps, list(n order by n) filter (n = 0 or n = c - 1 or turn) as turns, false as done from u group by 1, 2
+    union all select block, burst, ps, case when w is null then turns when w.k = 1 then turns[2:] when w.k = len(turns) - 1 then turns[:-2] else list_concat(turns[:w.k - 1], turns[w.k + 2:]) end, w is null
+      from (select *, list_min(list_filter(list_transform(range(1, len(turns)), lambda k: {{'rise': abs(ps[turns[k + 1] + 1] - ps[turns[k] + 1]), 'k': k, 'steps': turns[k + 1] - turns[k]}}), lambda x: x.rise < 20 and x.steps <= 10)) as w from r where not done and len(turns) > 2)),
+    f as (select block, burst, arg_min(ps, len(turns)) as ps, arg_min(turns, len(turns)) as turns from r group by 1, 2),
+    t as (select block, burst, unnest(list_filter(list_transform(range(1, len(turns)), lambda k: {{'a': turns[k], 'b': turns[k + 1], 'rise': ps[turns[k + 1] + 1] - ps[turns[k] + 1]}}), lambda x: x.rise > 0 and (x.rise >= 20 or x.b - x.a > 10))) as x from f),
+    q as (select block, burst, x.a as a, x.b as b, row_number() over (partition by block, burst order by x.a) - 1 as run from t),
+    casts as (select o.block, o.burst, o.n, o.event_id, o.us, o.p, o.value, max(q.run)::int as run from o join q on q.block = o.block and q.burst = o.burst and o.n between q.a and q.b group by all)"""
+
+
+@register("w14_extract_runs", f"with {_CASTS} select event_id, run from casts")
 def w14(spark, d):
     return grouped.extract_runs(pressure(spark, d), ["device", "block"], "us", "p", 20.0, 10, DAY).select("event_id", "run")
 
 
-@register("w15_trim_bad_bottom")
+@register(
+    "w15_trim_bad_bottom",
+    f"""with {_CASTS}, s as (select *, p / 10 + value / 100 as sigma, max(p) over (partition by block, burst, run) as bottom from casts), d as (select *, lead(sigma) over (partition by block, burst, run order by n) - sigma as d from s where p >= bottom - 5),
+    l as (select block, burst, run, median(abs(d)) as m from d group by 1, 2, 3), e as (select d.block, d.burst, d.run, coalesce(min(n) filter (d < -3 * greatest(coalesce(m, 0), 1e-9)), arg_max(n, (sigma, -n))) as stop from d join l using (block, burst, run) group by 1, 2, 3)
+    select event_id, s.block, s.run from s join e using (block, burst, run) where n <= stop""",
+)
 def w15(spark, d):
     casts = grouped.extract_runs(pressure(spark, d), ["device", "block"], "us", "p", 20.0, 10, DAY)
     return grouped.trim_bad_bottom(casts.withColumn("sigma", F.col("p") / 10 + F.col("value") / 100), ["device", "block", "burst", "run"], "us", "p", "sigma", 5.0).select("event_id", "block", "run")

@@ -167,9 +167,13 @@ def j14(spark, d):
     return joins.nearest_grid_cells(positions(events(spark, d)), grid, "lat", "lon", (55, 20), 0.001).select("event_id", "p_partkey")
 
 
-@register("j15_nearest_point")
+@register(
+    "j15_nearest_point",
+    f"""with n as (select o_orderkey as node, (o_totalprice / 1000)::double as x, (o_orderkey % 1000) * 0.3e0 as y from orders), p as (select event_id, value * 5 as x, (event_id % 300)::double as y from {E} where kind = 'purchase' and value is not null),
+    m as (select event_id, min({{'d': sqrt(pow(n.x - p.x, 2) + pow(n.y - p.y, 2)), 'node': node}}) as m from p, n group by event_id) select event_id, m.node as node, m.d as distance from m""",
+)
 def j15(spark, d):
-    """All purchases and all orders; a theta join of these is too slow for SQL, so tests compare with brute force."""
+    """All purchases and all orders."""
     nodes = table(spark, d, "orders").select(F.col("o_orderkey").alias("node"), (F.col("o_totalprice") / 1000).cast("double").alias("x"), ((F.col("o_orderkey") % 1000) * F.lit(0.3)).cast("double").alias("y"))
     pts = events(spark, d).where("kind = 'purchase'").select("event_id", (F.col("value") * 5).alias("x"), ((F.col("event_id") % 300) * F.lit(1.0)).cast("double").alias("y"))
     return joins.nearest_point(pts, nodes, "x", "y", 4.0, "event_id", "node").select("event_id", "node", "distance")

@@ -117,7 +117,11 @@ def g10(spark, d):
     return sections.pad_section_edges(profiles(spark, d).drop("cast_id"), ["section"], "x", "z", 2.5)
 
 
-@register("g10b_bottom_points")
+@register(
+    "g10b_bottom_points",
+    f"""with e as (select section, x, max(z) as z, arg_max(v, z) as v from {_L} group by 1, 2), s as (select *, lead(x) over w as x1, lead(z) over w as z1, lead(v) over w as v1 from e window w as (partition by section order by x))
+    select section, round(x + k, 6) as x, round(z + (z1 - z) * k / (x1 - x), 6) as z, round(v + (v1 - v) * k / (x1 - x), 6) as v from s, unnest(range(1, ceil(x1 - x)::bigint + 1)) as t(k) where k < x1 - x""",
+)
 def g10b(spark, d):
     return rounded(sections.bottom_points(profiles(spark, d), ["section"], "x", "z", ["v"], 1.0))
 
