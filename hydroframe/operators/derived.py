@@ -67,10 +67,10 @@ def declination_lookup(points: DataFrame, grid: DataFrame, lat: str, lon: str, y
 
     Of several epochs the last before the point's year is used.
     """
-    epochs = grid.select("epoch").distinct()
-    # The table of epochs is a model's: a handful of rows.
-    chosen = points.join(F.broadcast(epochs), F.col("epoch") <= F.col(year)).groupBy(point_id).agg(F.max("epoch").alias("epoch"))
-    held = points.join(chosen, point_id)
+    # A model has a handful of epochs: one row with a list of them.
+    epochs = grid.agg(F.collect_set("epoch").alias("_epochs"))
+    chosen = F.array_max(F.filter("_epochs", lambda e: e <= F.col(year)))
+    held = points.crossJoin(F.broadcast(epochs)).withColumn("epoch", chosen).where("epoch is not null").drop("_epochs")
     out = None
     for column in ("declination", "change"):
         keyed = held.withColumn("_key", F.struct(point_id, "epoch"))

@@ -94,6 +94,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ranked(df: DataFrame, column: str) -> DataFrame:
+    """Add `_i`, the number of each row in the order of a column of any type, from 0: by a range sort and counts per partition."""
+    ordered = df.repartitionByRange(column).sortWithinPartitions(column)
+    ordered = settled(ordered.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
+    before = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    # A row for each partition.
+    counts = ordered.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first")).select("_part", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"))
+    return ordered.join(counts, "_part").withColumn("_i", F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")
+
+
 def in_row_blocks(df: DataFrame, keys: list[str], us: str, order: list[str], before: int, after: int, fn: Callable[[DataFrame, list[str], list[str]], DataFrame], block_rows: int = 1 << 17) -> DataFrame:
     """Run an operator that looks at most `before` rows back and `after` rows ahead on blocks of one long series.
 

@@ -333,7 +333,7 @@ def angular_fit_apply(df: DataFrame, fits: DataFrame, keys: list[str], x: str, o
     """The fitted angle of each row, in [0, 360)."""
     a = F.radians(F.col(x))
     part = [F.col(c)[0] + F.col(c)[1] * F.sin(a) + F.col(c)[2] * F.cos(a) for c in ("fit_sin", "fit_cos")]
-    return df.join(F.broadcast(fits), keys).withColumn(out, F.pmod(F.degrees(F.atan2(*part)), F.lit(360.0))).drop("fit_sin", "fit_cos")
+    return df.join(fits, keys).withColumn(out, F.pmod(F.degrees(F.atan2(*part)), F.lit(360.0))).drop("fit_sin", "fit_cos")
 
 
 def zeroing_rotation(df: DataFrame, keys: list[str], g: list[str]) -> DataFrame:
@@ -348,7 +348,7 @@ def zeroing_rotation(df: DataFrame, keys: list[str], g: list[str]) -> DataFrame:
 
 def rotate_by(df: DataFrame, rotation: DataFrame, keys: list[str], g: list[str]) -> DataFrame:
     """Vectors of each row turned by their device's rotation."""
-    held = df.join(F.broadcast(rotation), keys)
+    held = df.join(rotation, keys)
     return held.withColumns({c: sum((F.col("R")[i][j] * F.col(g[j]) for j in (1, 2)), F.col("R")[i][0] * F.col(g[0])) for i, c in enumerate(g)}).drop("R")
 
 

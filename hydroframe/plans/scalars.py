@@ -161,7 +161,7 @@ def m11(spark, d):
 @register("m12_old_probe_polynomials", f"select event_id, round((2e-4 * value - 0.3) * value + 5 + device, 9) as value from {E}")
 def m12(spark, d):
     coefs = events(spark, d).select("device").distinct().select("device", F.array(F.lit(2e-4), F.lit(-0.3), F.lit(5.0) + F.col("device")).alias("coefs"))
-    return rounded(events(spark, d).join(F.broadcast(coefs), "device").select("event_id", seawater.probe_value(F.col("value"), F.col("coefs")).alias("value")), 9)
+    return rounded(events(spark, d).join(coefs, "device").select("event_id", seawater.probe_value(F.col("value"), F.col("coefs")).alias("value")), 9)
 
 
 @register(

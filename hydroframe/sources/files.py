@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
-from ..operators.sequence import carry, joined, numbered
+from ..operators.sequence import carry, joined, numbered, ranked
 from . import ranges
 
 #: What a suffix in a header names (fixed values).
@@ -216,9 +216,8 @@ def cube_to_long(cube: DataFrame, axes: list[str], values: list[str]) -> DataFra
 
 def stack_profiles(profiles: DataFrame, file: str, x_min: float, x_step: float) -> DataFrame:
     """The k-th file by name stands at x_min + k * x_step."""
-    names = profiles.select(file).distinct()
-    placed = names.withColumn("x", x_min + (F.row_number().over(Window.orderBy(file)) - 1) * x_step)
-    return profiles.join(F.broadcast(placed), file)
+    placed = ranked(profiles.select(file).distinct(), file).withColumn("x", x_min + F.col("_i") * x_step).drop("_i")
+    return profiles.join(placed, file)
 
 
 def align_cell_blocks(rows: DataFrame, groups: list[str], cells: int, missing: int = -32768) -> DataFrame:
