@@ -66,8 +66,8 @@ def clean_depth_line(df: DataFrame, keys: list[str], order: list[str], depth: st
 
     out = df.withColumn(depth, F.abs(depth) + offset)
     out = null_outside_limits(out, {f"min_{depth}": low, f"max_{depth}": high})
-    out = frozen_signal(out, keys, order, depth, 0.0)
-    out = too_frequent_values(out, depth, 5.0)
+    out = settled(frozen_signal(settled(out), keys, order, depth, 0.0))
+    out = settled(too_frequent_values(out, depth, 5.0))
     out = out.withColumn(depth, F.when(F.col("works") & ~F.col("too_frequent"), F.col(depth))).drop("works", "too_frequent")
     return smooth_per_block(despike(out, keys, order, depth, passes), keys, order, depth, "db4", 3)
 

@@ -153,7 +153,25 @@ def w17(spark, d):
     return rounded(grouped.filter_periodic_spike(df, ["block"], ["us"], "v", 25, 7, 2, 50.0).select("event_id", "v"))
 
 
-@register("w19_wavelet_smooth")
+def wavelet_sql(key: str, level: int, wavelet: str = "db4") -> str:
+    """Relations that smooth s (key, n from 0, y without nulls) to r0 (key, i, v): down, soft threshold, up."""
+    low = [float(x) for x in grouped.WAVELETS[wavelet]]
+    taps = ", ".join(f"({j}, {x:.17e}, {(-1) ** j * low[len(low) - 1 - j]:.17e})" for j, x in enumerate(low))
+    parts = [
+        f"taps as (select * from (values {taps}) as t(j, lo, hi)), c as (select {key}, count(*) as c, pow(2, greatest({level}, ceil(log2(greatest(count(*), 2)))))::bigint as size from s group by 1)",
+        f"x0 as (select c.{key}, k.i, s.y as v from c, lateral (select unnest(range(size)) as i) as k join s on s.{key} = c.{key} and s.n = case when k.i < c then k.i when c > size - c then 2 * (c - 1) - k.i else c - 1 end)",
+    ]
+    for l in range(1, level + 1):
+        wide = f"(size // {2 ** (l - 1)})"
+        parts.append(f"x{l} as (select c.{key}, k.i, sum(x.v * lo) as v, sum(x.v * hi) as d from c, lateral (select unnest(range(size // {2**l})) as i) as k, taps join x{l - 1} x on x.{key} = c.{key} and x.i = (2 * k.i + j) % {wide} group by 1, 2)")
+    parts.append(f"q as (select x1.{key}, median(abs(d)) / 0.6745 * sqrt(2 * ln(greatest(any_value(c), 2))) as q from x1 join c using ({key}) group by 1)")
+    parts.append(f"r{level} as (select {key}, i, v from x{level})")
+    for l in range(level, 0, -1):
+        parts.append(f"r{l - 1} as (select r.{key}, (2 * r.i + j) % (size // {2 ** (l - 1)}) as i, sum(r.v * lo + sign(d) * greatest(abs(d) - q, 0) * hi) as v from r{l} r join x{l} x on x.{key} = r.{key} and x.i = r.i join c on c.{key} = r.{key} join q on q.{key} = r.{key}, taps group by 1, 2)")
+    return ", ".join(parts)
+
+
+@register("w19_wavelet_smooth", f"with s as (select block, n, p as y, event_id from {_NUMBERED}), {wavelet_sql('block', 4)} select event_id, round(v, 6) as p from s join r0 on r0.block = s.block and r0.i = s.n")
 def w19(spark, d):
     return rounded(grouped.smooth_per_block(pressure(spark, d), ["block"], ["us"], "p").select("event_id", "p"))
 

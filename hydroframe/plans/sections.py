@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from ..operators import sections
 from ..sources.series import events, table
 from .filters import E, P, positions
+from .grouped import wavelet_sql
 from .registry import register
 from .stats import DAY, HOUR, rounded
+from .windows import _despike_sql
 
 _L = "(select l_orderkey as cast_id, l_orderkey // 200 as section, (l_orderkey % 200)::double as x, l_linenumber::double as z, avg(l_quantity)::double as v from lineitem group by 1, 2, 3, 4)"
 
@@ -52,7 +54,17 @@ def g03(spark, d):
     return sections.last_good_in_run(p, ["cast_id"], "z", "good", "altitude", 5)
 
 
-@register("g04_clean_depth_line")
+_DEPTH = f"""d0 as (select event_id, device, row_number() over (partition by device order by us) - 1 as i, count(*) over (partition by device) as n, case when abs(value) + 1.5 > 0.5 and abs(value) + 1.5 < 200 then abs(value) + 1.5 end as d from {E}),
+    m as (select device, i, i < n - 1 and lead(d) over w - d is null as blank, abs(lead(d) over w - d) > 0 as moved, abs(lead(d, 16) over w - d) > 0 as j16, abs(lead(d, 32) over w - d) > 0 as j32, n from d0 window w as (partition by device order by i)),
+    a as (select device, count(*) filter (blank) > any_value(n) / 10 as every from m group by device),
+    k as (select d0.event_id, d0.device, d0.i, d0.n, case when (every or coalesce(x.moved, false) or coalesce(y.j16, false) or coalesce(z.j32, false)) and not count(*) over (partition by d0.d) * 100.0 / count(*) over () > 5 then d0.d end as value
+      from d0 join a using (device) left join m x on x.device = d0.device and x.i = greatest(d0.i - 1, 0) left join m y on y.device = d0.device and y.i = greatest(d0.i - 1, 0) // 16 * 16 left join m z on z.device = d0.device and z.i = greatest(d0.i - 1, 0) // 32 * 32),
+    h as (select *, last_value(case when value is not null then {{'i': i, 'v': value}} end ignore nulls) over (partition by device order by i) as lo, first_value(case when value is not null then {{'i': i, 'v': value}} end ignore nulls) over (partition by device order by i rows between current row and unbounded following) as hi
+      from {_despike_sql("k", 2.5, 11)}),
+    s as (select event_id, device, i as n, case when lo is null then hi.v when hi is null or hi.i = lo.i then lo.v else lo.v + (hi.v - lo.v) * (i - lo.i) / (hi.i - lo.i) end as y from h where lo is not null or hi is not null)"""
+
+
+@register("g04_clean_depth_line", f"with {_DEPTH}, {wavelet_sql('device', 3)} select e.event_id, round(r0.v, 6) as depth from {E} e left join s using (event_id) left join r0 on r0.device = s.device and r0.i = s.n")
 def g04(spark, d):
     df = events(spark, d).withColumn("depth", -F.col("value"))
     return rounded(sections.clean_depth_line(df, ["device"], ["us"], "depth", 1.5, 0.5, 200, [(2.5, 11)]).select("event_id", "depth"))
