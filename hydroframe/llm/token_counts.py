@@ -4,7 +4,8 @@ A text of up to `long_chars` characters is encoded at once.  A longer one is enc
 neighbouring chunks are spliced at a white-space character of their overlap, from which on both give the same tokens at
 the same offsets up to a later white-space character.  White space is a proven boundary: the pre-tokenizer drops it, no
 special token holds any, and normalisation never joins characters across it.  Where an overlap has no such stretch, the
-overlap is doubled, in the end up to a chunk twice as long, so a text without any white space is encoded whole.
+overlap is doubled, in the end up to a chunk twice as long, so a text without any white space is encoded whole.  A tokenizer
+that keeps white space (`drops_white_space` tries it) encodes every text whole.
 
 Edge cases: null and empty texts have 0 tokens; rows that repeat an id are counted each; null ids are kept; columns
 other than the two named ones are ignored.
@@ -13,6 +14,7 @@ other than the two named ones are ignored.
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -43,14 +45,30 @@ def splice(left: list[tuple], right: list[tuple], text: str, begin: int, end: in
     left, right: (id, start, end) of each token in each chunk, positions in the whole text.
     """
     gaps = [i for i in range(begin, end) if text[i] in _GAPS]
-    for at, first in enumerate(gaps):
-        last = gaps[-1]
-        if at == len(gaps) - 1:
-            return None
-        a = [t for t in left if t[1] >= first and t[2] <= last]
-        if a and a == [t for t in right if t[1] >= first and t[2] <= last]:
-            return first
-    return None
+    if len(gaps) < 2:
+        return None
+    left, right = ([t for t in side if t[2] <= gaps[-1]] for side in (left, right))
+    # Both end with the same tokens; what lies before these must not reach the boundary.
+    same = 0
+    while same < min(len(left), len(right)) and left[-1 - same] == right[-1 - same]:
+        same += 1
+    if not same:
+        return None
+    off = max([t[1] for side in (left, right) for t in side[: len(side) - same][-1:]], default=-1)
+    return next((g for g in gaps[:-1] if off < g <= left[-1][1]), None)
+
+
+def drops_white_space(tokenizer) -> bool:
+    """Whether a tokenizer parts texts at white space and drops it, so that texts may be spliced there."""
+    if any(c.isspace() for t in tokenizer.get_added_tokens_decoder().values() for c in t.content) or any(t.lstrip or t.rstrip for t in tokenizer.get_added_tokens_decoder().values()):
+        return False
+    for word in ("ab", "don't", "x1"):
+        alone = tokenizer.encode(word, add_special_tokens=False).ids
+        for gap in sorted(_GAPS):
+            got = tokenizer.encode(f"{word}{gap}{word}{gap}", add_special_tokens=False)
+            if got.ids != alone * 2 or any(a <= len(word) < b for a, b in got.offsets):
+                return False
+    return True
 
 
 def count_long(text: str, encode: Callable[[str], list[tuple]], chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> int:
@@ -88,6 +106,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_path)
+        longest = long_chars if drops_white_space(tokenizer) else sys.maxsize
 
         def encode(text: str) -> list[tuple]:
             got = tokenizer.encode(text, add_special_tokens=False)
@@ -97,11 +116,11 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
             for part in shared.parts(batch, 1, 1 << 19):
                 texts = part.column(1).to_pylist()
                 counts = [0] * len(texts)
-                short = [i for i, t in enumerate(texts) if len(t) <= long_chars]
+                short = [i for i, t in enumerate(texts) if len(t) <= longest]
                 for i, got in zip(short, tokenizer.encode_batch_fast([texts[i] for i in short], add_special_tokens=False), strict=True):
                     counts[i] = len(got)
                 for i, t in enumerate(texts):
-                    if len(t) > long_chars:
+                    if len(t) > longest:
                         counts[i] = count_long(t, encode)
                 n_bytes = shared.text_bytes(part.column(1))[1]
                 yield pa.record_batch([part.column(0), pa.array(n_bytes[1:] - n_bytes[:-1]), pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"])

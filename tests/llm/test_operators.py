@@ -50,6 +50,45 @@ def test_chunks_splice_like_whole_texts(rows, chunk):
         assert token_counts.count_long(text, encode, chunk, chunk // 8) == len(encode(text))
 
 
+def test_splices_stand_where_both_sides_agree():
+    """Against the plain rule: the first gap from which both sides have the same tokens, some at least, up to the last gap."""
+    rng = random.Random(6)
+
+    def plain(left, right, text, begin, end):
+        gaps = [i for i in range(begin, end) if text[i] == " "]
+        for first in gaps[:-1]:
+            a, b = ([t for t in side if t[1] >= first and t[2] <= gaps[-1]] for side in (left, right))
+            if a and a == b:
+                return first
+        return None
+
+    found = set()
+    for _ in range(2000):
+        text = "".join(rng.choice("ab  ") for _ in range(rng.randrange(1, 40)))
+        words, at = [], 0
+        for w in text.split(" "):
+            words += [(rng.randrange(2), at, at + len(w))] if w else []
+            at += len(w) + 1
+        cut = rng.randrange(len(words) + 1)
+        left = [*words[:cut], *((i if rng.random() < 0.9 else i + 5, a, b) for i, a, b in words[cut:])]
+        right = [*((i + rng.randrange(2), a, b) for i, a, b in words[:cut]), *words[cut:]]
+        begin = rng.randrange(len(text))
+        got = token_counts.splice(left, right, text, begin, len(text))
+        assert got == plain(left, right, text, begin, len(text))
+        found.add(got is None)
+    assert found == {True, False}
+
+
+def test_tokenizers_that_keep_white_space_are_not_spliced(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert token_counts.drops_white_space(token_counts._tokenizer(WORDS)) and not token_counts.drops_white_space(Tokenizer.from_file(path))
+    text = "one  two \n three   " * 50
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert token_counts.count_tokens(docs, path, long_chars=100).first()["n_tokens"] == len(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids)
+
+
 def test_byte_bpe(docs, rows, empty):
     codec = byte_bpe.encoding(RANKS, public_tokenizers.PATTERN)
     ids = {i: codec.encode_ordinary(t or "") for i, t, _ in rows}
