@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType
@@ -148,21 +147,6 @@ def read_nmea(spark: SparkSession, paths: str, step_after: int = 15, round_secon
     return held.where("_t is not null").groupBy("file", time.alias("Time")).agg(*last)
 
 
-def decode_frames(content: bytes, sync: bytes, words: int, dtype: str = "<i2", seven_bit: bool = False) -> np.ndarray:
-    """Rows of `words` numbers after each sync word; frames that are cut short are dropped."""
-    found, at = [], content.find(sync)
-    size = np.dtype(dtype).itemsize
-    while at >= 0:
-        body = content[at + len(sync) : at + len(sync) + words * size]
-        if len(body) == words * size:
-            row = np.frombuffer(body, dtype)
-            found.append((row & 0x7F) | ((row >> 8) & 0x7F) << 7 if seven_bit else row)
-            at = content.find(sync, at + len(sync) + words * size)
-        else:
-            break
-    return np.array(found).reshape(-1, words)
-
-
 def read_framed_binary(spark: SparkSession, paths: str, sync: bytes, columns: list[str], dtype: str = "<i2", seven_bit: bool = False, range_bytes: int = ranges.RANGE_BYTES) -> DataFrame:
     """File, frame number and numbers of framed binary files, read in byte ranges that find the frames as the whole file does."""
     name = ranges.register(spark, ranges.Frames)
