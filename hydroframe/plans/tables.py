@@ -339,11 +339,11 @@ def s09(spark, d):
         return F.concat(F.substring(F.lpad(F.hex(c), 4, "0"), 3, 2), F.substring(F.lpad(F.hex(c), 4, "0"), 1, 2))
 
     path = folder(spark, "frames")
-    frame = F.concat(F.lit("FF7FFF7F"), *[little(c.cast("bigint")) for c in (F.col("event_id") % 20000, F.col("device"), F.floor("value"))])
+    frame = F.concat(F.lit("FF7FFF7F"), *[little(c.cast("bigint")) for c in (F.col("event_id") % 20000, F.col("device") % 32768, F.expr("device div 32768"), F.floor("value"))])
     frames = events(spark, d).select("kind", "us", F.unhex(frame).cast("string").alias("value"))
     frames.repartition("kind").sortWithinPartitions("kind", "us").select("kind", "value").write.partitionBy("kind").text(path)
-    out = files.read_framed_binary(spark, path, b"\xff\x7f\xff\x7f", ["a", "b", "c"], range_bytes=4096)
-    return out.withColumn("file", F.concat(F.lit("kind "), F.regexp_extract("file", "kind=([^/]*)", 1)))
+    out = files.read_framed_binary(spark, path, b"\xff\x7f\xff\x7f", ["a", "low", "high", "c"], range_bytes=4096)
+    return out.withColumn("file", F.concat(F.lit("kind "), F.regexp_extract("file", "kind=([^/]*)", 1))).select("file", "frame", "a", (F.col("high").cast("long") * 32768 + F.col("low")).alias("b"), "c")
 
 
 @register("s32_loader_plugin", f"select us // 1000000 as time_s, device::double as \"P\", round(value, 2) as \"Temp\", (event_id % 1000)::double as \"Cond\" from {E} where event_id % 7 <> 0")
