@@ -91,7 +91,8 @@ def horizon_slices(profiles: DataFrame, keys: list[str], depth: str, column: str
     near = F.filter(F.array(*[F.lit(float(v)) for v in levels]), lambda v: F.abs(v - F.col(depth)) <= margin)
     rows = profiles.where(F.col(column).isNotNull()).select(*keys, F.col(depth).alias("_z"), F.col(column).alias("_y"), F.explode(near).alias("level"))
     by = Window.partitionBy(*keys, "level")
-    rows = rows.withColumn("_m", F.avg("_y").over(by)).where(F.abs(F.col("_y") - F.col("_m")) <= limit)
+    # A row exactly on the limit stays, however the sum of the mean was rounded: that depends on the order of its rows.
+    rows = rows.withColumn("_m", F.avg("_y").over(by)).where(F.abs(F.col("_y") - F.col("_m")) <= limit + 1e-12 * (limit + F.abs(F.col("_m"))))
     below, above = F.col("_z") <= F.col("level"), F.col("_z") >= F.col("level")
     out = rows.groupBy(*keys, "level").agg(F.max(F.when(below, F.struct("_z", "_y"))).alias("a"), F.min(F.when(above, F.struct("_z", "_y"))).alias("b"))
     between = F.col("a._y") + (F.col("b._y") - F.col("a._y")) * (F.col("level") - F.col("a._z")) / (F.col("b._z") - F.col("a._z"))
