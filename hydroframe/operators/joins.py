@@ -78,8 +78,9 @@ def runs_for_points(points: DataFrame, runs: DataFrame, us: str, begin: str, dt_
         near = nearest_join(points.select(us).distinct(), runs.withColumn(us, F.col(begin)), [], us, ["run"])
         chosen = near.select(F.col("near_run").alias("run"))
     else:
-        spans = points.select(F.col(us).alias("_b"), (F.col(us) + dt_us - 1).alias("_e"))
-        chosen = bucketed_intervals(runs, begin, spans, "_b", "_e", []).select("run")
+        # Of the points at or before a start the last tells: if it is too early, so are all.
+        last = known_values(runs.select("run", F.col(begin).alias(us)), points.select(us).distinct(), [], us, {"_last": F.col(us)})
+        chosen = last.where(F.col("_last") > F.col(us) - dt_us).select("run")
     return runs.join(chosen.where("run is not null").distinct(), "run", "left_semi")
 
 
