@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequence import BUCKET_US, carry
+from .sequence import BUCKET_US, carry, settled
 
 
 def neighbours(points: DataFrame, series: DataFrame, keys: list[str], us: str, columns: list[str], bucket_us: int = BUCKET_US) -> DataFrame:
@@ -183,25 +185,48 @@ def nearest_grid_cells(points: DataFrame, grid: DataFrame, lat: str, lon: str, o
     return keyed.join(grid, ["i", "j"])
 
 
+#: Nodes that a node of `nearest_point` finds in its cell on the average, at most.
+NODES_PER_CELL = 8
+
+
+def fitting_cell(nodes: DataFrame, x: str, y: str, cell: float) -> float:
+    """A width of cells of at most `cell`, a power of two smaller, at which a node shares its cell with few others."""
+
+    def crowd() -> float:
+        each = nodes.groupBy(*[F.floor(F.col(c) / cell) for c in (x, y)]).agg(F.count("*").alias("m"))
+        return each.agg(F.try_divide(F.sum(F.col("m") * F.col("m")), F.sum("m"))).first()[0] or 0
+
+    least = cell / (1 << 40)
+    while (most := crowd() / NODES_PER_CELL) > 1 and cell > least:
+        # Nodes that lie evenly need one turn; others leave their cells more slowly.
+        cell /= 1 << max(1, math.ceil(math.log2(most) / 2))
+    return cell
+
+
 def nearest_point(points: DataFrame, nodes: DataFrame, x: str, y: str, cell: float, point_id: str, node_id: str) -> DataFrame:
     """The node nearest to each point, the smaller id if two are equally near, however far it lies.
 
-    Most points find it among the 3 x 3 cells around them.  For the others, boxes around the nodes of ever smaller cells
+    Points and nodes at one place are looked at once.  Cells are `cell` wide, or smaller by a power of two where that leaves
+    more than NODES_PER_CELL nodes together, so pairs grow with the points, not with points times nodes.  Most points find
+    their node among the 3 x 3 cells around them.  For the others, boxes around the nodes of ever smaller cells
     (a quarter as wide each time) are dropped if they begin behind the end of another box of the same point.
     """
     known = F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y)
-    p = points.where(known).select(point_id, F.col(x).alias("_x"), F.col(y).alias("_y"))
-    n = nodes.where(known).withColumns({"_i": F.floor(F.col(x) / cell), "_j": F.floor(F.col(y) / cell)})
+    own = points.where(known).select(point_id, (F.col(x) + 0.0).alias("_x"), (F.col(y) + 0.0).alias("_y"))
+    p = settled(own.groupBy("_x", "_y").agg(F.min(point_id).alias("_p")))
+    n = settled(nodes.where(known).groupBy((F.col(x) + 0.0).alias(x), (F.col(y) + 0.0).alias(y)).agg(F.min(node_id).alias(node_id)))
+    cell = fitting_cell(n, x, y, cell)
+    n = n.withColumns({"_i": F.floor(F.col(x) / cell), "_j": F.floor(F.col(y) / cell)})
 
     def best(pairs: DataFrame) -> DataFrame:
         d = F.hypot(F.col(x) - F.col("_x"), F.col(y) - F.col("_y"))
-        found = pairs.groupBy(point_id).agg(F.min(F.struct(d.alias("d"), F.col(node_id).alias("node"))).alias("b"))
-        return found.select(point_id, F.col("b.node").alias(node_id), F.col("b.d").alias("distance"))
+        found = pairs.groupBy("_p").agg(F.min(F.struct(d.alias("d"), F.col(node_id).alias("node"))).alias("b"))
+        return found.select("_p", F.col("b.node").alias(node_id), F.col("b.d").alias("distance"))
 
     shift = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
     around = p.select("*", F.explode(shift).alias("_s")).withColumns({"_i": F.floor(F.col("_x") / cell) + F.col("_s.a"), "_j": F.floor(F.col("_y") / cell) + F.col("_s.b")})
     # A hit is proven only within one cell.
-    sure = best(around.join(n, ["_i", "_j"])).where(F.col("distance") <= cell)
+    sure = settled(best(around.join(n, ["_i", "_j"])).where(F.col("distance") <= cell))
 
     def boxes(level: int) -> DataFrame:
         i, j = (F.shiftright(c, 2 * level) for c in ("_i", "_j"))
@@ -210,15 +235,17 @@ def nearest_point(points: DataFrame, nodes: DataFrame, x: str, y: str, cell: flo
     def pruned(pairs: DataFrame) -> DataFrame:
         low = [F.greatest(F.col(f"_{c}0") - F.col(f"_{c}"), F.col(f"_{c}") - F.col(f"_{c}1"), F.lit(0.0)) for c in "xy"]
         high = [F.greatest(F.abs(F.col(f"_{c}0") - F.col(f"_{c}")), F.abs(F.col(f"_{c}") - F.col(f"_{c}1"))) for c in "xy"]
-        end = F.min(F.hypot(*high)).over(Window.partitionBy(point_id))
+        end = F.min(F.hypot(*high)).over(Window.partitionBy("_p"))
         kept = pairs.withColumn("_end", end * (1 + 1e-9)).where(F.hypot(*low) <= F.col("_end"))
-        return kept.select(point_id, "_x", "_y", F.col("_bi").alias("_i"), F.col("_bj").alias("_j"))
+        return kept.select("_p", "_x", "_y", F.col("_bi").alias("_i"), F.col("_bj").alias("_j"))
 
     span = n.agg(F.greatest(F.max("_i") - F.min("_i"), F.max("_j") - F.min("_j"))).first()[0] or 0
     top = (span.bit_length() + 1) // 2
     # Four boxes at most at the top, 16 times as many at each level.
-    held = pruned(p.join(sure, point_id, "left_anti").crossJoin(F.broadcast(boxes(top))))
+    held = pruned(p.join(sure, "_p", "left_anti").crossJoin(F.broadcast(boxes(top))))
     for level in range(top - 1, -1, -1):
         inner = boxes(level).withColumns({"_i": F.shiftright("_bi", 2), "_j": F.shiftright("_bj", 2)})
         held = pruned(held.join(F.broadcast(inner) if top - level < 4 else inner, ["_i", "_j"]))
-    return sure.unionByName(best(held.join(n, ["_i", "_j"])))
+    found = sure.unionByName(best(held.join(n, ["_i", "_j"])))
+    each = own.join(p.join(found, "_p"), ["_x", "_y"]).groupBy(point_id).agg(F.min(F.struct("distance", node_id)).alias("b"))
+    return each.select(point_id, f"b.{node_id}", "b.distance")
