@@ -261,7 +261,9 @@ def w23(spark, d):
 @register("w25_apply_per_block", f"select device, us // {DAY} as run, round(max(value) - min(value), 6) as span from {E} group by 1, 2")
 def w25(spark, d):
     def span(rows):
-        return rows.head(1).assign(span=rows["value"].max() - rows["value"].min())[["device", "run", "span"]]
+        value = rows["value"].to_numpy()
+        known = value[value == value]
+        return {"device": rows["device"].iloc[:1], "run": rows["run"].iloc[:1], "span": [known.max() - known.min() if len(known) else None]}
 
     return rounded(grouped.apply_per_block(day_runs(spark, d), ["device", "run"], ["us"], span, "device bigint, run bigint, span double"))
 
