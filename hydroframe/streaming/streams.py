@@ -7,10 +7,11 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import BooleanType, DateType, LongType, NumericType, StringType, StructType
 
 from ..operators.sequence import settled
 from ..sources.sinks import create_table, load_files
@@ -94,66 +95,134 @@ def stream_dedup(stream: DataFrame, keys: list[str], ts: str, late: str) -> Data
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([*keys, ts])
 
 
-class _Holes(StatefulProcessor):
-    """The last time of a key that nothing can come before any more, and the times after it, in order."""
+#: Groups that the keys of a stateful stream are dealt to.
+GROUPS = 1024
+
+
+class _Rows:
+    """Rows that a group of keys holds in its state, as one Arrow table."""
+
+    def __init__(self, handle, name: str) -> None:
+        self.state = handle.getValueState(name, "rows binary")
+
+    def exists(self) -> bool:
+        return self.state.exists()
+
+    def get(self) -> pd.DataFrame | None:
+        held = self.state.get()
+        return None if held is None else pa.ipc.open_stream(held[0]).read_pandas()
+
+    def put(self, rows: pd.DataFrame) -> None:
+        if rows.empty:
+            self.state.clear()
+            return
+        batch, sink = pa.RecordBatch.from_pandas(rows, preserve_index=False), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as out:
+            out.write_batch(batch)
+        self.state.update((sink.getvalue().to_pybytes(),))
+
+
+class _Grouped(StatefulProcessor):
+    """A processor of groups of keys, so what a call costs is shared by the keys of a group.
+
+    A group has one timer, the earliest of its keys.  Rows without the key's column are all of one key, the group's own.
+    """
+
+    key: str
+
+    def _together(self, key: tuple, rows: Iterator[pd.DataFrame], columns: list[str]) -> pd.DataFrame:
+        parts = [part if self.key in part else part.assign(**{self.key: key[0]}) for part in rows]
+        fresh = pd.concat(parts)[[self.key, *columns]] if parts else pd.DataFrame(columns=[self.key, *columns])
+        fresh = fresh[fresh[columns[0]].notna()]
+        return fresh.astype({columns[0]: np.int64})
+
+    def _wake(self, first_us: int | None, limit_us: int) -> None:
+        """Set the timer to a time, or to none, but always behind the watermark."""
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if first_us is not None:
+            self.handle.registerTimer(max(-(-first_us // 1000), limit_us // 1000 + 1))
+
+    def close(self) -> None:
+        pass
+
+
+class _Holes(_Grouped):
+    """The last time of each key that nothing can come before any more, and the times after it."""
 
     def __init__(self, key: str, us: str, longest_us: int, forget_us: int) -> None:
         self.key, self.us, self.longest_us, self.forget_us = key, us, longest_us, forget_us
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.final = handle.getValueState("final", "us bigint, told boolean")
-        self.waiting = handle.getListState("waiting", "us bigint")
+        self.final = _Rows(handle, "final")
+        self.waiting = _Rows(handle, "waiting")
 
-    def _settled(self, name, limit_us: int) -> pd.DataFrame:
+    def _settled(self, fresh: pd.DataFrame | None, limit_us: int) -> Iterator[pd.DataFrame]:
         """Holes up to the watermark; sets the timer that is next."""
-        last, told = self.final.get() if self.final.exists() else (None, False)
-        held = sorted({t for (t,) in self.waiting.get() if last is None or t > last}) if self.waiting.exists() else []
-        done, left = [t for t in held if t <= limit_us], [t for t in held if t > limit_us]
-        found = []
-        for t in done:
-            if last is not None and t - last > self.longest_us:
-                found.append((name, last, t - last))
-            last, told = t, False
-        if last is not None and not told and not left and limit_us >= last + self.longest_us:
-            # Nothing came for so long, and nothing can any more: a hole whose end is not known.
-            found.append((name, last, None))
-            told = True
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if last is not None and not left and limit_us >= last + self.forget_us:
-            self.final.clear()
-            self.waiting.clear()
-        else:
-            if last is not None:
-                self.final.update((last, told))
-            self.waiting.put([(t,) for t in left]) if left else self.waiting.clear()
-            after = left[0] if left else last + (self.forget_us if told else self.longest_us)
-            self.handle.registerTimer(max(-(-after // 1000), limit_us // 1000 + 1))
-        return pd.DataFrame(found, columns=[self.key, "start", "size"]).astype({"start": "Int64", "size": "Int64"})
+        finals = self.final.get()
+        last = [] if finals is None else [finals.assign(old=True)]
+        more = [x.assign(told=False, old=False) for x in (self.waiting.get(), fresh) if x is not None and len(x)]
+        if not last and not more:
+            return
+        rows = pd.concat([*last, *more], ignore_index=True)
+        code, names = pd.factorize(rows[self.key], use_na_sentinel=False)
+        us, old, told = rows[self.us].to_numpy(np.int64), rows["old"].to_numpy(bool), rows["told"].to_numpy(bool)
+        order = np.lexsort((~old, us, code))
+        code, us, old, told = (x[order] for x in (code, us, old, told))
+        # What comes before the last final time is late; a time counts once.
+        floor = np.full(len(names), np.iinfo(np.int64).min)
+        floor[code[old]] = us[old]
+        again = np.concatenate([[False], (code[1:] == code[:-1]) & (us[1:] == us[:-1])])
+        keep = old | ((us > floor[code]) & ~again)
+        code, us, old, told = (x[keep] for x in (code, us, old, told))
+        done = old | (us <= limit_us)
+        k, t = code[done], us[done]
+        hole = (k[1:] == k[:-1]) & (t[1:] - t[:-1] > self.longest_us)
+        # Of each key: whether it has a final time, the last one, whether its open hole was told, and the first time after it.
+        has, last_us, open_told, first = np.zeros(len(names), bool), np.zeros(len(names), np.int64), np.zeros(len(names), bool), np.full(len(names), np.iinfo(np.int64).max)
+        ends = np.concatenate([k[1:] != k[:-1], [True]]) if len(k) else np.zeros(0, bool)
+        has[k[ends]], last_us[k[ends]], open_told[k[ends]] = True, t[ends], told[done][ends]
+        np.minimum.at(first, code[~done], us[~done])
+        quiet = has & (first == np.iinfo(np.int64).max)
+        # Nothing came for so long, and nothing can any more: a hole whose end is not known.
+        silent = quiet & ~open_told & (limit_us >= last_us + self.longest_us)
+        open_told = open_told | silent
+        stay = has & ~(quiet & (limit_us >= last_us + self.forget_us))
+        self.final.put(pd.DataFrame({self.key: np.asarray(names, object)[stay], self.us: last_us[stay], "told": open_told[stay]}))
+        self.waiting.put(pd.DataFrame({self.key: np.asarray(names, object)[code[~done]], self.us: us[~done]}))
+        after = np.where(quiet, last_us + np.where(open_told, self.forget_us, self.longest_us), first)[stay | ~quiet]
+        self._wake(int(after.min()) if len(after) else None, limit_us)
+        told_codes = np.concatenate([k[:-1][hole], np.flatnonzero(silent)])
+        found = pd.DataFrame({self.key: np.asarray(names, object)[told_codes], "start": np.concatenate([t[:-1][hole], last_us[silent]])})
+        yield found.assign(size=pd.array([*(t[1:] - t[:-1])[hole], *[None] * int(silent.sum())], "Int64")).astype({"start": "Int64"})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        self.waiting.appendList([(int(t),) for part in rows for t in part[self.us].dropna().unique()])
-        if self.waiting.exists() or self.final.exists():
-            yield self._settled(key[0], timerValues.getCurrentWatermarkInMs() * 1000)
+        yield from self._settled(self._together(key, rows, [self.us]), timerValues.getCurrentWatermarkInMs() * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._settled(key[0], timerValues.getCurrentWatermarkInMs() * 1000)
+        yield from self._settled(None, timerValues.getCurrentWatermarkInMs() * 1000)
 
-    def close(self) -> None:
-        pass
+
+def _by_groups(rows: DataFrame, key: str, ts: str, late: str, schema: str, processor: _Grouped, groups: int) -> DataFrame:
+    """A processor on groups of keys; keys go through it as text (so rows with and without a key fit one column) and come back."""
+    kind = rows.schema[key].dataType
+    if not isinstance(kind, (NumericType, StringType, DateType, BooleanType)):
+        raise TypeError(f"keys of a stream are numbers, texts, dates or booleans, not {kind.simpleString()}")
+    rows = rows.withWatermark(ts, late).withColumn("_group", F.expr(f"pmod(xxhash64(`{key}`), {groups})")).withColumn(key, F.col(key).cast("string"))
+    out = rows.groupBy("_group").transformWithStateInPandas(processor, f"`{key}` string, {schema}", "Append", "EventTime")
+    return out.withColumn(key, F.col(key).cast(kind))
 
 
-def stream_holes(stream: DataFrame, key: str, ts: str, us: str, longest_us: int, wait: str, forget_us: int) -> DataFrame:
+def stream_holes(stream: DataFrame, key: str, ts: str, us: str, longest_us: int, wait: str, forget_us: int, groups: int = GROUPS) -> DataFrame:
     """Gaps of more than longest_us as (key, start, size); rows may come in any order, `wait` late at most.
 
     A gap is given when the watermark has passed its end, so a late row inside the wait still closes it.  When a key has been
     silent for longest_us past the wait, the open hole is given with a null size; should the key speak again, it comes once
     more with its size.  A key that was silent for forget_us is forgotten: its state goes, and a later row begins anew.
+    Keys are dealt to `groups` by their hash; a group is held in memory, and a checkpoint goes on with the same number only.
     """
-    kind = stream.schema[key].dataType.simpleString()
-    rows = stream.select(key, ts, us).withWatermark(ts, wait).groupBy(key)
-    return rows.transformWithStateInPandas(_Holes(key, us, longest_us, max(forget_us, longest_us)), f"{key} {kind}, start bigint, size bigint", "Append", "EventTime")
+    return _by_groups(stream.select(key, ts, us), key, ts, wait, "start bigint, size bigint", _Holes(key, us, longest_us, max(forget_us, longest_us)), groups)
 
 
 def spikes(values: np.ndarray, begins: bool, ends: bool, max_spike: float) -> np.ndarray:
@@ -190,68 +259,92 @@ def despiked(values: np.ndarray, begins: bool, ends: bool, passes: list[tuple[fl
     return out
 
 
-class _Blocks(StatefulProcessor):
-    """A ring of the last rows of a key: those not given yet, and before them as many as their blocks look back at."""
+class _Blocks(_Grouped):
+    """A ring of the last rows of each key: those not given yet, and before them as many as their blocks look back at."""
 
     def __init__(self, key: str, us: str, column: str, result: str, reach: int, flush_us: int, fn: Callable[[np.ndarray, bool, bool], np.ndarray]) -> None:
-        self.names, self.us, self.column, self.reach, self.flush_us, self.fn = [key, us, column, result], us, column, reach, flush_us, fn
+        self.key, self.us, self.column, self.result, self.reach, self.flush_us, self.fn = key, us, column, result, reach, flush_us, fn
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.ring = handle.getListState("ring", "us bigint, value double")
-        #: Rows of the ring that were given already; whether the series' first row has left it.
-        self.place = handle.getValueState("place", "given int, cut boolean")
-
-    def _moved(self, name, fresh: list[tuple], limit_us: int, flush: bool) -> pd.DataFrame:
-        given, cut = self.place.get() if self.place.exists() else (0, False)
-        ring = [tuple(r) for r in self.ring.get()] if self.ring.exists() else []
-        floor = ring[given - 1][0] if given else None
-        rows = ring[:given] + sorted((r for r in ring[given:] + fresh if floor is None or r[0] >= floor), key=lambda r: r[0])
-        settled = len(rows) if flush else max(given, sum(t <= limit_us for t, _ in rows) - self.reach)
-        values = np.array([np.nan if v is None else v for _, v in rows], np.float64)
-        found = self.fn(values, not cut, flush)[given:settled] if settled > given else []
-        out = pd.DataFrame({self.names[0]: name, self.names[1]: [t for t, _ in rows[given:settled]], self.names[2]: values[given:settled], self.names[3]: found})
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if flush:
-            self.ring.clear()
-            self.place.clear()
+        self.ring = _Rows(handle, "ring")
+        #: Of each key of the ring: its rows, those of them that were given already, whether the series' first row has left it.
+        self.place = _Rows(handle, "place")
+
+    def _moved(self, fresh: pd.DataFrame | None, limit_us: int) -> Iterator[pd.DataFrame]:
+        place, ring = self.place.get(), self.ring.get()
+        fresh = pd.DataFrame({self.key: [], self.us: np.zeros(0, np.int64), self.column: np.zeros(0)}) if fresh is None else fresh
+        if place is None and fresh.empty:
+            return
+        held = 0 if place is None else len(place)
+        code, names = pd.factorize(np.concatenate([[] if place is None else place[self.key].to_numpy(object), fresh[self.key].to_numpy(object)]).astype(object), use_na_sentinel=False)
+        us, values, code = fresh[self.us].to_numpy(np.int64), fresh[self.column].to_numpy(np.float64, na_value=np.nan), code[held:]
+        order = np.argsort(code, kind="stable")
+        us, values, new = us[order], values[order], np.searchsorted(code[order], np.arange(len(names) + 1))
+        counts = np.zeros(len(names), np.int64)
+        counts[:held] = 0 if place is None else place["rows"]
+        starts = np.concatenate([[0], np.cumsum(counts)])
+        ring_us, ring_values = (np.zeros(0, np.int64), np.zeros(0)) if ring is None else (ring[self.us].to_numpy(np.int64), ring[self.column].to_numpy(np.float64))
+        given_of, cut_of = ([], []) if place is None else (place["given"].tolist(), place["cut"].tolist())
+        out, left, first = [], [], None
+        for k in range(len(names)):
+            t, v = ring_us[starts[k] : starts[k + 1]], ring_values[starts[k] : starts[k + 1]]
+            given, cut = (given_of[k], cut_of[k]) if k < held else (0, False)
+            flush = new[k] == new[k + 1]
+            if not flush or t[-1] + self.flush_us <= limit_us:
+                more_t, more_v = us[new[k] : new[k + 1]], values[new[k] : new[k + 1]]
+                if given:
+                    in_time = more_t >= t[given - 1]
+                    more_t, more_v = more_t[in_time], more_v[in_time]
+                more_t, more_v = np.concatenate([t[given:], more_t]), np.concatenate([v[given:], more_v])
+                order = np.argsort(more_t, kind="stable")
+                t, v = np.concatenate([t[:given], more_t[order]]), np.concatenate([v[:given], more_v[order]])
+                settled = len(t) if flush else max(given, int(np.count_nonzero(t <= limit_us)) - self.reach)
+                if settled > given:
+                    out.append((k, t[given:settled], v[given:settled], self.fn(v, not cut, flush)[given:settled]))
+                if flush:
+                    continue
+                gone = max(0, settled - self.reach)
+                t, v, given, cut = t[gone:], v[gone:], settled - gone, cut or gone > 0
+            left.append((k, t, v, given, cut))
+            ends = int(t[-1]) + self.flush_us
+            first = ends if first is None else min(first, ends)
+        names = np.asarray(names, object)
+        if left:
+            k, t, v, given, cut = zip(*left, strict=True)
+            self.ring.put(pd.DataFrame({self.us: np.concatenate(t), self.column: np.concatenate(v)}))
+            self.place.put(pd.DataFrame({self.key: names[list(k)], "rows": [len(x) for x in t], "given": given, "cut": cut}))
         else:
-            gone = max(0, settled - self.reach)
-            self.ring.put([(t, None if np.isnan(v) else float(v)) for (t, _), v in zip(rows[gone:], values[gone:], strict=True)])
-            self.place.update((settled - gone, cut or gone > 0))
-            self.handle.registerTimer(max(-(-(rows[-1][0] + self.flush_us) // 1000), limit_us // 1000 + 1))
-        return out
+            self.ring.put(pd.DataFrame())
+            self.place.put(pd.DataFrame())
+        self._wake(first, limit_us)
+        if out:
+            k, t, v, found = zip(*out, strict=True)
+            yield pd.DataFrame({self.key: np.repeat(names[list(k)], [len(x) for x in t]), self.us: np.concatenate(t), self.column: np.concatenate(v), self.result: np.concatenate(found)})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        fresh = [(int(t), None if v is None or v != v else float(v)) for part in rows for t, v in zip(part[self.us], part[self.column], strict=True) if t == t and t is not None]
-        if fresh:
-            yield self._moved(key[0], fresh, timerValues.getCurrentWatermarkInMs() * 1000, False)
+        yield from self._moved(self._together(key, rows, [self.us, self.column]), timerValues.getCurrentWatermarkInMs() * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.ring.exists():
-            yield self._moved(key[0], [], timerValues.getCurrentWatermarkInMs() * 1000, True)
-
-    def close(self) -> None:
-        pass
+        yield from self._moved(None, timerValues.getCurrentWatermarkInMs() * 1000)
 
 
-def _in_blocks(stream: DataFrame, key: str, ts: str, us: str, column: str, late: str, result: str, kind: str, processor: _Blocks) -> DataFrame:
-    rows = stream.select(key, ts, us, F.col(column).cast("double").alias(column)).withWatermark(ts, late).groupBy(key)
-    schema = f"{key} {stream.schema[key].dataType.simpleString()}, {us} bigint, {column} double, {result} {kind}"
-    return rows.transformWithStateInPandas(processor, schema, "Append", "EventTime")
+def _in_blocks(stream: DataFrame, key: str, ts: str, us: str, column: str, late: str, result: str, kind: str, processor: _Blocks, groups: int) -> DataFrame:
+    rows = stream.select(key, ts, us, F.col(column).cast("double").alias(column))
+    return _by_groups(rows, key, ts, late, f"{us} bigint, {column} double, {result} {kind}", processor, groups)
 
 
-def stream_spikes(stream: DataFrame, key: str, ts: str, us: str, column: str, max_spike: float, late: str, flush_us: int) -> DataFrame:
+def stream_spikes(stream: DataFrame, key: str, ts: str, us: str, column: str, max_spike: float, late: str, flush_us: int, groups: int = GROUPS) -> DataFrame:
     """W01 on a stream: (key, us, value, spike) of each row once its successor is final; as stream_despike otherwise."""
-    return _in_blocks(stream, key, ts, us, column, late, "spike", "boolean", _Blocks(key, us, column, "spike", 1, flush_us, partial(spikes, max_spike=max_spike)))
+    return _in_blocks(stream, key, ts, us, column, late, "spike", "boolean", _Blocks(key, us, column, "spike", 1, flush_us, partial(spikes, max_spike=max_spike)), groups)
 
 
-def stream_despike(stream: DataFrame, key: str, ts: str, us: str, column: str, passes: list[tuple[float, int]], late: str, flush_us: int) -> DataFrame:
+def stream_despike(stream: DataFrame, key: str, ts: str, us: str, column: str, passes: list[tuple[float, int]], late: str, flush_us: int, groups: int = GROUPS) -> DataFrame:
     """W02 on a stream: (key, us, value, kept) of each row, kept null where a pass finds a spike.
 
     Rows may come in any order, `late` late at most.  A row is given when all that its blocks look ahead at is final; the
     state holds the rows not given yet and the last ones before them, the sum of the blocks at most.  When a key has been
     silent for flush_us, its last rows come out by the rule for the end of a series; a later row begins a new series.
+    Keys are dealt to `groups` by their hash, as in stream_holes.
     """
-    return _in_blocks(stream, key, ts, us, column, late, "kept", "double", _Blocks(key, us, column, "kept", sum(b for _, b in passes), flush_us, partial(despiked, passes=passes)))
+    return _in_blocks(stream, key, ts, us, column, late, "kept", "double", _Blocks(key, us, column, "kept", sum(b for _, b in passes), flush_us, partial(despiked, passes=passes)), groups)
