@@ -218,12 +218,16 @@ def cells_to_long(rows: DataFrame, speed: str, direction: str, z1: Column, dz: C
     return out.where(F.col("Vabs") > bad)
 
 
+#: Whole numbers, and how every text begins that Spark reads as a double; others are not tried, as each would cost an exception.
+_WHOLE, _REAL = r"^[\x00-\x20\x7f]*[-+]?[0-9]+[\x00-\x20\x7f]*$", r"^[\x00-\x20\x7f]*[-+]?([.0-9]|(?i:inf|nan))"
+
+
 def infer_column_types(df: DataFrame, columns: list[str]) -> DataFrame:
     """Per text column the narrowest type that holds all values, its widest text, nulls and distinct values, in one pass."""
     aggs = []
     for c in columns:
         v = F.nullif(F.trim(c), F.lit(""))
-        whole, real = v.try_cast("bigint"), v.try_cast("double")
+        whole, real = F.when(v.rlike(_WHOLE), v.try_cast("bigint")), F.when(v.rlike(_REAL), v.try_cast("double"))
         aggs.append(F.struct(F.lit(c).alias("name"), F.max(F.length(v)).alias("width"), F.count_if(v.isNull()).alias("nulls"), F.count(v).alias("n"), F.count(whole).alias("ints"), F.count(real).alias("reals"), F.min(whole).alias("low"), F.max(whole).alias("high"), F.approx_count_distinct(v).alias("distinct")).alias(c))
     flat = df.agg(*aggs).select(F.explode(F.array(*columns)).alias("c")).select("c.*")
     integer = F.when(F.col("low").between(-128, 127) & F.col("high").between(-128, 127), "tinyint").when(F.col("low").between(-32768, 32767) & F.col("high").between(-32768, 32767), "smallint").when(F.col("low").between(-(2**31), 2**31 - 1) & F.col("high").between(-(2**31), 2**31 - 1), "int").otherwise("bigint")
