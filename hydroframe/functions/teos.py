@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed values of TEOS-10: heat capacity, standard salinity, scale of salinity, its offset in the specific volume.
@@ -150,11 +150,28 @@ def let(values: dict[str, Column], use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(F.struct(*[v.alias(n) for n, v in values.items()])), use)[0]
 
 
+class Steps:
+    """A frame that gets values which expressions use many times as columns of their own, in one select behind another.
+
+    Its `let` stands in for the function of that name, whose lambdas Spark interprets row by row; selects are compiled.
+    Take expressions built with it from its `frame`, and drop what they need with a last select.
+    """
+
+    def __init__(self, frame: DataFrame) -> None:
+        self.frame, self.count = frame, 0
+
+    def let(self, values: dict[str, Column], use: Callable[[dict[str, Column]], Column]) -> Column:
+        names = {n: f"_step{self.count}_{n}" for n in values}
+        self.count += 1
+        self.frame = self.frame.withColumns({names[n]: v for n, v in values.items()})
+        return use({n: F.col(name) for n, name in names.items()})
+
+
 def _salt(sa: Column) -> Column:
     return F.when(sa < 0, 0.0).otherwise(sa) * SFAC
 
 
-def potential_temperature(sa: Column, t: Column, p: Column) -> Column:
+def potential_temperature(sa: Column, t: Column, p: Column, let: Callable = let) -> Column:
     """Potential temperature at the surface from temperature in place (ITS-90)."""
     zero, bend = {k: c for k, c in S.items() if k[2] == 0}, derived(S, 1)
     flat = {k: c for k, c in bend.items() if k[2] == 0}
@@ -179,34 +196,34 @@ def potential_temperature(sa: Column, t: Column, p: Column) -> Column:
     return let({"sa": F.when(sa < 0, 0.0).otherwise(sa), "t": t, "p": p, "x": F.sqrt(_salt(sa))}, begin)
 
 
-def conservative_temperature_of_potential(sa: Column, pt: Column) -> Column:
+def conservative_temperature_of_potential(sa: Column, pt: Column, let: Callable = let) -> Column:
     h = {k[:2]: c for k, c in H.items()}
     return let({"x": F.sqrt(_salt(sa)), "y": pt * Y}, lambda q: column(h, q["x"], q["y"]) / CP0)
 
 
-def conservative_temperature(sa: Column, t: Column, p: Column) -> Column:
+def conservative_temperature(sa: Column, t: Column, p: Column, let: Callable = let) -> Column:
     """From temperature in place (ITS-90)."""
-    return conservative_temperature_of_potential(sa, potential_temperature(sa, t, p))
+    return conservative_temperature_of_potential(sa, potential_temperature(sa, t, p, let), let)
 
 
-def _at(sa: Column, ct: Column, p: Column, use: Callable[[Column], Column]) -> Column:
+def _at(sa: Column, ct: Column, p: Column, use: Callable[[Column], Column], let: Callable = let) -> Column:
     return let({"x": F.sqrt(_salt(sa) + OFFSET), "y": ct * Y, "z": p * Z}, use)
 
 
-def specific_volume(sa: Column, ct: Column, p: Column) -> Column:
-    return _at(sa, ct, p, lambda q: column(V, q["x"], q["y"], q["z"]))
+def specific_volume(sa: Column, ct: Column, p: Column, let: Callable = let) -> Column:
+    return _at(sa, ct, p, lambda q: column(V, q["x"], q["y"], q["z"]), let)
 
 
-def density(sa: Column, ct: Column, p: Column) -> Column:
-    return 1 / specific_volume(sa, ct, p)
+def density(sa: Column, ct: Column, p: Column, let: Callable = let) -> Column:
+    return 1 / specific_volume(sa, ct, p, let)
 
 
-def sigma0(sa: Column, ct: Column) -> Column:
+def sigma0(sa: Column, ct: Column, let: Callable = let) -> Column:
     """Potential density at the surface minus 1000."""
-    return density(sa, ct, F.lit(0.0)) - 1000
+    return density(sa, ct, F.lit(0.0), let) - 1000
 
 
-def sound_speed(sa: Column, t: Column, p: Column) -> Column:
+def sound_speed(sa: Column, t: Column, p: Column, let: Callable = let) -> Column:
     """m/s, from temperature in place (ITS-90), by the derivatives of the Gibbs function."""
     by_z, by_zz, by_ty, by_tz = G_Z, derived(G_Z, 2), derived(S, 1), derived(S, 2)
 
@@ -222,17 +239,17 @@ def _surface_gravity(lat: Column) -> Column:
     return GRAVITY[0] * (1 + (GRAVITY[1] + GRAVITY[2] * s) * s)
 
 
-def height(p: Column, lat: Column) -> Column:
+def height(p: Column, lat: Column, let: Callable = let) -> Column:
     """Height of a pressure in metres, negative in the sea."""
     enthalpy = nested({(i,): c for i, c in enumerate(STANDARD_ENTHALPY)}, [p * Z], F.lit) * 1e8
     return let({"b": _surface_gravity(lat), "c": enthalpy}, lambda q: -2 * q["c"] / (q["b"] + F.sqrt(q["b"] * q["b"] + 2 * GAMMA * q["b"] * q["c"])))
 
 
-def gravity(p: Column, lat: Column) -> Column:
-    return _surface_gravity(lat) * (1 - GAMMA * height(p, lat))
+def gravity(p: Column, lat: Column, let: Callable = let) -> Column:
+    return _surface_gravity(lat) * (1 - GAMMA * height(p, lat, let))
 
 
-def n_squared(sa: Column, ct: Column, p: Column, next_sa: Column, next_ct: Column, next_p: Column, lat: Column) -> Column:
+def n_squared(sa: Column, ct: Column, p: Column, next_sa: Column, next_ct: Column, next_p: Column, lat: Column, let: Callable = let) -> Column:
     """Buoyancy frequency squared (1/s2) between two samples of a cast, at their mid pressure; null without a next one."""
     by_x, by_y = derived(V, 0), derived(V, 1)
 
@@ -244,7 +261,7 @@ def n_squared(sa: Column, ct: Column, p: Column, next_sa: Column, next_ct: Colum
         return F.pow(q["g"], F.lit(2.0)) * F.try_divide(-(expansion * q["dct"] + contraction * q["dsa"]), v * v * 1e4 * q["dp"])
 
     values = {
-        "x": F.sqrt(_salt((sa + next_sa) / 2) + OFFSET), "y": (ct + next_ct) * (Y / 2), "z": (p + next_p) * (Z / 2), "g": (gravity(p, lat) + gravity(next_p, lat)) / 2,
+        "x": F.sqrt(_salt((sa + next_sa) / 2) + OFFSET), "y": (ct + next_ct) * (Y / 2), "z": (p + next_p) * (Z / 2), "g": (gravity(p, lat, let) + gravity(next_p, lat, let)) / 2,
         "dct": next_ct - ct, "dsa": next_sa - sa, "dp": next_p - p,
     }
     return let(values, use)

@@ -138,9 +138,13 @@ def _teos_sql(source: str) -> str:
 def m10b(spark, d):
     s, t, p = F.col("s"), F.col("t"), F.col("p")
     q = events(spark, d).select("event_id", (5 + F.col("value") % 30).alias("s"), (F.col("value") % 20).alias("t"), (F.col("event_id") % 200).cast("double").alias("p"))
-    q = q.withColumn("theta", teos.potential_temperature(s, t, p)).withColumn("ct", teos.conservative_temperature_of_potential(s, F.col("theta")))
-    out = {"theta": (F.col("theta"), 9), "ct": (F.col("ct"), 9), "sigma0": (teos.sigma0(s, F.col("ct")), 8), "sound": (teos.sound_speed(s, t, p), 6), "height": (teos.height(p, F.lit(55.0)), 8)}
-    return q.select("event_id", *[F.round(c, n).alias(k) for k, (c, n) in out.items()])
+    q = teos.Steps(q)
+    theta = teos.potential_temperature(s, t, p, q.let)
+    q.frame = q.frame.withColumn("theta", theta)
+    ct = teos.conservative_temperature_of_potential(s, F.col("theta"), q.let)
+    q.frame = q.frame.withColumn("ct", ct)
+    out = {"theta": (F.col("theta"), 9), "ct": (F.col("ct"), 9), "sigma0": (teos.sigma0(s, F.col("ct"), q.let), 8), "sound": (teos.sound_speed(s, t, p, q.let), 6), "height": (teos.height(p, F.lit(55.0), q.let), 8)}
+    return q.frame.select("event_id", *[F.round(c, n).alias(k) for k, (c, n) in out.items()])
 
 
 @register(
@@ -272,5 +276,6 @@ def m22(spark, d):
     w = Window.partitionBy("device").orderBy("p")
     q = events(spark, d).select("device", "event_id", (F.col("event_id") % 200 + F.col("event_id") / 100000).alias("p"), (5 + F.col("value") / 10).alias("s"), (F.col("value") % 20).alias("t"))
     q = q.withColumns({f"n_{c}": F.lead(c).over(w) for c in "stp"})
-    n2 = teos.n_squared(F.col("s"), F.col("t"), F.col("p"), F.col("n_s"), F.col("n_t"), F.col("n_p"), F.lit(55.0))
-    return q.select("event_id", F.round(n2, 9).alias("n2"))
+    q = teos.Steps(q)
+    n2 = teos.n_squared(F.col("s"), F.col("t"), F.col("p"), F.col("n_s"), F.col("n_t"), F.col("n_p"), F.lit(55.0), q.let)
+    return q.frame.select("event_id", F.round(n2, 9).alias("n2"))
