@@ -225,45 +225,53 @@ def stream_holes(stream: DataFrame, key: str, ts: str, us: str, longest_us: int,
     return _by_groups(stream.select(key, ts, us), key, ts, wait, "start bigint, size bigint", _Holes(key, us, longest_us, max(forget_us, longest_us)), groups)
 
 
-def spikes(values: np.ndarray, begins: bool, ends: bool, max_spike: float) -> np.ndarray:
-    """W01 on one series in order."""
+def spikes(values: np.ndarray, begins: bool | np.ndarray, ends: bool | np.ndarray, max_spike: float, sizes: np.ndarray | None = None) -> np.ndarray:
+    """W01 on series in order, one after another; sizes: the rows of each, if there are several."""
+    step = np.diff(values)
+    if sizes is not None:
+        last = np.cumsum(sizes)[:-1] - 1
+        step[last[(last >= 0) & (last < len(step))]] = np.nan
     before, after = np.full(len(values), np.nan), np.full(len(values), np.nan)
-    before[1:], after[:-1] = np.diff(values), -np.diff(values)
+    before[1:], after[:-1] = step, -step
     up = ~(before <= max_spike) & ~(after <= max_spike)
     down = ~(before >= -max_spike) & ~(after >= -max_spike)
     return ~np.isnan(values) & ~(np.isnan(before) & np.isnan(after)) & (up | down)
 
 
-def despiked(values: np.ndarray, begins: bool, ends: bool, passes: list[tuple[float, int]]) -> np.ndarray:
-    """W02 on one series in order: NaN where a pass finds a spike.  begins, ends: the series' own ends, which take the first
-    and last full block, are among the values."""
+def despiked(values: np.ndarray, begins: bool | np.ndarray, ends: bool | np.ndarray, passes: list[tuple[float, int]], sizes: np.ndarray | None = None) -> np.ndarray:
+    """W02 on series in order, one after another: NaN where a pass finds a spike.  sizes: the rows of each, if there are
+    several.  begins, ends (of each): the series' own ends, which take the first and last full block, are among the values."""
     out = values.astype(np.float64).copy()
+    sizes = np.array([len(out)]) if sizes is None else np.asarray(sizes)
+    series, first_row = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes) - sizes
+    begins, ends = (np.broadcast_to(x, len(sizes))[series] for x in (begins, ends))
+    i, n = np.arange(len(out)) - first_row[series], sizes[series]
     for offset, block in passes:
-        half, n = block // 2, len(out)
-        padded = np.concatenate([np.full(half, np.nan), out, np.full(block - half - 1, np.nan)])
+        half = block // 2
+        # Between two series lie so many NaN that no block reaches both.
+        base = half + first_row[series] + series * block
+        padded = np.full(len(out) + len(sizes) * block + block, np.nan)
+        padded[base + i] = out
         view = np.lib.stride_tricks.sliding_window_view(padded, block)
         some = ~np.isnan(view)
         count = some.sum(axis=1)
         mean = np.where(some, view, 0).sum(axis=1) / np.maximum(count, 1)
         std = np.sqrt(np.where(some, (view - mean[:, None]) ** 2, 0).sum(axis=1) / np.maximum(count, 1))
         mean, std = np.where(count > 0, mean, np.nan), np.where(count > 0, std, np.nan)
-        high = max(n - (block - half), 0)
-        first = min(half, high)
-        i = np.arange(n)
-        if ends:
-            mean, std = (np.where(i > high, x[high], x) for x in (mean, std))
-        if begins:
-            mean, std = (np.where(i < half, x[first], x) for x in (mean, std))
+        high = np.maximum(n - (block - half), 0)
+        at = np.where(ends & (i > high), high, i)
+        at = base - half + np.where(begins & (i < half), np.minimum(half, high), at)
         with np.errstate(invalid="ignore"):
-            out[np.abs(out - mean) > offset * std] = np.nan
+            out[np.abs(out - mean[at]) > offset * std[at]] = np.nan
     return out
 
 
 class _Blocks(_Grouped):
     """A ring of the last rows of each key: those not given yet, and before them as many as their blocks look back at."""
 
-    def __init__(self, key: str, us: str, column: str, result: str, reach: int, flush_us: int, fn: Callable[[np.ndarray, bool, bool], np.ndarray]) -> None:
-        self.key, self.us, self.column, self.result, self.reach, self.flush_us, self.fn = key, us, column, result, reach, flush_us, fn
+    def __init__(self, key: str, us: str, column: str, result: str, reach: int, flush_us: int, fn: Callable[..., np.ndarray], several: bool = False) -> None:
+        """fn takes values in order and whether their series begins and ends there; with `several`, those of many series and their sizes."""
+        self.key, self.us, self.column, self.result, self.reach, self.flush_us, self.fn, self.several = key, us, column, result, reach, flush_us, fn, several
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -271,56 +279,57 @@ class _Blocks(_Grouped):
         #: Of each key of the ring: its rows, those of them that were given already, whether the series' first row has left it.
         self.place = _Rows(handle, "place")
 
+    def _found(self, values: np.ndarray, begins: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        if self.several:
+            return self.fn(values, begins, ends, sizes=sizes)
+        edges = np.cumsum(sizes)
+        return np.concatenate([self.fn(values[z - n : z], b, e) for z, n, b, e in zip(edges.tolist(), sizes.tolist(), begins.tolist(), ends.tolist(), strict=True)])
+
     def _moved(self, fresh: pd.DataFrame | None, limit_us: int) -> Iterator[pd.DataFrame]:
+        """Rows of all keys that are due, as columns of all keys; sets the timer that is next."""
         place, ring = self.place.get(), self.ring.get()
         fresh = pd.DataFrame({self.key: [], self.us: np.zeros(0, np.int64), self.column: np.zeros(0)}) if fresh is None else fresh
         if place is None and fresh.empty:
             return
         held = 0 if place is None else len(place)
         code, names = pd.factorize(np.concatenate([[] if place is None else place[self.key].to_numpy(object), fresh[self.key].to_numpy(object)]).astype(object), use_na_sentinel=False)
-        us, values, code = fresh[self.us].to_numpy(np.int64), fresh[self.column].to_numpy(np.float64, na_value=np.nan), code[held:]
-        order = np.argsort(code, kind="stable")
-        us, values, new = us[order], values[order], np.searchsorted(code[order], np.arange(len(names) + 1))
-        counts = np.zeros(len(names), np.int64)
-        counts[:held] = 0 if place is None else place["rows"]
-        starts = np.concatenate([[0], np.cumsum(counts)])
-        ring_us, ring_values = (np.zeros(0, np.int64), np.zeros(0)) if ring is None else (ring[self.us].to_numpy(np.int64), ring[self.column].to_numpy(np.float64))
-        given_of, cut_of = ([], []) if place is None else (place["given"].tolist(), place["cut"].tolist())
-        out, left, first = [], [], None
-        for k in range(len(names)):
-            t, v = ring_us[starts[k] : starts[k + 1]], ring_values[starts[k] : starts[k + 1]]
-            given, cut = (given_of[k], cut_of[k]) if k < held else (0, False)
-            flush = new[k] == new[k + 1]
-            if not flush or t[-1] + self.flush_us <= limit_us:
-                more_t, more_v = us[new[k] : new[k + 1]], values[new[k] : new[k + 1]]
-                if given:
-                    in_time = more_t >= t[given - 1]
-                    more_t, more_v = more_t[in_time], more_v[in_time]
-                more_t, more_v = np.concatenate([t[given:], more_t]), np.concatenate([v[given:], more_v])
-                order = np.argsort(more_t, kind="stable")
-                t, v = np.concatenate([t[:given], more_t[order]]), np.concatenate([v[:given], more_v[order]])
-                settled = len(t) if flush else max(given, int(np.count_nonzero(t <= limit_us)) - self.reach)
-                if settled > given:
-                    out.append((k, t[given:settled], v[given:settled], self.fn(v, not cut, flush)[given:settled]))
-                if flush:
-                    continue
-                gone = max(0, settled - self.reach)
-                t, v, given, cut = t[gone:], v[gone:], settled - gone, cut or gone > 0
-            left.append((k, t, v, given, cut))
-            ends = int(t[-1]) + self.flush_us
-            first = ends if first is None else min(first, ends)
-        names = np.asarray(names, object)
-        if left:
-            k, t, v, given, cut = zip(*left, strict=True)
-            self.ring.put(pd.DataFrame({self.us: np.concatenate(t), self.column: np.concatenate(v)}))
-            self.place.put(pd.DataFrame({self.key: names[list(k)], "rows": [len(x) for x in t], "given": given, "cut": cut}))
+        names, new = np.asarray(names, object), code[held:]
+        rows, given, cut = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64), np.zeros(len(names), bool)
+        us, values = fresh[self.us].to_numpy(np.int64), fresh[self.column].to_numpy(np.float64, na_value=np.nan)
+        # What a key holds comes first; of its rows, those that were given come before those that were not.
+        told = np.zeros(len(us), bool)
+        if held:
+            rows[:held], given[:held], cut[:held] = place["rows"], place["given"], place["cut"]
+            old = np.repeat(np.arange(held), rows[:held])
+            old_us, told_old = ring[self.us].to_numpy(np.int64), np.arange(len(old)) - (np.cumsum(rows) - rows)[old] < given[old]
+            floor, last = np.full(len(names), np.iinfo(np.int64).min), np.full(len(names), np.iinfo(np.int64).min)
+            floor[old[told_old]], last[old] = old_us[told_old], old_us
+            in_time = us >= floor[new]
+            quiet = np.bincount(new, minlength=len(names)) == 0
+            flush, idle = quiet & (last + self.flush_us <= limit_us), quiet & (last + self.flush_us > limit_us)
+            new, told = np.concatenate([old, new[in_time]]), np.concatenate([told_old, told[in_time]])
+            us, values = np.concatenate([old_us, us[in_time]]), np.concatenate([ring[self.column].to_numpy(np.float64), values[in_time]])
         else:
-            self.ring.put(pd.DataFrame())
-            self.place.put(pd.DataFrame())
-        self._wake(first, limit_us)
-        if out:
-            k, t, v, found = zip(*out, strict=True)
-            yield pd.DataFrame({self.key: np.repeat(names[list(k)], [len(x) for x in t]), self.us: np.concatenate(t), self.column: np.concatenate(v), self.result: np.concatenate(found)})
+            flush = idle = np.zeros(len(names), bool)
+        order = np.lexsort((us, ~told, new))
+        code, us, values = new[order], us[order], values[order]
+        rows = np.bincount(code, minlength=len(names))
+        starts = np.cumsum(rows) - rows
+        at = np.arange(len(code)) - starts[code]
+        settled = np.where(flush, rows, np.maximum(given, np.bincount(code[us <= limit_us], minlength=len(names)) - self.reach))
+        settled = np.where(idle, given, settled)
+        gone = np.where(idle, 0, np.where(flush, rows, np.maximum(0, settled - self.reach)))
+        due, stays = settled > given, ~flush
+        keep = at >= gone[code]
+        self.ring.put(pd.DataFrame({self.us: us[keep], self.column: values[keep]}))
+        self.place.put(pd.DataFrame({self.key: names[stays], "rows": (rows - gone)[stays], "given": (settled - gone)[stays], "cut": (cut | (gone > 0))[stays]}))
+        ends = (us[starts + rows - 1] + self.flush_us)[stays]
+        self._wake(int(ends.min()) if len(ends) else None, limit_us)
+        if due.any():
+            whole = due[code]
+            found = self._found(values[whole], ~cut[due], flush[due], rows[due])
+            out = ((at >= given[code]) & (at < settled[code]))[whole]
+            yield pd.DataFrame({self.key: names[code[whole][out]], self.us: us[whole][out], self.column: values[whole][out], self.result: found[out]})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield from self._moved(self._together(key, rows, [self.us, self.column]), timerValues.getCurrentWatermarkInMs() * 1000)
@@ -336,7 +345,7 @@ def _in_blocks(stream: DataFrame, key: str, ts: str, us: str, column: str, late:
 
 def stream_spikes(stream: DataFrame, key: str, ts: str, us: str, column: str, max_spike: float, late: str, flush_us: int, groups: int = GROUPS) -> DataFrame:
     """W01 on a stream: (key, us, value, spike) of each row once its successor is final; as stream_despike otherwise."""
-    return _in_blocks(stream, key, ts, us, column, late, "spike", "boolean", _Blocks(key, us, column, "spike", 1, flush_us, partial(spikes, max_spike=max_spike)), groups)
+    return _in_blocks(stream, key, ts, us, column, late, "spike", "boolean", _Blocks(key, us, column, "spike", 1, flush_us, partial(spikes, max_spike=max_spike), True), groups)
 
 
 def stream_despike(stream: DataFrame, key: str, ts: str, us: str, column: str, passes: list[tuple[float, int]], late: str, flush_us: int, groups: int = GROUPS) -> DataFrame:
@@ -347,4 +356,4 @@ def stream_despike(stream: DataFrame, key: str, ts: str, us: str, column: str, p
     silent for flush_us, its last rows come out by the rule for the end of a series; a later row begins a new series.
     Keys are dealt to `groups` by their hash, as in stream_holes.
     """
-    return _in_blocks(stream, key, ts, us, column, late, "kept", "double", _Blocks(key, us, column, "kept", sum(b for _, b in passes), flush_us, partial(despiked, passes=passes)), groups)
+    return _in_blocks(stream, key, ts, us, column, late, "kept", "double", _Blocks(key, us, column, "kept", sum(b for _, b in passes), flush_us, partial(despiked, passes=passes), True), groups)
