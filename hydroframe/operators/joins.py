@@ -174,15 +174,29 @@ def anchor_from_track(rows: DataFrame, track: DataFrame, us: str, lat: str = "la
     return found.select(*rows.columns, *[F.when(whole, _between(us, c)).alias(f"anchor_{c}") for c in (lat, lon)])
 
 
+#: Rows of the grid to a task of `nearest_grid_cells`, about, and rows of one cell that points are joined to at once, at most.
+GRID_ROWS, TILE_ROWS = 1 << 15, 512
+
+
 def nearest_grid_cells(points: DataFrame, grid: DataFrame, lat: str, lon: str, origin: tuple[float, float], step: float, around: bool = False) -> DataFrame:
-    """The grid cell (lat, lon numbered i, j from the origin) nearest to each point within half a step, or the 2 x 2 cells around it."""
+    """The grid cell (lat, lon numbered i, j from the origin) nearest to each point within half a step, or the 2 x 2 cells around it.
+
+    A point gets every row that the grid has for its cell, so the answer may be far larger than both sides.  For the nearest
+    cell both are dealt out by tiles of a cell's rows and a task gets few tiles, one after another: the same rows of the grid
+    follow from point to point, and pack well in files.  The points of one cell are one task's work in each tile.
+    """
     y, x = (F.col(lat) - origin[0]) / step, (F.col(lon) - origin[1]) / step
     if around:
         cells = F.explode(F.array(*[F.struct((F.floor(y) + a).alias("i"), (F.floor(x) + b).alias("j")) for a in (0, 1) for b in (0, 1)]))
         keyed = points.select("*", cells.alias("_cell")).select(*points.columns, F.col("_cell.i").alias("i"), F.col("_cell.j").alias("j"))
-    else:
-        keyed = points.select("*", F.floor(y + 0.5).alias("i"), F.floor(x + 0.5).alias("j"))
-    return keyed.join(grid, ["i", "j"])
+        return keyed.join(grid, ["i", "j"])
+    keyed = points.select("*", F.floor(y + 0.5).alias("i"), F.floor(x + 0.5).alias("j"))
+    place = F.row_number().over(Window.partitionBy("i", "j").orderBy(*grid.columns))
+    tiles = grid.withColumn("_tile", F.floor((place - 1) / TILE_ROWS))
+    crowd = grid.groupBy("i", "j").agg(F.floor((F.count("*") - 1) / TILE_ROWS).alias("_last"))
+    copies = keyed.join(crowd, ["i", "j"]).withColumn("_tile", F.explode(F.sequence(F.lit(0).cast("long"), "_last"))).drop("_last")
+    tasks, by = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(grid.count() / GRID_ROWS)), ["i", "j", "_tile"]
+    return copies.repartition(tasks, *by).join(tiles.repartition(tasks, *by).hint("merge"), by).drop("_tile")
 
 
 #: Nodes that a node of `nearest_point` finds in its cell on the average, at most.
