@@ -29,6 +29,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 RANGE_BYTES, READ_BYTES, BATCH_ROWS = 64 << 20, 4 << 20, 1 << 16
+#: What is read at once to find the end of a line.
+LINE_BYTES = 1 << 12
+#: Tasks that small ranges are dealt to, about; no task gets more than RANGE_BYTES so.
+TASKS = 128
 
 
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
@@ -71,11 +75,13 @@ class Ranges(InputPartition):
 
 
 def planned(files: list[tuple[str, int]], range_bytes: int) -> list[Ranges]:
+    """Ranges of all files, dealt to tasks in order: as many to a task as make up a range, or its share of TASKS."""
     out, held = [[]], 0
+    most = max(range_bytes, min(RANGE_BYTES, sum(size for _, size in files) // TASKS))
     for path, size in files:
         for begin in range(0, size, range_bytes):
             end = min(begin + range_bytes, size)
-            if out[-1] and held + end - begin > range_bytes:
+            if out[-1] and held + end - begin > most:
                 out.append([])
                 held = 0
             out[-1].append((path, begin, end, size))
@@ -91,7 +97,7 @@ def lines_of(file, begin: int, end: int, size: int, read_bytes: int = READ_BYTES
         at = begin - 1
         while at < end:
             file.seek(at)
-            chunk = file.read(min(read_bytes, size - at))
+            chunk = file.read(min(read_bytes, size - at, LINE_BYTES))
             found = chunk.find(b"\n")
             if found >= 0:
                 at += found + 1
@@ -102,7 +108,8 @@ def lines_of(file, begin: int, end: int, size: int, read_bytes: int = READ_BYTES
     rest = b""
     file.seek(at)
     while at < end:
-        chunk = file.read(read_bytes)
+        # Of what lies behind the range only the end of its last line is read.
+        chunk = file.read(min(read_bytes, max(end - at - len(rest), LINE_BYTES)))
         *whole, rest = (rest + chunk).split(b"\n") if chunk else ([rest, b""] if rest else [b""])
         for line in whole:
             if at >= end:
