@@ -28,7 +28,7 @@ def feed(spark, d, files=4):
     return path, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(path)
 
 
-def in_order(spark, d, build, flush_days: int = 0):
+def in_order(spark, d, build, flush_days: int = 0, partitions: int | None = None):
     """Rows of a stream that is stopped and started again for each quarter of the time, so times come in order.
 
     With flush_days a last row of nulls comes so much later: the watermark passes all windows, and append mode gives them.
@@ -42,7 +42,7 @@ def in_order(spark, d, build, flush_days: int = 0):
         parts.append(df.limit(0).unionByName(end, allowMissingColumns=True))
     for part in parts:
         part.write.mode("append").parquet(path)
-        out = drain(build(spark.readStream.schema(df.schema).parquet(path)), root=root)
+        out = drain(build(spark.readStream.schema(df.schema).parquet(path)), root=root, partitions=partitions)
     return out
 
 
@@ -102,7 +102,7 @@ def t06(spark, d):
 @register("t07_stream_holes", f"select * from (select device, us as start, lead(us) over (partition by device order by us) - us as size from {E}) where size > {2 * DAY}")
 def t07(spark, d):
     """Gaps that have an end; open ones come with a null size."""
-    out = in_order(spark, d, lambda stream: streams.stream_holes(stream, "device", "ts", "us", 2 * DAY, "2 days", 400 * DAY), 30)
+    out = in_order(spark, d, lambda stream: streams.stream_holes(stream, "device", "ts", "us", 2 * DAY, "2 days", 400 * DAY), 30, streams.PARTITIONS)
     return out.where("size is not null")
 
 
@@ -112,11 +112,11 @@ def t07(spark, d):
     select device, us, value, (b is not null or a is not null) and (coalesce(b > 20, true) and coalesce(a > 20, true) or coalesce(b < -20, true) and coalesce(a < -20, true)) as spike from a where device is not null""",
 )
 def t08(spark, d):
-    out = in_order(spark, d, lambda stream: streams.stream_spikes(stream, "device", "ts", "us", "value", 20.0, "2 days", 20 * DAY), 60)
+    out = in_order(spark, d, lambda stream: streams.stream_spikes(stream, "device", "ts", "us", "value", 20.0, "2 days", 20 * DAY), 60, streams.PARTITIONS)
     return out.where("device is not null")
 
 
 @register("t08b_stream_despike_blocks", f"select device, event_id as us, value as kept from {_despike_sql(_despike_sql(_TIMED, 1.5, 10), 2.0, 5)}")
 def t08b(spark, d):
-    out = in_order(spark, d, lambda stream: streams.stream_despike(stream, "device", "ts", "us", "value", [(1.5, 10), (2.0, 5)], "2 days", 400 * DAY), 900)
+    out = in_order(spark, d, lambda stream: streams.stream_despike(stream, "device", "ts", "us", "value", [(1.5, 10), (2.0, 5)], "2 days", 400 * DAY), 900, streams.PARTITIONS)
     return out.select("device", "us", "kept")

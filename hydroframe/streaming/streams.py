@@ -95,8 +95,8 @@ def stream_dedup(stream: DataFrame, keys: list[str], ts: str, late: str) -> Data
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark([*keys, ts])
 
 
-#: Groups that the keys of a stateful stream are dealt to.
-GROUPS = 1024
+#: Groups that the keys of a stateful stream are dealt to, and partitions that serve them, however many a shuffle has.
+GROUPS, PARTITIONS = 1024, 64
 
 
 class _Rows:
